@@ -35,7 +35,7 @@ def to_utc_ntz(c, dtype=None) -> Column:
 
     Strings with an offset (``...+02:00`` / ``...Z``) are read as instants;
     strings without one are read as UTC wall clock. Unparseable strings give
-    NULL (``try_to_timestamp``), never an exception. ``dtype`` is the input's
+    NULL (``try_cast``), never an exception. ``dtype`` is the input's
     Spark type when known (NTZ passes through, LTZ is converted by instant).
     """
     c = _col(c)
@@ -44,8 +44,11 @@ def to_utc_ntz(c, dtype=None) -> Column:
     if isinstance(dtype, TimestampType):
         return _ltz_to_utc_ntz(c)
     s = F.trim(c.cast(StringType()))
-    with_zone = F.when(s.rlike(_HAS_OFFSET), s).otherwise(F.concat(s, F.lit("Z")))
-    return _ltz_to_utc_ntz(F.try_to_timestamp(with_zone))
+    # With an offset: an instant (LTZ cast honours the offset). Without one:
+    # UTC wall clock (NTZ cast, which never consults the session zone).
+    return F.when(
+        s.rlike(_HAS_OFFSET), _ltz_to_utc_ntz(s.try_cast(TimestampType()))
+    ).otherwise(s.try_cast(TimestampNTZType()))
 
 
 def to_local(ts, zone: str) -> Column:

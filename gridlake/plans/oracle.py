@@ -112,3 +112,251 @@ def with_ctes(ctes, body: str) -> str:
 ORACLE = {
     "daily_cost": with_ctes(GOLD_CHAIN, "SELECT * FROM daily"),
 }
+
+BOUNDS = """bounds AS (
+  SELECT min(CAST(ts AS DATE)) AS first_day, max(CAST(ts AS DATE)) AS last_day FROM events)"""
+
+CUSTOMERS = """customers AS (
+  SELECT c_custkey AS meter_id, c_custkey AS customer_id, c_acctbal > 0 AS has_solar,
+         CAST((c_nationkey % 5 + 5) % 5 + 1 AS INTEGER) AS occupants,
+         CAST(NULL AS VARCHAR) AS join_date, c_nationkey, c_mktsegment
+  FROM customer)"""
+
+METERS = """meters AS (
+  SELECT meter_id, customer_id, 1 AS location_id, has_solar,
+         'SM-' || CASE WHEN has_solar THEN 'S' ELSE 'B' END AS meter_model
+  FROM customers)"""
+
+WEATHER_DAILY = """weather_daily AS (
+  SELECT strftime(weather_ts, '%Y-%m-%d') AS date_key,
+         round(avg(temperature_2m), 6) AS avg_temp_c,
+         round(min(temperature_2m), 6) AS min_temp_c,
+         round(max(temperature_2m), 6) AS max_temp_c,
+         round(avg(cloud_cover), 6) AS avg_cloud_pct,
+         round(avg(shortwave_radiation), 6) AS avg_radiation
+  FROM weather GROUP BY 1)"""
+
+METER_DAY = """meter_day AS (
+  SELECT meter_id, date_key, round(sum(kwh), 4) AS kwh, round(sum(cost), 6) AS cost
+  FROM daily GROUP BY 1, 2)"""
+
+CALENDAR = """calendar AS (
+  SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS date,
+         CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+         CAST(day(d) AS INTEGER) AS day, CAST(isodow(d) AS INTEGER) AS day_of_week,
+         isodow(d) >= 6 AS is_weekend,
+         CASE WHEN month(d) IN (12, 1, 2) THEN 'winter' WHEN month(d) IN (3, 4, 5) THEN 'spring'
+              WHEN month(d) IN (6, 7, 8) THEN 'summer' ELSE 'autumn' END AS season
+  FROM bounds, generate_series(CAST(first_day AS TIMESTAMP), CAST(last_day AS TIMESTAMP), INTERVAL 1 DAY) AS g(d))"""
+
+TARIFF_NAMES = """tariffs(tariff_code, tariff_name) AS (
+  VALUES ('standard', 'Standard Flat'), ('economy7', 'Economy 7'),
+         ('ev_special', 'EV Overnight'), ('green', '100% Green'))"""
+
+STAR = """star AS (
+  SELECT d.*, c.c_mktsegment, n.n_name, r.r_name, t.tariff_name, k.is_weekend, k.season
+  FROM daily d
+  JOIN customers c ON d.meter_id = c.meter_id
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+  JOIN region r ON n.n_regionkey = r.r_regionkey
+  JOIN tariffs t ON d.tariff_code = t.tariff_code
+  JOIN calendar k ON d.date_key = k.date)"""
+
+READING_COLS = "meter_id, customer_id, reading_ts, interval_kwh, voltage, quality, _ingested_at"
+ANALYTICS = [*GOLD_CHAIN, METER_DAY]
+
+ORACLE.update({
+    "dedupe_latest": with_ctes([READINGS, LATEST], "SELECT * FROM latest"),
+    "null_sentinel": with_ctes([READINGS, LATEST, NULLED], "SELECT * FROM nulled"),
+    "fault_rows": with_ctes(
+        [READINGS, LATEST, NULLED], "SELECT * FROM nulled WHERE quality IS DISTINCT FROM 'GOOD'"
+    ),
+    "quarantine_split": with_ctes(
+        [READINGS, LATEST, NULLED],
+        """SELECT *, CASE WHEN reading_ts IS NULL THEN 'BAD_TIMESTAMP'
+                          WHEN quality IS NULL THEN 'NULL_QUALITY'
+                          WHEN quality <> 'GOOD' THEN quality END AS reason
+           FROM nulled""",
+    ),
+    "weather_reconciled": with_ctes([WEATHER], "SELECT * FROM weather"),
+    "readings_with_tariff": with_ctes(
+        [READINGS, LATEST, NULLED, GOOD, CHANGES, HIST, TARIFFED], "SELECT * FROM tariffed"
+    ),
+    "readings_with_weather": with_ctes(SILVER_CHAIN, "SELECT * FROM silver"),
+    "window_trim": with_ctes(
+        [READINGS, LATEST, BOUNDS],
+        """SELECT latest.* FROM latest, bounds
+           WHERE CAST(reading_ts AS DATE) >= first_day + 1 AND CAST(reading_ts AS DATE) <= last_day - 1""",
+    ),
+    "cost_fact": with_ctes([RATES, *SILVER_CHAIN, FACT], "SELECT * FROM fact"),
+    "weather_daily": with_ctes([WEATHER, WEATHER_DAILY], "SELECT * FROM weather_daily"),
+    "scd2_history": with_ctes([CHANGES, HIST], "SELECT * FROM hist"),
+    "calendar_dim": with_ctes([BOUNDS, CALENDAR], "SELECT * FROM calendar"),
+    "meter_dim": with_ctes([CUSTOMERS, METERS], "SELECT * FROM meters"),
+    "customer_dim": with_ctes(
+        [CUSTOMERS],
+        "SELECT customer_id, 'residential' AS segment, occupants, join_date FROM customers",
+    ),
+    "coverage": with_ctes(
+        [READINGS, LATEST, BOUNDS],
+        """SELECT m.meter_id, CAST(CAST(g.d AS DATE) AS VARCHAR) AS date_key,
+                  CAST(24 AS BIGINT) AS expected, CAST(coalesce(p.present, 0) AS BIGINT) AS present
+           FROM (SELECT DISTINCT meter_id FROM latest) m
+           CROSS JOIN bounds
+           CROSS JOIN generate_series(CAST(first_day AS TIMESTAMP), CAST(last_day AS TIMESTAMP), INTERVAL 1 DAY) AS g(d)
+           LEFT JOIN (SELECT meter_id, CAST(reading_ts AS DATE) AS day, count(DISTINCT reading_ts) AS present
+                      FROM latest WHERE reading_ts IS NOT NULL GROUP BY 1, 2) p
+             ON p.meter_id = m.meter_id AND p.day = CAST(g.d AS DATE)""",
+    ),
+    "value_frequencies": with_ctes(
+        [READINGS],
+        "SELECT quality, count(*) AS count FROM readings WHERE quality IS NOT NULL GROUP BY quality",
+    ),
+    "load_curve": with_ctes(
+        [READINGS, LATEST],
+        """SELECT CAST(extract(hour FROM reading_ts) AS INTEGER) AS hour,
+                  round(avg(interval_kwh), 6) AS avg_interval_kwh
+           FROM latest WHERE reading_ts IS NOT NULL GROUP BY 1""",
+    ),
+    "table_counts": with_ctes(
+        [READINGS],
+        "SELECT count(*) AS row_count, CAST(7 AS BIGINT) AS column_count FROM readings",
+    ),
+    "head_rows": with_ctes(
+        [READINGS, LATEST], "SELECT * FROM latest ORDER BY reading_ts, meter_id LIMIT 10"
+    ),
+    "table_profile": with_ctes(
+        [READINGS, LATEST, NULLED],
+        """SELECT 'interval_kwh' AS "column", count(interval_kwh) AS count,
+                  count(DISTINCT interval_kwh) AS unique, CAST(NULL AS VARCHAR) AS top,
+                  CAST(NULL AS BIGINT) AS freq,
+                  round(avg(interval_kwh), 6) AS mean, round(stddev_samp(interval_kwh), 6) AS std,
+                  round(min(interval_kwh), 6) AS min,
+                  round(quantile_cont(interval_kwh, 0.25), 6) AS p25,
+                  round(quantile_cont(interval_kwh, 0.5), 6) AS p50,
+                  round(quantile_cont(interval_kwh, 0.75), 6) AS p75,
+                  round(max(interval_kwh), 6) AS max
+           FROM nulled
+           UNION ALL
+           SELECT 'voltage', count(voltage), count(DISTINCT voltage), NULL, NULL,
+                  round(avg(voltage), 6), round(stddev_samp(voltage), 6), round(min(voltage), 6),
+                  round(quantile_cont(voltage, 0.25), 6), round(quantile_cont(voltage, 0.5), 6),
+                  round(quantile_cont(voltage, 0.75), 6), round(max(voltage), 6)
+           FROM nulled
+           UNION ALL
+           SELECT 'quality', count(quality), count(DISTINCT quality),
+                  (SELECT quality FROM nulled WHERE quality IS NOT NULL GROUP BY quality
+                   ORDER BY count(*) DESC, quality LIMIT 1),
+                  (SELECT count(*) FROM nulled WHERE quality IS NOT NULL GROUP BY quality
+                   ORDER BY count(*) DESC LIMIT 1),
+                  NULL, NULL, NULL, NULL, NULL, NULL, NULL
+           FROM nulled""",
+    ),
+    "usage_mtd": with_ctes(
+        ANALYTICS,
+        """SELECT meter_id, date_key, kwh,
+                  round(sum(kwh) OVER (PARTITION BY meter_id, date_trunc('month', CAST(date_key AS DATE))
+                                       ORDER BY date_key ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4)
+                  AS mtd_kwh
+           FROM meter_day""",
+    ),
+    "usage_ytd": with_ctes(
+        ANALYTICS,
+        """SELECT meter_id, date_key, kwh,
+                  round(sum(kwh) OVER (PARTITION BY meter_id, date_trunc('year', CAST(date_key AS DATE))
+                                       ORDER BY date_key ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4)
+                  AS ytd_kwh
+           FROM meter_day""",
+    ),
+    "usage_rolling7": with_ctes(
+        ANALYTICS,
+        """SELECT meter_id, date_key, kwh,
+                  round(sum(kwh) OVER (PARTITION BY meter_id ORDER BY CAST(date_key AS DATE)
+                                       RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW), 4)
+                  AS rolling7_kwh
+           FROM meter_day""",
+    ),
+    "tariff_what_if": with_ctes(
+        [RATES, *SILVER_CHAIN, FACT],
+        """SELECT tariff_code, pct_change, readings,
+                  round(raw, 6) AS baseline_cost,
+                  round(raw * (1 + pct_change), 6) AS scenario_cost,
+                  round(raw * pct_change, 6) AS difference
+           FROM (SELECT tariff_code, sum(interval_kwh * unit_rate) AS raw, count(*) AS readings
+                 FROM fact WHERE tariff_code IS NOT NULL GROUP BY 1) b,
+                (VALUES (-0.1::DOUBLE), (0.0::DOUBLE), (0.1::DOUBLE)) AS s(pct_change)""",
+    ),
+    "temp_elasticity": with_ctes(
+        [*ANALYTICS, WEATHER_DAILY, CUSTOMERS, METERS],
+        """SELECT m.has_solar,
+                  round(regr_slope(md.kwh, w.avg_temp_c), 6) AS slope,
+                  round(regr_intercept(md.kwh, w.avg_temp_c), 6) AS intercept,
+                  round(regr_r2(md.kwh, w.avg_temp_c), 6) AS r2,
+                  CAST(regr_count(md.kwh, w.avg_temp_c) AS BIGINT) AS n
+           FROM meter_day md JOIN weather_daily w ON md.date_key = w.date_key
+           JOIN meters m ON md.meter_id = m.meter_id
+           GROUP BY m.has_solar""",
+    ),
+    "fault_tree": with_ctes(
+        [READINGS, LATEST, CUSTOMERS, METERS],
+        """SELECT quality, meter_model, month, count(*) AS faults,
+                  CAST(GROUPING(quality, meter_model, month) AS INTEGER) AS level
+           FROM (SELECT coalesce(l.quality, 'NULL') AS quality,
+                        coalesce(m.meter_model, 'UNKNOWN') AS meter_model,
+                        strftime(l.reading_ts, '%Y-%m') AS month
+                 FROM latest l LEFT JOIN meters m ON l.meter_id = m.meter_id
+                 WHERE l.quality IS DISTINCT FROM 'GOOD')
+           GROUP BY ROLLUP (quality, meter_model, month)""",
+    ),
+    "usage_anomalies": with_ctes(
+        ANALYTICS,
+        """SELECT meter_id, date_key, kwh, round(m, 6) AS baseline_mean,
+                  round(CASE WHEN n >= 2 AND s > 0 THEN (kwh - m) / s END, 6) AS z,
+                  CASE WHEN n < 2 THEN false WHEN s = 0 THEN kwh <> m
+                       ELSE abs((kwh - m) / s) > 3.0 END AS is_anomaly
+           FROM (SELECT *,
+                   avg(kwh) OVER w AS m, stddev_samp(kwh) OVER w AS s, count(kwh) OVER w AS n
+                 FROM meter_day
+                 WINDOW w AS (PARTITION BY meter_id ORDER BY CAST(date_key AS DATE)
+                              RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))""",
+    ),
+    "meter_profile": with_ctes(
+        [*ANALYTICS],
+        """SELECT r.*, d.avg_daily_kwh, d.min_daily_kwh, d.max_daily_kwh, d.days,
+                  round(r.faults / r.readings, 6) AS fault_share
+           FROM (SELECT meter_id, count(*) AS readings,
+                        CAST(sum(CASE WHEN quality IS DISTINCT FROM 'GOOD' THEN 1 ELSE 0 END) AS BIGINT) AS faults,
+                        round(coalesce(sum(interval_kwh), 0), 4) AS total_kwh,
+                        min(reading_ts) AS first_reading, max(reading_ts) AS last_reading
+                 FROM nulled GROUP BY meter_id) r
+           LEFT JOIN (SELECT meter_id, round(avg(kwh), 6) AS avg_daily_kwh, round(min(kwh), 4) AS min_daily_kwh,
+                             round(max(kwh), 4) AS max_daily_kwh, count(*) AS days
+                      FROM meter_day GROUP BY meter_id) d ON r.meter_id = d.meter_id""",
+    ),
+    "star_usage": with_ctes(
+        [*GOLD_CHAIN, CUSTOMERS, BOUNDS, CALENDAR, TARIFF_NAMES, STAR],
+        """SELECT r_name, tariff_name, is_weekend, round(sum(kwh), 4) AS kwh,
+                  round(sum(cost), 6) AS cost, count(DISTINCT meter_id) AS meters
+           FROM star GROUP BY 1, 2, 3""",
+    ),
+    "usage_by_dim": with_ctes(
+        [*GOLD_CHAIN, CUSTOMERS, BOUNDS, CALENDAR, TARIFF_NAMES, STAR],
+        "SELECT n_name, season, round(sum(cost), 6) AS cost FROM star GROUP BY 1, 2",
+    ),
+    "entitled_rows": with_ctes(
+        [*GOLD_CHAIN, CUSTOMERS],
+        """SELECT * FROM daily
+           WHERE meter_id IN (SELECT meter_id FROM customers WHERE c_mktsegment = 'BUILDING')""",
+    ),
+    "json_payload_roundtrip": with_ctes([READINGS, LATEST], "SELECT * FROM latest"),
+    "weather_payload_rows": with_ctes(
+        [WEATHER],
+        f"""SELECT weather_ts, temperature_2m, CAST(NULL AS DOUBLE) AS apparent_temperature,
+                   relative_humidity_2m, cloud_cover, CAST(NULL AS DOUBLE) AS wind_speed_10m,
+                   shortwave_radiation, latitude, longitude
+            FROM weather""",
+    ),
+    "csv_roundtrip": with_ctes([READINGS, LATEST], "SELECT * FROM latest"),
+    "partitioned_roundtrip": with_ctes(SILVER_CHAIN, "SELECT * FROM silver"),
+    "stream_ingest_latest": with_ctes([READINGS, LATEST], f"SELECT {READING_COLS} FROM latest"),
+})
