@@ -75,27 +75,31 @@ def tariff_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2_from_changes(tariff_changes(spark, sf_dir), end)
 
 
-def _hourly(ev: DataFrame, event_type: str, with_cloud: bool) -> DataFrame:
-    g = ev.filter(F.col("event_type") == event_type).groupBy(trunc_hour(F.col("ts")).alias("weather_ts"))
-    aggs = [
+def _hourly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly statistics of 'view' and 'click' events in one scan and one
+    aggregation; history and forecast are two filters over it (the shared
+    exchange is reused)."""
+    ev = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "click"))
+    g = ev.groupBy(trunc_hour(F.col("ts")).alias("weather_ts"), F.col("event_type"))
+    return g.agg(
         F.round(F.avg("value"), 6).alias("temperature_2m"),
         F.count(F.lit(1)).cast("double").alias("relative_humidity_2m"),
-    ]
-    if with_cloud:
-        aggs.append(F.min("value").alias("cloud_cover"))
-    aggs.append(F.max("value").alias("shortwave_radiation"))
-    return g.agg(*aggs).withColumn("latitude", F.lit(LAT)).withColumn("longitude", F.lit(LON))
+        F.min("value").alias("cloud_cover"),
+        F.max("value").alias("shortwave_radiation"),
+    ).withColumn("latitude", F.lit(LAT)).withColumn("longitude", F.lit(LON))
 
 
 def weather_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly 'view' statistics as weather history."""
-    return _hourly(table(spark, sf_dir, "events"), "view", with_cloud=True)
+    h = _hourly_stats(spark, sf_dir)
+    return h.filter(F.col("event_type") == "view").drop("event_type")
 
 
 def weather_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly 'click' statistics as a forecast frame (it has no cloud cover,
     so the union must fill the missing column)."""
-    return _hourly(table(spark, sf_dir, "events"), "click", with_cloud=False)
+    h = _hourly_stats(spark, sf_dir)
+    return h.filter(F.col("event_type") == "click").drop("event_type", "cloud_cover")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:

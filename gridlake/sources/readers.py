@@ -49,7 +49,13 @@ def payload_rows(payloads: DataFrame, lat="latitude", lon="longitude", col: str
     column ``col``) -> one row per hour: ``time`` renamed ``weather_ts``,
     the location attached from ``lat``/``lon`` columns (or constants)."""
     h = F.col(f"{col}.hourly")
-    zipped = F.arrays_zip(h["time"].alias("weather_ts"), *[h[v].alias(v) for v in HOURLY_VARS])
+    n = F.size(h["time"])
+    # A variable absent from the payload becomes NULLs (arrays_zip would
+    # otherwise return NULL for the whole payload).
+    filled = [
+        F.coalesce(h[v], F.array_repeat(F.lit(None).cast("double"), n)).alias(v) for v in HOURLY_VARS
+    ]
+    zipped = F.arrays_zip(h["time"].alias("weather_ts"), *filled)
     lat_c = F.col(lat) if isinstance(lat, str) else F.lit(float(lat))
     lon_c = F.col(lon) if isinstance(lon, str) else F.lit(float(lon))
     return payloads.select(lat_c.alias("_lat"), lon_c.alias("_lon"), F.inline(zipped)).select(

@@ -1,0 +1,134 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from gridlake import schemas
+from gridlake.operators.cleanse import fault_rows, null_sentinel, split_quarantine, trim_window
+from gridlake.operators.dedupe import dedupe_latest
+from gridlake.operators.joins import join_hourly, resolve_as_of
+from gridlake.plans.pipeline import reconcile_weather, type_instant
+from tests.conftest import rows
+
+T1 = dt.datetime(2025, 7, 2, 10, 0, 0)
+T2 = dt.datetime(2025, 7, 2, 11, 0, 0)
+
+
+def readings(spark, data):
+    return spark.createDataFrame(data, schemas.READINGS_BRONZE)
+
+
+def r(ts, kwh=1.0, q="GOOD", ing=T1, m="M1", v=230.0):
+    return (m, "C1", ts, kwh, v, q, ing)
+
+
+def silver_typed(spark, data):
+    return type_instant(readings(spark, data), "reading_ts")
+
+
+def test_dedupe_latest_across_offsets(spark):
+    # FIXTURES 1: one instant written with two offsets, latest ingest wins
+    df = silver_typed(spark, [r("2025-07-01T00:00:00+00:00", 1.0, ing=T1), r("2025-07-01T02:00:00+02:00", 9.0, ing=T2)])
+    out = dedupe_latest(df).collect()
+    assert len(out) == 1 and out[0]["interval_kwh"] == 9.0
+
+
+def test_dedupe_tie_is_deterministic(spark):
+    # FIXTURES 2
+    data = [r("2025-07-01T00:00:00Z", 1.0), r("2025-07-01T00:00:00Z", 9.0)]
+    picks = {dedupe_latest(silver_typed(spark, data)).first()["interval_kwh"] for _ in range(3)}
+    picks |= {dedupe_latest(silver_typed(spark, list(reversed(data)))).first()["interval_kwh"]}
+    assert len(picks) == 1
+
+
+def test_dedupe_null_ingest_last(spark):
+    # FIXTURES 3
+    df = silver_typed(spark, [r("2025-07-01T00:00:00Z", 1.0, ing=None), r("2025-07-01T00:00:00Z", 9.0, ing=T1)])
+    assert dedupe_latest(df).first()["interval_kwh"] == 9.0
+
+
+def test_dedupe_idempotent_and_unique(spark):
+    data = [r(f"2025-07-01T0{h}:00:00Z", float(h), ing=T1 if h % 2 else T2) for h in range(6)] * 3
+    once = dedupe_latest(silver_typed(spark, data))
+    twice = dedupe_latest(once)
+    assert rows(once) == rows(twice)
+    assert once.count() == once.select("meter_id", "reading_ts").distinct().count() == 6
+
+
+def test_sentinel_quarantine_and_faults(spark):
+    # FIXTURES 4, 5, 6
+    df = silver_typed(
+        spark,
+        [r("2025-07-01T00:00:00Z", 0.0, "MISSING", v=0.0), r("2025-07-01T00:15:00Z", 2.0, None),
+         r("garbage", 1.0), r("2025-07-01T00:30:00Z", 1.5)],
+    )
+    nulled = null_sentinel(dedupe_latest(df))
+    by_ts = {x["reading_ts"]: x for x in nulled.collect()}
+    missing = by_ts[dt.datetime(2025, 7, 1, 0, 0)]
+    assert missing["interval_kwh"] is None and missing["voltage"] == 0.0
+    assert by_ts[dt.datetime(2025, 7, 1, 0, 15)]["interval_kwh"] == 2.0
+    good, bad = split_quarantine(nulled)
+    reasons = sorted(x["reason"] for x in bad.collect())
+    assert reasons == ["BAD_TIMESTAMP", "MISSING", "NULL_QUALITY"]
+    assert good.count() == 1 and good.count() + bad.count() == nulled.count() == 4
+    assert fault_rows(nulled).count() == 2  # MISSING and the null label
+
+
+def test_trim_window(spark):
+    df = silver_typed(spark, [r("2025-06-28T23:45:00Z"), r("2025-06-29T00:00:00Z"), r("2026-06-29T23:45:00Z"), r("2026-06-30T00:00:00Z")])
+    assert trim_window(df, "2025-06-29", "2026-06-29").count() == 2
+
+
+HIST = [
+    (1, "M1", "standard", "2025-06-29", "2025-09-30", False),
+    (2, "M1", "economy7", "2025-10-01", "2026-06-29", True),
+    (3, "M2", "ev_special", "2025-06-29", "2026-06-29", True),
+]
+
+
+def test_as_of_boundaries(spark):
+    # FIXTURES 7, 8
+    hist = spark.createDataFrame(HIST, schemas.DIM_METER_TARIFF)
+    df = silver_typed(
+        spark,
+        [r("2025-09-30T23:59:59Z"), r("2025-10-01T00:00:00Z"), r("2026-06-29T23:45:00Z"), r("2026-06-30T00:00:00Z")],
+    )
+    got = rows(resolve_as_of(df, hist), "reading_ts", "tariff_code")
+    assert [g[1] for g in got] == ["standard", "economy7", "economy7", None]
+
+
+def test_as_of_open_ended(spark):
+    # FIXTURES 9
+    hist = spark.createDataFrame([(1, "M1", "green", "2025-06-29", None, True)], schemas.DIM_METER_TARIFF)
+    df = silver_typed(spark, [r("2030-01-01T00:00:00Z"), r("2025-06-28T23:00:00Z")])
+    got = rows(resolve_as_of(df, hist), "reading_ts", "tariff_code")
+    assert [g[1] for g in got] == [None, "green"]
+
+
+def _weather(spark, data):
+    return spark.createDataFrame(data, schemas.WEATHER)
+
+
+def w(ts, temp, lat=59.91, lon=10.75):
+    return (ts, temp, None, 80.0, 50.0, 3.0, 100.0, lat, lon)
+
+
+def test_weather_priority_and_missing_columns(spark):
+    # FIXTURES 15, 16
+    hist = _weather(spark, [w("2025-07-01T00:00", 5.0)])
+    fc = _weather(spark, [w("2025-07-01T00:00", 6.0), w("2025-07-01T01:00", 7.0)]).drop("cloud_cover")
+    out = rows(reconcile_weather(hist, fc), "weather_ts", "temperature_2m", "cloud_cover")
+    assert out == [(dt.datetime(2025, 7, 1, 0), 5.0, 50.0), (dt.datetime(2025, 7, 1, 1), 7.0, None)]
+
+
+def test_weather_join_fanout_and_location(spark):
+    # FIXTURES 17, 18
+    weather = reconcile_weather(
+        _weather(spark, [w("2025-07-01T00:00", 5.0), w("2025-07-01T00:00", 9.0, lat=60.39, lon=5.32)]),
+        _weather(spark, []),
+    )
+    df = silver_typed(spark, [r("2025-07-01T00:15:00Z"), r("2025-07-01T05:00:00Z")]).withColumn("latitude", F.lit(59.91))
+    hour_only = join_hourly(df, weather)
+    assert hour_only.count() == 3  # published behaviour: fans out per location
+    located = join_hourly(df, weather, keys=[("latitude", "latitude")])
+    got = rows(located, "reading_ts", "temperature_2m")
+    assert got == [(dt.datetime(2025, 7, 1, 0, 15), 5.0), (dt.datetime(2025, 7, 1, 5, 0), None)]
