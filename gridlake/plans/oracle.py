@@ -359,4 +359,12 @@ ORACLE.update({
     "csv_roundtrip": with_ctes([READINGS, LATEST], "SELECT * FROM latest"),
     "partitioned_roundtrip": with_ctes(SILVER_CHAIN, "SELECT * FROM silver"),
     "stream_ingest_latest": with_ctes([READINGS, LATEST], f"SELECT {READING_COLS} FROM latest"),
+    "jsonl_roundtrip": with_ctes([READINGS, LATEST], "SELECT * FROM latest"),
+    "bronze_load_counts": with_ctes(
+        [CHANGES],
+        """SELECT 'customers' AS table_name, count(*) AS row_count FROM customer
+           UNION ALL SELECT 'readings', count(*) FROM events
+           UNION ALL SELECT 'tariff_changes', count(*) FROM changes""",
+    ),
+    "pipeline_run": with_ctes(GOLD_CHAIN, "SELECT * FROM daily"),
 })

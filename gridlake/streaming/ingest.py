@@ -68,8 +68,14 @@ def upsert_latest_batch(
         .partitionBy("_batch_id", "reading_date")
         .parquet(bronze)
     )
-    touched = landed.select("reading_date").distinct()
-    history = spark.read.parquet(bronze).join(touched, "reading_date", "left_semi")
+    # The touched dates are partition metadata (a handful per micro-batch),
+    # read back from the batch just landed; listing them as literals lets the
+    # Bronze scan prune to those date partitions statically.
+    landed_now = spark.read.parquet(bronze).filter(F.col("_batch_id") == batch_id)
+    touched = [r[0] for r in landed_now.select("reading_date").distinct().collect()]
+    if not touched:
+        return
+    history = spark.read.parquet(bronze).filter(F.col("reading_date").isin(touched))
     latest = keep_first(
         history.drop("_batch_id"), list(keys), [F.col(c).desc_nulls_last() for c in order]
     )
