@@ -74,10 +74,12 @@ def elasticity(md: DataFrame, weather_daily: DataFrame, meters: DataFrame, group
     j = md.join(weather_daily.select("date_key", "avg_temp_c"), "date_key").join(
         meters.select("meter_id", group), "meter_id"
     )
+    # Fitted values are rounded to 4 dp: the regression is a ratio of
+    # covariance sums whose last bits depend on the summation order.
     return j.groupBy(group).agg(
-        F.round(F.regr_slope("kwh", "avg_temp_c"), 6).alias("slope"),
-        F.round(F.regr_intercept("kwh", "avg_temp_c"), 6).alias("intercept"),
-        F.round(F.regr_r2("kwh", "avg_temp_c"), 6).alias("r2"),
+        F.round(F.regr_slope("kwh", "avg_temp_c"), 4).alias("slope"),
+        F.round(F.regr_intercept("kwh", "avg_temp_c"), 4).alias("intercept"),
+        F.round(F.regr_r2("kwh", "avg_temp_c"), 4).alias("r2"),
         F.regr_count("kwh", "avg_temp_c").alias("n"),
     )
 

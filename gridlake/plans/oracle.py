@@ -289,9 +289,9 @@ ORACLE.update({
     "temp_elasticity": with_ctes(
         [*ANALYTICS, WEATHER_DAILY, CUSTOMERS, METERS],
         """SELECT m.has_solar,
-                  round(regr_slope(md.kwh, w.avg_temp_c), 6) AS slope,
-                  round(regr_intercept(md.kwh, w.avg_temp_c), 6) AS intercept,
-                  round(regr_r2(md.kwh, w.avg_temp_c), 6) AS r2,
+                  round(regr_slope(md.kwh, w.avg_temp_c), 4) AS slope,
+                  round(regr_intercept(md.kwh, w.avg_temp_c), 4) AS intercept,
+                  round(regr_r2(md.kwh, w.avg_temp_c), 4) AS r2,
                   CAST(regr_count(md.kwh, w.avg_temp_c) AS BIGINT) AS n
            FROM meter_day md JOIN weather_daily w ON md.date_key = w.date_key
            JOIN meters m ON md.meter_id = m.meter_id

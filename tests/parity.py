@@ -27,11 +27,14 @@ def duck_connect(sf_dir: str):
     return con
 
 
+STRICT = False
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
-        return float(f"{v:.9g}")
+        return v if STRICT else float(f"{v:.9g}")
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     if hasattr(v, "item"):
@@ -82,6 +85,9 @@ def main(argv):
     import __spark_entry__ as E
     from gridlake.session import local_session
 
+    global STRICT
+    if argv and argv[0] == "--strict":
+        STRICT, argv = True, argv[1:]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(E.queries())
     spark = local_session(8, 8)
