@@ -86,11 +86,23 @@ def main(argv):
     from gridlake.session import local_session
 
     global STRICT
-    if argv and argv[0] == "--strict":
-        STRICT, argv = True, argv[1:]
+    STRICT = "--strict" in argv
+    plain = "--plain" in argv
+    argv = [a for a in argv if a not in ("--plain", "--strict")]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(E.queries())
-    spark = local_session(8, 8)
+    if plain:
+        # the driver's own session: nothing of ours preset
+        from pyspark.sql import SparkSession
+
+        spark = (
+            SparkSession.builder.master("local[*]")
+            .config("spark.sql.shuffle.partitions", "8")
+            .config("spark.ui.enabled", "false")
+            .getOrCreate()
+        )
+    else:
+        spark = local_session(8, 8)
     con = duck_connect(sf_dir)
     qs, oracle = E.queries(), E.oracle_sql()
     bad = 0
