@@ -61,8 +61,9 @@ def upsert_latest_batch(
     landed = typed.withColumn("_batch_id", F.lit(batch_id).cast("long")).withColumn(
         "reading_date", F.coalesce(F.to_date("reading_ts").cast("string"), F.lit("unparsed"))
     )
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
-        landed.repartition("reading_date")
+        landed.repartitionByRange(n, "reading_date", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("_batch_id", "reading_date")
@@ -80,7 +81,8 @@ def upsert_latest_batch(
         history.drop("_batch_id"), list(keys), [F.col(c).desc_nulls_last() for c in order]
     )
     (
-        latest.repartition("reading_date")
+        latest.repartitionByRange(n, "reading_date", *keys)
+        .sortWithinPartitions("reading_date", *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("reading_date")
