@@ -10,6 +10,7 @@ from gridlake.functions.time import (  # noqa: F401
 )
 from gridlake.functions.scalar import (  # noqa: F401
     cost,
+    exact_mean,
     is_fault,
     is_good,
     null_when,

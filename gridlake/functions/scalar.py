@@ -36,6 +36,20 @@ def cost(kwh="interval_kwh", rate="unit_rate", scale: int = 6) -> Column:
     return F.round(_col(kwh) * _col(rate), scale)
 
 
+def exact_mean(c, decimals: int, window=None) -> Column:
+    """Mean of values carrying at most ``decimals`` decimal places, as
+    ``round(sum, decimals) / count``. The rounded sum is the exact decimal
+    total whatever order a distributed run adds in, so the mean is the same
+    double on every run and in any engine; rounding a mean afterwards could
+    land on a tie that engines break differently, so it is not rounded.
+    ``window`` makes it a window aggregate. NULL when no value is present."""
+    c = _col(c)
+    s, n = F.sum(c), F.count(c)
+    if window is not None:
+        s, n = s.over(window), n.over(window)
+    return F.try_divide(F.round(s, decimals), n.cast("double"))
+
+
 def season_of(month) -> Column:
     """Season name of a month number (map lookup)."""
     m = F.create_map(*[F.lit(x) for x in chain.from_iterable(sorted(SEASONS.items()))])

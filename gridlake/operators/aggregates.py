@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.fixed import LOCAL_ZONE
-from gridlake.functions.scalar import cost
+from gridlake.functions.scalar import cost, exact_mean
 from gridlake.functions.time import date_key
 from gridlake.operators.joins import rate_join
 
@@ -54,8 +54,9 @@ def cost_fact(
     return out.select(*FACT_COLUMNS)
 
 
-def daily_usage(fact: DataFrame) -> DataFrame:
-    """A1: per (meter_id, date_key, tariff_code): kWh, cost, mean voltage."""
+def daily_usage(fact: DataFrame, voltage_decimals: int = 1) -> DataFrame:
+    """A1: per (meter_id, date_key, tariff_code): kWh, cost, mean voltage
+    (voltage carries ``voltage_decimals`` places; see ``exact_mean``)."""
     keys = ["meter_id", "date_key", "tariff_code"]
     return (
         fact.filter(_not_null(*keys))
@@ -63,22 +64,33 @@ def daily_usage(fact: DataFrame) -> DataFrame:
         .agg(
             F.round(F.coalesce(F.sum("interval_kwh"), F.lit(0.0)), 4).alias("kwh"),
             F.round(F.coalesce(F.sum("cost"), F.lit(0.0)), 6).alias("cost"),
-            F.round(F.avg("voltage"), 6).alias("avg_voltage"),
+            exact_mean("voltage", voltage_decimals).alias("avg_voltage"),
         )
     )
 
 
-def daily_weather(weather: DataFrame, ts: str = "weather_ts") -> DataFrame:
-    """A2: per UTC date: mean/min/max temperature, mean cloud, mean radiation."""
+def daily_weather(
+    weather: DataFrame, ts: str = "weather_ts", decimals: dict[str, int] | None = None
+) -> DataFrame:
+    """A2: per UTC date: mean/min/max temperature, mean cloud, mean radiation.
+
+    ``decimals`` gives the decimal places of a variable when known (its mean
+    is then exact, see ``exact_mean``); others are rounded to 6 dp. Min and
+    max are input values and are returned as they are."""
+    decimals = decimals or {}
+
+    def mean(c):
+        return exact_mean(c, decimals[c]) if c in decimals else F.round(F.avg(c), 6)
+
     return (
         weather.withColumn("date_key", date_key(F.col(ts)))
         .filter(F.col("date_key").isNotNull())
         .groupBy("date_key")
         .agg(
-            F.round(F.avg("temperature_2m"), 6).alias("avg_temp_c"),
-            F.round(F.min("temperature_2m"), 6).alias("min_temp_c"),
-            F.round(F.max("temperature_2m"), 6).alias("max_temp_c"),
-            F.round(F.avg("cloud_cover"), 6).alias("avg_cloud_pct"),
-            F.round(F.avg("shortwave_radiation"), 6).alias("avg_radiation"),
+            mean("temperature_2m").alias("avg_temp_c"),
+            F.min("temperature_2m").alias("min_temp_c"),
+            F.max("temperature_2m").alias("max_temp_c"),
+            mean("cloud_cover").alias("avg_cloud_pct"),
+            mean("shortwave_radiation").alias("avg_radiation"),
         )
     )

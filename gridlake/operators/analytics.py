@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.functions.scalar import is_fault
+from gridlake.functions.scalar import exact_mean, is_fault
 from gridlake.functions.time import day_number
 
 
@@ -102,9 +102,10 @@ def fault_tree(readings: DataFrame, meters: DataFrame, ts: str = "reading_ts") -
 def anomalies(md: DataFrame, days: int = 7, k: float = 3.0, value: str = "kwh") -> DataFrame:
     """Z-score of a meter's day against its preceding ``days`` calendar
     days (current day excluded); fewer than two prior days -> NULL z, not
-    flagged; a zero std with a different value is flagged."""
+    flagged; a zero std with a different value is flagged. Daily kWh carries
+    4 decimal places, so the baseline mean is exact (``exact_mean``)."""
     w = Window.partitionBy("meter_id").orderBy(day_number("date_key")).rangeBetween(-days, -1)
-    mean = F.avg(value).over(w)
+    mean = exact_mean(value, 4, window=w)
     std = F.stddev_samp(value).over(w)
     n = F.count(value).over(w)
     out = md.select("meter_id", "date_key", value, mean.alias("_m"), std.alias("_s"), n.alias("_n"))
@@ -118,7 +119,7 @@ def anomalies(md: DataFrame, days: int = 7, k: float = 3.0, value: str = "kwh")
         "meter_id",
         "date_key",
         value,
-        F.round(F.col("_m"), 6).alias("baseline_mean"),
+        F.col("_m").alias("baseline_mean"),
         F.round(z, 6).alias("z"),
         flag.alias("is_anomaly"),
     )
@@ -135,7 +136,7 @@ def meter_profile(silver: DataFrame, md: DataFrame) -> DataFrame:
         F.max("reading_ts").alias("last_reading"),
     )
     d = md.groupBy("meter_id").agg(
-        F.round(F.avg("kwh"), 6).alias("avg_daily_kwh"),
+        exact_mean("kwh", 4).alias("avg_daily_kwh"),
         F.round(F.min("kwh"), 4).alias("min_daily_kwh"),
         F.round(F.max("kwh"), 4).alias("max_daily_kwh"),
         F.count(F.lit(1)).alias("days"),

@@ -43,13 +43,14 @@ def scd2_from_changes(
     key: str = "meter_id",
     change_date: str = "change_date",
     value: str = "tariff_code",
-    sk: str = "meter_tariff_sk",
+    sk: str | None = "meter_tariff_sk",
 ) -> DataFrame:
     """Contiguous SCD2 intervals from a change log (one row per key and
     change date). ``valid_to`` is the day before the next change (inclusive),
     the last interval ends at ``window_end`` and is the current one. The
     surrogate key numbers rows in (key, valid_from) order, computed without a
-    single-partition window."""
+    single-partition window; ``sk=None`` leaves it out (an as-of join needs
+    only the validity columns, so it need not pay for the global numbering)."""
     w = Window.partitionBy(key).orderBy(change_date)
     nxt = F.lead(F.to_date(F.col(change_date))).over(w)
     hist = changes.select(
@@ -59,6 +60,8 @@ def scd2_from_changes(
         F.coalesce(F.date_sub(nxt, 1), _date(window_end)).cast("string").alias("valid_to"),
         nxt.isNull().alias("is_current"),
     )
+    if sk is None:
+        return hist.select(key, value, "valid_from", "valid_to", "is_current")
     seq = with_sequence(hist, [key, "valid_from"], out=sk)
     return seq.select(sk, key, value, "valid_from", "valid_to", "is_current")
 

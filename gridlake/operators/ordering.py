@@ -5,12 +5,14 @@
 one in the global order" in a distributed way:
 
 1. range-partition the rows on the order (so partition i holds only keys
-   below partition i+1; a hot key range is split by the sampler) and
-   checkpoint that into the shared checkpoint folder. The two consumers
-   below (running sums and per-partition totals) must see the *same*
-   partition of every row; two independent range exchanges could sample
-   different bounds (e.g. after AQE coalesced their inputs differently),
-   so both read the one materialised copy instead;
+   below partition i+1; a hot key range is split by the sampler), tag each
+   row with its partition id and persist that. The two consumers below
+   (running sums and per-partition totals) must see the *same* partition of
+   every row; two independent range exchanges could sample different bounds
+   (e.g. after AQE coalesced their inputs differently), so both read the one
+   cached relation, built from a single shuffle whose bounds are fixed. A
+   lost cached block is recomputed from that same shuffle dependency, so
+   the partition ids stay the same after an executor loss;
 2. running sum inside each partition (a window partitioned by the range
    partition id);
 3. per-partition totals -> prefix over partitions. That table has one row
@@ -28,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.session import cut_lineage
+from pyspark import StorageLevel
 
 _PID = "_gl_pid"
 _W = "_gl_w"
@@ -48,10 +50,11 @@ def with_offset(
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*groups, *order]
-    ranged = cut_lineage(
+    ranged = (
         df.repartitionByRange(n, *keys)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_W, F.col(weight) if weight else F.lit(1).cast("long"))
+        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     before_in_part = Window.partitionBy(_PID, *groups).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, -1

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from gridlake.functions.scalar import exact_mean
 from gridlake.functions.time import local_hour
 from gridlake.operators.ordering import with_offset
 
@@ -26,14 +27,19 @@ def value_frequencies(df: DataFrame, col: str = "quality") -> DataFrame:
 
 
 def load_curve(
-    df: DataFrame, ts: str = "reading_ts", value: str = "interval_kwh", zone: str = "UTC"
+    df: DataFrame,
+    ts: str = "reading_ts",
+    value: str = "interval_kwh",
+    zone: str = "UTC",
+    decimals: int = 4,
 ) -> DataFrame:
-    """A4 + P6: mean ``value`` per hour of day (UTC by default)."""
+    """A4 + P6: mean ``value`` (``decimals`` places) per hour of day (UTC by
+    default)."""
     hour = F.hour(F.col(ts)) if zone == "UTC" else local_hour(F.col(ts), zone)
     return (
         df.filter(F.col(ts).isNotNull())
         .groupBy(hour.alias("hour"))
-        .agg(F.round(F.avg(value), 6).alias(f"avg_{value}"))
+        .agg(exact_mean(value, decimals).alias(f"avg_{value}"))
         .orderBy("hour")
     )
 
@@ -53,11 +59,16 @@ def head_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 
 
 def profile(
-    df: DataFrame, cols: Sequence[str] | None = None, percentiles=PERCENTILES
+    df: DataFrame,
+    cols: Sequence[str] | None = None,
+    percentiles=PERCENTILES,
+    decimals: dict[str, int] | None = None,
 ) -> DataFrame:
     """One row per column: count, unique, top and freq (string columns),
     mean, sample std, min, exact percentiles (linear interpolation) and max
-    (numeric columns). Doubles rounded to 6 dp.
+    (numeric columns). Doubles rounded to 6 dp, except the mean of a column
+    whose decimal places are given in ``decimals`` (exact, see
+    ``exact_mean``).
 
     Percentiles are exact without gathering a column into one task: values
     are counted per distinct value (partial aggregation), ranked with a
@@ -75,11 +86,15 @@ def profile(
         )
         for c in cols
     ]
+    decimals = decimals or {}
     long = df.select(F.inline(F.array(*parts)))
     present = F.col("s").isNotNull() | F.col("d").isNotNull()
+    mean = F.round(F.avg("d"), 6)
+    for c, p in decimals.items():
+        mean = F.when(F.col("column") == c, exact_mean("d", p)).otherwise(mean)
     moments = long.groupBy("column").agg(
         F.count(F.when(present, F.lit(1))).alias("count"),
-        F.round(F.avg("d"), 6).alias("mean"),
+        mean.alias("mean"),
         F.round(F.stddev_samp("d"), 6).alias("std"),
         F.round(F.min("d"), 6).alias("min"),
         F.round(F.max("d"), 6).alias("max"),

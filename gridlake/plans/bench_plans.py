@@ -19,7 +19,7 @@ def lineitem_dedupe(spark: SparkSession, d: str) -> DataFrame:
 def lineitem_history(spark: SparkSession, d: str) -> DataFrame:
     li = dt.table(spark, d, "lineitem")
     end = li.select(F.max(F.to_date("l_shipdate"))).scalar()
-    return scd2_from_changes(dt.lineitem_tariff_changes(spark, d), end)
+    return scd2_from_changes(dt.lineitem_tariff_changes(spark, d), end, sk=None)
 
 
 def lineitem_daily_cost(spark: SparkSession, d: str) -> DataFrame:

@@ -14,17 +14,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.fixed import LOCATION
-from gridlake.functions.scalar import tariff_by_index
+from gridlake.functions.scalar import exact_mean, tariff_by_index
 from gridlake.functions.time import trunc_hour, trunc_minutes
 from gridlake.operators.dims import scd2_from_changes
 
 # Mapping parameters (ours, not published values).
 SUSPECT_ABOVE = 150.0  # a 'view' reading above this is SUSPECT_HIGH
+VALUE_DECIMALS = 2  # events.value carries 2 decimal places
 LAT, LON = LOCATION[3], LOCATION[4]
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table as a lazy scan. The scan (file listing and footer
+    schema) is resolved once per session and path and then reused, the way
+    an application defines its source tables once; no data is cached."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _TABLES[key] = df
+    return df
 
 
 def _quality(event_type, value):
@@ -53,10 +66,11 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def window_bounds(spark: SparkSession, sf_dir: str):
     """(first, last) UTC day of the feed as scalar subqueries."""
     ev = table(spark, sf_dir, "events")
-    return (
-        ev.select(F.min(F.to_date("ts"))).scalar(),
-        ev.select(F.max(F.to_date("ts"))).scalar(),
-    )
+    d = F.to_date("ts")
+    # One scalar subquery (one scan of one column) for both ends; Spark
+    # reuses it wherever either end appears in the plan.
+    b = ev.select(F.struct(F.min(d).alias("first"), F.max(d).alias("last"))).scalar()
+    return b["first"], b["last"]
 
 
 def tariff_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,10 +83,12 @@ def tariff_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_day.select("meter_id", "change_date", tariff_by_index(F.col("_eid")).alias("tariff_code"))
 
 
-def tariff_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SCD2 tariff history built from the change log."""
+def tariff_history(spark: SparkSession, sf_dir: str, with_key: bool = True) -> DataFrame:
+    """SCD2 tariff history built from the change log (``with_key=False``:
+    without the surrogate key, as the as-of join consumes it)."""
     _, end = window_bounds(spark, sf_dir)
-    return scd2_from_changes(tariff_changes(spark, sf_dir), end)
+    sk = "meter_tariff_sk" if with_key else None
+    return scd2_from_changes(tariff_changes(spark, sf_dir), end, sk=sk)
 
 
 def _hourly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,7 +98,7 @@ def _hourly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "click"))
     g = ev.groupBy(trunc_hour(F.col("ts")).alias("weather_ts"), F.col("event_type"))
     return g.agg(
-        F.round(F.avg("value"), 6).alias("temperature_2m"),
+        exact_mean("value", VALUE_DECIMALS).alias("temperature_2m"),
         F.count(F.lit(1)).cast("double").alias("relative_humidity_2m"),
         F.min("value").alias("cloud_cover"),
         F.max("value").alias("shortwave_radiation"),

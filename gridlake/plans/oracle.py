@@ -57,12 +57,12 @@ HIST = """hist AS (
     WINDOW w AS (PARTITION BY meter_id ORDER BY change_date)))"""
 
 WEATHER = """wh AS (
-  SELECT date_trunc('hour', ts) AS weather_ts, round(avg(value), 6) AS temperature_2m,
+  SELECT date_trunc('hour', ts) AS weather_ts, round(sum(value), 2) / NULLIF(count(value), 0) AS temperature_2m,
          CAST(count(*) AS DOUBLE) AS relative_humidity_2m, min(value) AS cloud_cover,
          max(value) AS shortwave_radiation, 59.91::DOUBLE AS latitude, 10.75::DOUBLE AS longitude
   FROM events WHERE event_type = 'view' GROUP BY 1),
 wf AS (
-  SELECT date_trunc('hour', ts) AS weather_ts, round(avg(value), 6) AS temperature_2m,
+  SELECT date_trunc('hour', ts) AS weather_ts, round(sum(value), 2) / NULLIF(count(value), 0) AS temperature_2m,
          CAST(count(*) AS DOUBLE) AS relative_humidity_2m,
          max(value) AS shortwave_radiation, 59.91::DOUBLE AS latitude, 10.75::DOUBLE AS longitude
   FROM events WHERE event_type = 'click' GROUP BY 1),
@@ -96,7 +96,7 @@ DAILY = """daily AS (
   SELECT meter_id, date_key, tariff_code,
          round(coalesce(sum(interval_kwh), 0), 4) AS kwh,
          round(coalesce(sum(cost), 0), 6) AS cost,
-         round(avg(voltage), 6) AS avg_voltage
+         round(sum(voltage), 1) / NULLIF(count(voltage), 0) AS avg_voltage
   FROM fact
   WHERE meter_id IS NOT NULL AND date_key IS NOT NULL AND tariff_code IS NOT NULL
   GROUP BY meter_id, date_key, tariff_code)"""
@@ -130,10 +130,10 @@ METERS = """meters AS (
 WEATHER_DAILY = """weather_daily AS (
   SELECT strftime(weather_ts, '%Y-%m-%d') AS date_key,
          round(avg(temperature_2m), 6) AS avg_temp_c,
-         round(min(temperature_2m), 6) AS min_temp_c,
-         round(max(temperature_2m), 6) AS max_temp_c,
-         round(avg(cloud_cover), 6) AS avg_cloud_pct,
-         round(avg(shortwave_radiation), 6) AS avg_radiation
+         min(temperature_2m) AS min_temp_c,
+         max(temperature_2m) AS max_temp_c,
+         round(sum(cloud_cover), 2) / NULLIF(count(cloud_cover), 0) AS avg_cloud_pct,
+         round(sum(shortwave_radiation), 2) / NULLIF(count(shortwave_radiation), 0) AS avg_radiation
   FROM weather GROUP BY 1)"""
 
 METER_DAY = """meter_day AS (
@@ -215,7 +215,7 @@ ORACLE.update({
     "load_curve": with_ctes(
         [READINGS, LATEST],
         """SELECT CAST(extract(hour FROM reading_ts) AS INTEGER) AS hour,
-                  round(avg(interval_kwh), 6) AS avg_interval_kwh
+                  round(sum(interval_kwh), 4) / NULLIF(count(interval_kwh), 0) AS avg_interval_kwh
            FROM latest WHERE reading_ts IS NOT NULL GROUP BY 1""",
     ),
     "table_counts": with_ctes(
@@ -230,7 +230,8 @@ ORACLE.update({
         """SELECT 'interval_kwh' AS "column", count(interval_kwh) AS count,
                   count(DISTINCT interval_kwh) AS unique, CAST(NULL AS VARCHAR) AS top,
                   CAST(NULL AS BIGINT) AS freq,
-                  round(avg(interval_kwh), 6) AS mean, round(stddev_samp(interval_kwh), 6) AS std,
+                  round(sum(interval_kwh), 4) / NULLIF(count(interval_kwh), 0) AS mean,
+                  round(stddev_samp(interval_kwh), 6) AS std,
                   round(min(interval_kwh), 6) AS min,
                   round(quantile_cont(interval_kwh, 0.25), 6) AS p25,
                   round(quantile_cont(interval_kwh, 0.5), 6) AS p50,
@@ -239,7 +240,8 @@ ORACLE.update({
            FROM nulled
            UNION ALL
            SELECT 'voltage', count(voltage), count(DISTINCT voltage), NULL, NULL,
-                  round(avg(voltage), 6), round(stddev_samp(voltage), 6), round(min(voltage), 6),
+                  round(sum(voltage), 1) / NULLIF(count(voltage), 0), round(stddev_samp(voltage), 6),
+                  round(min(voltage), 6),
                   round(quantile_cont(voltage, 0.25), 6), round(quantile_cont(voltage, 0.5), 6),
                   round(quantile_cont(voltage, 0.75), 6), round(max(voltage), 6)
            FROM nulled
@@ -310,12 +312,13 @@ ORACLE.update({
     ),
     "usage_anomalies": with_ctes(
         ANALYTICS,
-        """SELECT meter_id, date_key, kwh, round(m, 6) AS baseline_mean,
+        """SELECT meter_id, date_key, kwh, m AS baseline_mean,
                   round(CASE WHEN n >= 2 AND s > 0 THEN (kwh - m) / s END, 6) AS z,
                   CASE WHEN n < 2 THEN false WHEN s = 0 THEN kwh <> m
                        ELSE abs((kwh - m) / s) > 3.0 END AS is_anomaly
            FROM (SELECT *,
-                   avg(kwh) OVER w AS m, stddev_samp(kwh) OVER w AS s, count(kwh) OVER w AS n
+                   round(sum(kwh) OVER w, 4) / NULLIF(count(kwh) OVER w, 0) AS m,
+                   stddev_samp(kwh) OVER w AS s, count(kwh) OVER w AS n
                  FROM meter_day
                  WINDOW w AS (PARTITION BY meter_id ORDER BY CAST(date_key AS DATE)
                               RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))""",
@@ -329,7 +332,7 @@ ORACLE.update({
                         round(coalesce(sum(interval_kwh), 0), 4) AS total_kwh,
                         min(reading_ts) AS first_reading, max(reading_ts) AS last_reading
                  FROM nulled GROUP BY meter_id) r
-           LEFT JOIN (SELECT meter_id, round(avg(kwh), 6) AS avg_daily_kwh, round(min(kwh), 4) AS min_daily_kwh,
+           LEFT JOIN (SELECT meter_id, round(sum(kwh), 4) / NULLIF(count(kwh), 0) AS avg_daily_kwh, round(min(kwh), 4) AS min_daily_kwh,
                              round(max(kwh), 4) AS max_daily_kwh, count(*) AS days
                       FROM meter_day GROUP BY meter_id) d ON r.meter_id = d.meter_id""",
     ),

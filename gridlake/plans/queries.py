@@ -59,7 +59,8 @@ def nulled(spark: SparkSession, d: str) -> DataFrame:
 
 def silver(spark: SparkSession, d: str, quarantine: bool = True):
     return build_silver(
-        dt.readings(spark, d), dt.tariff_history(spark, d), weather(spark, d), quarantine=quarantine
+        dt.readings(spark, d), dt.tariff_history(spark, d, with_key=False), weather(spark, d),
+        quarantine=quarantine,
     )
 
 
@@ -105,7 +106,7 @@ def q_weather_reconciled(spark, d):
 
 def q_readings_with_tariff(spark, d):
     good, _ = split_quarantine(nulled(spark, d))
-    return resolve_as_of(good, dt.tariff_history(spark, d))
+    return resolve_as_of(good, dt.tariff_history(spark, d, with_key=False))
 
 
 def q_readings_with_weather(spark, d):
@@ -129,8 +130,11 @@ def q_daily_cost(spark, d):
     return gold(spark, d).daily
 
 
+WEATHER_DECIMALS = {"cloud_cover": dt.VALUE_DECIMALS, "shortwave_radiation": dt.VALUE_DECIMALS}
+
+
 def q_weather_daily(spark, d):
-    return daily_weather(weather(spark, d))
+    return daily_weather(weather(spark, d), decimals=WEATHER_DECIMALS)
 
 
 # -- dimensions ------------------------------------------------------------------
@@ -179,7 +183,9 @@ def q_head_rows(spark, d):
 
 
 def q_table_profile(spark, d):
-    return qa.profile(nulled(spark, d), ["interval_kwh", "voltage", "quality"])
+    return qa.profile(
+        nulled(spark, d), ["interval_kwh", "voltage", "quality"], decimals={"interval_kwh": 4, "voltage": 1}
+    )
 
 
 # -- analytics -------------------------------------------------------------------------
@@ -202,7 +208,8 @@ def q_tariff_what_if(spark, d):
 
 
 def q_temp_elasticity(spark, d):
-    return an.elasticity(meter_day(spark, d), daily_weather(weather(spark, d)), meters(spark, d))
+    wd = daily_weather(weather(spark, d), decimals=WEATHER_DECIMALS)
+    return an.elasticity(meter_day(spark, d), wd, meters(spark, d))
 
 
 def q_fault_tree(spark, d):
@@ -339,7 +346,7 @@ def q_pipeline_run(spark, d):
     root = _scratch(spark, "lake")
     paths = run_pipeline(
         dt.readings(spark, d),
-        dt.tariff_history(spark, d),
+        dt.tariff_history(spark, d, with_key=False),
         dt.weather_history(spark, d),
         dt.weather_forecast(spark, d),
         dim_tariff_rate(spark),
