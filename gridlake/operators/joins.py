@@ -35,6 +35,8 @@ def resolve_as_of(
     valid_to: str = "valid_to",
     take: Sequence[str] = ("tariff_code",),
     inclusive_to: bool = True,
+    horizon=None,
+    bucket: str = "month",
 ) -> DataFrame:
     """Left as-of join of each reading to the history row valid at its
     instant: ``valid_from <= ts < valid_to (+1 day when inclusive)``.
@@ -43,28 +45,59 @@ def resolve_as_of(
     ``valid_to`` is open-ended. Unmatched readings keep NULL ``take`` columns.
     Overlapping history rows would duplicate a reading (as in the published
     code); ``scd2_from_changes`` never produces overlaps.
+
+    With a ``horizon`` (a date or date Column; the end of the analysis
+    window) the join key is (meter, time bucket) instead of the meter alone:
+    each history row is expanded over the time buckets (``bucket``: month or day)
+    its interval covers, clipped at the horizon's bucket, and a reading
+    carries its own bucket clipped the same way, so the result is exactly
+    the same for readings on either side of the horizon. A hot meter's
+    readings are then spread over one join key per bucket, and because the
+    key is new on both sides both get a fresh shuffle, so AQE's skew-join
+    handling can split a still-oversized (meter, bucket) partition further.
+    The history grows by the buckets each interval spans.
     """
     end = F.coalesce(F.to_date(F.col(valid_to)), F.lit(OPEN_END).cast("date"))
     if inclusive_to:
         end = F.date_add(end, 1)
-    hist = history.select(
+    start = F.to_date(F.col(valid_from))
+    cols = [
         F.col(key).alias("_h_key"),
-        _as_ntz_midnight(F.col(valid_from)).alias("_h_from"),
+        start.cast("timestamp_ntz").alias("_h_from"),
         end.cast("timestamp_ntz").alias("_h_to"),
         *[F.col(c).alias(f"_h_{c}") for c in take],
-    )
+    ]
     cond = (
         (F.col(key) == F.col("_h_key"))
         & (F.col(ts) >= F.col("_h_from"))
         & (F.col(ts) < F.col("_h_to"))
     )
+    if horizon is not None:
+        if bucket not in ("month", "day"):
+            raise ValueError("bucket must be 'month' or 'day'")
+        hd = F.lit(horizon).cast("date") if isinstance(horizon, str) else F.to_date(horizon)
+        h = _bucket_of(hd, bucket)
+        first = F.least(_bucket_of(start, bucket), h)
+        last = F.greatest(F.least(_bucket_of(F.date_sub(end, 1), bucket), h), first)
+        step = F.expr(f"INTERVAL 1 {bucket.upper()}")
+        cols.append(F.explode(F.sequence(first, last, step)).alias("_h_bucket"))
+        # The reading's bucket is a projected column (not an expression in
+        # the join condition), so a horizon given as a scalar subquery is
+        # evaluated in a projection, never inside a shuffle's partitioning.
+        readings = readings.withColumn("_r_bucket", F.least(_bucket_of(F.to_date(F.col(ts)), bucket), h))
+        cond = cond & (F.col("_r_bucket") == F.col("_h_bucket"))
+    hist = history.select(*cols)
     joined = readings.join(hist, cond, "left")
     return joined.select(
-        *[F.col(c) for c in readings.columns if c not in take],
+        *[F.col(c) for c in readings.columns if c not in take and c != "_r_bucket"],
         *[F.col(f"_h_{c}").alias(c) for c in take],
     )
 
 
+def _bucket_of(d, bucket: str):
+    return F.trunc(d, "month") if bucket == "month" else d
+
+
 def join_hourly(
     readings: DataFrame,
     weather: DataFrame,

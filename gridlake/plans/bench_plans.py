@@ -16,13 +16,18 @@ def lineitem_dedupe(spark: SparkSession, d: str) -> DataFrame:
     return dedupe_latest(dt.lineitem_readings(spark, d))
 
 
-def lineitem_history(spark: SparkSession, d: str) -> DataFrame:
+def lineitem_end(spark: SparkSession, d: str):
     li = dt.table(spark, d, "lineitem")
-    end = li.select(F.max(F.to_date("l_shipdate"))).scalar()
-    return scd2_from_changes(dt.lineitem_tariff_changes(spark, d), end, sk=None)
+    return li.select(F.max(F.to_date("l_shipdate"))).scalar()
+
+
+def lineitem_history(spark: SparkSession, d: str) -> DataFrame:
+    return scd2_from_changes(dt.lineitem_tariff_changes(spark, d), lineitem_end(spark, d), sk=None)
 
 
 def lineitem_daily_cost(spark: SparkSession, d: str) -> DataFrame:
     weather = reconcile_weather(dt.weather_history(spark, d), dt.weather_forecast(spark, d))
-    silver = build_silver(dt.lineitem_readings(spark, d), lineitem_history(spark, d), weather)
+    silver = build_silver(
+        dt.lineitem_readings(spark, d), lineitem_history(spark, d), weather, horizon=lineitem_end(spark, d)
+    )
     return build_gold(silver.enriched, dim_tariff_rate(spark)).daily

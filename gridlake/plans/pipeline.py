@@ -48,6 +48,7 @@ def build_silver(
     quarantine: bool = True,
     weather_keys=(),
     order_col: str = "_ingested_at",
+    horizon=None,
 ) -> Silver:
     """Silver readings with ``tariff_code``, ``temperature_2m``,
     ``relative_humidity_2m`` and ``hour_ts``.
@@ -55,7 +56,9 @@ def build_silver(
     ``quarantine=True`` (default) removes rows with an unparsed instant or a
     non-GOOD label into ``Silver.quarantine``; ``False`` is the published
     code path (sentinel nulled, row kept; an unparsed instant is still kept
-    out of the dedupe).
+    out of the dedupe). ``horizon`` (the analysis window end) turns on the
+    time-bucketed as-of join, which splits a hot meter (see
+    ``resolve_as_of``).
     """
     typed = type_instant(readings, "reading_ts")
     latest = dedupe_latest(typed, ("meter_id", "reading_ts"), order_col)
@@ -64,7 +67,7 @@ def build_silver(
         good, bad = split_quarantine(nulled)
     else:
         good, bad = nulled, None
-    tariffed = resolve_as_of(good, tariff_history)
+    tariffed = resolve_as_of(good, tariff_history, horizon=horizon)
     enriched = join_hourly(tariffed, weather, keys=weather_keys)
     return Silver(enriched.withColumn("hour_ts", trunc_hour(F.col("reading_ts"))), bad)
 
@@ -124,6 +127,7 @@ def run_pipeline(
     quarantine: bool = True,
     zone: str = LOCAL_ZONE,
     date_zone: str | None = None,
+    horizon=None,
 ) -> PipelineOutputs:
     """E1 + E2 with their sinks: Silver (and quarantine) written once,
     partitioned by reading date and sorted by meter within files; Gold read
@@ -134,7 +138,7 @@ def run_pipeline(
     from gridlake.sources.sinks import write_table
 
     weather = reconcile_weather(weather_history, weather_forecast)
-    s = build_silver(readings, tariff_history, weather, quarantine=quarantine)
+    s = build_silver(readings, tariff_history, weather, quarantine=quarantine, horizon=horizon)
     paths = PipelineOutputs(
         silver=f"{out_dir}/meter_readings_silver",
         quarantine=f"{out_dir}/meter_readings_quarantine" if quarantine else None,

@@ -58,9 +58,10 @@ def nulled(spark: SparkSession, d: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, d: str, quarantine: bool = True):
+    _, last = dt.window_bounds(spark, d)
     return build_silver(
         dt.readings(spark, d), dt.tariff_history(spark, d, with_key=False), weather(spark, d),
-        quarantine=quarantine,
+        quarantine=quarantine, horizon=last,
     )
 
 
@@ -106,7 +107,8 @@ def q_weather_reconciled(spark, d):
 
 def q_readings_with_tariff(spark, d):
     good, _ = split_quarantine(nulled(spark, d))
-    return resolve_as_of(good, dt.tariff_history(spark, d, with_key=False))
+    _, last = dt.window_bounds(spark, d)
+    return resolve_as_of(good, dt.tariff_history(spark, d, with_key=False), horizon=last)
 
 
 def q_readings_with_weather(spark, d):
@@ -344,6 +346,7 @@ def q_pipeline_run(spark, d):
     weather daily written to the shared folder); returns the daily table as
     read back from the lake."""
     root = _scratch(spark, "lake")
+    _, last = dt.window_bounds(spark, d)
     paths = run_pipeline(
         dt.readings(spark, d),
         dt.tariff_history(spark, d, with_key=False),
@@ -351,6 +354,7 @@ def q_pipeline_run(spark, d):
         dt.weather_forecast(spark, d),
         dim_tariff_rate(spark),
         root,
+        horizon=last,
     )
     return spark.read.parquet(paths.daily)
 

@@ -5,7 +5,7 @@ from tests.conftest import SF_SMALL
 
 
 def _plan(df):
-    df.write.format("noop").mode("overwrite").save()
+    df.collect()  # executes df's own query execution: the plan string is AQE's final plan
     return df._jdf.queryExecution().executedPlan().toString()
 
 

@@ -132,3 +132,25 @@ def test_weather_join_fanout_and_location(spark):
     located = join_hourly(df, weather, keys=[("latitude", "latitude")])
     got = rows(located, "reading_ts", "temperature_2m")
     assert got == [(dt.datetime(2025, 7, 1, 0, 15), 5.0), (dt.datetime(2025, 7, 1, 5, 0), None)]
+
+
+def test_as_of_bucketed_equals_plain(spark):
+    # same answers with the (meter, month) bucketed join, including readings
+    # past the horizon, before any history, and an open-ended interval
+    hist = spark.createDataFrame(
+        HIST + [(4, "M3", "green", "2025-08-15", None, True), (5, "M4", "standard", "2026-09-01", None, True)],
+        schemas.DIM_METER_TARIFF,
+    )
+    df = silver_typed(
+        spark,
+        [r("2025-09-30T23:59:59Z"), r("2025-10-01T00:00:00Z"), r("2026-06-29T23:45:00Z"),
+         r("2026-06-30T00:00:00Z"), r("2025-06-01T00:00:00Z"),
+         r("2025-08-14T23:00:00Z", m="M3"), r("2025-08-15T00:00:00Z", m="M3"), r("2027-02-01T00:00:00Z", m="M3"),
+         r("2026-10-01T00:00:00Z", m="M4"), r("2026-08-31T00:00:00Z", m="M4")],
+    )
+    plain = rows(resolve_as_of(df, hist), "meter_id", "reading_ts", "tariff_code")
+    for bucket in ("month", "day"):
+        got = rows(resolve_as_of(df, hist, horizon="2026-06-29", bucket=bucket), "meter_id", "reading_ts", "tariff_code")
+        assert got == plain
+    assert [p[2] for p in plain if p[0] == "M3"] == [None, "green", "green"]
+    assert [p[2] for p in plain if p[0] == "M4"] == [None, "standard"]
