@@ -27,13 +27,40 @@ from gridlake.functions.time import to_utc_ntz
 from gridlake.operators.dedupe import keep_first
 
 
-def read_events(spark: SparkSession, path: str, schema: StructType, fmt: str = "json", files_per_trigger: int | None = None) -> DataFrame:
-    """T2 source: a file (or, with its connector, Kafka) stream of reading
-    events with a declared schema, stamped with ``_ingested_at``."""
-    r = spark.readStream.format(fmt).schema(schema)
+def read_events(
+    spark: SparkSession,
+    path: str | None,
+    schema: StructType,
+    fmt: str = "json",
+    files_per_trigger: int | None = None,
+    options: dict[str, str] | None = None,
+) -> DataFrame:
+    """T2 source: a stream of reading events with a declared schema, stamped
+    with ``_ingested_at``. ``fmt='json'`` (or any file format) reads files
+    under ``path``; ``fmt='kafka'`` reads a topic given in ``options``
+    (``kafka.bootstrap.servers``, ``subscribe``; needs the connector on the
+    classpath) and decodes each message's JSON ``value``."""
+    r = spark.readStream.format(fmt)
+    for k, v in (options or {}).items():
+        r = r.option(k, v)
+    if fmt == "kafka":
+        return stamp(decode_events(r.load(), schema))
+    r = r.schema(schema)
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", files_per_trigger)
-    return r.load(path).withColumn("_ingested_at", F.current_timestamp())
+    return stamp(r.load(path))
+
+
+def decode_events(raw: DataFrame, schema: StructType, value: str = "value") -> DataFrame:
+    """Message-bus rows (binary or string ``value`` holding one JSON event)
+    -> typed event columns. A message that is not valid JSON for the schema
+    gives a row of NULLs (it is quarantined downstream, never dropped)."""
+    return raw.select(F.from_json(F.col(value).cast("string"), schema).alias("_e")).select("_e.*")
+
+
+def stamp(events: DataFrame) -> DataFrame:
+    """Add the ingest time that orders re-deliveries (latest wins)."""
+    return events.withColumn("_ingested_at", F.current_timestamp())
 
 
 def append_bronze(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:

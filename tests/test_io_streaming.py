@@ -116,3 +116,27 @@ def test_payload_rows_from_column(spark):
         "wind_speed_10m: array<double>, shortwave_radiation: array<double>>>",
     )
     assert payload_rows(df, 1.0, 2.0).first()["longitude"] == 2.0
+
+
+def test_decode_bus_messages(spark):
+    from gridlake.streaming.ingest import decode_events
+
+    msgs = [(b"M1", json.dumps(_rec("2025-07-01T00:00:00Z", 1.5)).encode()), (b"M2", b"not json")]
+    raw = spark.createDataFrame(msgs, "key binary, value binary")
+    got = decode_events(raw, schemas.READING_EVENT).collect()
+    assert len(got) == 2
+    assert got[0]["interval_kwh"] == 1.5 and got[1]["meter_id"] is None
+
+
+def test_append_bronze_stream(spark):
+    from gridlake.streaming.ingest import append_bronze
+
+    root = _tmp()
+    _drop(f"{root}/src", "a.json", [_rec("2025-07-01T00:00:00Z", 1.0), _rec("2025-07-01T00:15:00Z", 2.0)])
+    q = append_bronze(read_events(spark, f"{root}/src", schemas.READING_EVENT), f"{root}/bronze", f"{root}/ck")
+    q.awaitTermination()
+    b = spark.read.parquet(f"{root}/bronze")
+    assert b.count() == 2 and "_ingested_at" in b.columns
+    q = append_bronze(read_events(spark, f"{root}/src", schemas.READING_EVENT), f"{root}/bronze", f"{root}/ck")
+    q.awaitTermination()
+    assert spark.read.parquet(f"{root}/bronze").count() == 2  # restart: nothing re-appended
