@@ -127,6 +127,22 @@ def join_hourly(
     )
 
 
+def with_location(
+    readings: DataFrame, meters: DataFrame, locations: DataFrame, key: str = "meter_id"
+) -> DataFrame:
+    """Attach each reading's ``latitude``/``longitude`` through the meter
+    dimension (``location_id``) and the location dimension, for the
+    location-aware weather join (``join_hourly(..., keys=[("latitude",
+    "latitude"), ("longitude", "longitude")])``). Left joins: a meter missing
+    from the dimensions keeps its readings with NULL coordinates. Both
+    dimensions are sized by the fleet and the sites, not by the readings;
+    AQE decides whether to broadcast them."""
+    loc = meters.select(key, "location_id").join(
+        locations.select("location_id", "latitude", "longitude"), "location_id", "left"
+    )
+    return readings.join(loc.drop("location_id"), key, "left")
+
+
 def rate_join(
     readings: DataFrame,
     rates: DataFrame,

@@ -134,12 +134,18 @@ def upsert_latest(
     return w.start()
 
 
-def publish(df: DataFrame, path: str, drop_col: str | None = None) -> None:
-    """Replay stored readings as JSON event files; with ``drop_col``
-    one file per value of it (one "drop" each), written in one job."""
-    out = df
+def publish(
+    df: DataFrame, path: str, drop_col: str | None = None, batch_size: int | None = None
+) -> None:
+    """Replay stored readings as JSON event files. With ``drop_col``
+    there is one file per value of it (one "drop" each), written in one job.
+    With ``batch_size`` no file holds more than that many events (the
+    sender's batch), so a file stream with ``maxFilesPerTrigger`` replays
+    them batch by batch."""
+    writer_df = df.repartition(drop_col) if drop_col else df
+    w = writer_df.write.mode("overwrite")
+    if batch_size:
+        w = w.option("maxRecordsPerFile", batch_size)
     if drop_col:
-        out = out.repartition(drop_col)
-        out.write.mode("overwrite").partitionBy(drop_col).json(path)
-    else:
-        out.write.mode("overwrite").json(path)
+        w = w.partitionBy(drop_col)
+    w.json(path)

@@ -154,3 +154,33 @@ def test_as_of_bucketed_equals_plain(spark):
         assert got == plain
     assert [p[2] for p in plain if p[0] == "M3"] == [None, "green", "green"]
     assert [p[2] for p in plain if p[0] == "M4"] == [None, "standard"]
+
+
+def test_location_aware_weather_through_dimensions(spark):
+    from gridlake.operators.dims import dim_location
+    from gridlake.operators.joins import with_location
+
+    meters = spark.createDataFrame([("M1", 1), ("M2", 2)], "meter_id string, location_id int")
+    locs = dim_location(spark).unionByName(
+        spark.createDataFrame([(2, "Bergen", "NO", 60.39, 5.32)], schemas.DIM_LOCATION)
+    )
+    weather = reconcile_weather(
+        _weather(spark, [w("2025-07-01T00:00", 5.0), w("2025-07-01T00:00", 9.0, lat=60.39, lon=5.32)]),
+        _weather(spark, []),
+    )
+    df = silver_typed(spark, [r("2025-07-01T00:15:00Z"), r("2025-07-01T00:30:00Z", m="M2")])
+    located = with_location(df, meters, locs)
+    out = join_hourly(located, weather, keys=[("latitude", "latitude"), ("longitude", "longitude")])
+    assert rows(out, "meter_id", "temperature_2m") == [("M1", 5.0), ("M2", 9.0)]
+
+
+def test_publish_batches(spark):
+    import glob
+    import tempfile
+
+    from gridlake.streaming.ingest import publish
+
+    d = tempfile.mkdtemp(prefix="gridlake-test-", dir="/tmp")
+    publish(spark.range(1200).coalesce(1), f"{d}/out", batch_size=500)
+    files = glob.glob(f"{d}/out/*.json")
+    assert len(files) == 3 and spark.read.json(f"{d}/out").count() == 1200
