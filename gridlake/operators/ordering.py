@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from pyspark import StorageLevel
 
+MAX_RANGES = 512
 _PID = "_gl_pid"
 _W = "_gl_w"
 
@@ -46,9 +47,13 @@ def with_offset(
 ) -> DataFrame:
     """Add ``out`` = sum of ``weight`` (1 when None) over the rows that come
     strictly before this row, ordering by ``order`` within each of ``groups``.
-    The ``order`` columns must be unique within a group."""
+    The ``order`` columns must be unique within a group.
+
+    The inputs are dimension-sized (a tariff history, per-value counts), so
+    the range partition count defaults to the shuffle partitions capped at
+    ``MAX_RANGES``; the per-partition table stays small enough to broadcast."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
     keys = [*groups, *order]
     ranged = (
         df.repartitionByRange(n, *keys)
