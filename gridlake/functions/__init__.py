@@ -4,6 +4,7 @@ from gridlake.functions.time import (  # noqa: F401
     date_key,
     day_number,
     local_hour,
+    to_iso_offset,
     to_utc_ntz,
     trunc_hour,
     trunc_minutes,

@@ -56,6 +56,25 @@ def to_local(ts, zone: str) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), _col(ts))
 
 
+def to_iso_offset(ts, zone: str | None = None) -> Column:
+    """ISO-8601 text with an explicit offset for a UTC NTZ instant, the
+    way the feed writes instants: UTC as ``...+00:00``; with ``zone``, the
+    local wall clock and that zone's offset at the instant (DST honoured),
+    e.g. ``2024-01-01T01:00:00+01:00``. ``to_utc_ntz`` reads either back to
+    the same instant."""
+    ts = _col(ts)
+    local = to_local(ts, zone) if zone else ts
+    minutes = F.timestamp_diff("MINUTE", ts, local)
+    a = F.abs(minutes)
+    offset = F.concat(
+        F.when(minutes < 0, F.lit("-")).otherwise(F.lit("+")),
+        F.lpad(F.floor(a / 60).cast("string"), 2, "0"),
+        F.lit(":"),
+        F.lpad((a % 60).cast("string"), 2, "0"),
+    )
+    return F.concat(F.regexp_replace(local.cast(StringType()), " ", "T"), offset)
+
+
 def local_hour(ts, zone: str) -> Column:
     """Hour of day (0-23) of a UTC NTZ instant, in ``zone``."""
     return F.hour(to_local(ts, zone))

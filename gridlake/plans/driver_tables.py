@@ -13,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridlake.fixed import LOCATION
+from gridlake.fixed import LOCAL_ZONE, LOCATION
 from gridlake.functions.scalar import exact_mean, tariff_by_index
-from gridlake.functions.time import trunc_hour, trunc_minutes
+from gridlake.functions.time import to_iso_offset, trunc_hour, trunc_minutes
 from gridlake.operators.dims import scd2_from_changes
 
 # Mapping parameters (ours, not published values).
@@ -49,13 +49,21 @@ def _quality(event_type, value):
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze-shaped readings from ``events`` (hourly slots, so re-deliveries
-    within an hour are duplicates to resolve)."""
+    """Bronze-shaped readings from ``events``: hourly slots (so re-deliveries
+    within an hour are duplicates to resolve) written as ISO-8601 text with
+    an offset, as the feed carries them. 'click' events write the local
+    Oslo wall clock with its offset, all others UTC ``+00:00``, so copies of
+    one instant arrive under different spellings and Silver must type them
+    before de-duplicating."""
     ev = table(spark, sf_dir, "events")
+    slot = trunc_hour(F.col("ts"))
+    text = F.when(F.col("event_type") == "click", to_iso_offset(slot, LOCAL_ZONE)).otherwise(
+        to_iso_offset(slot)
+    )
     return ev.select(
         F.col("user_id").alias("meter_id"),
         F.col("user_id").alias("customer_id"),
-        trunc_hour(F.col("ts")).alias("reading_ts"),
+        text.alias("reading_ts"),
         F.col("value").alias("interval_kwh"),
         (F.lit(230.0) + F.get_json_object("props", "$.k").cast("double") / 10).alias("voltage"),
         _quality(F.col("event_type"), F.col("value")).alias("quality"),

@@ -364,8 +364,9 @@ def q_stream_ingest_latest(spark, d):
     streamed in one file per micro-batch, landed in Bronze and upserted
     latest-wins into Silver; returns Silver as read back."""
     root = _scratch(spark, "stream")
+    slot = to_utc_ntz(F.col("reading_ts"))
     src = dt.readings(spark, d).withColumnRenamed("_ingested_at", "seq").withColumn(
-        "drop", F.concat_ws("-", F.year("reading_ts"), F.lpad(F.weekofyear("reading_ts").cast("string"), 2, "0"))
+        "drop", F.concat_ws("-", F.year(slot), F.lpad(F.weekofyear(slot).cast("string"), 2, "0"))
     )
     publish(src, f"{root}/src", drop_col="drop")
     schema = src.schema

@@ -140,3 +140,25 @@ def test_append_bronze_stream(spark):
     q = append_bronze(read_events(spark, f"{root}/src", schemas.READING_EVENT), f"{root}/bronze", f"{root}/ck")
     q.awaitTermination()
     assert spark.read.parquet(f"{root}/bronze").count() == 2  # restart: nothing re-appended
+
+
+def test_run_pipeline_layouts(spark):
+    from gridlake.operators.dims import dim_tariff_rate
+    from gridlake.plans import driver_tables as dt_
+    from gridlake.plans.pipeline import run_pipeline
+    from tests.conftest import SF_SMALL
+
+    results = []
+    for layout in ("month", "meter_id"):
+        root = _tmp()
+        _, last = dt_.window_bounds(spark, SF_SMALL)
+        p = run_pipeline(
+            dt_.readings(spark, SF_SMALL), dt_.tariff_history(spark, SF_SMALL, with_key=False),
+            dt_.weather_history(spark, SF_SMALL), dt_.weather_forecast(spark, SF_SMALL),
+            dim_tariff_rate(spark), root, horizon=last, silver_partitioning=layout,
+        )
+        key = "reading_month=" if layout == "month" else "meter_id="
+        assert any(n.startswith(key) for n in os.listdir(p.silver))
+        results.append(rows(spark.read.parquet(p.daily)))
+        assert spark.read.parquet(p.quarantine).count() > 0
+    assert results[0] == results[1]

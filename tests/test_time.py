@@ -46,3 +46,23 @@ def test_date_key_utc_and_local(spark):
     df = spark.createDataFrame([(_ts("2025-07-01T22:30:00"),)], "ts timestamp_ntz")
     r = df.select(date_key("ts").alias("u"), date_key(F.col("ts"), "Europe/Oslo").alias("l")).first()
     assert r["u"] == "2025-07-01" and r["l"] == "2025-07-02"
+
+
+def test_iso_offset_roundtrip(spark):
+    from gridlake.functions.time import to_iso_offset
+
+    df = spark.createDataFrame(
+        [(_ts("2024-01-01T00:00:00"),), (_ts("2025-07-01T22:30:00"),), (_ts("2026-03-29T01:30:00"),)],
+        "ts timestamp_ntz",
+    )
+    out = df.select(
+        "ts",
+        to_iso_offset("ts").alias("u"),
+        to_iso_offset(F.col("ts"), "Europe/Oslo").alias("o"),
+        to_iso_offset(F.col("ts"), "America/St_Johns").alias("n"),
+    ).select("*", to_utc_ntz("u").alias("bu"), to_utc_ntz("o").alias("bo"), to_utc_ntz("n").alias("bn"))
+    rows = out.collect()
+    assert rows[0]["u"] == "2024-01-01T00:00:00+00:00" and rows[0]["o"] == "2024-01-01T01:00:00+01:00"
+    assert rows[1]["o"] == "2025-07-02T00:30:00+02:00" and rows[2]["o"] == "2026-03-29T03:30:00+02:00"
+    assert rows[0]["n"] == "2023-12-31T20:30:00-03:30"
+    assert all(r["bu"] == r["ts"] == r["bo"] == r["bn"] for r in rows)
