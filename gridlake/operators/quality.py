@@ -12,6 +12,7 @@ from pyspark.sql.types import NumericType
 from gridlake.functions.scalar import exact_mean
 from gridlake.functions.time import local_hour
 from gridlake.operators.ordering import with_offset
+from gridlake.session import cut_lineage
 
 PERCENTILES = (0.25, 0.5, 0.75)
 
@@ -89,22 +90,47 @@ def profile(
     decimals = decimals or {}
     long = df.select(F.inline(F.array(*parts)))
     present = F.col("s").isNotNull() | F.col("d").isNotNull()
-    mean = F.round(F.avg("d"), 6)
+    # One shuffle: counts per (column, distinct value), partially aggregated
+    # map-side, checkpointed into the shared folder (one eager job). Every
+    # consumer below reads those files, whose size is the number of distinct
+    # values, so the input is scanned and de-duplicated once.
+    counts = cut_lineage(
+        long.filter(present).groupBy("column", "s", "d").agg(F.count(F.lit(1)).alias("cnt"))
+    )
+    weighted = F.col("d") * F.col("cnt")
+    mean = F.round(F.sum(weighted) / F.sum("cnt"), 6)
     for c, p in decimals.items():
-        mean = F.when(F.col("column") == c, exact_mean("d", p)).otherwise(mean)
-    moments = long.groupBy("column").agg(
-        F.count(F.when(present, F.lit(1))).alias("count"),
+        exact = F.try_divide(F.round(F.sum(weighted), p), F.sum("cnt").cast("double"))
+        mean = F.when(F.col("column") == c, exact).otherwise(mean)
+    first = counts.groupBy("column").agg(
+        F.sum("cnt").alias("count"),
         mean.alias("mean"),
-        F.round(F.stddev_samp("d"), 6).alias("std"),
+        (F.sum(weighted) / F.sum(F.when(F.col("d").isNotNull(), F.col("cnt")))).alias("_mu"),
         F.round(F.min("d"), 6).alias("min"),
         F.round(F.max("d"), 6).alias("max"),
-    )
-    counts = long.filter(present).groupBy("column", "s", "d").agg(F.count(F.lit(1)).alias("cnt"))
-    distinct = counts.groupBy("column").agg(
         F.count(F.lit(1)).alias("unique"),
         F.min_by("s", F.struct((-F.col("cnt")).alias("n"), F.col("s"))).alias("top"),
         F.max(F.when(F.col("s").isNotNull(), F.col("cnt"))).alias("freq"),
     )
+    # Second pass over the counts for a numerically stable sample variance
+    # (sum of squared deviations from the mean, not E[x^2] - E[x]^2).
+    spread = (
+        counts.filter(F.col("d").isNotNull())
+        .join(F.broadcast(first.select("column", "_mu")), "column")
+        .groupBy("column")
+        .agg(
+            F.round(
+                F.sqrt(
+                    F.try_divide(
+                        F.sum(F.col("cnt") * (F.col("d") - F.col("_mu")) ** 2),
+                        (F.sum("cnt") - 1).cast("double"),
+                    )
+                ),
+                6,
+            ).alias("std")
+        )
+    )
+    moments = first.drop("_mu").join(spread, "column", "left")
     ranked = with_offset(
         counts.filter(F.col("d").isNotNull()).select("column", "d", "cnt"),
         order=["d"],
@@ -150,7 +176,7 @@ def profile(
             for p in percentiles
         ]
     )
-    out = moments.join(distinct, "column", "left").join(pcts, "column", "left")
+    out = moments.join(pcts, "column", "left")
     return out.select(
         "column", "count", "unique", "top", "freq", "mean", "std", "min",
         *[f"p{int(round(p * 100))}" for p in percentiles], "max",
