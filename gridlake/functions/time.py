@@ -63,7 +63,9 @@ def to_iso_offset(ts, zone: str | None = None) -> Column:
     e.g. ``2024-01-01T01:00:00+01:00``. ``to_utc_ntz`` reads either back to
     the same instant."""
     ts = _col(ts)
-    local = to_local(ts, zone) if zone else ts
+    if zone is None or zone == "UTC":
+        return F.concat(F.regexp_replace(ts.cast(StringType()), " ", "T"), F.lit("+00:00"))
+    local = to_local(ts, zone)
     minutes = F.timestamp_diff("MINUTE", ts, local)
     a = F.abs(minutes)
     offset = F.concat(

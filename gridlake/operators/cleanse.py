@@ -43,13 +43,20 @@ def split_quarantine(
     return clean, bad
 
 
-def trim_window(df: DataFrame, start, end, ts: str = "reading_ts") -> DataFrame:
+def trim_window(
+    df: DataFrame, start, end, ts: str = "reading_ts", keep_unparsed: bool = False
+) -> DataFrame:
     """B1: keep rows whose UTC date lies in ``[start, end]`` (both inclusive).
-    ``start``/``end`` are ISO date strings or date Columns."""
+    ``start``/``end`` are ISO date strings or date Columns. With
+    ``keep_unparsed`` rows whose instant is NULL are kept too (for the
+    quarantine). One filter, so the input is scanned once."""
     d = F.to_date(F.col(ts))
     lo = F.lit(start).cast("date") if isinstance(start, str) else start
     hi = F.lit(end).cast("date") if isinstance(end, str) else end
-    return df.filter((d >= lo) & (d <= hi))
+    keep = (d >= lo) & (d <= hi)
+    if keep_unparsed:
+        keep = keep | F.col(ts).isNull()
+    return df.filter(keep)
 
 
 def fault_rows(df: DataFrame, quality: str = "quality", good: str = GOOD) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from gridlake.fixed import LOCAL_ZONE
 from gridlake.functions.time import to_utc_ntz, trunc_hour
 from gridlake.operators.aggregates import cost_fact, daily_usage, daily_weather
-from gridlake.operators.cleanse import null_sentinel, split_quarantine, with_reason
+from gridlake.operators.cleanse import null_sentinel, split_quarantine, trim_window, with_reason
 from gridlake.operators.dedupe import dedupe_latest, prioritised_union
 from gridlake.operators.joins import join_hourly, resolve_as_of
 
@@ -50,6 +50,7 @@ def build_silver(
     weather_keys=(),
     order_col: str = "_ingested_at",
     horizon=None,
+    window=None,
 ) -> Silver:
     """Silver readings with ``tariff_code``, ``temperature_2m``,
     ``relative_humidity_2m`` and ``hour_ts``.
@@ -57,11 +58,17 @@ def build_silver(
     ``quarantine=True`` (default) removes rows with an unparsed instant or a
     non-GOOD label into ``Silver.quarantine``; ``False`` is the published
     code path (sentinel nulled, row kept; an unparsed instant is still kept
-    out of the dedupe). ``horizon`` (the analysis window end) turns on the
-    time-bucketed as-of join, which splits a hot meter (see
-    ``resolve_as_of``).
+    out of the dedupe). ``window=(start, end)`` trims readings to the
+    analysis window (B1, both ends inclusive, UTC dates) and, unless given,
+    makes ``end`` the ``horizon`` that turns on the time-bucketed as-of join,
+    which splits a hot meter (see ``resolve_as_of``). Readings with an
+    unparsed instant are not trimmed; they go to quarantine.
     """
     typed = type_instant(readings, "reading_ts")
+    if window is not None:
+        start, end = window
+        typed = trim_window(typed, start, end, keep_unparsed=quarantine)
+        horizon = end if horizon is None else horizon
     latest = dedupe_latest(typed, ("meter_id", "reading_ts"), order_col)
     nulled = null_sentinel(latest)
     if quarantine:

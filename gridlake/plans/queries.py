@@ -16,7 +16,7 @@ from gridlake.functions.time import date_key, to_utc_ntz
 from gridlake.operators import analytics as an
 from gridlake.operators import quality as qa
 from gridlake.operators.aggregates import daily_weather
-from gridlake.operators.cleanse import fault_rows, null_sentinel, split_quarantine, trim_window, with_reason
+from gridlake.operators.cleanse import fault_rows, null_sentinel, split_quarantine, trim_window
 from gridlake.operators.dedupe import dedupe_latest
 from gridlake.operators.dims import (
     coverage as coverage_op,
@@ -58,10 +58,9 @@ def nulled(spark: SparkSession, d: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, d: str, quarantine: bool = True):
-    _, last = dt.window_bounds(spark, d)
     return build_silver(
         dt.readings(spark, d), dt.tariff_history(spark, d, with_key=False), weather(spark, d),
-        quarantine=quarantine, horizon=last,
+        quarantine=quarantine, window=dt.window_bounds(spark, d),
     )
 
 

@@ -184,3 +184,14 @@ def test_publish_batches(spark):
     publish(spark.range(1200).coalesce(1), f"{d}/out", batch_size=500)
     files = glob.glob(f"{d}/out/*.json")
     assert len(files) == 3 and spark.read.json(f"{d}/out").count() == 1200
+
+
+def test_build_silver_trims_window_and_keeps_unparsed_for_quarantine(spark):
+    from gridlake.plans.pipeline import build_silver
+
+    hist = spark.createDataFrame(HIST, schemas.DIM_METER_TARIFF)
+    weather = reconcile_weather(_weather(spark, []), _weather(spark, []))
+    b = readings(spark, [r("2025-06-28T23:45:00Z"), r("2025-07-01T00:00:00Z"), r("2026-06-30T00:00:00Z"), r("garbage")])
+    s = build_silver(b, hist, weather, window=("2025-06-29", "2026-06-29"))
+    assert rows(s.enriched, "reading_ts", "tariff_code") == [(dt.datetime(2025, 7, 1), "standard")]
+    assert [x["reason"] for x in s.quarantine.collect()] == ["BAD_TIMESTAMP"]
