@@ -3,6 +3,8 @@
 from gridlake.functions.time import (  # noqa: F401
     date_key,
     day_number,
+    iso_minute,
+    month_key,
     local_hour,
     to_iso_offset,
     to_utc_ntz,

@@ -96,6 +96,19 @@ def trunc_minutes(ts, step: int) -> Column:
     )
 
 
+def iso_minute(ts) -> Column:
+    """``yyyy-MM-ddTHH:mm`` text of an NTZ value (the weather feed's time
+    format). Built from the NTZ value's own text: ``date_format`` would route
+    it through the session zone and move a wall-clock time that does not
+    exist there (02:30 on a spring-forward day becomes 03:30)."""
+    return F.regexp_replace(F.substring(_col(ts).cast(StringType()), 1, 16), " ", "T")
+
+
+def month_key(ts) -> Column:
+    """``yyyy-MM`` of a UTC NTZ instant (zone-free, like ``date_key``)."""
+    return F.substring(date_key(ts), 1, 7)
+
+
 def date_key(ts, zone: str | None = None) -> Column:
     """ISO date string ``yyyy-MM-dd`` of a UTC NTZ instant.
 

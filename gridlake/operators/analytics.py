@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.functions.scalar import exact_mean, is_fault
-from gridlake.functions.time import day_number
+from gridlake.functions.time import day_number, month_key
 
 
 def meter_day(daily: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def fault_tree(readings: DataFrame, meters: DataFrame, ts: str = "reading_ts") -
     f = f.select(
         F.coalesce(F.col("quality"), F.lit("NULL")).alias("quality"),
         F.coalesce(F.col("meter_model"), F.lit("UNKNOWN")).alias("meter_model"),
-        F.date_format(F.col(ts), "yyyy-MM").alias("month"),
+        month_key(F.col(ts)).alias("month"),
     )
     return f.rollup("quality", "meter_model", "month").agg(
         F.count(F.lit(1)).alias("faults"), F.grouping_id().cast("int").alias("level")

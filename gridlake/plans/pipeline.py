@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from gridlake.fixed import LOCAL_ZONE
-from gridlake.functions.time import to_utc_ntz, trunc_hour
+from gridlake.functions.time import month_key, to_utc_ntz, trunc_hour
 from gridlake.operators.aggregates import cost_fact, daily_usage, daily_weather
 from gridlake.operators.cleanse import null_sentinel, split_quarantine, trim_window, with_reason
 from gridlake.operators.dedupe import dedupe_latest, prioritised_union
@@ -162,7 +162,7 @@ def run_pipeline(
     )
     day = date_key(F.col("reading_ts"))
     part_cols = {
-        "month": ("reading_month", F.substring(day, 1, 7)),
+        "month": ("reading_month", month_key(F.col("reading_ts"))),
         "date": ("reading_date", day),
         "meter_id": ("meter_id", F.col("meter_id")),
     }

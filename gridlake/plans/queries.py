@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake import schemas
-from gridlake.functions.time import date_key, to_utc_ntz
+from gridlake.functions.time import date_key, iso_minute, to_utc_ntz
 from gridlake.operators import analytics as an
 from gridlake.operators import quality as qa
 from gridlake.operators.aggregates import daily_weather
@@ -275,7 +275,7 @@ def q_weather_payload_rows(spark, d):
     decoded with the payload schema and exploded back to hourly rows."""
     w = weather(spark, d).withColumn("_day", date_key("weather_ts"))
     hourly_struct = F.struct(
-        F.date_format("weather_ts", "yyyy-MM-dd'T'HH:mm").alias("time"),
+        iso_minute("weather_ts").alias("time"),
         *[
             (F.col(v) if v in w.columns else F.lit(None).cast("double")).alias(v)
             for v in schemas.WEATHER_PAYLOAD["hourly"].dataType.names[1:]

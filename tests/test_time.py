@@ -66,3 +66,11 @@ def test_iso_offset_roundtrip(spark):
     assert rows[1]["o"] == "2025-07-02T00:30:00+02:00" and rows[2]["o"] == "2026-03-29T03:30:00+02:00"
     assert rows[0]["n"] == "2023-12-31T20:30:00-03:30"
     assert all(r["bu"] == r["ts"] == r["bo"] == r["bn"] for r in rows)
+
+
+def test_text_keys_are_session_zone_free(spark):
+    from gridlake.functions.time import iso_minute, month_key
+
+    df = spark.createDataFrame([(_ts("2026-03-29T02:30:00"),), (_ts("2026-03-31T23:59:59.5"),)], "ts timestamp_ntz")
+    got = [tuple(r) for r in df.select(iso_minute("ts"), month_key("ts")).collect()]
+    assert got == [("2026-03-29T02:30", "2026-03"), ("2026-03-31T23:59", "2026-03")]
