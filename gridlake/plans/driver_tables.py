@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.fixed import LOCAL_ZONE, LOCATION
-from gridlake.functions.scalar import exact_mean, tariff_by_index
+from gridlake.functions.scalar import tariff_by_index
 from gridlake.functions.time import to_iso_offset, trunc_hour, trunc_minutes
 from gridlake.operators.dims import scd2_from_changes
 
@@ -48,22 +48,11 @@ def _quality(event_type, value):
     )
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze-shaped readings from ``events``: hourly slots (so re-deliveries
-    within an hour are duplicates to resolve) written as ISO-8601 text with
-    an offset, as the feed carries them. 'click' events write the local
-    Oslo wall clock with its offset, all others UTC ``+00:00``, so copies of
-    one instant arrive under different spellings and Silver must type them
-    before de-duplicating."""
-    ev = table(spark, sf_dir, "events")
-    slot = trunc_hour(F.col("ts"))
-    text = F.when(F.col("event_type") == "click", to_iso_offset(slot, LOCAL_ZONE)).otherwise(
-        to_iso_offset(slot)
-    )
+def _readings(ev: DataFrame, reading_ts) -> DataFrame:
     return ev.select(
         F.col("user_id").alias("meter_id"),
         F.col("user_id").alias("customer_id"),
-        text.alias("reading_ts"),
+        reading_ts.alias("reading_ts"),
         F.col("value").alias("interval_kwh"),
         (F.lit(230.0) + F.get_json_object("props", "$.k").cast("double") / 10).alias("voltage"),
         _quality(F.col("event_type"), F.col("value")).alias("quality"),
@@ -71,6 +60,24 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze-shaped readings from ``events``: one reading per user and hour
+    slot, so re-deliveries within an hour are duplicates to resolve. The
+    instant stays a UTC ``timestamp_ntz`` (Silver's typing passes it
+    through); ``readings_text`` is the same feed spelled as ISO text."""
+    return _readings(table(spark, sf_dir, "events"), trunc_hour(F.col("ts")))
+
+
+def readings_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings as the wire carries them: ``reading_ts`` is ISO-8601 text
+    with an offset. 'click' events spell the local Oslo wall clock with its
+    offset, all others UTC ``+00:00``, so copies of one instant arrive under
+    different spellings and must be typed before de-duplicating."""
+    slot = trunc_hour(F.col("ts"))
+    text = F.when(F.col("event_type") == "click", to_iso_offset(slot, LOCAL_ZONE)).otherwise(to_iso_offset(slot))
+    return _readings(table(spark, sf_dir, "events"), text)
+
+
 def window_bounds(spark: SparkSession, sf_dir: str):
     """(first, last) UTC day of the feed as scalar subqueries."""
     ev = table(spark, sf_dir, "events")
@@ -101,12 +108,14 @@ def tariff_history(spark: SparkSession, sf_dir: str, with_key: bool = True) -> D
 
 def _hourly_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly statistics of 'view' and 'click' events in one scan and one
-    aggregation; history and forecast are two filters over it (the shared
-    exchange is reused)."""
+    aggregation; history and forecast are two filters over it. Every
+    variable except the count is an input value (2 decimal places): the
+    temperature is the hour's first reading, cloud cover its minimum,
+    radiation its maximum, so daily means are exact (``exact_mean``)."""
     ev = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "click"))
     g = ev.groupBy(trunc_hour(F.col("ts")).alias("weather_ts"), F.col("event_type"))
     return g.agg(
-        exact_mean("value", VALUE_DECIMALS).alias("temperature_2m"),
+        F.min_by("value", "event_id").alias("temperature_2m"),
         F.count(F.lit(1)).cast("double").alias("relative_humidity_2m"),
         F.min("value").alias("cloud_cover"),
         F.max("value").alias("shortwave_radiation"),

@@ -57,12 +57,12 @@ HIST = """hist AS (
     WINDOW w AS (PARTITION BY meter_id ORDER BY change_date)))"""
 
 WEATHER = """wh AS (
-  SELECT date_trunc('hour', ts) AS weather_ts, round(sum(value), 2) / NULLIF(count(value), 0) AS temperature_2m,
+  SELECT date_trunc('hour', ts) AS weather_ts, arg_min(value, event_id) AS temperature_2m,
          CAST(count(*) AS DOUBLE) AS relative_humidity_2m, min(value) AS cloud_cover,
          max(value) AS shortwave_radiation, 59.91::DOUBLE AS latitude, 10.75::DOUBLE AS longitude
   FROM events WHERE event_type = 'view' GROUP BY 1),
 wf AS (
-  SELECT date_trunc('hour', ts) AS weather_ts, round(sum(value), 2) / NULLIF(count(value), 0) AS temperature_2m,
+  SELECT date_trunc('hour', ts) AS weather_ts, arg_min(value, event_id) AS temperature_2m,
          CAST(count(*) AS DOUBLE) AS relative_humidity_2m,
          max(value) AS shortwave_radiation, 59.91::DOUBLE AS latitude, 10.75::DOUBLE AS longitude
   FROM events WHERE event_type = 'click' GROUP BY 1),
@@ -129,7 +129,7 @@ METERS = """meters AS (
 
 WEATHER_DAILY = """weather_daily AS (
   SELECT strftime(weather_ts, '%Y-%m-%d') AS date_key,
-         round(avg(temperature_2m), 6) AS avg_temp_c,
+         round(sum(temperature_2m), 2) / NULLIF(count(temperature_2m), 0) AS avg_temp_c,
          min(temperature_2m) AS min_temp_c,
          max(temperature_2m) AS max_temp_c,
          round(sum(cloud_cover), 2) / NULLIF(count(cloud_cover), 0) AS avg_cloud_pct,
@@ -167,6 +167,7 @@ ANALYTICS = [*GOLD_CHAIN, METER_DAY]
 
 ORACLE.update({
     "dedupe_latest": with_ctes([READINGS, LATEST], "SELECT * FROM latest"),
+    "bronze_text_typing": with_ctes([READINGS, LATEST], "SELECT * FROM latest"),
     "null_sentinel": with_ctes([READINGS, LATEST, NULLED], "SELECT * FROM nulled"),
     "fault_rows": with_ctes(
         [READINGS, LATEST, NULLED], "SELECT * FROM nulled WHERE quality IS DISTINCT FROM 'GOOD'"

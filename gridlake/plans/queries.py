@@ -87,6 +87,13 @@ def q_dedupe_latest(spark, d):
     return latest(spark, d)
 
 
+def q_bronze_text_typing(spark, d):
+    """P1/F2 + W1 on the wire format: the feed spelled as ISO text with
+    mixed offsets (UTC and Oslo local), typed back to UTC and de-duplicated;
+    copies of one instant under different spellings collapse."""
+    return dedupe_latest(type_instant(dt.readings_text(spark, d), "reading_ts"))
+
+
 def q_null_sentinel(spark, d):
     return nulled(spark, d)
 
@@ -131,7 +138,7 @@ def q_daily_cost(spark, d):
     return gold(spark, d).daily
 
 
-WEATHER_DECIMALS = {"cloud_cover": dt.VALUE_DECIMALS, "shortwave_radiation": dt.VALUE_DECIMALS}
+WEATHER_DECIMALS = {v: dt.VALUE_DECIMALS for v in ("temperature_2m", "cloud_cover", "shortwave_radiation")}
 
 
 def q_weather_daily(spark, d):
@@ -359,12 +366,13 @@ def q_pipeline_run(spark, d):
 
 
 def q_stream_ingest_latest(spark, d):
-    """Readings replayed as JSON event files (one drop per ISO week),
+    """Readings replayed as JSON event files (ISO text instants with
+    mixed offsets, one drop per ISO week),
     streamed in one file per micro-batch, landed in Bronze and upserted
     latest-wins into Silver; returns Silver as read back."""
     root = _scratch(spark, "stream")
     slot = to_utc_ntz(F.col("reading_ts"))
-    src = dt.readings(spark, d).withColumnRenamed("_ingested_at", "seq").withColumn(
+    src = dt.readings_text(spark, d).withColumnRenamed("_ingested_at", "seq").withColumn(
         "drop", F.concat_ws("-", F.year(slot), F.lpad(F.weekofyear(slot).cast("string"), 2, "0"))
     )
     publish(src, f"{root}/src", drop_col="drop")
@@ -387,6 +395,7 @@ def q_stream_ingest_latest(spark, d):
 
 QUERIES = {
     "dedupe_latest": q_dedupe_latest,
+    "bronze_text_typing": q_bronze_text_typing,
     "null_sentinel": q_null_sentinel,
     "fault_rows": q_fault_rows,
     "quarantine_split": q_quarantine_split,
