@@ -17,17 +17,19 @@ def lineitem_dedupe(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lineitem_end(spark: SparkSession, d: str):
+    """Last ship day, fetched once as a date literal (window end and as-of
+    horizon)."""
     li = dt.table(spark, d, "lineitem")
-    return li.select(F.max(F.to_date("l_shipdate"))).scalar()
+    return F.lit(li.agg(F.max(F.to_date("l_shipdate"))).first()[0])
 
 
-def lineitem_history(spark: SparkSession, d: str) -> DataFrame:
-    return scd2_from_changes(dt.lineitem_tariff_changes(spark, d), lineitem_end(spark, d), sk=None)
+def lineitem_history(spark: SparkSession, d: str, end=None) -> DataFrame:
+    end = end if end is not None else lineitem_end(spark, d)
+    return scd2_from_changes(dt.lineitem_tariff_changes(spark, d), end, sk=None)
 
 
 def lineitem_daily_cost(spark: SparkSession, d: str) -> DataFrame:
     weather = reconcile_weather(dt.weather_history(spark, d), dt.weather_forecast(spark, d))
-    silver = build_silver(
-        dt.lineitem_readings(spark, d), lineitem_history(spark, d), weather, horizon=lineitem_end(spark, d)
-    )
+    end = lineitem_end(spark, d)
+    silver = build_silver(dt.lineitem_readings(spark, d), lineitem_history(spark, d, end), weather, horizon=end)
     return build_gold(silver.enriched, dim_tariff_rate(spark)).daily

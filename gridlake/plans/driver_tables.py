@@ -79,13 +79,13 @@ def readings_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def window_bounds(spark: SparkSession, sf_dir: str):
-    """(first, last) UTC day of the feed as scalar subqueries."""
-    ev = table(spark, sf_dir, "events")
+    """(first, last) UTC day of the feed, as date literals for the plans that
+    need them (calendar, trim, as-of horizon, SCD2 end). One aggregate over
+    one column fetches the two dates; passing them as parameters avoids a
+    scalar subquery (a scan of ``ts``) in every plan that uses them."""
     d = F.to_date("ts")
-    # One scalar subquery (one scan of one column) for both ends; Spark
-    # reuses it wherever either end appears in the plan.
-    b = ev.select(F.struct(F.min(d).alias("first"), F.max(d).alias("last"))).scalar()
-    return b["first"], b["last"]
+    row = table(spark, sf_dir, "events").agg(F.min(d).alias("first"), F.max(d).alias("last")).first()
+    return F.lit(row["first"]), F.lit(row["last"])
 
 
 def tariff_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,10 +98,10 @@ def tariff_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return per_day.select("meter_id", "change_date", tariff_by_index(F.col("_eid")).alias("tariff_code"))
 
 
-def tariff_history(spark: SparkSession, sf_dir: str, with_key: bool = True) -> DataFrame:
+def tariff_history(spark: SparkSession, sf_dir: str, with_key: bool = True, bounds=None) -> DataFrame:
     """SCD2 tariff history built from the change log (``with_key=False``:
     without the surrogate key, as the as-of join consumes it)."""
-    _, end = window_bounds(spark, sf_dir)
+    _, end = bounds or window_bounds(spark, sf_dir)
     sk = "meter_tariff_sk" if with_key else None
     return scd2_from_changes(tariff_changes(spark, sf_dir), end, sk=sk)
 

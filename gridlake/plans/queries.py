@@ -57,15 +57,16 @@ def nulled(spark: SparkSession, d: str) -> DataFrame:
     return null_sentinel(latest(spark, d))
 
 
-def silver(spark: SparkSession, d: str, quarantine: bool = True):
+def silver(spark: SparkSession, d: str, quarantine: bool = True, bounds=None):
+    bounds = bounds or dt.window_bounds(spark, d)
     return build_silver(
-        dt.readings(spark, d), dt.tariff_history(spark, d, with_key=False), weather(spark, d),
-        quarantine=quarantine, window=dt.window_bounds(spark, d),
+        dt.readings(spark, d), dt.tariff_history(spark, d, with_key=False, bounds=bounds), weather(spark, d),
+        quarantine=quarantine, window=bounds,
     )
 
 
-def gold(spark: SparkSession, d: str):
-    return build_gold(silver(spark, d).enriched, dim_tariff_rate(spark))
+def gold(spark: SparkSession, d: str, bounds=None):
+    return build_gold(silver(spark, d, bounds=bounds).enriched, dim_tariff_rate(spark))
 
 
 def meters(spark: SparkSession, d: str) -> DataFrame:
@@ -113,8 +114,9 @@ def q_weather_reconciled(spark, d):
 
 def q_readings_with_tariff(spark, d):
     good, _ = split_quarantine(nulled(spark, d))
-    _, last = dt.window_bounds(spark, d)
-    return resolve_as_of(good, dt.tariff_history(spark, d, with_key=False), horizon=last)
+    bounds = dt.window_bounds(spark, d)
+    hist = dt.tariff_history(spark, d, with_key=False, bounds=bounds)
+    return resolve_as_of(good, hist, horizon=bounds[1])
 
 
 def q_readings_with_weather(spark, d):
@@ -234,11 +236,11 @@ def q_meter_profile(spark, d):
 
 def star(spark: SparkSession, d: str) -> DataFrame:
     """Daily usage joined to the conformed dimensions."""
-    daily = gold(spark, d).daily
+    first, last = bounds = dt.window_bounds(spark, d)
+    daily = gold(spark, d, bounds).daily
     cust = dt.customers(spark, d).select("customer_id", "meter_id", "c_nationkey", "c_mktsegment")
     nation = dt.table(spark, d, "nation")
     region = dt.table(spark, d, "region")
-    first, last = dt.window_bounds(spark, d)
     cal = dim_date(spark, first, last).select(
         F.col("date").alias("date_key"), "is_weekend", "season", "day_of_week"
     )
@@ -352,15 +354,15 @@ def q_pipeline_run(spark, d):
     weather daily written to the shared folder); returns the daily table as
     read back from the lake."""
     root = _scratch(spark, "lake")
-    _, last = dt.window_bounds(spark, d)
+    bounds = dt.window_bounds(spark, d)
     paths = run_pipeline(
         dt.readings(spark, d),
-        dt.tariff_history(spark, d, with_key=False),
+        dt.tariff_history(spark, d, with_key=False, bounds=bounds),
         dt.weather_history(spark, d),
         dt.weather_forecast(spark, d),
         dim_tariff_rate(spark),
         root,
-        horizon=last,
+        horizon=bounds[1],
     )
     return spark.read.parquet(paths.daily)
 
