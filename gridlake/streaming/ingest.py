@@ -28,6 +28,7 @@ from pyspark.sql.types import StructType
 
 from gridlake.functions.time import to_utc_ntz
 from gridlake.operators.dedupe import keep_first
+from gridlake.sources.sinks import to_event_payload
 
 
 def read_events(
@@ -152,17 +153,34 @@ def upsert_latest(
 
 
 def publish(
-    df: DataFrame, path: str, drop_col: str | None = None, batch_size: int | None = None
+    df: DataFrame,
+    path: str | None,
+    drop_col: str | None = None,
+    batch_size: int | None = None,
+    fmt: str = "json",
+    options: dict[str, str] | None = None,
+    key: str = "meter_id",
 ) -> None:
-    """Replay stored readings as JSON event files. With ``drop_col``
-    there is one file per value of it (one "drop" each), written in one job.
-    With ``batch_size`` no file holds more than that many events (the
-    sender's batch), so a file stream with ``maxFilesPerTrigger`` replays
-    them batch by batch."""
+    """Replay stored readings as events.
+
+    ``fmt='json'`` writes JSON event files under ``path``: with ``drop_col``
+    one file per value of it (one "drop" each), written in one job; with
+    ``batch_size`` no file holds more than that many events (the sender's
+    batch), so a file stream with ``maxFilesPerTrigger`` replays them batch
+    by batch. ``fmt='kafka'`` sends each row as one JSON message keyed by
+    ``key`` to the topic in ``options`` (``kafka.bootstrap.servers``,
+    ``topic``; needs the connector on the classpath); the producer batches.
+    """
+    if fmt == "kafka":
+        w = to_event_payload(df, key).write.format("kafka")
+        for k, v in (options or {}).items():
+            w = w.option(k, v)
+        w.save()
+        return
     writer_df = df.repartition(drop_col) if drop_col else df
     w = writer_df.write.mode("overwrite")
     if batch_size:
         w = w.option("maxRecordsPerFile", batch_size)
     if drop_col:
         w = w.partitionBy(drop_col)
-    w.json(path)
+    w.format(fmt).save(path)
