@@ -114,3 +114,17 @@ def test_coverage(spark):
     cov = coverage(r, r.select("meter_id").distinct(), "2025-07-01", "2025-07-02").collect()
     got = sorted((c["date_key"], c["expected"], c["present"]) for c in cov)
     assert got == [("2025-07-01", 96, 90), ("2025-07-02", 96, 0)]
+
+
+def test_fixed_rate_windows_tile_the_day(spark):
+    from gridlake.fixed import TARIFF_RATES, TARIFFS
+
+    codes = {t[0] for t in TARIFFS}
+    assert {r[0] for r in TARIFF_RATES} == codes
+    for code in codes:
+        hours = sorted(h for c, _, s, e, _ in TARIFF_RATES if c == code for h in range(s, e))
+        assert hours == list(range(24)), code
+    rates = dim_tariff_rate(spark)
+    assert rates.count() == 6 and dict(zip(rates.columns, [f.dataType.simpleString() for f in rates.schema])) == {
+        "tariff_code": "string", "period_name": "string", "start_hour": "int", "end_hour": "int", "unit_rate": "double"
+    }
