@@ -21,7 +21,6 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.autoBroadcastJoinThreshold": "10MB",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -37,7 +37,9 @@ def write_table(
         w = w.sortWithinPartitions(*partition_by, *sort_within)
     writer = w.write.format(fmt).mode(mode)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        # a full overwrite replaces every partition, whatever the session's
+        # partitionOverwriteMode (the stream upsert asks for dynamic itself)
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     writer.save(path)
 
 

@@ -162,3 +162,17 @@ def test_run_pipeline_layouts(spark):
         results.append(rows(spark.read.parquet(p.daily)))
         assert spark.read.parquet(p.quarantine).count() > 0
     assert results[0] == results[1]
+
+
+def test_partitioned_overwrite_is_full_even_if_session_is_dynamic(spark):
+    d = _tmp()
+    a = spark.createDataFrame([("M1", "2025-07-01", 1.0), ("M1", "2025-07-02", 2.0)], "meter_id string, date_key string, kwh double")
+    b = spark.createDataFrame([("M1", "2025-07-03", 3.0)], "meter_id string, date_key string, kwh double")
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_table(a, f"{d}/t", partition_by=["date_key"])
+        write_table(b, f"{d}/t", partition_by=["date_key"])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert rows(read_table(spark, f"{d}/t", schema=a.schema), "date_key") == [("2025-07-03",)]
