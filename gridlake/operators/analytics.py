@@ -145,10 +145,19 @@ def meter_profile(silver: DataFrame, md: DataFrame) -> DataFrame:
     return out.withColumn("fault_share", F.round(F.col("faults") / F.col("readings"), 6))
 
 
-def entitled(df: DataFrame, entitlements: DataFrame, key: str = "meter_id") -> DataFrame:
+def entitled(
+    df: DataFrame,
+    entitlements: DataFrame,
+    key: str = "meter_id",
+    user=None,
+    user_col: str = "user_id",
+) -> DataFrame:
     """Row-level security: rows whose ``key`` the entitlement table
-    grants (left semi join; rows never duplicate)."""
-    return df.join(entitlements.select(F.col(key)), key, "left_semi")
+    grants, optionally to one ``user`` (``user_col``) of a user -> key
+    table. A left semi join: rows are never duplicated, whatever number of
+    grants cover them."""
+    grants = entitlements if user is None else entitlements.filter(F.col(user_col) == F.lit(user))
+    return df.join(grants.select(F.col(key)), key, "left_semi")
 
 
 METRICS = {

@@ -83,6 +83,9 @@ def test_entitled_semi_join(spark):
     md = _md(spark, [("M1", "2025-07-01", 1.0, 0.5), ("M2", "2025-07-01", 1.0, 0.5)])
     ent = spark.createDataFrame([("M1",), ("M1",)], "meter_id string")
     assert rows(an.entitled(md, ent), "meter_id") == [("M1",)]
+    per_user = spark.createDataFrame([("u1", "M1"), ("u2", "M2"), ("u2", "M1")], "user_id string, meter_id string")
+    assert rows(an.entitled(md, per_user, user="u2"), "meter_id") == [("M1",), ("M2",)]
+    assert rows(an.entitled(md, per_user, user="u1"), "meter_id") == [("M1",)]
 
 
 def test_profile_matches_pandas(spark):
