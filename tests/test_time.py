@@ -74,3 +74,15 @@ def test_text_keys_are_session_zone_free(spark):
     df = spark.createDataFrame([(_ts("2026-03-29T02:30:00"),), (_ts("2026-03-31T23:59:59.5"),)], "ts timestamp_ntz")
     got = [tuple(r) for r in df.select(iso_minute("ts"), month_key("ts")).collect()]
     assert got == [("2026-03-29T02:30", "2026-03"), ("2026-03-31T23:59", "2026-03")]
+
+
+def test_ltz_input_becomes_utc_ntz(spark):
+    from pyspark.sql.types import TimestampType
+
+    from gridlake.plans.pipeline import type_instant
+
+    # an instant typed as session-zone timestamp (LTZ), e.g. from a source that parses offsets itself
+    df = spark.createDataFrame([("2025-07-01T02:00:00+02:00",), ("2026-03-29T01:30:00Z",)], "s string")
+    ltz = df.select(F.col("s").cast(TimestampType()).alias("reading_ts"))
+    got = [r[0] for r in type_instant(ltz, "reading_ts").collect()]
+    assert got == [_ts("2025-07-01T00:00:00"), _ts("2026-03-29T01:30:00")]
