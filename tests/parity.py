@@ -1,5 +1,5 @@
 """Spark-vs-DuckDB parity check, mirroring the driver's gate: same row count,
-same column names, same multiset of rows (columns compared by name, doubles
+same column names and types, same multiset of rows (columns compared by name, doubles
 compared after rounding to 9 significant digits).
 
 CLI: ``python -m tests.parity [--strict] [--plain] [--zone=Area/City] /root/testdata/sf0.01 [query ...]``
@@ -29,6 +29,11 @@ def duck_connect(sf_dir: str):
 
 STRICT = False
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
+
 
 def _norm(v):
     if isinstance(v, float):
@@ -66,6 +71,12 @@ def compare(spark, sf_dir: str, name: str, query, sql: str | None, con=None):
     if sorted(scols) != sorted(dcols):
         res["status"] = f"COLUMNS differ: spark={sorted(scols)} oracle={sorted(dcols)}"
         return res
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema}
+    dtypes = {d[0]: str(d[1]) for d in cur.description}
+    mismatched = {c: (stypes[c], dtypes[c]) for c in stypes if stypes[c] != dtypes[c]}
+    if mismatched:
+        res["status"] = f"TYPES differ: {mismatched}"
+        return res
     a, b = _rows(scols, srows), _rows(dcols, drows)
     if a == b:
         res["status"] = "match"
