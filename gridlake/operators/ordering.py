@@ -6,23 +6,21 @@ one in the global order" in a distributed way:
 
 1. range-partition the rows on the order (so partition i holds only keys
    below partition i+1; a hot key range is split by the sampler), tag each
-   row with its partition id and persist that for the one job below. The
-   two consumers (running sums and per-partition totals) must see the
-   *same* partition of every row; two independent range exchanges could
-   sample different bounds (e.g. after AQE coalesced their inputs
-   differently), so both read the one cached relation, built from a single
-   shuffle whose bounds are fixed (a lost cached block is recomputed from
-   that same shuffle dependency, so the ids survive an executor loss);
-2. running sum inside each partition (a window partitioned by the range
+   row with its partition id, and write that with a reliable
+   ``checkpoint`` into the shared checkpoint folder (one eager job). The
+   two consumers below (running sums and per-partition totals) must see the
+   *same* partition id for every row. Two evaluations of a range exchange
+   are not guaranteed to agree, and a persisted relation is not guaranteed
+   to be used by both sides of a self-join (when it was not, with AQE off,
+   the offsets came out wrong; ``tests/test_gold_dims.py`` guards this),
+   so the ids are materialised once and both sides read the same files;
+2. running sum inside each partition (a window partitioned by the
    partition id);
 3. per-partition totals -> prefix over partitions. That table has one row
    per partition (and group), a size bounded by the partition count, so it
    is broadcast back.
 
-The result is written with a reliable ``checkpoint`` into the shared
-checkpoint folder (one eager job), after which the cached relation is
-released: nothing stays cached behind the caller's back, and later plans
-read the checkpoint files, not a recomputation.
+Nothing is left cached, and an executor loss re-reads the checkpoint files.
 
 Used for dense surrogate keys (weight 1) and exact quantiles over value
 counts (weight = count).
@@ -35,8 +33,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pyspark import StorageLevel
-
 from gridlake.session import cut_lineage
 
 MAX_RANGES = 512
@@ -62,11 +58,10 @@ def with_offset(
     spark = df.sparkSession
     n = num_partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
     keys = [*groups, *order]
-    ranged = (
+    ranged = cut_lineage(
         df.repartitionByRange(n, *keys)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_W, F.col(weight) if weight else F.lit(1).cast("long"))
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
     before_in_part = Window.partitionBy(_PID, *groups).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, -1
@@ -80,13 +75,9 @@ def with_offset(
         _PID, *groups, F.coalesce(F.sum("_gl_tot").over(before_parts), F.lit(0)).alias("_gl_off")
     )
     joined = local.join(F.broadcast(offsets), [_PID, *groups], "inner")
-    result = joined.withColumn(out, F.col("_gl_off") + F.col("_gl_local")).drop(
+    return joined.withColumn(out, F.col("_gl_off") + F.col("_gl_local")).drop(
         _PID, _W, "_gl_local", "_gl_off"
     )
-    try:
-        return cut_lineage(result)
-    finally:
-        ranged.unpersist()
 
 
 def with_sequence(

@@ -128,3 +128,26 @@ def test_fixed_rate_windows_tile_the_day(spark):
     assert rates.count() == 6 and dict(zip(rates.columns, [f.dataType.simpleString() for f in rates.schema])) == {
         "tariff_code": "string", "period_name": "string", "start_hour": "int", "end_hour": "int", "unit_rate": "double"
     }
+
+
+def test_profile_percentiles_without_aqe(spark):
+    # Regression: with AQE off, a persisted range-partitioned relation was not
+    # reused by the second side of the self-join inside with_offset, so the
+    # two sides disagreed on partition ids and the percentiles came out wrong.
+    import numpy as np
+
+    from gridlake.operators.quality import profile
+    from gridlake.plans.queries import nulled
+
+    old = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        n = nulled(spark, "/root/testdata/sf0.01")
+        vals = [r[0] for r in n.select("interval_kwh").collect() if r[0] is not None]
+        r = profile(n, ["interval_kwh"]).first()
+        for name, p in (("p25", 25), ("p50", 50), ("p75", 75)):
+            assert abs(r[name] - round(float(np.percentile(vals, p)), 6)) < 1e-6, name
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old[0])
+        spark.conf.set("spark.sql.shuffle.partitions", old[1])
