@@ -2,7 +2,7 @@
 same column names and types, same multiset of rows (columns compared by name, doubles
 compared after rounding to 9 significant digits).
 
-CLI: ``python -m tests.parity [--strict] [--plain] [--zone=Area/City] /root/testdata/sf0.01 [query ...]``
+CLI: ``python -m tests.parity [--strict] [--plain] [--no-aqe] [--zone=Area/City] /root/testdata/sf0.01 [query ...]``
 """
 
 from __future__ import annotations
@@ -99,8 +99,9 @@ def main(argv):
     global STRICT
     STRICT = "--strict" in argv
     plain = "--plain" in argv
+    no_aqe = "--no-aqe" in argv
     zone = next((a.split("=", 1)[1] for a in argv if a.startswith("--zone=")), None)
-    argv = [a for a in argv if a not in ("--plain", "--strict") and not a.startswith("--zone=")]
+    argv = [a for a in argv if a not in ("--plain", "--strict", "--no-aqe") and not a.startswith("--zone=")]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(E.queries())
     if plain:
@@ -118,6 +119,9 @@ def main(argv):
     if zone:
         # results must not depend on the session zone
         spark.conf.set("spark.sql.session.timeZone", zone)
+    if no_aqe:
+        # nor on adaptive execution being available
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
     con = duck_connect(sf_dir)
     qs, oracle = E.queries(), E.oracle_sql()
     bad = 0
