@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
 _HAS_OFFSET = r"(?i)(z|[+-]\d{2}(:?\d{2})?)$"
 
@@ -121,6 +121,16 @@ def date_key(ts, zone: str | None = None) -> Column:
     return F.to_date(ts).cast(StringType())
 
 
+def epoch_seconds(c, dtype=None) -> Column:
+    """Seconds since 1970-01-01 UTC as a double (fractions kept) for a UTC
+    NTZ instant, an LTZ instant or a date; zone-free."""
+    c = _col(c)
+    if isinstance(dtype, DateType):
+        return (F.datediff(c, F.lit("1970-01-01").cast("date")) * 86400).cast("double")
+    ntz = to_utc_ntz(c, dtype) if isinstance(dtype, TimestampType) else c
+    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), ntz).cast("double") / 1e6
+
+
 def day_number(d) -> Column:
     """Days since 1970-01-01 of a date (or ISO date string); used for
     gap-tolerant ``rangeBetween`` frames."""

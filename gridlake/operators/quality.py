@@ -7,10 +7,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
 from gridlake.functions.scalar import exact_mean
-from gridlake.functions.time import local_hour
+from gridlake.functions.time import epoch_seconds, local_hour
 from gridlake.operators.ordering import with_offset
 from gridlake.session import cut_lineage
 
@@ -69,7 +69,9 @@ def profile(
     mean, sample std, min, exact percentiles (linear interpolation) and max
     (numeric columns). Doubles rounded to 6 dp, except the mean of a column
     whose decimal places are given in ``decimals`` (exact, see
-    ``exact_mean``).
+    ``exact_mean``). Timestamp and date columns are described as pandas
+    describes datetimes (count, mean, min, quartiles, max; no std), on UTC
+    epoch seconds; their mean is taken over the whole-second sum.
 
     Percentiles are exact without gathering a column into one task: values
     are counted per distinct value (partial aggregation), ranked with a
@@ -78,16 +80,25 @@ def profile(
     columns x percentiles (bounded, broadcast).
     """
     cols = list(cols or df.columns)
-    numeric = {c for c in cols if isinstance(df.schema[c].dataType, NumericType)}
+    types = {c: df.schema[c].dataType for c in cols}
+    temporal = {c for c, t in types.items() if isinstance(t, (TimestampNTZType, TimestampType, DateType))}
+    numeric = {c for c, t in types.items() if isinstance(t, NumericType)} | temporal
+
+    def as_number(c):
+        if c in temporal:
+            return epoch_seconds(F.col(c), types[c])
+        return F.col(c).cast("double")
+
     parts = [
         F.struct(
             F.lit(c).alias("column"),
             (F.lit(None).cast("string") if c in numeric else F.col(c).cast("string")).alias("s"),
-            (F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("d"),
+            (as_number(c) if c in numeric else F.lit(None).cast("double")).alias("d"),
         )
         for c in cols
     ]
-    decimals = decimals or {}
+    # whole-second sums: exact in any order below 2**53 seconds in total
+    decimals = {**{c: 0 for c in temporal}, **(decimals or {})}
     long = df.select(F.inline(F.array(*parts)))
     present = F.col("s").isNotNull() | F.col("d").isNotNull()
     # One shuffle: counts per (column, distinct value), partially aggregated
@@ -115,7 +126,7 @@ def profile(
     # Second pass over the counts for a numerically stable sample variance
     # (sum of squared deviations from the mean, not E[x^2] - E[x]^2).
     spread = (
-        counts.filter(F.col("d").isNotNull())
+        counts.filter(F.col("d").isNotNull() & ~F.col("column").isin(*temporal) if temporal else F.col("d").isNotNull())
         .join(F.broadcast(first.select("column", "_mu")), "column")
         .groupBy("column")
         .agg(

@@ -247,6 +247,13 @@ ORACLE.update({
                   round(quantile_cont(voltage, 0.75), 6), round(max(voltage), 6)
            FROM nulled
            UNION ALL
+           SELECT 'reading_ts', count(reading_ts), count(DISTINCT reading_ts), NULL, NULL,
+                  round(sum(epoch(reading_ts)), 0) / NULLIF(count(reading_ts), 0),
+                  NULL, round(min(epoch(reading_ts)), 6),
+                  round(quantile_cont(epoch(reading_ts), 0.25), 6), round(quantile_cont(epoch(reading_ts), 0.5), 6),
+                  round(quantile_cont(epoch(reading_ts), 0.75), 6), round(max(epoch(reading_ts)), 6)
+           FROM nulled
+           UNION ALL
            SELECT 'quality', count(quality), count(DISTINCT quality),
                   (SELECT quality FROM nulled WHERE quality IS NOT NULL GROUP BY quality
                    ORDER BY count(*) DESC, quality LIMIT 1),

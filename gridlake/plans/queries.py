@@ -194,7 +194,9 @@ def q_head_rows(spark, d):
 
 def q_table_profile(spark, d):
     return qa.profile(
-        nulled(spark, d), ["interval_kwh", "voltage", "quality"], decimals={"interval_kwh": 4, "voltage": 1}
+        nulled(spark, d),
+        ["reading_ts", "interval_kwh", "voltage", "quality"],
+        decimals={"interval_kwh": 4, "voltage": 1},
     )
 
 

@@ -113,3 +113,22 @@ def test_frequencies_order_and_nulls(spark):
 def test_head_rows_explicit_order(spark):
     df = spark.range(100).select((99 - F.col("id")).alias("x"))
     assert [r["x"] for r in qa.head_rows(df, 3, ["x"]).collect()] == [0, 1, 2]
+
+
+def test_profile_timestamps_like_pandas_datetimes(spark):
+    base = dt.datetime(2025, 7, 1)
+    ts = [base + dt.timedelta(hours=h * 7 % 50) for h in range(41)]
+    df = spark.createDataFrame([(t,) for t in ts], "reading_ts timestamp_ntz")
+    r = qa.profile(df).first()
+    s = pd.Series(pd.to_datetime(ts))
+    desc = s.describe()
+    epoch = pd.Timestamp("1970-01-01")
+
+    def secs(x):
+        return (pd.Timestamp(x) - epoch).total_seconds()
+
+    assert r["count"] == 41 and r["std"] is None and r["top"] is None
+    assert r["min"] == secs(desc["min"]) and r["max"] == secs(desc["max"])
+    assert abs(r["mean"] - secs(desc["mean"])) < 1e-3
+    for name, key in (("p25", "25%"), ("p50", "50%"), ("p75", "75%")):
+        assert abs(r[name] - secs(desc[key])) < 1e-6
