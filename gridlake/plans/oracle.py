@@ -370,6 +370,7 @@ ORACLE.update({
     "csv_roundtrip": with_ctes([READINGS, LATEST], "SELECT * FROM latest"),
     "partitioned_roundtrip": with_ctes(SILVER_CHAIN, "SELECT * FROM silver"),
     "stream_ingest_latest": with_ctes([READINGS, LATEST], f"SELECT {READING_COLS} FROM latest"),
+    "stream_bronze_append": with_ctes([READINGS], f"SELECT {READING_COLS} FROM readings"),
     "jsonl_roundtrip": with_ctes([READINGS, LATEST], "SELECT * FROM latest"),
     "bronze_load_counts": with_ctes(
         [CHANGES],

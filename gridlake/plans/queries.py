@@ -40,7 +40,7 @@ from gridlake.sources.sinks import (
     write_jsonl,
     write_table,
 )
-from gridlake.streaming.ingest import publish, read_events, upsert_latest
+from gridlake.streaming.ingest import append_bronze, publish, read_events, upsert_latest
 
 # -- building blocks ---------------------------------------------------------
 
@@ -397,6 +397,25 @@ def q_stream_ingest_latest(spark, d):
     )
 
 
+def q_stream_bronze_append(spark, d):
+    """The wire-format feed (ISO text instants) replayed as JSON files
+    and appended to Bronze by a file stream (raw rows, plus ingest time);
+    returns Bronze as read back, instants typed, the ingest time left out
+    (it is the processing time of the micro-batch)."""
+    root = _scratch(spark, "bronze-stream")
+    src = dt.readings_text(spark, d).withColumnRenamed("_ingested_at", "seq")
+    publish(src, f"{root}/src", batch_size=4096)
+    q = append_bronze(
+        read_events(spark, f"{root}/src", src.schema, files_per_trigger=4), f"{root}/bronze", f"{root}/_checkpoint"
+    )
+    q.awaitTermination()
+    bronze = type_instant(spark.read.parquet(f"{root}/bronze"), "reading_ts")
+    return bronze.select(
+        "meter_id", "customer_id", "reading_ts", "interval_kwh", "voltage", "quality",
+        F.col("seq").alias("_ingested_at"),
+    )
+
+
 QUERIES = {
     "dedupe_latest": q_dedupe_latest,
     "bronze_text_typing": q_bronze_text_typing,
@@ -436,6 +455,7 @@ QUERIES = {
     "csv_roundtrip": q_csv_roundtrip,
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "stream_ingest_latest": q_stream_ingest_latest,
+    "stream_bronze_append": q_stream_bronze_append,
     "jsonl_roundtrip": q_jsonl_roundtrip,
     "bronze_load_counts": q_bronze_load_counts,
     "pipeline_run": q_pipeline_run,
