@@ -19,7 +19,7 @@ from gridlake.functions.time import month_key, to_utc_ntz, trunc_hour
 from gridlake.operators.aggregates import cost_fact, daily_usage, daily_weather
 from gridlake.operators.cleanse import null_sentinel, split_quarantine, trim_window, with_reason
 from gridlake.operators.dedupe import dedupe_latest, prioritised_union
-from gridlake.operators.joins import join_hourly, resolve_as_of
+from gridlake.operators.joins import join_hourly, resolve_as_of, with_location
 
 
 def type_instant(df: DataFrame, col: str) -> DataFrame:
@@ -28,11 +28,12 @@ def type_instant(df: DataFrame, col: str) -> DataFrame:
 
 
 def reconcile_weather(
-    history: DataFrame, forecast: DataFrame, ts: str = "weather_ts"
+    history: DataFrame, forecast: DataFrame | None, ts: str = "weather_ts"
 ) -> DataFrame:
     """U1 + W2: history rows win over forecast rows for the same hour and
-    location; hours only in the forecast are kept."""
-    frames = [type_instant(history, ts), type_instant(forecast, ts)]
+    location; hours only in the forecast are kept. ``forecast=None`` keeps
+    the history alone (still one row per hour and location)."""
+    frames = [type_instant(f, ts) for f in (history, forecast) if f is not None]
     return prioritised_union(frames, [ts, "latitude", "longitude"])
 
 
@@ -51,6 +52,7 @@ def build_silver(
     order_col: str = "_ingested_at",
     horizon=None,
     window=None,
+    locations: tuple[DataFrame, DataFrame] | None = None,
 ) -> Silver:
     """Silver readings with ``tariff_code``, ``temperature_2m``,
     ``relative_humidity_2m`` and ``hour_ts``.
@@ -63,6 +65,9 @@ def build_silver(
     makes ``end`` the ``horizon`` that turns on the time-bucketed as-of join,
     which splits a hot meter (see ``resolve_as_of``). Readings with an
     unparsed instant are not trimmed; they go to quarantine.
+    ``locations=(dim_meter, dim_location)`` makes the weather join
+    location-aware (each reading matches its own site's hour) instead of the
+    published hour-only join, which fans out with several sites.
     """
     typed = type_instant(readings, "reading_ts")
     if window is not None:
@@ -76,7 +81,12 @@ def build_silver(
     else:
         good, bad = nulled, None
     tariffed = resolve_as_of(good, tariff_history, horizon=horizon)
+    if locations is not None:
+        tariffed = with_location(tariffed, *locations)
+        weather_keys = [("latitude", "latitude"), ("longitude", "longitude")]
     enriched = join_hourly(tariffed, weather, keys=weather_keys)
+    if locations is not None:
+        enriched = enriched.drop("latitude", "longitude")
     return Silver(enriched.withColumn("hour_ts", trunc_hour(F.col("reading_ts"))), bad)
 
 
@@ -128,7 +138,7 @@ def run_pipeline(
     readings: DataFrame,
     tariff_history: DataFrame,
     weather_history: DataFrame,
-    weather_forecast: DataFrame,
+    weather_forecast: DataFrame | None,
     rates: DataFrame,
     out_dir: str,
     fmt: str = "parquet",
@@ -137,6 +147,7 @@ def run_pipeline(
     date_zone: str | None = None,
     horizon=None,
     silver_partitioning: str = "month",
+    locations: tuple[DataFrame, DataFrame] | None = None,
 ) -> PipelineOutputs:
     """E1 + E2 with their sinks: Silver (and quarantine) written once and
     Gold read back from the written Silver, so the Silver plan (dedupe
@@ -152,7 +163,9 @@ def run_pipeline(
     from gridlake.sources.sinks import write_table
 
     weather = reconcile_weather(weather_history, weather_forecast)
-    s = build_silver(readings, tariff_history, weather, quarantine=quarantine, horizon=horizon)
+    s = build_silver(
+        readings, tariff_history, weather, quarantine=quarantine, horizon=horizon, locations=locations
+    )
     paths = PipelineOutputs(
         silver=f"{out_dir}/meter_readings_silver",
         quarantine=f"{out_dir}/meter_readings_quarantine" if quarantine else None,

@@ -73,3 +73,26 @@ def test_quickstart(spark):
     silver = spark.read.parquet(out.silver)
     assert silver.filter(F.col("temperature_2m").isNull()).count() == 0
     assert dim_date(spark, WINDOW_START, WINDOW_END).count() == 366
+
+
+def test_quickstart_location_aware_without_forecast(spark):
+    from gridlake.operators.dims import dim_location
+
+    root = tempfile.mkdtemp(prefix="gridlake-quickstart-", dir="/tmp")
+    _write_feed(root)
+    readings = stamp(read_jsonl(spark, f"{root}/readings", schemas.READING_EVENT).drop("_corrupt_record"))
+    history = spark.createDataFrame(
+        [(1, "MTR-00000", "standard", WINDOW_START, None, True), (2, "MTR-00001", "green", WINDOW_START, None, True)],
+        schemas.DIM_METER_TARIFF,
+    )
+    weather_hist = read_payloads(spark, f"{root}/weather", LOCATION[3], LOCATION[4]).unionByName(
+        read_payloads(spark, f"{root}/weather", 60.39, 5.32).withColumn("temperature_2m", F.lit(-1.0))
+    )
+    meters = spark.createDataFrame([("MTR-00000", 1), ("MTR-00001", 2)], "meter_id string, location_id int")
+    locs = dim_location(spark).unionByName(spark.createDataFrame([(2, "Bergen", "NO", 60.39, 5.32)], schemas.DIM_LOCATION))
+    out = run_pipeline(readings, history, weather_hist, None, dim_tariff_rate(spark), f"{root}/lake",
+                       horizon=WINDOW_END, locations=(meters, locs))
+    silver = spark.read.parquet(out.silver)
+    temps = {r["meter_id"]: r["t"] for r in silver.groupBy("meter_id").agg(F.max("temperature_2m").alias("t")).collect()}
+    assert temps == {"MTR-00000": 15.0, "MTR-00001": -1.0}
+    assert silver.count() == 14  # no fan-out over the two sites
