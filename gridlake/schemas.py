@@ -9,6 +9,7 @@ from pyspark.sql.types import (
     BooleanType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -76,7 +77,7 @@ DIM_METER = _s(
 )
 
 DIM_METER_TARIFF = _s(
-    ("meter_tariff_sk", IntegerType()),
+    ("meter_tariff_sk", LongType()),
     ("meter_id", StringType()),
     ("tariff_code", StringType()),
     ("valid_from", StringType()),
