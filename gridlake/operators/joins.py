@@ -37,6 +37,7 @@ def resolve_as_of(
     inclusive_to: bool = True,
     horizon=None,
     bucket: str = "month",
+    since=None,
 ) -> DataFrame:
     """Left as-of join of each reading to the history row valid at its
     instant: ``valid_from <= ts < valid_to (+1 day when inclusive)``.
@@ -55,7 +56,12 @@ def resolve_as_of(
     readings are then spread over one join key per bucket, and because the
     key is new on both sides both get a fresh shuffle, so AQE's skew-join
     handling can split a still-oversized (meter, bucket) partition further.
-    The history grows by the buckets each interval spans.
+    ``since`` (the analysis window start) clips the low end the same way,
+    so a history row expands over at most the buckets of [since, horizon]
+    (a contract open since years before the window still yields about 12
+    rows for a one-year window, not one per month since it began); a
+    reading before ``since`` lands in the ``since`` bucket, where every
+    interval that could cover it is also present, so results stay exact.
     """
     end = F.coalesce(F.to_date(F.col(valid_to)), F.lit(OPEN_END).cast("date"))
     if inclusive_to:
@@ -75,16 +81,20 @@ def resolve_as_of(
     if horizon is not None:
         if bucket not in ("month", "day"):
             raise ValueError("bucket must be 'month' or 'day'")
-        hd = F.lit(horizon).cast("date") if isinstance(horizon, str) else F.to_date(horizon)
-        h = _bucket_of(hd, bucket)
-        first = F.least(_bucket_of(start, bucket), h)
-        last = F.greatest(F.least(_bucket_of(F.date_sub(end, 1), bucket), h), first)
+        h = _bucket_of(_as_date(horizon), bucket)
+        lo = _bucket_of(_as_date(since), bucket) if since is not None else None
+
+        def clip(b):
+            return F.least(F.greatest(b, lo) if lo is not None else b, h)
+
+        first = clip(_bucket_of(start, bucket))
+        last = F.greatest(clip(_bucket_of(F.date_sub(end, 1), bucket)), first)
         step = F.expr(f"INTERVAL 1 {bucket.upper()}")
         cols.append(F.explode(F.sequence(first, last, step)).alias("_h_bucket"))
         # The reading's bucket is a projected column (not an expression in
         # the join condition), so a horizon given as a scalar subquery is
         # evaluated in a projection, never inside a shuffle's partitioning.
-        readings = readings.withColumn("_r_bucket", F.least(_bucket_of(F.to_date(F.col(ts)), bucket), h))
+        readings = readings.withColumn("_r_bucket", clip(_bucket_of(F.to_date(F.col(ts)), bucket)))
         cond = cond & (F.col("_r_bucket") == F.col("_h_bucket"))
     hist = history.select(*cols)
     joined = readings.join(hist, cond, "left")
@@ -94,6 +104,10 @@ def resolve_as_of(
     )
 
 
+def _as_date(x):
+    return F.lit(x).cast("date") if isinstance(x, str) else F.to_date(x)
+
+
 def _bucket_of(d, bucket: str):
     return F.trunc(d, "month") if bucket == "month" else d
 

@@ -80,7 +80,8 @@ def build_silver(
         good, bad = split_quarantine(nulled)
     else:
         good, bad = nulled, None
-    tariffed = resolve_as_of(good, tariff_history, horizon=horizon)
+    since = window[0] if window is not None else None
+    tariffed = resolve_as_of(good, tariff_history, horizon=horizon, since=since)
     if locations is not None:
         tariffed = with_location(tariffed, *locations)
         weather_keys = [("latitude", "latitude"), ("longitude", "longitude")]

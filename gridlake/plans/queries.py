@@ -116,7 +116,7 @@ def q_readings_with_tariff(spark, d):
     good, _ = split_quarantine(nulled(spark, d))
     bounds = dt.window_bounds(spark, d)
     hist = dt.tariff_history(spark, d, with_key=False, bounds=bounds)
-    return resolve_as_of(good, hist, horizon=bounds[1])
+    return resolve_as_of(good, hist, horizon=bounds[1], since=bounds[0])
 
 
 def q_readings_with_weather(spark, d):

@@ -74,9 +74,9 @@ def test_as_of_matches_brute_force(spark, recs, changes, open_end):
         return None
 
     want = sorted(((m, t, brute(m, t)) for m, t in data), key=str)
-    for horizon in (None, "2025-02-01"):
-        got = sorted((tuple(x) for x in resolve_as_of(r, h, horizon=horizon).collect()), key=str)
-        assert got == want
+    for horizon, since in ((None, None), ("2025-02-01", None), ("2025-02-01", "2025-01-20"), ("2025-03-01", "2025-02-10")):
+        got = sorted((tuple(x) for x in resolve_as_of(r, h, horizon=horizon, since=since).collect()), key=str)
+        assert got == want, (horizon, since)
 
 
 @SETTINGS

@@ -150,8 +150,12 @@ def test_as_of_bucketed_equals_plain(spark):
     )
     plain = rows(resolve_as_of(df, hist), "meter_id", "reading_ts", "tariff_code")
     for bucket in ("month", "day"):
-        got = rows(resolve_as_of(df, hist, horizon="2026-06-29", bucket=bucket), "meter_id", "reading_ts", "tariff_code")
-        assert got == plain
+        for since in (None, "2025-09-01"):
+            got = rows(
+                resolve_as_of(df, hist, horizon="2026-06-29", bucket=bucket, since=since),
+                "meter_id", "reading_ts", "tariff_code",
+            )
+            assert got == plain, (bucket, since)
     assert [p[2] for p in plain if p[0] == "M3"] == [None, "green", "green"]
     assert [p[2] for p in plain if p[0] == "M4"] == [None, "standard"]
 
