@@ -119,19 +119,22 @@ def join_hourly(
     weather_ts: str = "weather_ts",
     cols: Sequence[str] = ("temperature_2m", "relative_humidity_2m"),
     keys: Sequence[tuple[str, str]] = (),
+    hour_col: str | None = None,
 ) -> DataFrame:
     """Left join each reading to the weather row of its hour.
 
     ``keys`` adds (reading column, weather column) pairs, e.g. location;
     without them the join is on the hour alone, as published (one row per
-    location per hour then fans a reading out).
+    location per hour then fans a reading out). ``hour_col`` names a column
+    that already holds the reading's hour (saves recomputing it).
     """
     w = weather.select(
         F.col(weather_ts).alias("_w_hour"),
         *[F.col(wc).alias(f"_w_k{i}") for i, (_, wc) in enumerate(keys)],
         *[F.col(c).alias(f"_w_{c}") for c in cols],
     )
-    cond = trunc_hour(F.col(ts)) == F.col("_w_hour")
+    hour = F.col(hour_col) if hour_col else trunc_hour(F.col(ts))
+    cond = hour == F.col("_w_hour")
     for i, (rc, _) in enumerate(keys):
         cond = cond & (F.col(rc) == F.col(f"_w_k{i}"))
     joined = readings.join(w, cond, "left")

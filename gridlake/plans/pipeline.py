@@ -85,10 +85,11 @@ def build_silver(
     if locations is not None:
         tariffed = with_location(tariffed, *locations)
         weather_keys = [("latitude", "latitude"), ("longitude", "longitude")]
-    enriched = join_hourly(tariffed, weather, keys=weather_keys)
+    hourly = tariffed.withColumn("hour_ts", trunc_hour(F.col("reading_ts")))
+    enriched = join_hourly(hourly, weather, keys=weather_keys, hour_col="hour_ts")
     if locations is not None:
         enriched = enriched.drop("latitude", "longitude")
-    return Silver(enriched.withColumn("hour_ts", trunc_hour(F.col("reading_ts"))), bad)
+    return Silver(enriched, bad)
 
 
 @dataclass
