@@ -40,3 +40,22 @@ def test_column_pruning_reaches_scan(spark):
     p = _plan(E.queries()["weather_reconciled"](spark, SF_SMALL))
     # only the 4 of 6 columns the weather statistics use (no user_id, no props)
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string,value:double>" in p
+
+
+def test_at_scale_shape_of_flagship(spark):
+    """With size-based broadcasts off (the cluster case), the as-of join is a
+    sort-merge join on (meter, month bucket), the weather join a sort-merge on
+    the hour, and the literal rate table still a broadcast."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        p = _plan(E.queries()["daily_cost"](spark, SF_SMALL)).split("== Initial Plan ==")[0]
+        assert "SortMergeJoin [meter_id" in p and "_r_bucket" in p
+        assert "SortMergeJoin [hour_ts" in p
+        assert "BroadcastHashJoin [tariff_code" in p
+        assert "WindowGroupLimit" in p
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
