@@ -151,10 +151,15 @@ def run_pipeline(
     silver_partitioning: str = "month",
     locations: tuple[DataFrame, DataFrame] | None = None,
 ) -> PipelineOutputs:
-    """E1 + E2 with their sinks: Silver (and quarantine) written once and
-    Gold read back from the written Silver, so the Silver plan (dedupe
-    shuffle, joins) runs once for all Gold tables and the lineage is cut at
-    the lake table.
+    """E1 + E2 with their sinks: Silver and its quarantine written in one
+    job and Gold read back from the written Silver, so the Silver plan
+    (dedupe shuffle, joins) runs once for every output and the lineage is
+    cut at the lake table.
+
+    Silver and quarantine are one table, ``meter_readings``, partitioned by
+    ``status`` (``good`` / ``quarantine``) first: written as two separate
+    tables, the second write would re-run the whole dedupe from Bronze. The
+    output paths point at the two ``status=`` directories.
 
     ``silver_partitioning``: ``month`` (default; ``reading_month``
     directories, meter and instant as the in-file sort), ``date``
@@ -168,9 +173,10 @@ def run_pipeline(
     s = build_silver(
         readings, tariff_history, weather, quarantine=quarantine, horizon=horizon, locations=locations
     )
+    readings_table = f"{out_dir}/meter_readings"
     paths = PipelineOutputs(
-        silver=f"{out_dir}/meter_readings_silver",
-        quarantine=f"{out_dir}/meter_readings_quarantine" if quarantine else None,
+        silver=f"{readings_table}/status=good",
+        quarantine=f"{readings_table}/status=quarantine" if quarantine else None,
         fact=f"{out_dir}/fact_meter_reading_gold",
         daily=f"{out_dir}/fact_daily_usage_gold",
         weather_daily=f"{out_dir}/weather_daily_gold",
@@ -185,9 +191,16 @@ def run_pipeline(
         raise ValueError(f"silver_partitioning must be one of {sorted(part_cols)}")
     pcol, pexpr = part_cols[silver_partitioning]
     sort = ["reading_ts"] if pcol == "meter_id" else ["meter_id", "reading_ts"]
-    write_table(s.enriched.withColumn(pcol, pexpr), paths.silver, fmt, partition_by=[pcol], sort_within=sort)
+    both = s.enriched.withColumn("status", F.lit("good"))
     if quarantine:
-        write_table(s.quarantine, paths.quarantine, fmt)
+        both = both.unionByName(s.quarantine.withColumn("status", F.lit("quarantine")), allowMissingColumns=True)
+    write_table(both.withColumn(pcol, pexpr), readings_table, fmt, partition_by=["status", pcol], sort_within=sort)
+    spark = spark_of(readings)
+    if quarantine and not _exists(spark, paths.quarantine):
+        # no quarantined row: leave an empty table, so readers find one
+        spark.createDataFrame([], s.quarantine.schema).write.format(fmt).mode("overwrite").save(paths.quarantine)
+    if not _exists(spark, paths.silver):
+        spark.createDataFrame([], s.enriched.schema).write.format(fmt).mode("overwrite").save(paths.silver)
     schema = s.enriched.schema
     if pcol != "meter_id":
         schema = StructType([*schema.fields, StructField(pcol, StringType(), True)])
@@ -204,3 +217,9 @@ def run_pipeline(
 
 def spark_of(df: DataFrame):
     return df.sparkSession
+
+
+def _exists(spark, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
