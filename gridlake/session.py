@@ -14,13 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans are designed around. AQE re-plans joins from runtime
 # sizes (broadcast only below the threshold, sort-merge beyond it), splits
-# skewed join partitions and coalesces small shuffle partitions.
+# skewed join partitions and coalesces small shuffle partitions. The static,
+# estimate-based broadcast is off: an estimate can be far too small (an
+# exploded grid is estimated at its input's size), while AQE decides on the
+# measured size of a finished stage. Sides with a proven bound (the literal
+# rate table) carry an explicit broadcast hint instead.
 RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
-    "spark.sql.autoBroadcastJoinThreshold": "10MB",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
 }
 
 
