@@ -75,7 +75,7 @@ instants = st.datetimes(min_value=dt.datetime(2024, 1, 1), max_value=dt.datetime
 offsets = st.sampled_from([-600, -300, 0, 60, 120, 330])
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=10, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(instants, offsets), min_size=1, max_size=40))
 def test_time_rules_match_pandas(spark, pairs):
     recs = []

@@ -11,7 +11,9 @@ from gridlake.operators import quality as qa
 from gridlake.operators.dedupe import dedupe_latest
 from gridlake.operators.joins import resolve_as_of
 
-SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = settings(
+    max_examples=6, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
 BASE = dt.datetime(2025, 1, 1)
 
 readings_st = st.lists(
