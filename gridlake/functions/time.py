@@ -13,7 +13,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
-_HAS_OFFSET = r"(?i)(z|[+-]\d{2}(:?\d{2})?)$"
+# An offset only counts after a time of day ("...T10:00[:00[.fff]]" then
+# "Z" / "+02:00" / "+0200" / "+02"); a bare date such as "2025-07-01" ends in
+# "-01" but has no offset.
+_HAS_OFFSET = r"(?i)[t ]\d{1,2}:\d{2}(:\d{2}(\.\d{1,9})?)?\s*(z|[+-]\d{2}(:?\d{2})?)$"
+_MINUTES_BEFORE_OFFSET = r"(?i)([t ]\d{1,2}:\d{2})(?=\s*(z|[+-]\d{2}(:?\d{2})?)$)"
 
 
 def _epoch_ntz() -> Column:
@@ -46,8 +50,10 @@ def to_utc_ntz(c, dtype=None) -> Column:
     s = F.trim(c.cast(StringType()))
     # With an offset: an instant (LTZ cast honours the offset). Without one:
     # UTC wall clock (NTZ cast, which never consults the session zone).
+    # Spark's cast needs seconds before an offset ("T10:00Z" -> "T10:00:00Z").
+    with_secs = F.regexp_replace(s, _MINUTES_BEFORE_OFFSET, "$1:00")
     return F.when(
-        s.rlike(_HAS_OFFSET), _ltz_to_utc_ntz(s.try_cast(TimestampType()))
+        s.rlike(_HAS_OFFSET), _ltz_to_utc_ntz(with_secs.try_cast(TimestampType()))
     ).otherwise(s.try_cast(TimestampNTZType()))
 
 

@@ -17,6 +17,15 @@ def test_to_utc_ntz_offsets_and_garbage(spark):
     )
     got = [r[0] for r in df.select(to_utc_ntz("s")).collect()]
     assert got[:3] == [_ts("2025-07-01T00:00:00")] * 3
+    # a bare date ends in "-01" but carries no offset: UTC midnight, whatever the session zone
+    other = spark.createDataFrame(
+        [("2025-07-01",), ("2025-07-01 10:00:00+0200",), ("2025-07-01T10:00:00.250-01",), ("2025-07-01T10:00Z",)],
+        "s string",
+    )
+    assert [r[0] for r in other.select(to_utc_ntz("s")).collect()] == [
+        _ts("2025-07-01T00:00:00"), _ts("2025-07-01T08:00:00"), _ts("2025-07-01T11:00:00.250"),
+        _ts("2025-07-01T10:00:00"),
+    ]
     assert got[3] == _ts("2024-01-20T19:00:00")
     assert got[4] is None and got[5] is None
 
