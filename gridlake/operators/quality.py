@@ -187,8 +187,14 @@ def profile(
             for p in percentiles
         ]
     )
-    out = moments.join(pcts, "column", "left")
+    # one row per requested column, also for a column with no value at all
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("column"))
+    out = names.join(moments, "column", "left").join(pcts, "column", "left")
+    zero = F.lit(0).cast("long")
     return out.select(
-        "column", "count", "unique", "top", "freq", "mean", "std", "min",
+        "column",
+        F.coalesce(F.col("count"), zero).alias("count"),
+        F.coalesce(F.col("unique"), zero).alias("unique"),
+        "top", "freq", "mean", "std", "min",
         *[f"p{int(round(p * 100))}" for p in percentiles], "max",
     )

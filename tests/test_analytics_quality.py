@@ -132,3 +132,10 @@ def test_profile_timestamps_like_pandas_datetimes(spark):
     assert abs(r["mean"] - secs(desc["mean"])) < 1e-3
     for name, key in (("p25", "25%"), ("p50", "50%"), ("p75", "75%")):
         assert abs(r[name] - secs(desc[key])) < 1e-6
+
+
+def test_profile_keeps_all_null_and_boolean_columns(spark):
+    df = spark.createDataFrame([(None, True), (None, False), (None, True)], "x double, flag boolean")
+    prof = {r["column"]: r for r in qa.profile(df).collect()}
+    assert prof["x"]["count"] == 0 and prof["x"]["unique"] == 0 and prof["x"]["mean"] is None
+    assert (prof["flag"]["count"], prof["flag"]["unique"], prof["flag"]["top"], prof["flag"]["freq"]) == (3, 2, "true", 2)
