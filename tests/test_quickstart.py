@@ -96,3 +96,23 @@ def test_quickstart_location_aware_without_forecast(spark):
     temps = {r["meter_id"]: r["t"] for r in silver.groupBy("meter_id").agg(F.max("temperature_2m").alias("t")).collect()}
     assert temps == {"MTR-00000": 15.0, "MTR-00001": -1.0}
     assert silver.count() == 14  # no fan-out over the two sites
+
+
+def test_pipeline_without_quarantine_keeps_faulty_rows(spark):
+    # the published code path: MISSING kWh nulled, row kept (and billed at 0)
+    root = tempfile.mkdtemp(prefix="gridlake-quickstart-", dir="/tmp")
+    _write_feed(root)
+    readings = stamp(read_jsonl(spark, f"{root}/readings", schemas.READING_EVENT).drop("_corrupt_record"))
+    history = spark.createDataFrame(
+        [(1, "MTR-00000", "standard", WINDOW_START, WINDOW_END, True)], schemas.DIM_METER_TARIFF
+    )
+    weather = read_payloads(spark, f"{root}/weather", LOCATION[3], LOCATION[4])
+    out = run_pipeline(readings, history, weather, None, dim_tariff_rate(spark), f"{root}/lake",
+                       quarantine=False, horizon=WINDOW_END, silver_partitioning="date")
+    assert out.quarantine is None
+    fact = spark.read.parquet(out.fact)
+    # MTR-00000: 8 slots incl. one MISSING (kWh NULL -> cost NULL); MTR-00001 has no tariff -> not billed
+    assert fact.count() == 8 and fact.filter(F.col("interval_kwh").isNull()).count() == 1
+    daily = spark.read.parquet(out.daily).collect()
+    assert len(daily) == 1 and daily[0]["kwh"] == 7 * 0.25
+    assert "reading_date=2025-07-01" in os.listdir(out.silver)
