@@ -176,3 +176,22 @@ def test_partitioned_overwrite_is_full_even_if_session_is_dynamic(spark):
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
     assert rows(read_table(spark, f"{d}/t", schema=a.schema), "date_key") == [("2025-07-03",)]
+
+
+def test_replayed_micro_batch_replaces_itself(spark):
+    # a batch re-run under the same id (e.g. after a crash before its commit) adds nothing
+    from gridlake.streaming.ingest import stamp, upsert_latest_batch
+
+    root = _tmp()
+    batch = stamp(spark.createDataFrame(
+        [("M1", "C1", "2025-07-01T00:00:00Z", 1.0, 230.0, "GOOD"), ("M1", "C1", "2025-07-02T00:00:00Z", 2.0, 230.0, "GOOD")],
+        schemas.READING_EVENT,
+    ))
+    for _ in range(2):
+        upsert_latest_batch(batch, 0, f"{root}/bronze", f"{root}/silver")
+    assert spark.read.parquet(f"{root}/bronze").count() == 2
+    assert rows(spark.read.parquet(f"{root}/silver"), "interval_kwh") == [(1.0,), (2.0,)]
+    newer = stamp(spark.createDataFrame([("M1", "C1", "2025-07-01T02:00:00+02:00", 5.0, 230.0, "GOOD")], schemas.READING_EVENT))
+    upsert_latest_batch(newer, 1, f"{root}/bronze", f"{root}/silver")
+    got = [(str(d), k) for d, k in rows(spark.read.parquet(f"{root}/silver"), "reading_date", "interval_kwh")]
+    assert got == [("2025-07-01", 5.0), ("2025-07-02", 2.0)]
