@@ -20,7 +20,7 @@ def lineitem_end(spark: SparkSession, d: str):
     """Last ship day, fetched once as a date literal (window end and as-of
     horizon)."""
     li = dt.table(spark, d, "lineitem")
-    return F.lit(li.agg(F.max(F.to_date("l_shipdate"))).first()[0])
+    return F.lit(li.agg(F.max(F.to_date("l_shipdate"))).first()[0]).cast("date")
 
 
 def lineitem_history(spark: SparkSession, d: str, end=None) -> DataFrame:

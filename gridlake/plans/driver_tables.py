@@ -85,7 +85,7 @@ def window_bounds(spark: SparkSession, sf_dir: str):
     scalar subquery (a scan of ``ts``) in every plan that uses them."""
     d = F.to_date("ts")
     row = table(spark, sf_dir, "events").agg(F.min(d).alias("first"), F.max(d).alias("last")).first()
-    return F.lit(row["first"]), F.lit(row["last"])
+    return F.lit(row["first"]).cast("date"), F.lit(row["last"]).cast("date")
 
 
 def tariff_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
