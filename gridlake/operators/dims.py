@@ -120,9 +120,13 @@ def coverage(
     slots_per_day: int = 96,
     key: str = "meter_id",
     ts: str = "reading_ts",
+    unique: bool = True,
 ) -> DataFrame:
     """Expected vs present slots per meter and UTC day over ``[start,
-    end]``. Each meter row is expanded over the window's days with a
+    end]``. ``unique=True`` (Silver, de-duplicated per meter and instant by
+    W1) counts rows: one shuffle of per-(meter, day) partial counts. With
+    ``unique=False`` distinct instants are counted, which needs a shuffle of
+    every (meter, day, instant) first. Each meter row is expanded over the window's days with a
     generator (one row per meter-day, the size of the output), then the
     per-meter-day reading counts are left-joined; both sides are keyed by
     (meter, day)."""
@@ -132,7 +136,7 @@ def coverage(
     present = (
         readings.filter(F.col(ts).isNotNull())
         .groupBy(F.col(key).alias("_k"), F.to_date(F.col(ts)).alias("_d"))
-        .agg(F.countDistinct(F.col(ts)).alias("present"))
+        .agg((F.count(F.col(ts)) if unique else F.countDistinct(F.col(ts))).alias("present"))
     )
     j = grid.join(present, (F.col(key) == F.col("_k")) & (F.col("_day") == F.col("_d")), "left")
     return j.select(

@@ -151,3 +151,11 @@ def test_profile_percentiles_without_aqe(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", old[0])
         spark.conf.set("spark.sql.shuffle.partitions", old[1])
+
+
+def test_coverage_counts_distinct_slots_on_raw_input(spark):
+    base = dt.datetime(2025, 7, 1)
+    r = spark.createDataFrame([("M1", base), ("M1", base), ("M1", base + dt.timedelta(minutes=15))],
+                              "meter_id string, reading_ts timestamp_ntz")
+    raw = coverage(r, r.select("meter_id").distinct(), "2025-07-01", "2025-07-01", unique=False).first()
+    assert raw["present"] == 2
