@@ -150,6 +150,7 @@ def run_pipeline(
     horizon=None,
     silver_partitioning: str = "month",
     locations: tuple[DataFrame, DataFrame] | None = None,
+    window=None,
 ) -> PipelineOutputs:
     """E1 + E2 with their sinks: Silver and its quarantine written in one
     job and Gold read back from the written Silver, so the Silver plan
@@ -164,14 +165,17 @@ def run_pipeline(
     ``silver_partitioning``: ``month`` (default; ``reading_month``
     directories, meter and instant as the in-file sort), ``date``
     (``reading_date``), or ``meter_id`` (the published layout: one directory
-    per meter, a small-file storm for a large fleet)."""
+    per meter, a small-file storm for a large fleet). ``window=(start,
+    end)`` trims readings to the analysis window and bounds the as-of join's
+    time buckets (see ``build_silver``)."""
     from gridlake.functions.time import date_key
     from gridlake.sources.readers import read_table
     from gridlake.sources.sinks import write_table
 
     weather = reconcile_weather(weather_history, weather_forecast)
     s = build_silver(
-        readings, tariff_history, weather, quarantine=quarantine, horizon=horizon, locations=locations
+        readings, tariff_history, weather, quarantine=quarantine, horizon=horizon, locations=locations,
+        window=window,
     )
     readings_table = f"{out_dir}/meter_readings"
     paths = PipelineOutputs(

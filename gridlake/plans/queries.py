@@ -364,7 +364,7 @@ def q_pipeline_run(spark, d):
         dt.weather_forecast(spark, d),
         dim_tariff_rate(spark),
         root,
-        horizon=bounds[1],
+        window=bounds,
     )
     return spark.read.parquet(paths.daily)
 

@@ -56,7 +56,7 @@ def test_quickstart(spark):
     weather_fcst = spark.createDataFrame([], weather_hist.schema)
     out = run_pipeline(
         readings, history, weather_hist, weather_fcst, dim_tariff_rate(spark), f"{root}/lake",
-        horizon=WINDOW_END,
+        window=(WINDOW_START, WINDOW_END),
     )
     daily = spark.read.parquet(out.daily)
     # ----------------------------------------------------------------------
