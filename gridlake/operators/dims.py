@@ -15,11 +15,18 @@ def _date(x) -> Column:
     return F.lit(x).cast("date") if isinstance(x, str) else F.to_date(x)
 
 
+def _days(start, end) -> Column:
+    """Inclusive day list; empty (NULL, so explode gives no row) when start
+    is after end. A bare ``sequence`` would count down instead."""
+    s, e = _date(start), _date(end)
+    return F.when(s <= e, F.sequence(s, e))
+
+
 def calendar(spark: SparkSession, start, end, col: str = "date") -> DataFrame:
     """Inclusive day range ``[start, end]`` as a one-column DataFrame.
     ``start``/``end`` are ISO strings or Columns (e.g. scalar subqueries).
     Its size is the number of days in the window, not the data volume."""
-    return spark.range(1).select(F.explode(F.sequence(_date(start), _date(end))).alias(col))
+    return spark.range(1).select(F.explode(_days(start, end)).alias(col))
 
 
 def dim_date(spark: SparkSession, start, end) -> DataFrame:
@@ -131,7 +138,7 @@ def coverage(
     per-meter-day reading counts are left-joined; both sides are keyed by
     (meter, day)."""
     grid = meters.select(
-        F.col(key), F.explode(F.sequence(_date(start), _date(end))).alias("_day")
+        F.col(key), F.explode(_days(start, end)).alias("_day")
     )
     present = (
         readings.filter(F.col(ts).isNotNull())

@@ -159,3 +159,8 @@ def test_coverage_counts_distinct_slots_on_raw_input(spark):
                               "meter_id string, reading_ts timestamp_ntz")
     raw = coverage(r, r.select("meter_id").distinct(), "2025-07-01", "2025-07-01", unique=False).first()
     assert raw["present"] == 2
+
+
+def test_calendar_empty_when_start_after_end(spark):
+    assert dim_date(spark, "2025-07-02", "2025-07-01").count() == 0
+    assert dim_date(spark, "2025-07-01", "2025-07-01").count() == 1
