@@ -19,18 +19,22 @@ def meter_day(daily: DataFrame) -> DataFrame:
     )
 
 
+PERIODS = {"month": "mtd", "quarter": "qtd", "year": "ytd"}
+
+
 def period_to_date(md: DataFrame, period: str = "month", value: str = "kwh") -> DataFrame:
-    """Running total within the meter's calendar month or year."""
-    d = F.to_date("date_key")
-    bucket = F.trunc(d, "month" if period == "month" else "year")
+    """Running total within the meter's calendar month, quarter or year
+    (column ``mtd_<value>`` / ``qtd_<value>`` / ``ytd_<value>``)."""
+    if period not in PERIODS:
+        raise ValueError(f"period must be one of {sorted(PERIODS)}")
+    bucket = F.trunc(F.to_date("date_key"), period)
     w = (
         Window.partitionBy("meter_id", bucket.alias("_p"))
         .orderBy("date_key")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
-    name = "mtd" if period == "month" else "ytd"
     return md.select(
-        "meter_id", "date_key", value, F.round(F.sum(value).over(w), 4).alias(f"{name}_{value}")
+        "meter_id", "date_key", value, F.round(F.sum(value).over(w), 4).alias(f"{PERIODS[period]}_{value}")
     )
 
 

@@ -139,3 +139,14 @@ def test_profile_keeps_all_null_and_boolean_columns(spark):
     prof = {r["column"]: r for r in qa.profile(df).collect()}
     assert prof["x"]["count"] == 0 and prof["x"]["unique"] == 0 and prof["x"]["mean"] is None
     assert (prof["flag"]["count"], prof["flag"]["unique"], prof["flag"]["top"], prof["flag"]["freq"]) == (3, 2, "true", 2)
+
+
+def test_quarter_to_date_and_bad_period(spark):
+    md = _md(spark, [("M1", "2025-06-30", 1.0, 0.0), ("M1", "2025-07-01", 2.0, 0.0), ("M1", "2025-09-30", 4.0, 0.0)])
+    got = dict(rows(an.period_to_date(md, "quarter"), "date_key", "qtd_kwh"))
+    assert got == {"2025-06-30": 1.0, "2025-07-01": 2.0, "2025-09-30": 6.0}
+    try:
+        an.period_to_date(md, "week")
+        raise AssertionError("expected ValueError")
+    except ValueError:
+        pass
