@@ -79,7 +79,7 @@ def profile(
     target ranks are picked by a band join against a table of
     columns x percentiles (bounded, broadcast).
     """
-    cols = list(cols or df.columns)
+    cols = list(dict.fromkeys(cols or df.columns))  # each column once, in order
     types = {c: df.schema[c].dataType for c in cols}
     temporal = {c for c, t in types.items() if isinstance(t, (TimestampNTZType, TimestampType, DateType))}
     numeric = {c for c, t in types.items() if isinstance(t, NumericType)} | temporal
