@@ -278,6 +278,14 @@ ORACLE.update({
                   AS ytd_kwh
            FROM meter_day""",
     ),
+    "usage_qtd": with_ctes(
+        ANALYTICS,
+        """SELECT meter_id, date_key, kwh,
+                  round(sum(kwh) OVER (PARTITION BY meter_id, date_trunc('quarter', CAST(date_key AS DATE))
+                                       ORDER BY date_key ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4)
+                  AS qtd_kwh
+           FROM meter_day""",
+    ),
     "usage_rolling7": with_ctes(
         ANALYTICS,
         """SELECT meter_id, date_key, kwh,

@@ -211,6 +211,10 @@ def q_usage_ytd(spark, d):
     return an.period_to_date(meter_day(spark, d), "year")
 
 
+def q_usage_qtd(spark, d):
+    return an.period_to_date(meter_day(spark, d), "quarter")
+
+
 def q_usage_rolling7(spark, d):
     return an.rolling_days(meter_day(spark, d), 7)
 
@@ -441,6 +445,7 @@ QUERIES = {
     "table_profile": q_table_profile,
     "usage_mtd": q_usage_mtd,
     "usage_ytd": q_usage_ytd,
+    "usage_qtd": q_usage_qtd,
     "usage_rolling7": q_usage_rolling7,
     "tariff_what_if": q_tariff_what_if,
     "temp_elasticity": q_temp_elasticity,
