@@ -195,9 +195,7 @@ def run_pipeline(
         raise ValueError(f"silver_partitioning must be one of {sorted(part_cols)}")
     pcol, pexpr = part_cols[silver_partitioning]
     sort = ["reading_ts"] if pcol == "meter_id" else ["meter_id", "reading_ts"]
-    both = s.enriched.withColumn("status", F.lit("good"))
-    if quarantine:
-        both = both.unionByName(s.quarantine.withColumn("status", F.lit("quarantine")), allowMissingColumns=True)
+    both = readings_with_status(s)
     write_table(both.withColumn(pcol, pexpr), readings_table, fmt, partition_by=["status", pcol], sort_within=sort)
     spark = spark_of(readings)
     if quarantine and not _exists(spark, paths.quarantine):
@@ -219,6 +217,16 @@ def run_pipeline(
     return paths
 
 
+def readings_with_status(s: Silver) -> DataFrame:
+    """Silver rows (``status='good'``) and quarantined rows
+    (``status='quarantine'``, with ``reason``) as one DataFrame. Written in
+    one job, both branches read the same dedupe shuffle (``ReusedExchange``)."""
+    both = s.enriched.withColumn("status", F.lit("good"))
+    if s.quarantine is not None:
+        both = both.unionByName(s.quarantine.withColumn("status", F.lit("quarantine")), allowMissingColumns=True)
+    return both
+
+
 def spark_of(df: DataFrame):
     return df.sparkSession
 

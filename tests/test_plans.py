@@ -59,3 +59,17 @@ def test_at_scale_shape_of_flagship(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_silver_and_quarantine_share_one_dedupe_shuffle(spark):
+    from gridlake.plans import driver_tables as dt
+    from gridlake.plans.pipeline import build_silver, readings_with_status
+    from gridlake.plans.queries import weather
+
+    b = dt.window_bounds(spark, SF_SMALL)
+    s = build_silver(
+        dt.readings(spark, SF_SMALL), dt.tariff_history(spark, SF_SMALL, with_key=False, bounds=b),
+        weather(spark, SF_SMALL), window=b,
+    )
+    p = _plan(readings_with_status(s)).split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in p
