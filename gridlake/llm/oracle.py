@@ -37,3 +37,21 @@ SELECT d.doc_id, d.size, crc.c AS text_crc32, 'bytes' AS law, q.shard,
        CAST(NULL AS INTEGER) AS grown_shard
 FROM d JOIN q USING (key, doc_id) JOIN crc USING (t)
 """
+
+ORACLE["op9_line_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), l AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d
+), k AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), f AS (
+  SELECT key, min(doc_id) AS first, count(DISTINCT doc_id) AS n FROM k WHERE length(key) >= 10 GROUP BY key
+), j AS (
+  SELECT k.doc_id, pos, line, coalesce(n >= 2 AND first <> k.doc_id, false) AS dropped FROM k LEFT JOIN f USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+"""

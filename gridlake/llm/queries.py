@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm.common import materialize, table
+from gridlake.llm.linededup import dedup_lines
 from gridlake.llm.sharding import histogram_shards, text_key
+from gridlake.llm.simhash import hex_fingerprint, simhash_components
 
 
 def op7_sharding(spark: SparkSession, d: str) -> DataFrame:
@@ -26,6 +28,20 @@ def op7_sharding(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op8_simhash(spark: SparkSession, d: str) -> DataFrame:
+    found = simhash_components(table(spark, d, "documents"), shingle=3, max_bits=2)
+    return found.select(
+        F.col("doc").alias("doc_id"), hex_fingerprint("fp").alias("fingerprint"), F.col("component").alias("component_id")
+    )
+
+
+def op9_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    out = dedup_lines(table(spark, d, "documents"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op7_sharding": op7_sharding,
+    "op8_simhash": op8_simhash,
+    "op9_line_dedup": op9_line_dedup,
 }
