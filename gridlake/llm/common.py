@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridlake.session import ensure_checkpoint_dir
 
@@ -25,6 +26,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def widened(df: DataFrame, **columns: str) -> StructType:
+    """The schema of ``df`` with further columns (name=type)."""
+    schema = StructType(list(df.schema.fields))
+    for name, kind in columns.items():
+        schema = schema.add(name, kind)
+    return schema
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Smallest reachable node per node of an undirected edge table.
 

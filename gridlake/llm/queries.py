@@ -3,13 +3,28 @@ whole table and derives the contract's columns from the operator's result."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlake.llm.bpe import decode_documents, encode_documents
 from gridlake.llm.common import materialize, table
 from gridlake.llm.linededup import dedup_lines
 from gridlake.llm.sharding import histogram_shards, text_key
 from gridlake.llm.simhash import hex_fingerprint, simhash_components
+from gridlake.llm.tokencounts import token_counts
+
+
+def op3_token_counts(spark: SparkSession, d: str) -> DataFrame:
+    return token_counts(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op4_bpe(spark: SparkSession, d: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoded = encode_documents(table(spark, d, "documents").select("doc_id", "text"), path).drop("text")
+    return decode_documents(encoded, path).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
 
 
 def op7_sharding(spark: SparkSession, d: str) -> DataFrame:
@@ -41,6 +56,8 @@ def op9_line_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_token_counts": op3_token_counts,
+    "op4_bpe": op4_bpe,
     "op7_sharding": op7_sharding,
     "op8_simhash": op8_simhash,
     "op9_line_dedup": op9_line_dedup,
