@@ -19,16 +19,15 @@ state where it ends. Decoding emits the labels of the arcs.
 from __future__ import annotations
 
 import json
-import os
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-from gridlake.llm.common import widened
+from gridlake.llm.common import read_text, widened
 
 #: Words up to this many bytes are encoded side by side in arrays.
 SHORT = 48
@@ -303,14 +302,6 @@ def encoder(tables: dict) -> Encoder:
     return _WORKER[1]
 
 
-def read_spec(spark: SparkSession, path: str) -> dict:
-    """A tokenizer file's content: on the driver's disk, or else by Spark."""
-    if os.path.exists(path):
-        with open(path, encoding="utf-8") as f:
-            return json.load(f)
-    return json.loads(spark.read.text(path, wholetext=True).first().value)
-
-
 def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` plus ``ids`` (binary: little-endian unsigned 32-bit) and
     ``n_tokens`` (long), for the tokenizer file at ``path``.
@@ -321,7 +312,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFram
     """
     spark = docs.sparkSession
     docs = docs.drop("ids", "n_tokens")
-    sent = spark.sparkContext.broadcast(compile_automaton(read_spec(spark, path)))
+    sent = spark.sparkContext.broadcast(compile_automaton(json.loads(read_text(spark, path))))
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,7 +333,7 @@ def decode_documents(docs: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     Null ids decode to the empty text."""
     spark = docs.sparkSession
     docs = docs.drop("decoded")
-    sent = spark.sparkContext.broadcast(token_labels(read_spec(spark, path)))
+    sent = spark.sparkContext.broadcast(token_labels(json.loads(read_text(spark, path))))
     at = docs.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@ written into the shared checkpoint folder, label propagation."""
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,11 +27,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text: from the driver's disk, or else by Spark."""
+    if os.path.exists(path):
+        with open(path, encoding="utf-8") as f:
+            return f.read()
+    return spark.read.text(path, wholetext=True).first().value
+
+
 def widened(df: DataFrame, **columns: str) -> StructType:
     """The schema of ``df`` with further columns (name=type)."""
     schema = StructType(list(df.schema.fields))
     for name, kind in columns.items():
-        schema = schema.add(name, kind)
+        schema = schema.add(name, "integer" if kind == "int" else kind)
     return schema
 
 

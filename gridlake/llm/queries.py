@@ -10,11 +10,17 @@ from pyspark.sql import functions as F
 from gridlake.llm.bpe import decode_documents, encode_documents
 from gridlake.llm.common import materialize, table
 from gridlake.llm.linededup import dedup_lines
+from gridlake.llm.packing import pack_pieces, token_pieces
 from gridlake.llm.sharding import histogram_shards, text_key
 from gridlake.llm.simhash import hex_fingerprint, simhash_components
 from gridlake.llm.tokencounts import token_counts
 
 
+def op2_packing(spark: SparkSession, d: str) -> DataFrame:
+    pieces = token_pieces(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
+    return pack_pieces(pieces, limit=2048)
+
+
 def op3_token_counts(spark: SparkSession, d: str) -> DataFrame:
     return token_counts(table(spark, d, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -56,6 +62,7 @@ def op9_line_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_packing": op2_packing,
     "op3_token_counts": op3_token_counts,
     "op4_bpe": op4_bpe,
     "op7_sharding": op7_sharding,
