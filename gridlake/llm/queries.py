@@ -11,11 +11,25 @@ from gridlake.llm.bpe import decode_documents, encode_documents
 from gridlake.llm.common import materialize, table
 from gridlake.llm.linededup import dedup_lines
 from gridlake.llm.packing import pack_pieces, token_pieces
+from gridlake.llm.pii import pseudonymize
+from gridlake.llm.quality import held_out, score_quality, train
 from gridlake.llm.sharding import histogram_shards, text_key
 from gridlake.llm.simhash import hex_fingerprint, simhash_components
 from gridlake.llm.tokencounts import token_counts
 
 
+#: For demonstration; a real key is a secret of the caller.
+PII_KEY = "documents-demonstration-key"
+
+
+def op1_quality(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    model = train(docs, table(spark, d, "labels"))
+    return score_quality(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
 def op2_packing(spark: SparkSession, d: str) -> DataFrame:
     pieces = token_pieces(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
     return pack_pieces(pieces, limit=2048)
@@ -33,6 +47,10 @@ def op4_bpe(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op5_pii(spark: SparkSession, d: str) -> DataFrame:
+    return pseudonymize(table(spark, d, "documents"), PII_KEY)
+
+
 def op7_sharding(spark: SparkSession, d: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = materialize(
@@ -62,9 +80,11 @@ def op9_line_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op3_token_counts": op3_token_counts,
     "op4_bpe": op4_bpe,
+    "op5_pii": op5_pii,
     "op7_sharding": op7_sharding,
     "op8_simhash": op8_simhash,
     "op9_line_dedup": op9_line_dedup,
