@@ -32,7 +32,7 @@ from gridlake.llm.common import read_text, widened
 #: Words up to this many bytes are encoded side by side in arrays.
 SHORT = 48
 #: Entries of a worker's table of encoded words; it starts anew when full.
-CACHE = 400_000
+CACHE = 200_000
 ROWS = 256
 
 # The byte-level split of public GPT-2-style vocabularies (fixed value).
