@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -78,3 +79,33 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
                 nxt.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             )
         state, cur = tuple(now), nxt
+
+
+class DisjointSets:
+    """Disjoint sets over places 0..n-1 that take pairs in blocks."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def union(self, a: np.ndarray, b: np.ndarray) -> None:
+        a, b = self.root[a], self.root[b]
+        differ = a != b
+        if not differ.any():
+            return
+        pairs = np.unique(np.minimum(a, b)[differ] * len(self.root) + np.maximum(a, b)[differ])
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (p := parent.get(x, x)) != x:
+                parent[x] = parent.get(p, p)
+                x = p
+            return x
+
+        for x, y in zip((pairs // len(self.root)).tolist(), (pairs % len(self.root)).tolist()):
+            x, y = find(x), find(y)
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+        new = np.arange(len(self.root))
+        for x in parent:
+            new[x] = find(x)
+        self.root = new[self.root]

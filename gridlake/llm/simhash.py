@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.llm.common import connected_components, materialize
+from gridlake.llm.common import DisjointSets, connected_components, materialize
 
 SEED = 42
 #: The tree is fit on at most SAMPLE distinct fingerprints; a shard aims at
@@ -118,37 +118,7 @@ def _route(nodes: list, points: np.ndarray, r: int):
         stack.append((right, idx[outside], far[outside]))
 
 
-class _Sets:
-    """Disjoint sets over places 0..n-1 that take pairs in blocks."""
-
-    def __init__(self, n: int):
-        self.root = np.arange(n)
-
-    def union(self, a: np.ndarray, b: np.ndarray) -> None:
-        a, b = self.root[a], self.root[b]
-        differ = a != b
-        if not differ.any():
-            return
-        pairs = np.unique(np.minimum(a, b)[differ] * len(self.root) + np.maximum(a, b)[differ])
-        parent: dict[int, int] = {}
-
-        def find(x: int) -> int:
-            while (p := parent.get(x, x)) != x:
-                parent[x] = parent.get(p, p)
-                x = p
-            return x
-
-        for x, y in zip((pairs // len(self.root)).tolist(), (pairs % len(self.root)).tolist()):
-            x, y = find(x), find(y)
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-        new = np.arange(len(self.root))
-        for x in parent:
-            new[x] = find(x)
-        self.root = new[self.root]
-
-
-def link_block(points: np.ndarray, own: np.ndarray, r: int, sets: _Sets) -> None:
+def link_block(points: np.ndarray, own: np.ndarray, r: int, sets: DisjointSets) -> None:
     """Joins every own point with the points within ``r`` bits."""
     stack = [(np.arange(len(points)), own)]
     while stack:
@@ -204,7 +174,7 @@ def simhash_components(
 
     def link(group: pa.Table) -> pa.Table:
         fp, ident = (group.column(c).to_numpy() for c in ("fp", "id"))
-        sets = _Sets(len(fp))
+        sets = DisjointSets(len(fp))
         link_block(fp.view(np.uint64), group.column("own").to_numpy(), max_bits, sets)
         joined = sets.root != np.arange(len(fp))
         return pa.table({"a": ident[joined], "b": ident[sets.root[joined]]})
