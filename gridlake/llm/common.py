@@ -9,7 +9,7 @@ import uuid
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from gridlake.session import ensure_checkpoint_dir
 
@@ -25,7 +25,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    plain = StructType([StructField(f.name, f.dataType) for f in df.schema.fields])
+    return spark.read.schema(plain).parquet(path)
 
 
 def read_text(spark: SparkSession, path: str) -> str:

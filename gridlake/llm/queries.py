@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlake.llm.annsearch import nearest
 from gridlake.llm.bpe import decode_documents, encode_documents
 from gridlake.llm.common import materialize, table
 from gridlake.llm.linededup import dedup_lines
@@ -16,6 +17,7 @@ from gridlake.llm.quality import held_out, score_quality, train
 from gridlake.llm.sharding import histogram_shards, text_key
 from gridlake.llm.simhash import hex_fingerprint, simhash_components
 from gridlake.llm.tokencounts import token_counts
+from gridlake.llm.vecdedup import embedding_components
 
 
 #: For demonstration; a real key is a secret of the caller.
@@ -51,6 +53,13 @@ def op5_pii(spark: SparkSession, d: str) -> DataFrame:
     return pseudonymize(table(spark, d, "documents"), PII_KEY)
 
 
+def op6_embedding_dedup(spark: SparkSession, d: str) -> DataFrame:
+    found = embedding_components(table(spark, d, "embeddings"), threshold=0.98)
+    return found.select(
+        "vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
 def op7_sharding(spark: SparkSession, d: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = materialize(
@@ -79,13 +88,19 @@ def op9_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_nearest(spark: SparkSession, d: str) -> DataFrame:
+    return nearest(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op3_token_counts": op3_token_counts,
     "op4_bpe": op4_bpe,
     "op5_pii": op5_pii,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_sharding": op7_sharding,
     "op8_simhash": op8_simhash,
     "op9_line_dedup": op9_line_dedup,
+    "op10_nearest": op10_nearest,
 }
