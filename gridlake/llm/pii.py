@@ -19,13 +19,14 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 
-# Formats searched for, tried in this order at each place of a text. The
-# repeats are possessive or bounded, so that long texts cost linear time.
+# Formats searched for, tried in this order at each place of a text where no
+# word goes on. The repeats are possessive or bounded, so that long texts cost
+# linear time.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 FORMATS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++){1,8}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "hex": r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![A-Za-z0-9])",
+    "hex": r"(?<![A-Za-z0-9])(?=[A-Fa-f]*+\d)(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![A-Za-z0-9])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)"
              r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)|(?<![\w+.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])",
     "ssn": r"(?<![\w-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])",
@@ -33,7 +34,9 @@ FORMATS = {
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
     "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w/-]|\.\d)",
 }
-PATTERN = "|".join(f"(?:{p})" for p in FORMATS.values())
+PATTERN = r"(?<!\w)(?:" + "|".join(f"(?:{p})" for p in FORMATS.values()) + ")"
+#: What every value of any format has.
+SIGN = "[0-9@]"
 
 # Date formats, and the 400-year calendar cycle they are permuted in: from
 # 1700-01-01, 146,097 = 189 x 773 days.
@@ -244,8 +247,9 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     null with 0 values; repeated rows are alike; an empty table gives an
     empty result; a column named n_pseudonyms is replaced.
     """
+    # texts without a sign of any value are spared the patterns
     found = F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0))
-    rows = docs.drop("n_pseudonyms").withColumn("_found", F.when(F.col(text).rlike(PATTERN), found))
+    rows = docs.drop("n_pseudonyms").withColumn("_found", F.when(F.col(text).rlike(SIGN), found))
     rows = rows.withColumn("_new", F.transform("_found", lambda m: pseudonym(m, key)))
     # the text between the values, one part more than there are values
     parts = F.split(F.col(text), PATTERN, -1)
