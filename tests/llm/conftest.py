@@ -1,0 +1,37 @@
+import pandas as pd
+import pytest
+
+SF = "/root/testdata/sf0.001"
+
+LONG = "word " * 30_000 + "\n" + "x" * 40_000
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Nulls in every column, empty and very long texts, ties, repeated rows
+    and columns whose names clash with the operators' own."""
+    rows = [
+        (1, "The quick brown fox jumps over the dog\nsame line twice here\nsame line twice here", "en"),
+        (2, "Same Line Twice Here \nanother line altogether", "en"),
+        (2, "Same Line Twice Here \nanother line altogether", "en"),
+        (3, None, None), (4, "", "en"), (5, LONG, "en"), (6, LONG, "de"), (None, "same line twice here\nshort", "en"),
+        (7, "\n\n \n", None), (8, "card 4111111111111111 on 2024-02-29", "en"),
+    ]
+    cols = "doc_id long, text string, lang string"
+    extra = ", n_lines long, score double, shard int, slot int, sequence_id string, ids string, n_tokens int, component string"
+    return spark.createDataFrame([(*r, 9, 0.5, 3, 4, "s", "i", 7, "c") for r in rows], cols + extra)
+
+
+@pytest.fixture(scope="session")
+def no_docs(odd_docs):
+    return odd_docs.limit(0)
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def docs_pd():
+    return pd.read_parquet(f"{SF}/documents.parquet")

@@ -1,0 +1,89 @@
+import hashlib
+import json
+import random
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+from tokenizers import Tokenizer
+
+from gridlake.llm import bpe
+from gridlake.llm.queries import QUERIES
+from tests.llm.conftest import SF
+
+PATH = P.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def own():
+    with open(PATH, encoding="utf-8") as f:
+        return bpe.Encoder(bpe.compile_automaton(json.load(f)))
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def texts():
+    rng = random.Random(5)
+    letters = list("aabeeiounthrst  \n\t.,'sS!$1239éèßñü漢字🙂²½  ́\x1c")
+    return [
+        *("".join(rng.choices(letters, k=rng.randint(0, 90))) for _ in range(1500)),
+        "", "<|endoftext|>", "a<|endoftext|> b<|endoftext|>", "x" * 3000, " " * 70, "\n\n a", "the  the ", "it's we'll I'd",
+    ]
+
+
+def test_encodes_and_decodes_as_the_library(own, library):
+    given = texts()
+    got = own.encode(given)
+    want = [e.ids for e in library.encode_batch(given, add_special_tokens=False)]
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == want
+    assert [bpe.decode(own.labels, g) for g in got] == [library.decode(w, skip_special_tokens=False) for w in want]
+
+
+def test_gadgets_on_a_small_merge_list():
+    """Merges that overlap themselves, and one that never applies."""
+    merges = [("a", "a"), ("b", "aa"), ("a", "b"), ("aa", "aa"), ("ab", "aa")]
+    vocab = {c: i for i, c in enumerate("abc")}
+    for a, b in merges:
+        vocab[a + b] = len(vocab)
+    own = bpe.Encoder(bpe.compile_automaton({"model": {"vocab": vocab, "merges": merges}, "added_tokens": []}))
+
+    def by_rank(word):
+        parts = list(word)
+        for a, b in merges:
+            i = 0
+            while i < len(parts) - 1:
+                if parts[i] == a and parts[i + 1] == b:
+                    parts[i : i + 2] = [a + b]
+                i += 1
+        return [vocab[p] for p in parts]
+
+    rng = random.Random(3)
+    words = ["".join(rng.choices("aaabc", k=rng.randint(1, 70))) for _ in range(400)]
+    got = [np.frombuffer(x, "<u4").tolist() for x in own.encode_words([w.encode() for w in words])]
+    assert got == [by_rank(w) for w in words]
+
+
+def test_odd_rows(odd_docs, no_docs, library):
+    out = bpe.decode_documents(bpe.encode_documents(odd_docs, PATH), PATH)
+    rows = out.collect()
+    assert len(rows) == odd_docs.count()
+    for r in rows:
+        assert r.decoded == (r.text or "")
+        assert r.n_tokens == len(r.ids) // 4 == len(library.encode(r.text or "", add_special_tokens=False).ids)
+    assert out.columns.count("ids") == 1
+    assert bpe.encode_documents(no_docs, PATH).count() == 0
+
+
+def test_query_against_the_library(spark, docs_pd, library):
+    got = {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in QUERIES["op4_bpe"](spark, SF).collect()}
+    want = {}
+    for i, t in zip(docs_pd.doc_id, docs_pd.text):
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        want[i] = (
+            len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
+        )
+    assert got == want

@@ -1,0 +1,50 @@
+import hashlib
+import re
+
+from gridlake.llm import linededup as ld
+from gridlake.llm.queries import QUERIES
+from tests.llm.conftest import LONG, SF
+
+
+def brute(rows):
+    """{doc_id: (n_lines, n_dropped, text)} by the plain definition."""
+    def key(line):
+        k = re.sub(r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "", line)
+        return re.sub("[A-Z]", lambda m: m[0].lower(), k)
+
+    held: dict = {}
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            if len(key(line)) >= 10:
+                held.setdefault(key(line), set()).add(i)
+    out = {}
+    for i, t in rows:
+        lines = (t or "").split("\n")
+        kept = [x for x in lines if len(key(x)) < 10 or min(held[key(x)]) == i]
+        out[i] = (len(lines), len(lines) - len(kept), "\n".join(kept))
+    return out
+
+
+def test_query_against_brute_force(spark, docs_pd):
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.kept_sha256) for r in QUERIES["op9_line_dedup"](spark, SF).collect()}
+    want = brute(list(zip(docs_pd.doc_id, docs_pd.text)))
+    assert got == {i: (n, d, hashlib.sha256(t.encode()).hexdigest()) for i, (n, d, t) in want.items()}
+
+
+def test_odd_rows(odd_docs, no_docs):
+    rows = ld.dedup_lines(odd_docs).collect()
+    last = ld.NO_ID
+    want = brute([(r.doc_id if r.doc_id is not None else last, r.text) for r in odd_docs.collect()])
+    assert len(rows) == odd_docs.count()
+    for r in rows:
+        assert (r.n_lines, r.n_dropped, r.text) == want[r.doc_id if r.doc_id is not None else last]
+    by = {r.doc_id: r for r in rows}
+    assert by[1].text.count("same line") == 2 and by[2].text == "another line altogether"
+    assert by[None].text == "short" and by[5].text == LONG and by[6].text == "" and by[3].text == by[4].text == ""
+    assert ld.dedup_lines(no_docs).count() == 0
+
+
+def test_a_saturated_filter_costs_no_results(odd_docs, monkeypatch):
+    want = sorted((str(r.doc_id), r.text) for r in ld.dedup_lines(odd_docs).collect())
+    monkeypatch.setattr(ld, "twice_seen", lambda docs, text, m: (ld.np.full(8, 255, ld.np.uint8), 64))
+    assert sorted((str(r.doc_id), r.text) for r in ld.dedup_lines(odd_docs).collect()) == want
