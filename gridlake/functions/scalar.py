@@ -6,6 +6,7 @@ from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from gridlake.fixed import GOOD, SEASONS, TARIFFS
 
@@ -36,18 +37,27 @@ def cost(kwh="interval_kwh", rate="unit_rate", scale: int = 6) -> Column:
     return F.round(_col(kwh) * _col(rate), scale)
 
 
-def exact_mean(c, decimals: int, window=None) -> Column:
-    """Mean of values carrying at most ``decimals`` decimal places, as
-    ``round(sum, decimals) / count``. The rounded sum is the exact decimal
-    total whatever order a distributed run adds in, so the mean is the same
-    double on every run and in any engine; rounding a mean afterwards could
-    land on a tie that engines break differently, so it is not rounded.
-    ``window`` makes it a window aggregate. NULL when no value is present."""
-    c = _col(c)
-    s, n = F.sum(c), F.count(c)
-    if window is not None:
-        s, n = s.over(window), n.over(window)
-    return F.try_divide(F.round(s, decimals), n.cast("double"))
+#: Decimal places kept of a value that is summed exactly.
+SUM_SCALE = 8
+
+
+def exact_sum(c, scale: int = SUM_SCALE, window=None) -> Column:
+    """Sum as DECIMAL(38, ``scale``): the same total in any order of adding,
+    whatever the partitioning and the volume (values are taken to ``scale``
+    places). NULL when no value is present. ``window`` makes it a window
+    aggregate."""
+    s = F.sum(_col(c).cast(DecimalType(28, scale)))
+    return s if window is None else s.over(window)
+
+
+def exact_mean(c, scale: int = SUM_SCALE, window=None) -> Column:
+    """Mean as the exact decimal total over the count: the same double on
+    every run and in any engine. Rounding a mean afterwards could land on a
+    tie that engines break differently, so it is not rounded. NULL when no
+    value is present."""
+    n = F.count(_col(c))
+    n = n if window is None else n.over(window)
+    return F.try_divide(exact_sum(c, scale, window).cast("double"), n.cast("double"))
 
 
 def season_of(month) -> Column:

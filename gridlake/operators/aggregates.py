@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.fixed import LOCAL_ZONE
-from gridlake.functions.scalar import cost, exact_mean
+from gridlake.functions.scalar import cost, exact_mean, exact_sum
 from gridlake.functions.time import date_key
 from gridlake.operators.joins import rate_join
 
@@ -54,34 +54,28 @@ def cost_fact(
     return out.select(*FACT_COLUMNS)
 
 
-def daily_usage(fact: DataFrame, voltage_decimals: int = 1) -> DataFrame:
-    """A1: per (meter_id, date_key, tariff_code): kWh, cost, mean voltage
-    (voltage carries ``voltage_decimals`` places; see ``exact_mean``)."""
+def daily_usage(fact: DataFrame, carry: bool = False) -> DataFrame:
+    """A1: per (meter_id, date_key, tariff_code): kWh, cost, mean voltage, all
+    from exact decimal sums. ``carry`` adds ``voltage_sum`` and ``voltage_n``,
+    from which a mean over several days is weighted by readings."""
     keys = ["meter_id", "date_key", "tariff_code"]
+    carried = [exact_sum("voltage").alias("voltage_sum"), F.count("voltage").alias("voltage_n")] if carry else []
     return (
         fact.filter(_not_null(*keys))
         .groupBy(*keys)
         .agg(
-            F.round(F.coalesce(F.sum("interval_kwh"), F.lit(0.0)), 4).alias("kwh"),
-            F.round(F.coalesce(F.sum("cost"), F.lit(0.0)), 6).alias("cost"),
-            exact_mean("voltage", voltage_decimals).alias("avg_voltage"),
+            F.round(F.coalesce(exact_sum("interval_kwh").cast("double"), F.lit(0.0)), 4).alias("kwh"),
+            F.round(F.coalesce(exact_sum("cost").cast("double"), F.lit(0.0)), 6).alias("cost"),
+            exact_mean("voltage").alias("avg_voltage"),
+            *carried,
         )
     )
 
 
-def daily_weather(
-    weather: DataFrame, ts: str = "weather_ts", decimals: dict[str, int] | None = None
-) -> DataFrame:
-    """A2: per UTC date: mean/min/max temperature, mean cloud, mean radiation.
-
-    ``decimals`` gives the decimal places of a variable when known (its mean
-    is then exact, see ``exact_mean``); others are rounded to 6 dp. Min and
-    max are input values and are returned as they are."""
-    decimals = decimals or {}
-
-    def mean(c):
-        return exact_mean(c, decimals[c]) if c in decimals else F.round(F.avg(c), 6)
-
+def daily_weather(weather: DataFrame, ts: str = "weather_ts") -> DataFrame:
+    """A2: per UTC date: mean/min/max temperature, mean cloud, mean radiation
+    (means from exact decimal sums; min and max are input values)."""
+    mean = exact_mean
     return (
         weather.withColumn("date_key", date_key(F.col(ts)))
         .filter(F.col("date_key").isNotNull())

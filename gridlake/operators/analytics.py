@@ -8,14 +8,22 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridlake.functions.scalar import exact_mean, is_fault
+from gridlake.functions.scalar import exact_mean, exact_sum, is_fault
 from gridlake.functions.time import day_number, month_key
 
 
+#: Decimal places a metric is reported with (others: 6).
+SCALES = {"kwh": 4, "cost": 6}
+
+
+def _rounded_sum(value: str, window=None):
+    return F.round(exact_sum(value, window=window).cast("double"), SCALES.get(value, 6))
+
+
 def meter_day(daily: DataFrame) -> DataFrame:
     """Daily usage summed over tariffs: one row per (meter_id, date_key)."""
     return daily.groupBy("meter_id", "date_key").agg(
-        F.round(F.sum("kwh"), 4).alias("kwh"), F.round(F.sum("cost"), 6).alias("cost")
+        _rounded_sum("kwh").alias("kwh"), _rounded_sum("cost").alias("cost")
     )
 
 
@@ -34,7 +42,7 @@ def period_to_date(md: DataFrame, period: str = "month", value: str = "kwh") ->
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     return md.select(
-        "meter_id", "date_key", value, F.round(F.sum(value).over(w), 4).alias(f"{PERIODS[period]}_{value}")
+        "meter_id", "date_key", value, _rounded_sum(value, w).alias(f"{PERIODS[period]}_{value}")
     )
 
 
@@ -47,28 +55,28 @@ def rolling_days(md: DataFrame, days: int = 7, value: str = "kwh") -> DataFrame:
         .rangeBetween(-(days - 1), 0)
     )
     return md.select(
-        "meter_id", "date_key", value, F.round(F.sum(value).over(w), 4).alias(f"rolling{days}_{value}")
+        "meter_id", "date_key", value, _rounded_sum(value, w).alias(f"rolling{days}_{value}")
     )
 
 
-def simulate_tariff(fact: DataFrame, pct_changes: Sequence[float] = (-0.1, 0.0, 0.1)) -> DataFrame:
-    """Revenue per tariff under unit-rate changes of ``pct_changes``.
+def simulate_tariff(fact: DataFrame, pct_changes: Sequence[str] = ("-0.1", "0.0", "0.1")) -> DataFrame:
+    """Revenue per tariff under unit-rate changes of ``pct_changes``
+    (decimal strings): the fact's costs, summed exactly, times the change.
 
     The fact is aggregated first (partial aggregation, one row per tariff);
     the scenarios are then generated on those few rows, so the scenario count
     never multiplies the fact."""
     base = fact.filter(F.col("tariff_code").isNotNull()).groupBy("tariff_code").agg(
-        F.sum(F.col("interval_kwh") * F.col("unit_rate")).alias("_raw"),
-        F.count(F.lit(1)).alias("readings"),
+        exact_sum("cost", 6).cast("decimal(30,6)").alias("_raw"), F.count(F.lit(1)).alias("readings")
     )
-    scen = base.withColumn("pct_change", F.explode(F.array(*[F.lit(float(p)) for p in pct_changes])))
+    scen = base.withColumn("_p", F.explode(F.array(*[F.lit(p).cast("decimal(6,4)") for p in pct_changes])))
     return scen.select(
         "tariff_code",
-        "pct_change",
+        F.col("_p").cast("double").alias("pct_change"),
         "readings",
-        F.round(F.col("_raw"), 6).alias("baseline_cost"),
-        F.round(F.col("_raw") * (1 + F.col("pct_change")), 6).alias("scenario_cost"),
-        F.round(F.col("_raw") * F.col("pct_change"), 6).alias("difference"),
+        F.col("_raw").cast("double").alias("baseline_cost"),
+        F.round(F.col("_raw") + F.col("_raw") * F.col("_p"), 6).cast("double").alias("scenario_cost"),
+        F.round(F.col("_raw") * F.col("_p"), 6).cast("double").alias("difference"),
     )
 
 
@@ -91,25 +99,28 @@ def elasticity(md: DataFrame, weather_daily: DataFrame, meters: DataFrame, group
 def fault_tree(readings: DataFrame, meters: DataFrame, ts: str = "reading_ts") -> DataFrame:
     """Fault counts by label x meter model x month with every subtotal
     (ROLLUP), ``grouping_id`` telling the level. Faults are non-GOOD labels,
-    NULL included (reported as the label 'NULL')."""
-    f = readings.filter(is_fault("quality")).join(meters.select("meter_id", "meter_model"), "meter_id", "left")
-    f = f.select(
-        F.coalesce(F.col("quality"), F.lit("NULL")).alias("quality"),
-        F.coalesce(F.col("meter_model"), F.lit("UNKNOWN")).alias("meter_model"),
-        month_key(F.col(ts)).alias("month"),
+    NULL included (reported as the label 'NULL'). Faults are counted per
+    (meter, label, month) before they meet the meter dimension."""
+    counted = (
+        readings.filter(is_fault("quality"))
+        .groupBy("meter_id", F.coalesce(F.col("quality"), F.lit("NULL")).alias("quality"), month_key(F.col(ts)).alias("month"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    f = counted.join(meters.select("meter_id", "meter_model"), "meter_id", "left").select(
+        "quality", F.coalesce(F.col("meter_model"), F.lit("UNKNOWN")).alias("meter_model"), "month", "_n"
     )
     return f.rollup("quality", "meter_model", "month").agg(
-        F.count(F.lit(1)).alias("faults"), F.grouping_id().cast("int").alias("level")
+        F.sum("_n").alias("faults"), F.grouping_id().cast("int").alias("level")
     )
 
 
 def anomalies(md: DataFrame, days: int = 7, k: float = 3.0, value: str = "kwh") -> DataFrame:
     """Z-score of a meter's day against its preceding ``days`` calendar
     days (current day excluded); fewer than two prior days -> NULL z, not
-    flagged; a zero std with a different value is flagged. Daily kWh carries
-    4 decimal places, so the baseline mean is exact (``exact_mean``)."""
+    flagged; a zero std with a different value is flagged. The baseline mean
+    is exact (``exact_mean``)."""
     w = Window.partitionBy("meter_id").orderBy(day_number("date_key")).rangeBetween(-days, -1)
-    mean = exact_mean(value, 4, window=w)
+    mean = exact_mean(value, window=w)
     std = F.stddev_samp(value).over(w)
     n = F.count(value).over(w)
     out = md.select("meter_id", "date_key", value, mean.alias("_m"), std.alias("_s"), n.alias("_n"))
@@ -135,12 +146,12 @@ def meter_profile(silver: DataFrame, md: DataFrame) -> DataFrame:
     r = silver.groupBy("meter_id").agg(
         F.count(F.lit(1)).alias("readings"),
         F.sum(is_fault("quality").cast("long")).alias("faults"),
-        F.round(F.coalesce(F.sum("interval_kwh"), F.lit(0.0)), 4).alias("total_kwh"),
+        F.round(F.coalesce(exact_sum("interval_kwh").cast("double"), F.lit(0.0)), 4).alias("total_kwh"),
         F.min("reading_ts").alias("first_reading"),
         F.max("reading_ts").alias("last_reading"),
     )
     d = md.groupBy("meter_id").agg(
-        exact_mean("kwh", 4).alias("avg_daily_kwh"),
+        exact_mean("kwh").alias("avg_daily_kwh"),
         F.round(F.min("kwh"), 4).alias("min_daily_kwh"),
         F.round(F.max("kwh"), 4).alias("max_daily_kwh"),
         F.count(F.lit(1)).alias("days"),
@@ -165,21 +176,27 @@ def entitled(
 
 
 METRICS = {
-    "kwh": lambda: F.round(F.sum("kwh"), 4),
-    "cost": lambda: F.round(F.sum("cost"), 6),
-    "avg_voltage": lambda: F.round(F.avg("avg_voltage"), 6),
+    "kwh": lambda: _rounded_sum("kwh"),
+    "cost": lambda: _rounded_sum("cost"),
+    # weighted by readings: the day's sums and counts, not its means
+    "avg_voltage": lambda: F.try_divide(F.sum("voltage_sum").cast("double"), F.sum("voltage_n").cast("double")),
     "meter_days": lambda: F.count(F.lit(1)),
     "meters": lambda: F.count_distinct("meter_id"),
 }
+DIMENSIONS = (
+    "r_name", "n_name", "c_mktsegment", "tariff_code", "tariff_name", "season", "is_weekend", "day_of_week", "date_key",
+)
 
 
-def usage_by(df: DataFrame, metric: str, dims: Sequence[str], allowed_dims: Sequence[str] | None = None) -> DataFrame:
+def usage_by(
+    df: DataFrame, metric: str, dims: Sequence[str], allowed_dims: Sequence[str] = DIMENSIONS
+) -> DataFrame:
     """One whitelisted metric by any whitelisted dimensions (the
-    field-parameter chart)."""
+    field-parameter chart). The mean voltage needs the daily usage's carried
+    sums (``daily_usage(fact, carry=True)``)."""
     if metric not in METRICS:
         raise ValueError(f"unknown metric {metric!r}; choose from {sorted(METRICS)}")
-    allowed = set(allowed_dims or df.columns)
-    bad = [d for d in dims if d not in allowed]
+    bad = [d for d in dims if d not in allowed_dims]
     if bad:
         raise ValueError(f"dimension(s) not allowed: {bad}")
     return df.groupBy(*dims).agg(METRICS[metric]().alias(metric))

@@ -52,18 +52,26 @@ def scd2_from_changes(
     value: str = "tariff_code",
     sk: str | None = "meter_tariff_sk",
 ) -> DataFrame:
-    """Contiguous SCD2 intervals from a change log (one row per key and
-    change date). ``valid_to`` is the day before the next change (inclusive),
-    the last interval ends at ``window_end`` and is the current one. The
-    surrogate key numbers rows in (key, valid_from) order, computed without a
-    single-partition window; ``sk=None`` leaves it out (an as-of join needs
-    only the validity columns, so it need not pay for the global numbering)."""
-    w = Window.partitionBy(key).orderBy(change_date)
-    nxt = F.lead(F.to_date(F.col(change_date))).over(w)
-    hist = changes.select(
+    """Contiguous SCD2 intervals from a change log. ``valid_to`` is the day
+    before the next change (inclusive), the last interval ends at
+    ``window_end`` and is the current one, so ``valid_from <= valid_to <=
+    window_end`` always holds: changes after the window or without a date are
+    left out, and of several changes of a key on one date the largest value
+    counts. A change to the same value opens a version too (the log says
+    something happened). The surrogate key numbers rows in (key, valid_from)
+    order, computed without a single-partition window; ``sk=None`` leaves it
+    out (an as-of join needs only the validity columns, so it need not pay for
+    the global numbering)."""
+    per_day = (
+        changes.select(F.col(key), F.to_date(F.col(change_date)).alias("_from"), F.col(value))
+        .filter(F.col("_from") <= _date(window_end))
+        .groupBy(key, "_from").agg(F.max(value).alias(value))
+    )
+    nxt = F.lead("_from").over(Window.partitionBy(key).orderBy("_from"))
+    hist = per_day.select(
         F.col(key),
         F.col(value),
-        F.to_date(F.col(change_date)).cast("string").alias("valid_from"),
+        F.col("_from").cast("string").alias("valid_from"),
         F.coalesce(F.date_sub(nxt, 1), _date(window_end)).cast("string").alias("valid_to"),
         nxt.isNull().alias("is_current"),
     )

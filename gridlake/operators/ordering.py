@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 
 from gridlake.session import cut_lineage
 
-MAX_RANGES = 512
 _PID = "_gl_pid"
 _W = "_gl_w"
 
@@ -52,11 +51,11 @@ def with_offset(
     strictly before this row, ordering by ``order`` within each of ``groups``.
     The ``order`` columns must be unique within a group.
 
-    The inputs are dimension-sized (a tariff history, per-value counts), so
-    the range partition count defaults to the shuffle partitions capped at
-    ``MAX_RANGES``; the per-partition table stays small enough to broadcast."""
+    The range partition count defaults to the shuffle partitions, so tasks do
+    not grow with the data; the per-partition table has one row per range (and
+    group)."""
     spark = df.sparkSession
-    n = num_partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*groups, *order]
     ranged = cut_lineage(
         df.repartitionByRange(n, *keys)

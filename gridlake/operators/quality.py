@@ -32,15 +32,13 @@ def load_curve(
     ts: str = "reading_ts",
     value: str = "interval_kwh",
     zone: str = "UTC",
-    decimals: int = 4,
 ) -> DataFrame:
-    """A4 + P6: mean ``value`` (``decimals`` places) per hour of day (UTC by
-    default)."""
+    """A4 + P6: mean ``value`` per hour of day (UTC by default)."""
     hour = F.hour(F.col(ts)) if zone == "UTC" else local_hour(F.col(ts), zone)
     return (
         df.filter(F.col(ts).isNotNull())
         .groupBy(hour.alias("hour"))
-        .agg(exact_mean(value, decimals).alias(f"avg_{value}"))
+        .agg(exact_mean(value).alias(f"avg_{value}"))
         .orderBy("hour")
     )
 
@@ -63,15 +61,13 @@ def profile(
     df: DataFrame,
     cols: Sequence[str] | None = None,
     percentiles=PERCENTILES,
-    decimals: dict[str, int] | None = None,
 ) -> DataFrame:
     """One row per column: count, unique, top and freq (string columns),
     mean, sample std, min, exact percentiles (linear interpolation) and max
-    (numeric columns). Doubles rounded to 6 dp, except the mean of a column
-    whose decimal places are given in ``decimals`` (exact, see
-    ``exact_mean``). Timestamp and date columns are described as pandas
-    describes datetimes (count, mean, min, quartiles, max; no std), on UTC
-    epoch seconds; their mean is taken over the whole-second sum.
+    (numeric columns). Doubles are rounded to 6 dp, except the mean, which is
+    an exact decimal total (6 places) over the count. Timestamp and date
+    columns are described as pandas describes datetimes (count, mean, min,
+    quartiles, max; no std), on UTC epoch seconds.
 
     Percentiles are exact without gathering a column into one task: values
     are counted per distinct value (partial aggregation), ranked with a
@@ -97,8 +93,6 @@ def profile(
         )
         for c in cols
     ]
-    # whole-second sums: exact in any order below 2**53 seconds in total
-    decimals = {**{c: 0 for c in temporal}, **(decimals or {})}
     long = df.select(F.inline(F.array(*parts)))
     present = F.col("s").isNotNull() | F.col("d").isNotNull()
     # One shuffle: counts per (column, distinct value), partially aggregated
@@ -109,10 +103,10 @@ def profile(
         long.filter(present).groupBy("column", "s", "d").agg(F.count(F.lit(1)).alias("cnt"))
     )
     weighted = F.col("d") * F.col("cnt")
-    mean = F.round(F.sum(weighted) / F.sum("cnt"), 6)
-    for c, p in decimals.items():
-        exact = F.try_divide(F.round(F.sum(weighted), p), F.sum("cnt").cast("double"))
-        mean = F.when(F.col("column") == c, exact).otherwise(mean)
+    # the same total in any order; beyond 10**12 a value has no room for 6 places
+    total = F.sum(F.col("d").try_cast("decimal(18,6)") * F.col("cnt").cast("decimal(19,0)")).cast("double")
+    total = F.when(F.max(F.abs("d")) < 1e12, total).otherwise(F.sum(weighted))
+    mean = F.try_divide(total, F.sum("cnt").cast("double"))
     first = counts.groupBy("column").agg(
         F.sum("cnt").alias("count"),
         mean.alias("mean"),

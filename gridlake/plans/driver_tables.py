@@ -24,20 +24,10 @@ VALUE_DECIMALS = 2  # events.value carries 2 decimal places
 LAT, LON = LOCATION[3], LOCATION[4]
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table as a lazy scan. The scan (file listing and footer
-    schema) is resolved once per session and path and then reused, the way
-    an application defines its source tables once; no data is cached."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _TABLES[key] = df
-    return df
+    """A driver table as a lazy scan, listed anew at each call, so that files
+    appended since are read."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _quality(event_type, value):

@@ -94,13 +94,16 @@ FACT = """fact AS (
 
 DAILY = """daily AS (
   SELECT meter_id, date_key, tariff_code,
-         round(coalesce(sum(interval_kwh), 0), 4) AS kwh,
-         round(coalesce(sum(cost), 0), 6) AS cost,
-         round(sum(voltage), 1) / NULLIF(count(voltage), 0) AS avg_voltage
+         round(CAST(coalesce(sum(CAST(interval_kwh AS DECIMAL(28,8))), 0) AS DOUBLE), 4) AS kwh,
+         round(CAST(coalesce(sum(CAST(cost AS DECIMAL(28,8))), 0) AS DOUBLE), 6) AS cost,
+         CAST(sum(CAST(voltage AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(voltage), 0) AS avg_voltage,
+         sum(CAST(voltage AS DECIMAL(28,8))) AS voltage_sum, count(voltage) AS voltage_n
   FROM fact
   WHERE meter_id IS NOT NULL AND date_key IS NOT NULL AND tariff_code IS NOT NULL
   GROUP BY meter_id, date_key, tariff_code)"""
 
+DAILY_ROWS = "SELECT * EXCLUDE (voltage_sum, voltage_n) FROM daily"
+
 SILVER_CHAIN = [READINGS, LATEST, NULLED, GOOD, CHANGES, HIST, WEATHER, TARIFFED, SILVER]
 GOLD_CHAIN = [RATES, *SILVER_CHAIN, FACT, DAILY]
 
@@ -110,7 +113,7 @@ def with_ctes(ctes, body: str) -> str:
 
 
 ORACLE = {
-    "daily_cost": with_ctes(GOLD_CHAIN, "SELECT * FROM daily"),
+    "daily_cost": with_ctes(GOLD_CHAIN, DAILY_ROWS),
 }
 
 BOUNDS = """bounds AS (
@@ -129,11 +132,11 @@ METERS = """meters AS (
 
 WEATHER_DAILY = """weather_daily AS (
   SELECT strftime(weather_ts, '%Y-%m-%d') AS date_key,
-         round(sum(temperature_2m), 2) / NULLIF(count(temperature_2m), 0) AS avg_temp_c,
+         CAST(sum(CAST(temperature_2m AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(temperature_2m), 0) AS avg_temp_c,
          min(temperature_2m) AS min_temp_c,
          max(temperature_2m) AS max_temp_c,
-         round(sum(cloud_cover), 2) / NULLIF(count(cloud_cover), 0) AS avg_cloud_pct,
-         round(sum(shortwave_radiation), 2) / NULLIF(count(shortwave_radiation), 0) AS avg_radiation
+         CAST(sum(CAST(cloud_cover AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(cloud_cover), 0) AS avg_cloud_pct,
+         CAST(sum(CAST(shortwave_radiation AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(shortwave_radiation), 0) AS avg_radiation
   FROM weather GROUP BY 1)"""
 
 METER_DAY = """meter_day AS (
@@ -199,10 +202,10 @@ ORACLE.update({
         "SELECT customer_id, 'residential' AS segment, occupants, join_date FROM customers",
     ),
     "coverage": with_ctes(
-        [READINGS, LATEST, BOUNDS],
+        [READINGS, LATEST, BOUNDS, CUSTOMERS, METERS],
         """SELECT m.meter_id, CAST(CAST(g.d AS DATE) AS VARCHAR) AS date_key,
                   CAST(24 AS BIGINT) AS expected, CAST(coalesce(p.present, 0) AS BIGINT) AS present
-           FROM (SELECT DISTINCT meter_id FROM latest) m
+           FROM meters m
            CROSS JOIN bounds
            CROSS JOIN generate_series(CAST(first_day AS TIMESTAMP), CAST(last_day AS TIMESTAMP), INTERVAL 1 DAY) AS g(d)
            LEFT JOIN (SELECT meter_id, CAST(reading_ts AS DATE) AS day, count(DISTINCT reading_ts) AS present
@@ -216,7 +219,7 @@ ORACLE.update({
     "load_curve": with_ctes(
         [READINGS, LATEST],
         """SELECT CAST(extract(hour FROM reading_ts) AS INTEGER) AS hour,
-                  round(sum(interval_kwh), 4) / NULLIF(count(interval_kwh), 0) AS avg_interval_kwh
+                  CAST(sum(CAST(interval_kwh AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(interval_kwh), 0) AS avg_interval_kwh
            FROM latest WHERE reading_ts IS NOT NULL GROUP BY 1""",
     ),
     "table_counts": with_ctes(
@@ -231,7 +234,7 @@ ORACLE.update({
         """SELECT 'interval_kwh' AS "column", count(interval_kwh) AS count,
                   count(DISTINCT interval_kwh) AS unique, CAST(NULL AS VARCHAR) AS top,
                   CAST(NULL AS BIGINT) AS freq,
-                  round(sum(interval_kwh), 4) / NULLIF(count(interval_kwh), 0) AS mean,
+                  CAST(sum(CAST(interval_kwh AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(interval_kwh), 0) AS mean,
                   round(stddev_samp(interval_kwh), 6) AS std,
                   round(min(interval_kwh), 6) AS min,
                   round(quantile_cont(interval_kwh, 0.25), 6) AS p25,
@@ -241,14 +244,14 @@ ORACLE.update({
            FROM nulled
            UNION ALL
            SELECT 'voltage', count(voltage), count(DISTINCT voltage), NULL, NULL,
-                  round(sum(voltage), 1) / NULLIF(count(voltage), 0), round(stddev_samp(voltage), 6),
+                  CAST(sum(CAST(voltage AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(voltage), 0), round(stddev_samp(voltage), 6),
                   round(min(voltage), 6),
                   round(quantile_cont(voltage, 0.25), 6), round(quantile_cont(voltage, 0.5), 6),
                   round(quantile_cont(voltage, 0.75), 6), round(max(voltage), 6)
            FROM nulled
            UNION ALL
            SELECT 'reading_ts', count(reading_ts), count(DISTINCT reading_ts), NULL, NULL,
-                  round(sum(epoch(reading_ts)), 0) / NULLIF(count(reading_ts), 0),
+                  CAST(sum(CAST(epoch(reading_ts) AS DECIMAL(28,0))) AS DOUBLE) / NULLIF(count(reading_ts), 0),
                   NULL, round(min(epoch(reading_ts)), 6),
                   round(quantile_cont(epoch(reading_ts), 0.25), 6), round(quantile_cont(epoch(reading_ts), 0.5), 6),
                   round(quantile_cont(epoch(reading_ts), 0.75), 6), round(max(epoch(reading_ts)), 6)
@@ -296,13 +299,13 @@ ORACLE.update({
     ),
     "tariff_what_if": with_ctes(
         [RATES, *SILVER_CHAIN, FACT],
-        """SELECT tariff_code, pct_change, readings,
-                  round(raw, 6) AS baseline_cost,
-                  round(raw * (1 + pct_change), 6) AS scenario_cost,
-                  round(raw * pct_change, 6) AS difference
-           FROM (SELECT tariff_code, sum(interval_kwh * unit_rate) AS raw, count(*) AS readings
+        """SELECT tariff_code, CAST(p AS DOUBLE) AS pct_change, readings,
+                  CAST(raw AS DOUBLE) AS baseline_cost,
+                  CAST(round(raw + raw * p, 6) AS DOUBLE) AS scenario_cost,
+                  CAST(round(raw * p, 6) AS DOUBLE) AS difference
+           FROM (SELECT tariff_code, CAST(sum(CAST(cost AS DECIMAL(28,6))) AS DECIMAL(30,6)) AS raw, count(*) AS readings
                  FROM fact WHERE tariff_code IS NOT NULL GROUP BY 1) b,
-                (VALUES (-0.1::DOUBLE), (0.0::DOUBLE), (0.1::DOUBLE)) AS s(pct_change)""",
+                (VALUES (CAST(-0.1 AS DECIMAL(6,4))), (0.0), (0.1)) AS s(p)""",
     ),
     "temp_elasticity": with_ctes(
         [*ANALYTICS, WEATHER_DAILY, CUSTOMERS, METERS],
@@ -333,7 +336,7 @@ ORACLE.update({
                   CASE WHEN n < 2 THEN false WHEN s = 0 THEN kwh <> m
                        ELSE abs((kwh - m) / s) > 3.0 END AS is_anomaly
            FROM (SELECT *,
-                   round(sum(kwh) OVER w, 4) / NULLIF(count(kwh) OVER w, 0) AS m,
+                   CAST(sum(CAST(kwh AS DECIMAL(28,8))) OVER w AS DOUBLE) / NULLIF(count(kwh) OVER w, 0) AS m,
                    stddev_samp(kwh) OVER w AS s, count(kwh) OVER w AS n
                  FROM meter_day
                  WINDOW w AS (PARTITION BY meter_id ORDER BY CAST(date_key AS DATE)
@@ -348,7 +351,7 @@ ORACLE.update({
                         round(coalesce(sum(interval_kwh), 0), 4) AS total_kwh,
                         min(reading_ts) AS first_reading, max(reading_ts) AS last_reading
                  FROM nulled GROUP BY meter_id) r
-           LEFT JOIN (SELECT meter_id, round(sum(kwh), 4) / NULLIF(count(kwh), 0) AS avg_daily_kwh, round(min(kwh), 4) AS min_daily_kwh,
+           LEFT JOIN (SELECT meter_id, CAST(sum(CAST(kwh AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(kwh), 0) AS avg_daily_kwh, round(min(kwh), 4) AS min_daily_kwh,
                              round(max(kwh), 4) AS max_daily_kwh, count(*) AS days
                       FROM meter_day GROUP BY meter_id) d ON r.meter_id = d.meter_id""",
     ),
@@ -362,9 +365,21 @@ ORACLE.update({
         [*GOLD_CHAIN, CUSTOMERS, BOUNDS, CALENDAR, TARIFF_NAMES, STAR],
         "SELECT n_name, season, round(sum(cost), 6) AS cost FROM star GROUP BY 1, 2",
     ),
+    **{
+        name: with_ctes(
+            [*GOLD_CHAIN, CUSTOMERS, BOUNDS, CALENDAR, TARIFF_NAMES, STAR],
+            f"SELECT n_name, season, {metric} FROM star GROUP BY 1, 2",
+        )
+        for name, metric in {
+            "usage_by_kwh": "round(sum(kwh), 4) AS kwh",
+            "usage_by_voltage": "CAST(sum(voltage_sum) AS DOUBLE) / sum(voltage_n) AS avg_voltage",
+            "usage_by_meter_days": "count(*) AS meter_days",
+            "usage_by_meters": "count(DISTINCT meter_id) AS meters",
+        }.items()
+    },
     "entitled_rows": with_ctes(
         [*GOLD_CHAIN, CUSTOMERS],
-        """SELECT * FROM daily
+        f"""{DAILY_ROWS}
            WHERE meter_id IN (SELECT meter_id FROM customers WHERE c_mktsegment = 'BUILDING')""",
     ),
     "json_payload_roundtrip": with_ctes([READINGS, LATEST], "SELECT * FROM latest"),
@@ -381,10 +396,43 @@ ORACLE.update({
     "stream_bronze_append": with_ctes([READINGS], f"SELECT {READING_COLS} FROM readings"),
     "jsonl_roundtrip": with_ctes([READINGS, LATEST], "SELECT * FROM latest"),
     "bronze_load_counts": with_ctes(
-        [CHANGES],
-        """SELECT 'customers' AS table_name, count(*) AS row_count FROM customer
-           UNION ALL SELECT 'readings', count(*) FROM events
-           UNION ALL SELECT 'tariff_changes', count(*) FROM changes""",
+        [CHANGES, WEATHER, BOUNDS, CALENDAR],
+        """SELECT 'meter_readings' AS table_name, count(*) AS row_count FROM events
+           UNION ALL SELECT 'weather_history', count(*) FROM wh
+           UNION ALL SELECT 'weather_forecast', count(*) FROM wf
+           UNION ALL SELECT 'dim_date', count(*) FROM calendar
+           UNION ALL SELECT 'dim_meter', count(*) FROM customer
+           UNION ALL SELECT 'dim_customer', count(*) FROM customer
+           UNION ALL SELECT 'dim_location', 1 UNION ALL SELECT 'dim_tariff', 4 UNION ALL SELECT 'dim_tariff_rate', 6
+           UNION ALL SELECT 'dim_meter_tariff', count(*) FROM changes""",
+    ),
+    "bronze_load_content": with_ctes(
+        [CHANGES, HIST, CUSTOMERS, METERS, TARIFF_NAMES],
+        """SELECT h.meter_id, m.customer_id, h.tariff_code, t.tariff_name, h.valid_from, h.valid_to, h.is_current,
+                  m.meter_model, c.occupants
+           FROM hist h JOIN meters m USING (meter_id) JOIN customers c ON c.customer_id = m.customer_id
+           JOIN tariffs t ON t.tariff_code = h.tariff_code""",
+    ),
+    "entitled_user": with_ctes(
+        [*GOLD_CHAIN, CUSTOMERS],
+        f"{DAILY_ROWS} WHERE meter_id IN (SELECT meter_id FROM customers WHERE c_nationkey = 3)",
+    ),
+    "weather_two_sites": with_ctes(
+        [*SILVER_CHAIN, CUSTOMERS],
+        """SELECT s.* REPLACE (
+             CASE WHEN c.meter_id IS NULL THEN NULL ELSE temperature_2m + 5 * (c.meter_id % 2) END AS temperature_2m,
+             CASE WHEN c.meter_id IS NULL THEN NULL ELSE relative_humidity_2m END AS relative_humidity_2m)
+           FROM silver s LEFT JOIN customers c USING (meter_id)""",
+    ),
+    "daily_cost_local_date": with_ctes(
+        [*GOLD_CHAIN[:-2],
+         FACT.replace("strftime(s.reading_ts, '%Y-%m-%d')",
+                      "strftime((s.reading_ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Oslo', '%Y-%m-%d')"), DAILY],
+        DAILY_ROWS,
+    ),
+    "daily_cost_unquarantined": with_ctes(
+        [RATES, READINGS, LATEST, NULLED, "good AS (SELECT * FROM nulled)", CHANGES, HIST, WEATHER, TARIFFED, SILVER, FACT, DAILY],
+        DAILY_ROWS,
     ),
-    "pipeline_run": with_ctes(GOLD_CHAIN, "SELECT * FROM daily"),
+    "pipeline_run": with_ctes(GOLD_CHAIN, DAILY_ROWS),
 })

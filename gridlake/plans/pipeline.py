@@ -10,16 +10,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from gridlake.fixed import LOCAL_ZONE
-from gridlake.functions.time import month_key, to_utc_ntz, trunc_hour
+from gridlake.functions.time import date_key, month_key, to_utc_ntz, trunc_hour
 from gridlake.operators.aggregates import cost_fact, daily_usage, daily_weather
-from gridlake.operators.cleanse import null_sentinel, split_quarantine, trim_window, with_reason
+from gridlake.operators.cleanse import null_sentinel, split_quarantine, trim_window
 from gridlake.operators.dedupe import dedupe_latest, prioritised_union
 from gridlake.operators.joins import join_hourly, resolve_as_of, with_location
+from gridlake.session import apply_recommended
+from gridlake.sources.readers import read_table
+from gridlake.sources.sinks import write_table
 
 
 def type_instant(df: DataFrame, col: str) -> DataFrame:
@@ -46,13 +49,14 @@ class Silver:
 def build_silver(
     readings: DataFrame,
     tariff_history: DataFrame,
-    weather: DataFrame,
+    weather: DataFrame | None,
     quarantine: bool = True,
     weather_keys=(),
     order_col: str = "_ingested_at",
     horizon=None,
     window=None,
     locations: tuple[DataFrame, DataFrame] | None = None,
+    broadcast_weather: bool = False,
 ) -> Silver:
     """Silver readings with ``tariff_code``, ``temperature_2m``,
     ``relative_humidity_2m`` and ``hour_ts``.
@@ -64,15 +68,19 @@ def build_silver(
     analysis window (B1, both ends inclusive, UTC dates) and, unless given,
     makes ``end`` the ``horizon`` that turns on the time-bucketed as-of join,
     which splits a hot meter (see ``resolve_as_of``). Readings with an
-    unparsed instant are not trimmed; they go to quarantine.
+    unparsed instant are not trimmed; they go to quarantine or, without one,
+    stay in Silver with a NULL instant.
     ``locations=(dim_meter, dim_location)`` makes the weather join
     location-aware (each reading matches its own site's hour) instead of the
     published hour-only join, which fans out with several sites.
+    ``weather=None`` leaves the weather out: Gold keeps no weather column, so
+    its plans need not move the readings to meet it. ``broadcast_weather`` is
+    for a weather table whose size the caller has checked.
     """
     typed = type_instant(readings, "reading_ts")
     if window is not None:
         start, end = window
-        typed = trim_window(typed, start, end, keep_unparsed=quarantine)
+        typed = trim_window(typed, start, end, keep_unparsed=True)
         horizon = end if horizon is None else horizon
     latest = dedupe_latest(typed, ("meter_id", "reading_ts"), order_col)
     nulled = null_sentinel(latest)
@@ -82,11 +90,15 @@ def build_silver(
         good, bad = nulled, None
     since = window[0] if window is not None else None
     tariffed = resolve_as_of(good, tariff_history, horizon=horizon, since=since)
+    if weather is None:
+        return Silver(tariffed.withColumn("hour_ts", trunc_hour(F.col("reading_ts"))), bad)
     if locations is not None:
         tariffed = with_location(tariffed, *locations)
         weather_keys = [("latitude", "latitude"), ("longitude", "longitude")]
     hourly = tariffed.withColumn("hour_ts", trunc_hour(F.col("reading_ts")))
-    enriched = join_hourly(hourly, weather, keys=weather_keys, hour_col="hour_ts")
+    enriched = join_hourly(
+        hourly, F.broadcast(weather) if broadcast_weather else weather, keys=weather_keys, hour_col="hour_ts"
+    )
     if locations is not None:
         enriched = enriched.drop("latitude", "longitude")
     return Silver(enriched, bad)
@@ -105,35 +117,32 @@ def build_gold(
     return Gold(fact, daily_usage(fact))
 
 
-def build_weather_daily(weather: DataFrame) -> DataFrame:
-    return daily_weather(weather)
-
-
-def quarantine_reasons(readings: DataFrame) -> DataFrame:
-    """Typed readings with ``reason`` (NULL for clean rows)."""
-    return with_reason(type_instant(readings, "reading_ts"))
-
-
-__all__ = [
-    "Gold",
-    "Silver",
-    "build_gold",
-    "build_silver",
-    "build_weather_daily",
-    "run_pipeline",
-    "quarantine_reasons",
-    "reconcile_weather",
-    "type_instant",
-]
+#: Weather rows up to which the written table is broadcast to the readings: 64
+#: bytes each at most, so 32 MB; more rows are joined by a shuffle.
+WEATHER_BROADCAST_ROWS = 500_000
 
 
 @dataclass
 class PipelineOutputs:
-    silver: str
-    quarantine: str | None
+    """Table paths. ``readings`` holds Silver and quarantine, told apart by
+    the partition column ``status``."""
+
+    readings: str
+    weather: str
     fact: str
     daily: str
     weather_daily: str
+    fmt: str = "parquet"
+
+    def silver(self, spark) -> DataFrame:
+        return self._with_status(spark, "good").drop("reason")
+
+    def quarantine(self, spark) -> DataFrame:
+        return self._with_status(spark, "quarantine")
+
+    def _with_status(self, spark, status: str) -> DataFrame:
+        # a filter on the partition column prunes; no partition folder is read by path
+        return spark.read.format(self.fmt).load(self.readings).filter(F.col("status") == status).drop("status")
 
 
 def run_pipeline(
@@ -152,43 +161,45 @@ def run_pipeline(
     locations: tuple[DataFrame, DataFrame] | None = None,
     window=None,
 ) -> PipelineOutputs:
-    """E1 + E2 with their sinks: Silver and its quarantine written in one
-    job and Gold read back from the written Silver, so the Silver plan
-    (dedupe shuffle, joins) runs once for every output and the lineage is
-    cut at the lake table.
+    """E1 + E2 with their sinks. The reconciled weather is written first
+    (``weather_silver``); Silver joins it as written, by broadcast when its
+    counted rows allow it, and Gold's daily weather reads it. Silver and its
+    quarantine are written in one job and Gold reads the written Silver, so
+    the lineage is cut at the lake tables.
 
     Silver and quarantine are one table, ``meter_readings``, partitioned by
     ``status`` (``good`` / ``quarantine``) first: written as two separate
-    tables, the second write would re-run the whole dedupe from Bronze. The
-    output paths point at the two ``status=`` directories.
+    tables, the second write would re-run the whole dedupe from Bronze.
+    Placing rows by range samples the plan once more before the write.
 
     ``silver_partitioning``: ``month`` (default; ``reading_month``
     directories, meter and instant as the in-file sort), ``date``
     (``reading_date``), or ``meter_id`` (the published layout: one directory
-    per meter, a small-file storm for a large fleet). ``window=(start,
-    end)`` trims readings to the analysis window and bounds the as-of join's
-    time buckets (see ``build_silver``)."""
-    from gridlake.functions.time import date_key
-    from gridlake.sources.readers import read_table
-    from gridlake.sources.sinks import write_table
-
-    weather = reconcile_weather(weather_history, weather_forecast)
-    s = build_silver(
-        readings, tariff_history, weather, quarantine=quarantine, horizon=horizon, locations=locations,
-        window=window,
-    )
-    readings_table = f"{out_dir}/meter_readings"
+    per meter, a small-file storm for a large fleet). The fact is partitioned
+    by ``reading_month`` and sorted by meter. ``window=(start, end)`` trims
+    readings to the analysis window and bounds the as-of join's time buckets
+    (see ``build_silver``)."""
+    spark = readings.sparkSession
+    apply_recommended(spark)
     paths = PipelineOutputs(
-        silver=f"{readings_table}/status=good",
-        quarantine=f"{readings_table}/status=quarantine" if quarantine else None,
+        readings=f"{out_dir}/meter_readings",
+        weather=f"{out_dir}/weather_silver",
         fact=f"{out_dir}/fact_meter_reading_gold",
         daily=f"{out_dir}/fact_daily_usage_gold",
         weather_daily=f"{out_dir}/weather_daily_gold",
+        fmt=fmt,
+    )
+    counted = Observation("weather_silver")
+    reconciled = reconcile_weather(weather_history, weather_forecast)
+    write_table(reconciled.observe(counted, F.count(F.lit(1)).alias("rows")), paths.weather, fmt)
+    weather = read_table(spark, paths.weather, fmt, schema=reconciled.schema)
+    s = build_silver(
+        readings, tariff_history, weather, quarantine=quarantine, horizon=horizon, locations=locations, window=window,
+        broadcast_weather=counted.get["rows"] <= WEATHER_BROADCAST_ROWS,
     )
-    day = date_key(F.col("reading_ts"))
     part_cols = {
         "month": ("reading_month", month_key(F.col("reading_ts"))),
-        "date": ("reading_date", day),
+        "date": ("reading_date", date_key(F.col("reading_ts"))),
         "meter_id": ("meter_id", F.col("meter_id")),
     }
     if silver_partitioning not in part_cols:
@@ -196,22 +207,22 @@ def run_pipeline(
     pcol, pexpr = part_cols[silver_partitioning]
     sort = ["reading_ts"] if pcol == "meter_id" else ["meter_id", "reading_ts"]
     both = readings_with_status(s)
-    write_table(both.withColumn(pcol, pexpr), readings_table, fmt, partition_by=["status", pcol], sort_within=sort)
-    spark = spark_of(readings)
-    if quarantine and not _exists(spark, paths.quarantine):
-        # no quarantined row: leave an empty table, so readers find one
-        spark.createDataFrame([], s.quarantine.schema).write.format(fmt).mode("overwrite").save(paths.quarantine)
-    if not _exists(spark, paths.silver):
-        spark.createDataFrame([], s.enriched.schema).write.format(fmt).mode("overwrite").save(paths.silver)
-    schema = s.enriched.schema
-    if pcol != "meter_id":
-        schema = StructType([*schema.fields, StructField(pcol, StringType(), True)])
-    silver = read_table(spark_of(readings), paths.silver, fmt, schema=schema)
-    if pcol != "meter_id":
-        silver = silver.drop(pcol)
+    write_table(both.withColumn(pcol, pexpr), paths.readings, fmt, partition_by=["status", pcol], sort_within=sort)
+    written = StructType([
+        *[f for f in both.schema.fields if f.name not in ("status", pcol)],
+        StructField("status", StringType()),
+        both.schema[pcol] if pcol in both.columns else StructField(pcol, StringType()),
+    ])
+    silver = read_table(spark, paths.readings, fmt, schema=written).filter(F.col("status") == "good")
     gold = build_gold(silver, rates, zone=zone, date_zone=date_zone)
-    write_table(gold.fact, paths.fact, fmt)
-    fact = read_table(spark_of(readings), paths.fact, fmt)
+    month = month_key(F.col("reading_ts"))
+    write_table(
+        gold.fact.withColumn("reading_month", month), paths.fact, fmt, partition_by=["reading_month"],
+        sort_within=["meter_id", "reading_ts"],
+    )
+    fact = read_table(
+        spark, paths.fact, fmt, schema=StructType([*gold.fact.schema.fields, StructField("reading_month", StringType())])
+    )
     write_table(daily_usage(fact), paths.daily, fmt)
     write_table(daily_weather(weather), paths.weather_daily, fmt)
     return paths
@@ -225,13 +236,3 @@ def readings_with_status(s: Silver) -> DataFrame:
     if s.quarantine is not None:
         both = both.unionByName(s.quarantine.withColumn("status", F.lit("quarantine")), allowMissingColumns=True)
     return both
-
-
-def spark_of(df: DataFrame):
-    return df.sparkSession
-
-
-def _exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

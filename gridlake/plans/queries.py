@@ -12,16 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake import schemas
+from gridlake.fixed import LOCAL_ZONE
 from gridlake.functions.time import date_key, iso_minute, to_utc_ntz
 from gridlake.operators import analytics as an
 from gridlake.operators import quality as qa
-from gridlake.operators.aggregates import daily_weather
+from gridlake.operators.aggregates import daily_usage, daily_weather
 from gridlake.operators.cleanse import fault_rows, null_sentinel, split_quarantine, trim_window
 from gridlake.operators.dedupe import dedupe_latest
 from gridlake.operators.dims import (
     coverage as coverage_op,
     dim_customer,
     dim_date,
+    dim_location,
     dim_meter,
     dim_tariff,
     dim_tariff_rate,
@@ -57,16 +59,18 @@ def nulled(spark: SparkSession, d: str) -> DataFrame:
     return null_sentinel(latest(spark, d))
 
 
-def silver(spark: SparkSession, d: str, quarantine: bool = True, bounds=None):
+def silver(spark: SparkSession, d: str, quarantine: bool = True, bounds=None, with_weather: bool = True):
     bounds = bounds or dt.window_bounds(spark, d)
     return build_silver(
-        dt.readings(spark, d), dt.tariff_history(spark, d, with_key=False, bounds=bounds), weather(spark, d),
-        quarantine=quarantine, window=bounds,
+        dt.readings(spark, d), dt.tariff_history(spark, d, with_key=False, bounds=bounds),
+        weather(spark, d) if with_weather else None, quarantine=quarantine, window=bounds,
     )
 
 
-def gold(spark: SparkSession, d: str, bounds=None):
-    return build_gold(silver(spark, d, bounds=bounds).enriched, dim_tariff_rate(spark))
+def gold(spark: SparkSession, d: str, bounds=None, quarantine: bool = True, date_zone: str | None = None):
+    """Gold keeps no weather column, so its Silver is built without."""
+    tariffed = silver(spark, d, quarantine, bounds, with_weather=False).enriched
+    return build_gold(tariffed, dim_tariff_rate(spark), date_zone=date_zone)
 
 
 def meters(spark: SparkSession, d: str) -> DataFrame:
@@ -125,7 +129,10 @@ def q_readings_with_weather(spark, d):
 
 def q_window_trim(spark, d):
     first, last = dt.window_bounds(spark, d)
-    return trim_window(latest(spark, d), F.date_add(first, 1), F.date_sub(last, 1))
+    # trimmed before the dedupe: the range reaches the scan, and both copies of
+    # an instant are on the same day
+    typed = type_instant(dt.readings(spark, d), "reading_ts")
+    return dedupe_latest(trim_window(typed, F.date_add(first, 1), F.date_sub(last, 1)))
 
 
 # -- Gold ----------------------------------------------------------------------
@@ -140,11 +147,18 @@ def q_daily_cost(spark, d):
     return gold(spark, d).daily
 
 
-WEATHER_DECIMALS = {v: dt.VALUE_DECIMALS for v in ("temperature_2m", "cloud_cover", "shortwave_radiation")}
+def q_daily_cost_local_date(spark, d):
+    """Billed on the local day instead of the UTC day."""
+    return gold(spark, d, date_zone=LOCAL_ZONE).daily
+
+
+def q_daily_cost_unquarantined(spark, d):
+    """The published code path: the sentinel nulled, faulty rows kept."""
+    return gold(spark, d, quarantine=False).daily
 
 
 def q_weather_daily(spark, d):
-    return daily_weather(weather(spark, d), decimals=WEATHER_DECIMALS)
+    return daily_weather(weather(spark, d))
 
 
 # -- dimensions ------------------------------------------------------------------
@@ -168,9 +182,9 @@ def q_customer_dim(spark, d):
 
 
 def q_coverage(spark, d):
-    lt = latest(spark, d)
+    """The whole registered fleet: silent meters are what coverage looks for."""
     first, last = dt.window_bounds(spark, d)
-    return coverage_op(lt, lt.select("meter_id").distinct(), first, last, slots_per_day=24)
+    return coverage_op(latest(spark, d), meters(spark, d).select("meter_id"), first, last, slots_per_day=24)
 
 
 # -- quality -----------------------------------------------------------------------
@@ -196,7 +210,6 @@ def q_table_profile(spark, d):
     return qa.profile(
         nulled(spark, d),
         ["reading_ts", "interval_kwh", "voltage", "quality"],
-        decimals={"interval_kwh": 4, "voltage": 1},
     )
 
 
@@ -224,7 +237,7 @@ def q_tariff_what_if(spark, d):
 
 
 def q_temp_elasticity(spark, d):
-    wd = daily_weather(weather(spark, d), decimals=WEATHER_DECIMALS)
+    wd = daily_weather(weather(spark, d))
     return an.elasticity(meter_day(spark, d), wd, meters(spark, d))
 
 
@@ -243,7 +256,7 @@ def q_meter_profile(spark, d):
 def star(spark: SparkSession, d: str) -> DataFrame:
     """Daily usage joined to the conformed dimensions."""
     first, last = bounds = dt.window_bounds(spark, d)
-    daily = gold(spark, d, bounds).daily
+    daily = daily_usage(gold(spark, d, bounds).fact, carry=True)
     cust = dt.customers(spark, d).select("customer_id", "meter_id", "c_nationkey", "c_mktsegment")
     nation = dt.table(spark, d, "nation")
     region = dt.table(spark, d, "region")
@@ -267,8 +280,8 @@ def q_star_usage(spark, d):
     )
 
 
-def q_usage_by_dim(spark, d):
-    return an.usage_by(star(spark, d), "cost", ["n_name", "season"])
+def _usage_by(metric: str):
+    return lambda spark, d: an.usage_by(star(spark, d), metric, ["n_name", "season"])
 
 
 def q_entitled_rows(spark, d):
@@ -276,6 +289,31 @@ def q_entitled_rows(spark, d):
     return an.entitled(gold(spark, d).daily, grants)
 
 
+def q_entitled_user(spark, d):
+    """B9 for one user: an account manager (a nation's key) sees the meters of
+    that nation."""
+    grants = dt.customers(spark, d).select(F.col("c_nationkey").alias("user_id"), "meter_id")
+    return an.entitled(gold(spark, d).daily, grants, user=3)
+
+
+def q_weather_two_sites(spark, d):
+    """J2 with two sites: each reading meets the weather of its own meter's
+    site (odd meters: the second site, where it is 5 degrees warmer)."""
+    sites = spark.sql("SELECT 1 AS location_id, 59.91D AS latitude, 10.75D AS longitude UNION ALL SELECT 2, 60.39D, 5.32D")
+    here = weather(spark, d)
+    there = here.select(
+        "weather_ts", (F.col("temperature_2m") + 5).alias("temperature_2m"), "relative_humidity_2m",
+        F.lit(60.39).alias("latitude"), F.lit(5.32).alias("longitude"),
+    )
+    both = here.select(*there.columns).union(there)
+    placed = meters(spark, d).withColumn("location_id", (F.pmod("meter_id", F.lit(2)) + 1).cast("int"))
+    bounds = dt.window_bounds(spark, d)
+    return build_silver(
+        dt.readings(spark, d), dt.tariff_history(spark, d, with_key=False, bounds=bounds), both, window=bounds,
+        locations=(placed, sites),
+    ).enriched
+
+
 # -- I/O and streaming ---------------------------------------------------------------------
 
 
@@ -341,20 +379,45 @@ def q_jsonl_roundtrip(spark, d):
     return read_jsonl(spark, path, lt.schema).drop("_corrupt_record")
 
 
+def _bronze_specs(spark, d, root: str) -> list[LoadSpec]:
+    """Readings, weather and the seven dimension tables."""
+    bounds = dt.window_bounds(spark, d)
+    tables = {
+        "meter_readings": lambda s: dt.readings(s, d),
+        "weather_history": lambda s: dt.weather_history(s, d),
+        "weather_forecast": lambda s: dt.weather_forecast(s, d),
+        "dim_date": lambda s: dim_date(s, *bounds),
+        "dim_meter": lambda s: meters(s, d),
+        "dim_customer": lambda s: dim_customer(dt.customers(s, d)),
+        "dim_location": dim_location,
+        "dim_tariff": dim_tariff,
+        "dim_tariff_rate": dim_tariff_rate,
+        "dim_meter_tariff": lambda s: dt.tariff_history(s, d, bounds=bounds),
+    }
+    return [LoadSpec(name, read, f"{root}/{name}") for name, read in tables.items()]
+
+
 def q_bronze_load_counts(spark, d):
     """K6: the multi-table Bronze load; row counts come from an Observation
     taken during each write (no second pass). The result is one row per
     loaded table."""
-    root = _scratch(spark, "bronze")
-    specs = [
-        LoadSpec("readings", lambda s: dt.readings(s, d), f"{root}/meter_readings"),
-        LoadSpec("customers", lambda s: dt.customers(s, d), f"{root}/dim_customer"),
-        LoadSpec("tariff_changes", lambda s: dt.tariff_changes(s, d), f"{root}/tariff_changes"),
-    ]
-    counts = load_tables(spark, specs)
+    counts = load_tables(spark, _bronze_specs(spark, d, _scratch(spark, "bronze")))
     return spark.createDataFrame(sorted(counts.items()), "table_name string, row_count long")
 
 
+def q_bronze_load_content(spark, d):
+    """K6: the loaded tariff history, meters and customers read back and
+    joined, so that content is compared and not counts alone."""
+    root = _scratch(spark, "bronze-content")
+    load_tables(spark, _bronze_specs(spark, d, root))
+    read = lambda name: read_table(spark, f"{root}/{name}")
+    return (
+        read("dim_meter_tariff").join(read("dim_meter"), "meter_id").join(read("dim_customer"), "customer_id")
+        .join(read("dim_tariff"), "tariff_code")
+        .select("meter_id", "customer_id", "tariff_code", "tariff_name", "valid_from", "valid_to", "is_current", "meter_model", "occupants")
+    )
+
+
 def q_pipeline_run(spark, d):
     """E1 + E2 end to end with their sinks (Silver, quarantine, fact, daily,
     weather daily written to the shared folder); returns the daily table as
@@ -373,25 +436,24 @@ def q_pipeline_run(spark, d):
     return spark.read.parquet(paths.daily)
 
 
+#: Bytes of event files that a micro-batch takes.
+TRIGGER_BYTES = 256 << 20
+
+
 def q_stream_ingest_latest(spark, d):
     """Readings replayed as JSON event files (ISO text instants with
-    mixed offsets, one drop per ISO week),
-    streamed in one file per micro-batch, landed in Bronze and upserted
-    latest-wins into Silver; returns Silver as read back."""
+    mixed offsets, one drop per ISO week, in ingest order), streamed in
+    micro-batches bounded by bytes, landed in Bronze and upserted latest-wins
+    into Silver by their position in the source; returns Silver as read back."""
     root = _scratch(spark, "stream")
     slot = to_utc_ntz(F.col("reading_ts"))
     src = dt.readings_text(spark, d).withColumnRenamed("_ingested_at", "seq").withColumn(
         "drop", F.concat_ws("-", F.year(slot), F.lpad(F.weekofyear(slot).cast("string"), 2, "0"))
     )
-    publish(src, f"{root}/src", drop_col="drop")
-    schema = src.schema
-    events = read_events(spark, f"{root}/src", schema, files_per_trigger=1)
+    publish(src, f"{root}/src", drop_col="drop", order=["seq"])
+    events = read_events(spark, f"{root}/src", src.schema, bytes_per_trigger=TRIGGER_BYTES)
     q = upsert_latest(
-        events.drop("drop"),
-        bronze=f"{root}/bronze",
-        silver=f"{root}/silver",
-        checkpoint=f"{root}/_checkpoint",
-        order=("_ingested_at", "seq"),
+        events.drop("drop"), bronze=f"{root}/bronze", silver=f"{root}/silver", checkpoint=f"{root}/_checkpoint"
     )
     q.awaitTermination()
     out = spark.read.parquet(f"{root}/silver")
@@ -403,16 +465,14 @@ def q_stream_ingest_latest(spark, d):
 
 def q_stream_bronze_append(spark, d):
     """The wire-format feed (ISO text instants) replayed as JSON files
-    and appended to Bronze by a file stream (raw rows, plus ingest time);
-    returns Bronze as read back, instants typed, the ingest time left out
-    (it is the processing time of the micro-batch)."""
+    and appended to Bronze by a file stream (raw rows, plus ingest time and
+    source position); returns Bronze as read back, instants typed, the ingest
+    time left out (it is the processing time of the micro-batch)."""
     root = _scratch(spark, "bronze-stream")
     src = dt.readings_text(spark, d).withColumnRenamed("_ingested_at", "seq")
-    publish(src, f"{root}/src", batch_size=4096)
-    q = append_bronze(
-        read_events(spark, f"{root}/src", src.schema, files_per_trigger=4), f"{root}/bronze", f"{root}/_checkpoint"
-    )
-    q.awaitTermination()
+    publish(src, f"{root}/src")
+    events = read_events(spark, f"{root}/src", src.schema, bytes_per_trigger=TRIGGER_BYTES)
+    append_bronze(events, f"{root}/bronze", f"{root}/_checkpoint").awaitTermination()
     bronze = type_instant(spark.read.parquet(f"{root}/bronze"), "reading_ts")
     return bronze.select(
         "meter_id", "customer_id", "reading_ts", "interval_kwh", "voltage", "quality",
@@ -453,8 +513,16 @@ QUERIES = {
     "usage_anomalies": q_usage_anomalies,
     "meter_profile": q_meter_profile,
     "star_usage": q_star_usage,
-    "usage_by_dim": q_usage_by_dim,
+    "usage_by_dim": _usage_by("cost"),
+    "usage_by_kwh": _usage_by("kwh"),
+    "usage_by_voltage": _usage_by("avg_voltage"),
+    "usage_by_meter_days": _usage_by("meter_days"),
+    "usage_by_meters": _usage_by("meters"),
     "entitled_rows": q_entitled_rows,
+    "entitled_user": q_entitled_user,
+    "weather_two_sites": q_weather_two_sites,
+    "daily_cost_local_date": q_daily_cost_local_date,
+    "daily_cost_unquarantined": q_daily_cost_unquarantined,
     "json_payload_roundtrip": q_json_payload_roundtrip,
     "weather_payload_rows": q_weather_payload_rows,
     "csv_roundtrip": q_csv_roundtrip,
@@ -463,6 +531,7 @@ QUERIES = {
     "stream_bronze_append": q_stream_bronze_append,
     "jsonl_roundtrip": q_jsonl_roundtrip,
     "bronze_load_counts": q_bronze_load_counts,
+    "bronze_load_content": q_bronze_load_content,
     "pipeline_run": q_pipeline_run,
 }
 

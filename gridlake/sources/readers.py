@@ -25,9 +25,25 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: Str
     return r.load(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """S3: CSV with a header row and a declared schema."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+def read_csv(spark: SparkSession, path: str, schema: StructType, keep_corrupt: bool = False) -> DataFrame:
+    """S3: CSV with a header row and a declared schema, matched by column
+    name: the file's order does not matter, a missing column is NULL, others
+    are left out. A value that is not of its column's type is NULL; with
+    ``keep_corrupt`` such a row carries its whole text, as JSON, in
+    ``_corrupt_record``."""
+    raw = spark.read.option("header", True).csv(path)
+    fields = [f for f in schema.fields if f.name in raw.columns]
+    typed = [
+        (F.col(f.name).try_cast(f.dataType) if f in fields else F.lit(None).cast(f.dataType)).alias(f.name)
+        for f in schema.fields
+    ]
+    if keep_corrupt:
+        bad = F.lit(False)
+        for f in fields:
+            bad = bad | (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull())
+        whole = F.to_json(F.struct(*[F.col(c) for c in raw.columns]))
+        typed.append(F.when(bad, whole).alias(CORRUPT))
+    return raw.select(*typed)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType, keep_corrupt: bool = True) -> DataFrame:

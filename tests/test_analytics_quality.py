@@ -2,10 +2,13 @@ import datetime as dt
 import random
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from gridlake.operators import analytics as an
+from gridlake.functions.scalar import exact_mean, exact_sum
 from gridlake.operators import quality as qa
+from gridlake.operators.aggregates import daily_usage
 from tests.conftest import rows
 
 
@@ -39,10 +42,9 @@ def test_anomalies_need_two_prior_days(spark):
 
 def test_what_if_scales_baseline(spark):
     fact = spark.createDataFrame(
-        [("standard", 2.0, 0.28), ("standard", 1.0, 0.28), ("economy7", 1.0, 0.14)],
-        "tariff_code string, interval_kwh double, unit_rate double",
+        [("standard", 0.56), ("standard", 0.28), ("economy7", 0.14)], "tariff_code string, cost double",
     )
-    got = {(r["tariff_code"], r["pct_change"]): r for r in an.simulate_tariff(fact, [0.0, 0.5]).collect()}
+    got = {(r["tariff_code"], r["pct_change"]): r for r in an.simulate_tariff(fact, ["0.0", "0.5"]).collect()}
     assert got[("standard", 0.0)]["baseline_cost"] == 0.84
     assert got[("standard", 0.5)]["scenario_cost"] == 1.26
     assert got[("economy7", 0.5)]["difference"] == 0.07
@@ -71,12 +73,37 @@ def test_fault_tree_rollup(spark):
 
 def test_usage_by_whitelist(spark):
     md = _md(spark, [("M1", "2025-07-01", 1.0, 0.5)])
-    assert an.usage_by(md, "kwh", ["meter_id"]).first()["kwh"] == 1.0
+    assert an.usage_by(md, "kwh", ["date_key"]).first()["kwh"] == 1.0
     try:
-        an.usage_by(md, "drop table", ["meter_id"])
+        an.usage_by(md, "drop table", ["date_key"])
         raise AssertionError("expected ValueError")
     except ValueError:
         pass
+    with pytest.raises(ValueError):
+        an.usage_by(md, "kwh", ["meter_id"])
+
+
+def test_mean_voltage_is_weighted_by_readings(spark):
+    fact = spark.createDataFrame(
+        [("M1", "2025-07-01", "s", 1.0, 0.1, 230.16)] * 3 + [("M1", "2025-07-02", "s", 1.0, 0.1, 230.12)],
+        "meter_id string, date_key string, tariff_code string, interval_kwh double, cost double, voltage double",
+    )
+    daily = daily_usage(fact, carry=True)
+    assert sorted(r.avg_voltage for r in daily.collect()) == [230.12, 230.16]
+    assert an.usage_by(daily, "avg_voltage", ["tariff_code"]).first()["avg_voltage"] == 230.15
+
+
+def test_exact_sums_do_not_depend_on_the_partitioning(spark):
+    df = spark.range(200_000).select((F.pmod(F.xxhash64("id"), F.lit(10**7)) / 10_000).alias("v"))
+    got = {
+        df.repartition(n).agg(exact_mean("v").alias("m"), exact_sum("v").alias("s")).first() for n in (3, 7, 16)
+    }
+    assert len(got) == 1
+
+
+def test_small_costs_are_not_rounded_away(spark):
+    md = _md(spark, [("M1", "2025-07-01", 1.0, 0.000004)])
+    assert an.period_to_date(md, "month", "cost").first()["mtd_cost"] == 0.000004
 
 
 def test_entitled_semi_join(spark):

@@ -4,10 +4,12 @@ the small driver tables."""
 import pytest
 
 import __spark_entry__ as E
+from gridlake.plans.oracle import ORACLE
+from gridlake.plans.queries import QUERIES
 from tests.conftest import SF_SMALL
 from tests.parity import compare, duck_connect
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -16,12 +18,13 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    res = compare(spark, SF_SMALL, name, E.queries()[name], E.oracle_sql().get(name), con)
+    res = compare(spark, SF_SMALL, name, QUERIES[name], ORACLE[name], con)
     assert res["status"] == "match", res
 
 

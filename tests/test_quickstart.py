@@ -68,9 +68,9 @@ def test_quickstart(spark):
     assert got[("MTR-00000", "economy7")]["cost"] == round(7 * 0.25 * 0.14, 6)
     # MTR-00001: 7 GOOD slots at local 02:00-03:45 -> ev_special ev_window 0.09
     assert got[("MTR-00001", "ev_special")]["kwh"] == 7 * 0.25
-    quarantine = spark.read.parquet(out.quarantine)
+    quarantine = out.quarantine(spark)
     assert sorted(r["reason"] for r in quarantine.collect()) == ["MISSING", "MISSING"]
-    silver = spark.read.parquet(out.silver)
+    silver = out.silver(spark)
     assert silver.filter(F.col("temperature_2m").isNull()).count() == 0
     assert dim_date(spark, WINDOW_START, WINDOW_END).count() == 366
 
@@ -92,7 +92,7 @@ def test_quickstart_location_aware_without_forecast(spark):
     locs = dim_location(spark).unionByName(spark.createDataFrame([(2, "Bergen", "NO", 60.39, 5.32)], schemas.DIM_LOCATION))
     out = run_pipeline(readings, history, weather_hist, None, dim_tariff_rate(spark), f"{root}/lake",
                        horizon=WINDOW_END, locations=(meters, locs))
-    silver = spark.read.parquet(out.silver)
+    silver = out.silver(spark)
     temps = {r["meter_id"]: r["t"] for r in silver.groupBy("meter_id").agg(F.max("temperature_2m").alias("t")).collect()}
     assert temps == {"MTR-00000": 15.0, "MTR-00001": -1.0}
     assert silver.count() == 14  # no fan-out over the two sites
@@ -109,10 +109,10 @@ def test_pipeline_without_quarantine_keeps_faulty_rows(spark):
     weather = read_payloads(spark, f"{root}/weather", LOCATION[3], LOCATION[4])
     out = run_pipeline(readings, history, weather, None, dim_tariff_rate(spark), f"{root}/lake",
                        quarantine=False, horizon=WINDOW_END, silver_partitioning="date")
-    assert out.quarantine is None
+    assert out.quarantine(spark).count() == 0
     fact = spark.read.parquet(out.fact)
     # MTR-00000: 8 slots incl. one MISSING (kWh NULL -> cost NULL); MTR-00001 has no tariff -> not billed
     assert fact.count() == 8 and fact.filter(F.col("interval_kwh").isNull()).count() == 1
     daily = spark.read.parquet(out.daily).collect()
     assert len(daily) == 1 and daily[0]["kwh"] == 7 * 0.25
-    assert "reading_date=2025-07-01" in os.listdir(out.silver)
+    assert "reading_date=2025-07-01" in os.listdir(f"{out.readings}/status=good")
