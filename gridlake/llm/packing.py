@@ -20,21 +20,27 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridlake.llm.bpe import byte_alphabet
 from gridlake.llm.common import materialize, read_text, widened
 
 LIMIT = 2048
 #: Triples tried per smallest length, and rounds of coordinate descent.
 TRIPLES, ROUNDS = 6, 60
-#: Entries of a worker's table of encoded words; it starts anew when full.
-CACHE = 400_000
+#: Entries of each of a worker's two tables of encoded words; a table starts
+#: anew when full.
+CACHE = 600_000
 ROWS = 256
 _RANK_BITS = 42
 
 
+# The word split of the public lower-case vocabulary (fixed value).
+SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
+
 # -- tokens -------------------------------------------------------------------
 
 
@@ -42,8 +48,10 @@ class WordTokenizer:
     """The tokenizers library behind a table of blank-free runs.
 
     Where normalizing and splitting act on each run of non-blanks alone (the
-    characters below U+0100 without controls), runs are looked up and only
-    new ones go to the library; any other text goes there whole."""
+    characters below U+0100 without controls), runs are looked up. New ones
+    are cut into the words that the tokenizer's own split makes of them, and
+    new words go to the library's BPE alone, past its normalizer. Any other
+    text goes to the library whole."""
 
     plain = re.compile("[^\t\n\x0b\x0c\r -~\xa1-\xac\xae-\xff]").search
 
@@ -54,8 +62,19 @@ class WordTokenizer:
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.runs: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.packed = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
+        self.letters = {b: c for c, b in byte_alphabet().items()}
+
+    def _word(self, word: str) -> bytes:
+        """Ids of one word: the library's BPE on its bytes' letters (the
+        printable ASCII characters stand for themselves)."""
+        if not word.isascii():
+            word = "".join([self.letters[b] for b in word.encode()])
+        return b"".join([self.packed[t.id] for t in self.model.tokenize(word)])
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -71,8 +90,13 @@ class WordTokenizer:
         if len(self.runs) + len(need) > CACHE:
             self.runs.clear()
         new = [r for r in need if r not in self.runs]
-        for i in range(0, len(new), 4096):
-            self.runs.update(zip(new[i : i + 4096], self._whole(new[i : i + 4096])))
+        cut = [[r] if r.isalpha() else SPLIT(r) for r in new]
+        need = {w for c in cut for w in c}
+        if len(self.words) + len(need) > CACHE:
+            self.words.clear()
+        self.words.update((w, self._word(w)) for w in need if w not in self.words)
+        word = self.words.__getitem__
+        self.runs.update((r, b"".join(map(word, c))) for r, c in zip(new, cut))
         look = self.runs.__getitem__
         return [b"".join(map(look, p)) if isinstance(p, list) else self._whole([p])[0] for p in parts]
 
@@ -151,16 +175,17 @@ def patterns(have: np.ndarray, limit: int, triples: int = TRIPLES) -> list[tuple
 
 
 def fit_counts(counts: np.ndarray, found: list[tuple[int, ...]], rounds: int = ROUNDS) -> np.ndarray:
-    """Repeat counts x >= 0 of the patterns that minimise the squared
-    difference between the lengths they use and ``counts``: cyclic coordinate
-    descent, each coordinate set to its exact minimiser."""
+    """Repeat counts x >= 0 of the patterns that minimise the squared tokens
+    between the lengths they use and ``counts`` (a long row left over costs
+    more than a short one, which fits anywhere): cyclic coordinate descent,
+    each coordinate set to its exact minimiser."""
     residual = counts.astype(float).tolist()
     x = [0.0] * len(found)
-    norm = [sum(p.count(v) ** 2 for v in set(p)) for p in found]
+    norm = [sum((p.count(v) * v) ** 2 for v in set(p)) for p in found]
     for _ in range(rounds):
         moved = 0.0
         for j, p in enumerate(found):
-            step = max(-x[j], sum(residual[v] for v in p) / norm[j])
+            step = max(-x[j], sum(residual[v] * v * v for v in p) / norm[j])
             if step:
                 x[j] += step
                 for v in p:
@@ -171,23 +196,13 @@ def fit_counts(counts: np.ndarray, found: list[tuple[int, ...]], rounds: int = R
     return np.array(x)
 
 
-def plan_packing(counts: np.ndarray, limit: int = LIMIT) -> list[tuple[int, list[tuple[int, int]]]]:
-    """How to pack ``counts[length]`` rows of each length: a list of (number
-    of sequences, [(length, how many in each sequence), ...])."""
-    left = counts.astype(np.int64).copy()
-    plan: list[tuple[int, list[tuple[int, int]]]] = []
-    found = patterns(left, limit)
-    repeats = fit_counts(left, found)
-    for j in np.argsort(-repeats, kind="stable"):
-        p = found[j]
-        parts = [(v, p.count(v)) for v in sorted(set(p), reverse=True)]
-        n = min(int(repeats[j] + 0.5), *(int(left[v]) // q for v, q in parts))
-        if n > 0:
-            plan.append((n, parts))
-            for v, q in parts:
-                left[v] -= n * q
-    # residual: best fit, longest first; bins of equal room are one group
-    room: list[list[tuple[int, list[tuple[int, int]]]]] = [[] for _ in range(limit + 1)]
+Plan = list[tuple[int, list[tuple[int, int]]]]
+
+
+def best_fit(left: np.ndarray, limit: int) -> Plan:
+    """Packs ``left[length]`` rows of each length best-fit, longest first;
+    bins of equal room are handled as one group."""
+    room: list[Plan] = [[] for _ in range(limit + 1)]
     for v in range(limit, 0, -1):
         n, at = int(left[v]), v
         while n:
@@ -215,13 +230,40 @@ def plan_packing(counts: np.ndarray, limit: int = LIMIT) -> list[tuple[int, list
                 if rest:
                     room[limit - rest * v].append((1, [(v, rest)]))
                 n = 0
-    return plan + [g for groups in room for g in groups]
+    return [g for groups in room for g in groups]
+
+
+def plan_packing(counts: np.ndarray, limit: int = LIMIT) -> Plan:
+    """How to pack ``counts[length]`` rows of each length: a list of (number
+    of sequences, [(length, how many in each sequence), ...]).
+
+    The fitted repeat counts are rounded to the nearest and, as another plan,
+    down; a third plan uses no pattern but full rows. The one that needs the
+    fewest sequences is taken, the first of equals."""
+    found = patterns(counts, limit)
+    repeats = fit_counts(counts, found)
+    best: Plan | None = None
+    for used in (np.floor(repeats + 0.5), np.floor(repeats), np.zeros(len(found))):
+        left = counts.astype(np.int64).copy()
+        plan: Plan = []
+        for j in np.argsort(-repeats, kind="stable"):
+            p = found[j]
+            parts = [(v, p.count(v)) for v in sorted(set(p), reverse=True)]
+            n = min(int(used[j]), *(int(left[v]) // q for v, q in parts))
+            if n > 0:
+                plan.append((n, parts))
+                for v, q in parts:
+                    left[v] -= n * q
+        plan += best_fit(left, limit)
+        if best is None or sum(n for n, _ in plan) < sum(n for n, _ in best):
+            best = plan
+    return best
 
 
 class _Plan:
     """The plan by length and rank: arrays for binary search."""
 
-    def __init__(self, plan: list[tuple[int, list[tuple[int, int]]]]):
+    def __init__(self, plan: Plan):
         used: dict[int, int] = {}
         rows, base = [], 0
         for n, parts in plan:
