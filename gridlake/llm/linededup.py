@@ -70,7 +70,7 @@ def _hashes(keys) -> np.ndarray:
 def twice_seen(docs: DataFrame, text: str, min_chars: int) -> tuple[np.ndarray, int]:
     """The twice-seen filter of all documents, and its bits."""
     lines = docs.agg(
-        F.sum(F.length(text) - F.length(F.translate(text, "\n", "")) + 1).alias("n")
+        F.sum(F.octet_length(text) - F.octet_length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1).alias("n")
     ).first().n or 1
     bits = min(MAX_BITS, max(MIN_BITS, 1 << (int(lines) * BITS_PER_LINE).bit_length()))
 
@@ -148,8 +148,11 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min
 
     ident = F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
     held = materialize(docs.select(ident.alias("doc"), text).mapInArrow(suspects, "doc long, key binary"), "lines")
-    repeated = (
+    # written, so that the join below is between two plain exchanges, which AQE
+    # can split where one key has many rows
+    repeated = materialize(
         held.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first <> last")
+        .select("key", "first"), "lines-repeated",
     )
     drops = (
         held.join(repeated, "key").filter("doc <> first")
