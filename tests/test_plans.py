@@ -57,6 +57,7 @@ def test_dedupe_is_partially_limited_before_shuffle(spark):
 def test_rates_broadcast_and_filters_pushed(spark):
     p = _plan(QUERIES["cost_fact"](spark, SF_SMALL))
     assert "BroadcastHashJoin [tariff_code" in p
+    p = _plan(QUERIES["readings_with_weather"](spark, SF_SMALL))
     assert "PushedFilters: [IsNotNull(event_type), In(event_type, [click,view]" in p
 
 
