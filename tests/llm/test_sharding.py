@@ -59,3 +59,11 @@ def test_odd_rows(odd_docs, no_docs):
         assert len(rows) == odd_docs.count() and all(0 <= r.shard < n for r in rows)
         check(rows, n)
     assert run(no_docs, 4) == []
+
+
+def test_other_sql_matches(spark):
+    from gridlake.llm.oracle import ORACLE
+
+    con = duck_connect(SF)
+    for name in ("op6_embedding_dedup", "op9_line_dedup"):
+        assert compare(spark, SF, name, QUERIES[name], ORACLE[name], con)["status"] == "match", name
