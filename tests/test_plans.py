@@ -34,19 +34,20 @@ def unpartitioned_windows(plan: str) -> list[str]:
 
 def test_a_planted_unpartitioned_window_is_found(spark):
     df = spark.range(10).withColumn("n", F.row_number().over(Window.orderBy("id")))
-    assert unpartitioned_windows(_plan(df))
+    assert unpartitioned_windows(_plan(df)) and unpartitioned_windows(df._jdf.queryExecution().executedPlan().toString())
     ok = spark.range(10).withColumn("n", F.row_number().over(Window.partitionBy(F.col("id") % 3).orderBy("id")))
     assert not unpartitioned_windows(_plan(ok))
 
 
 def test_no_cartesian_or_single_partition_window(spark):
     for name, q in QUERIES.items():
-        p = _plan(q(spark, SF_SMALL))
+        # as planned: no need to run them all again
+        p = q(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in p, name
         assert "BroadcastNestedLoopJoin" not in p, name
         if name == "scd2_history":
             continue  # one row per range: the prefix over partition totals (see operators.ordering)
-        assert not unpartitioned_windows(p.split("== Initial Plan ==")[0]), name
+        assert not unpartitioned_windows(p), name
 
 
 def test_dedupe_is_partially_limited_before_shuffle(spark):
