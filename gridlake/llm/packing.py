@@ -33,7 +33,7 @@ LIMIT = 2048
 TRIPLES, ROUNDS = 6, 60
 #: Entries of each of a worker's two tables of encoded words; a table starts
 #: anew when full.
-CACHE = 600_000
+CACHE = 350_000
 ROWS = 256
 _RANK_BITS = 42
 
@@ -313,8 +313,10 @@ def pack_pieces(pieces: DataFrame, limit: int = LIMIT, length: str = "length") -
                 names=[*batch.schema.names, "_task", "_length", "_rank"],
             )
 
+    # the pieces are written before they are numbered: chained, the two Python
+    # stages would hold twice as many workers, each with tables of words
     ranked = materialize(
-        pieces.mapInArrow(number, widened(pieces, _task="int", _length="long", _rank="long")), "pieces"
+        materialize(pieces, "unranked").mapInArrow(number, widened(pieces, _task="int", _length="long", _rank="long")), "pieces"
     )
     own = ranked.groupBy("_task", "_length").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("_length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
