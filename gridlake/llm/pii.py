@@ -30,11 +30,21 @@ FORMATS = {
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)"
              r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)|(?<![\w+.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])",
     "ssn": r"(?<![\w-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])",
-    "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?!\w)",
+    # a whole run of digit groups: the cards in it are found by _scanned
+    "card": r"(?<![\w.-])(?=\d(?:[ -]?\d){12})\d++(?!\w)(?:[ -]\d++(?!\w)){0,400}+",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
     "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w/-]|\.\d)",
 }
-PATTERN = r"(?<!\w)(?:" + "|".join(f"(?:{p})" for p in FORMATS.values()) + ")"
+
+
+def _search(*without: str) -> str:
+    return r"(?<!\w)(?:" + "|".join(f"(?:{p})" for name, p in FORMATS.items() if name not in without) + ")"
+
+
+#: The searches, one after the other: what the first leaves of a card's or an
+#: IBAN's match, and the text around it, is searched again, as another value
+#: may begin there.
+PATTERNS = [_search(), _search("card"), _search("iban")]
 #: What every value of any format has.
 SIGN = "[0-9@]"
 
@@ -227,14 +237,75 @@ _PSEUDONYMS = {
 }
 
 
-def pseudonym(value: Column, key: str) -> Column:
-    """The pseudonym of a found value; the value itself if it is not valid."""
-    out = None
+def _joined(left: Column, right: Column) -> Column:
+    """Two rows of pieces as one: the last of ``left`` goes on with the first
+    of ``right``."""
+    seam = F.concat(F.element_at(left, -1), F.element_at(right, 1))
+    return F.concat(F.slice(left, F.lit(1), F.size(left) - 1), F.array(seam), F.slice(right, F.lit(2), F.size(right)))
+
+
+def _either(old: Column, new: Column) -> Column:
+    return F.when(old == new, F.array(old)).otherwise(F.array(F.lit(""), new, F.lit("")))
+
+
+def _scanned(m: Column, replaced) -> Column:
+    """Pieces of a match that other groups of characters may have joined: from
+    each group on, the longest run of whole groups that ``replaced`` changes
+    is a value."""
+    groups = F.split(m, "(?=[ -])")  # each but the first begins with its separator
+
+    def scan(groups: Column) -> Column:
+        def step(state: Column, i: Column) -> Column:
+            group = F.element_at(groups, i)
+            sign = F.when(i > 1, F.substring(group, 1, 1)).otherwise("")
+
+            def candidate(j: Column) -> Column:
+                text = F.array_join(F.slice(groups, i, j - i + 1), "")
+                old = F.substring(text, F.length(sign) + 1, F.length(text))
+                return _let(old, lambda c: F.struct(c.alias("old"), replaced(c).alias("new"), (j + 1).alias("next")))
+
+            ends = F.sequence(F.least(i + 18, F.size(groups)), i, F.lit(-1))
+            found = F.get(F.filter(F.transform(ends, candidate), lambda c: c["old"] != c["new"]), F.lit(0))
+
+            def taken(c: Column) -> Column:
+                value = F.struct(c["next"].alias("next"), _joined(state["out"], F.array(sign, c["new"], F.lit(""))).alias("out"))
+                plain = F.struct((i + 1).alias("next"), _joined(state["out"], F.array(group)).alias("out"))
+                return F.when(c.isNotNull(), value).otherwise(plain)
+
+            return F.when(i < state["next"], state).otherwise(_let(found, taken))
+
+        start = F.struct(F.lit(1).alias("next"), F.array(F.lit("")).alias("out"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(groups)), start, step, lambda state: state["out"])
+
+    return _let(groups, scan)
+
+
+def _pieces(m: Column, key: str) -> Column:
+    """A match as plain text and pseudonyms by turns (plain text first and
+    last, perhaps empty)."""
+    def card(c: Column) -> Column:
+        return F.when(F.length(_bare(c)).between(13, 19), _card(c, key)).otherwise(c)
+
+    def iban(c: Column) -> Column:
+        form = c.rlike("^[A-Z]{2}[0-9]{2}") & F.length(_bare(c)).between(12, 35)
+        return F.when(form, _iban(c, key)).otherwise(c)
+
+    out = F.when(m.rlike(f"^(?:{FORMATS['email']})$"), _either(m, _email(m, key)))
+    out = out.when(m.rlike(f"^(?:{FORMATS['iban']})$"), _scanned(m, iban))
     for name, pattern in FORMATS.items():
-        whole = value.rlike(f"^(?:{pattern})$")
-        new = _PSEUDONYMS[name](value, key)
-        out = F.when(whole, new) if out is None else out.when(whole, new)
-    return out.otherwise(value)
+        if name not in ("email", "iban"):
+            new = _scanned(m, card) if name == "card" else _let(_PSEUDONYMS[name](m, key), lambda new: _either(m, new))
+            out = out.when(m.rlike(f"^(?:{pattern})$"), new)
+    return out.otherwise(F.array(m))
+
+
+def _cut(text: Column, key: str, pattern: str) -> Column:
+    """A text as plain text and pseudonyms by turns."""
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: _pieces(m, key))
+    # the text between the matches, one part more than there are matches
+    parts = F.split(text, pattern, -1)
+    both = F.zip_with(parts, found, lambda p, f: F.struct(p.alias("p"), F.coalesce(f, F.array(F.lit(""))).alias("f")))
+    return F.aggregate(both, F.array(F.lit("")), lambda out, x: _joined(out, _joined(F.array(x["p"]), x["f"])))
 
 
 def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -243,18 +314,22 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     of the whole text replaced by its pseudonym under the secret ``key``; adds
     ``n_pseudonyms`` (int: values replaced).
 
-    Numbers that fail validation (a Luhn sum, say) stay. A null text stays
-    null with 0 values; repeated rows are alike; an empty table gives an
-    empty result; a column named n_pseudonyms is replaced.
+    Numbers that fail validation (a Luhn sum, say) stay; other groups of
+    characters next to a valid number, with one blank or hyphen between, do
+    not hide it. A null text stays null with 0 values; repeated rows are
+    alike; an empty table gives an empty result; a column named n_pseudonyms
+    is replaced.
     """
+    rows = docs.drop("n_pseudonyms")
     # texts without a sign of any value are spared the patterns
-    found = F.regexp_extract_all(F.col(text), F.lit(PATTERN), F.lit(0))
-    rows = docs.drop("n_pseudonyms").withColumn("_found", F.when(F.col(text).rlike(SIGN), found))
-    rows = rows.withColumn("_new", F.transform("_found", lambda m: pseudonym(m, key)))
-    # the text between the values, one part more than there are values
-    parts = F.split(F.col(text), PATTERN, -1)
-    whole = F.array_join(F.zip_with(parts, F.col("_new"), lambda p, n: F.concat(p, F.coalesce(n, F.lit("")))), "")
-    changed = F.size(F.filter(F.zip_with("_found", "_new", lambda a, b: a != b), lambda x: x))
-    return rows.withColumn("n_pseudonyms", F.when(F.col("_found").isNull(), 0).otherwise(changed)).withColumn(
-        text, F.when(F.col("_found").isNull(), F.col(text)).otherwise(whole)
-    ).drop("_found", "_new")
+    rows = rows.withColumn("_pieces", F.when(F.col(text).rlike(SIGN), _cut(F.col(text), key, PATTERNS[0])))
+    grouped = F.col(text).rlike(f"(?:{FORMATS['card']})|(?:{FORMATS['iban']})")
+    for pattern in PATTERNS[1:]:
+        again = F.flatten(F.transform(
+            F.col("_pieces"), lambda x, i: F.when(i % 2 == 0, _cut(x, key, pattern)).otherwise(F.array(x))
+        ))
+        rows = rows.withColumn("_pieces", F.when(F.col("_pieces").isNotNull() & grouped, again).otherwise(F.col("_pieces")))
+    changed = F.floor(F.size("_pieces") / 2).cast("int")
+    return rows.withColumn("n_pseudonyms", F.when(F.col("_pieces").isNull(), 0).otherwise(changed)).withColumn(
+        text, F.when(F.col("_pieces").isNull(), F.col(text)).otherwise(F.array_join("_pieces", ""))
+    ).drop("_pieces")
