@@ -8,6 +8,10 @@ buckets of each table: those of its largest coordinates. In each bucket the
 exact distance to every candidate is computed and the best ``k`` go on, so
 what is shuffled per query is bounded by tables, probes and ``k``.
 
+How many buckets a query must probe depends on the number of vectors and on
+how they lie. It is measured: for some queries the nearest vectors are found
+exactly, and the probes are as many as it takes to meet the wanted share.
+
 Buckets of any size are split by a hash of the id into groups of bounded
 size, and the probing queries are sent to each group. Identical vectors are
 one candidate that carries its ``k + 1`` smallest ids: more of them can't be
@@ -27,7 +31,11 @@ from pyspark.sql import functions as F
 from gridlake.llm.common import materialize
 from gridlake.llm.vectors import matrix, valid_vectors
 
+#: Tables, and the fewest probes of each.
 TABLES, PROBES = 16, 4
+#: Share of the nearest vectors that the probes must meet, and about as many
+#: queries as it is measured on.
+RECALL, SAMPLE = 0.95, 128
 #: Vectors a bucket aims at, and the most that one task compares at once.
 BUCKET, GROUP = 400, 2048
 
@@ -70,14 +78,66 @@ def probes(x: np.ndarray, table: int, axes: tuple[int, int], count: int) -> np.n
     at, value = ranked(0, first, count)
     if second:
         at2, value2 = ranked(1, second, count)
-        both = (value[:, :, None] + value2[:, None, :]).reshape(len(x), -1)
-        at = (at[:, :, None] * (2 * second) + at2[:, None, :]).reshape(len(x), -1)
-        best = np.argsort(-both, axis=1, kind="stable")[:, :count]
-        at = np.take_along_axis(at, best, axis=1)
+        # a pair of places (i, j) is no better than the (i + 1)(j + 1) - 1 before it
+        i, j = np.nonzero(np.outer(np.arange(1, at.shape[1] + 1), np.arange(1, at2.shape[1] + 1)) <= count)
+        best = np.argsort(-(value[:, i] + value2[:, j]), axis=1, kind="stable")[:, :count]
+        at = np.take_along_axis(at[:, i] * (2 * second) + at2[:, j], best, axis=1)
     return np.pad(at, ((0, 0), (0, count - at.shape[1])), constant_values=-1) if at.shape[1] < count else at
 
 
-def _hashed(batches: Iterator[pa.RecordBatch], axes: dict[int, tuple[int, int]], tables: int, count: int):
+def _exact(batches: Iterator[pa.RecordBatch], sample: dict[int, np.ndarray], k: int) -> Iterator[pa.RecordBatch]:
+    """The ``k`` nearest vectors (columns dim, vec) to each sampled query, its
+    copies left out: rows (dim, query's place, squared distance, vec)."""
+    best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for batch in batches:
+        dims = batch.column(0).to_numpy()
+        for dim in np.unique(dims).tolist():
+            if dim not in sample:
+                continue
+            x, q = matrix(batch.filter(pa.array(dims == dim)).column(1), dim), sample[dim]
+            scale = (q * q).sum(axis=1)[:, None] + (x * x).sum(axis=1)
+            d = scale - 2 * (q @ x.T)
+            d[d <= 1e-12 * scale] = np.inf
+            near = np.argsort(d, axis=1)[:, :k]
+            d, near = np.take_along_axis(d, near, axis=1), x[near]
+            if dim in best:
+                d, near = np.concatenate([best[dim][0], d], axis=1), np.concatenate([best[dim][1], near], axis=1)
+                first = np.argsort(d, axis=1)[:, :k]
+                d, near = np.take_along_axis(d, first, axis=1), np.take_along_axis(near, first[:, :, None], axis=1)
+            best[dim] = d, near
+    for dim, (d, near) in best.items():
+        at, _ = real = np.nonzero(np.isfinite(d))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(at), dim, np.int32)), pa.array(at.astype(np.int32)), pa.array(d[real]),
+             pa.array([v.tobytes() for v in near[real]], pa.binary())],
+            names=["dim", "query", "d", "vec"],
+        )
+
+
+def probes_for(
+    q: np.ndarray, near: np.ndarray, at: np.ndarray, axes: tuple[int, int], tables: int, least: int, recall: float
+) -> int:
+    """The fewest probes (``least`` or more) that meet the share ``recall`` of
+    the vectors ``near``; ``at``: the row of ``q`` that each is near to."""
+    unit = [x / np.linalg.norm(x, axis=1)[:, None] for x in (q, near)]
+    buckets = 2 * axes[0] * max(1, 2 * axes[1])
+    held = [probes(unit[1], t, axes, 1) for t in range(tables)]
+    most = least
+    while len(near):
+        rank = np.full(len(near), most)  # of the vector's bucket, in its best table
+        for t in range(tables):
+            hit = probes(unit[0], t, axes, most)[at] == held[t]
+            rank = np.minimum(rank, np.where(hit.any(axis=1), hit.argmax(axis=1), most))
+        needed = int(np.sort(rank)[max(0, int(np.ceil(recall * len(rank))) - 1)]) + 1
+        if needed <= most:
+            return max(least, needed)
+        if most >= buckets:
+            return buckets
+        most = min(buckets, most * 4)
+    return least
+
+
+def _hashed(batches: Iterator[pa.RecordBatch], axes: dict[int, tuple[int, int]], tables: int, count: dict[int, int]):
     """A row (t, bucket) for each table and probe of each vector; columns
     dim, vec come first, the others pass through."""
     for batch in batches:
@@ -87,7 +147,7 @@ def _hashed(batches: Iterator[pa.RecordBatch], axes: dict[int, tuple[int, int]],
             x = matrix(part.column(1), dim)
             x = x / np.linalg.norm(x, axis=1)[:, None]
             for t in range(tables):
-                for bucket in probes(x, t, axes[dim], count).T:
+                for bucket in probes(x, t, axes[dim], count[dim]).T:
                     real = pa.array(bucket >= 0)
                     rows = part.filter(real)
                     yield pa.RecordBatch.from_arrays(
@@ -117,14 +177,42 @@ def _rerank(rows: pa.Table, k: int) -> pa.Table:
     return pa.table({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
 
 
+def _measured(
+    classes: DataFrame, asked: DataFrame, axes: dict[int, tuple[int, int]], k: int, tables: int, least: int, recall: float
+) -> dict[int, int]:
+    """Probes per dimension, measured on about SAMPLE queries of each."""
+    every = {r.dim: r.n for r in asked.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not every:
+        return {}
+    step = F.create_map(*[F.lit(x).cast("long") for dim, n in every.items() for x in (dim, -(-n // SAMPLE))])
+    rows = asked.filter(F.pmod(F.xxhash64("id"), step[F.col("dim").cast("long")]) == 0).select("dim", "vec").collect()
+    sample = {
+        dim: np.stack([np.frombuffer(r.vec, "<f8") for r in rows if r.dim == dim]) for dim in {r.dim for r in rows}
+    }
+    w = Window.partitionBy("dim", "query").orderBy("d")
+    near = (
+        classes.select("dim", "vec")
+        .mapInArrow(lambda b: _exact(b, sample, k), "dim int, query int, d double, vec binary")
+        .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).collect()  # k rows per sampled query
+    )
+    out = {}
+    for dim, q in sample.items():
+        own = [r for r in near if r.dim == dim]
+        x = np.frombuffer(b"".join(r.vec for r in own), "<f8").reshape(-1, dim)
+        out[dim] = probes_for(q, x, np.array([r.query for r in own], np.int64), axes[dim], tables, least, recall)
+    return out
+
+
 def nearest(
     df: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding",
-    tables: int = TABLES, count: int = PROBES,
+    tables: int = TABLES, count: int = PROBES, recall: float = RECALL,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that ``is_query`` (over
     the column ``vec_id``) marks, the ``k`` nearest other rows found by
     Euclidean distance in double precision, nearest first, ties to the
-    smaller id; all candidates where there are ``k`` or fewer.
+    smaller id; all candidates where there are ``k`` or fewer. Each table is
+    probed ``count`` times, or as often as a sample of the queries needs to
+    meet the share ``recall`` of their nearest.
 
     Rows whose id or vector is null, and vectors that are zero or hold null or
     non-finite components, take no part; vectors of different lengths are not
@@ -146,10 +234,11 @@ def nearest(
     asked = materialize(asked.select("dim", "vec", "id").dropDuplicates(["id", "vec"]), "ann-queries")
     index = materialize(
         classes.select("dim", "vec", "ids").mapInArrow(
-            lambda b: _hashed(b, axes, tables, 1), "t int, bucket long, dim int, vec binary, ids array<long>"
+            lambda b: _hashed(b, axes, tables, dict.fromkeys(axes, 1)), "t int, bucket long, dim int, vec binary, ids array<long>"
         ),
         "ann-index",
     )
+    counts = dict.fromkeys(axes, count) | _measured(classes, asked, axes, k, tables, count, recall)
     keys = ["dim", "t", "bucket"]
     groups = materialize(
         index.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("groups")), "ann-buckets"
@@ -174,7 +263,7 @@ def nearest(
         first = Window.partitionBy("query_id").orderBy("score", "vec_id")
         return found.distinct().withColumn("rank", F.row_number().over(first).cast("int")).filter(F.col("rank") <= k)
 
-    probing = asked.mapInArrow(lambda b: _hashed(b, axes, tables, count), "t int, bucket long, dim int, vec binary, id long")
+    probing = asked.mapInArrow(lambda b: _hashed(b, axes, tables, counts), "t int, bucket long, dim int, vec binary, id long")
     best = materialize(ranked(search(probing)), "ann-best")
     # queries whose probes held fewer than k candidates look into every bucket of one table
     many = best.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)

@@ -99,6 +99,32 @@ def test_recall_and_exact_scores(spark):
     assert hits >= 0.95 * 10 * len(queries)
 
 
+def recall_of(out, x, queries):
+    hits = 0
+    for q in queries:
+        dist = ((x - x[q]) ** 2).sum(1)
+        dist[q] = np.inf
+        hits += len(set(np.argsort(dist)[:10].tolist()) & {r.vec_id for r in out if r.query_id == q})
+    return hits / (10 * len(queries))
+
+
+@pytest.mark.parametrize("spread", [0, 0.5])
+def test_recall_with_many_buckets(spark, monkeypatch, spread):
+    """As many buckets, for its dimensions, as millions of vectors have: the
+    fixed 4 probes meet too few of the nearest."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((6000, 16))
+    x = x / np.linalg.norm(x, axis=1)[:, None] * rng.lognormal(0, spread, (6000, 1))
+    monkeypatch.setattr(ann, "BUCKET", 3)
+    assert ann.axes_for(6000, 16) == (16, 16)
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>").repartition(4)
+    want = F.col("vec_id") % 40 == 0
+    fixed = ann.nearest(df, want, tables=4, recall=0.0).collect()
+    out = ann.nearest(df, want, tables=4).collect()
+    assert recall_of(fixed, x, range(0, 6000, 40)) < 0.8
+    assert recall_of(out, x, range(0, 6000, 40)) >= 0.92
+
+
 def test_buckets_are_the_nearest_signed_axes():
     x = np.random.default_rng(2).standard_normal((50, 10))
     y = ann.rotate(x, [3, 0])
