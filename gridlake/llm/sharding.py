@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 RADIX = 8
 KEY_BITS = 60
 _LOW = -(2**63)
+#: Longs are refined as unsigned numbers: no difference of two can overflow.
+_MASK = 2**64 - 1
 
 
 @dataclass(frozen=True)
@@ -39,15 +41,16 @@ def text_key(text: Column) -> Column:
     return F.conv(F.substring(F.md5(F.coalesce(text, F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def _digit(value: Column, low: int, shift: int) -> Column:
-    return F.shiftright(value - F.lit(low), shift)
+def _signed(value: int) -> int:
+    return value - 2**64 if value >= 2**63 else value
 
 
 def _refine(rows: DataFrame, value: str, brackets: dict, width: int, group: str | None = None) -> dict:
     """Narrow each target to the single ``value`` whose bytes hold it.
 
-    ``brackets``: target -> (group, low, bytes below low); the bracket spans
-    ``2**width`` values. Returns target -> (value, bytes below it, bytes up
+    ``value`` is read as an unsigned number. ``brackets``: target -> (group,
+    low, bytes below low); the bracket spans ``2**width`` values from low, a
+    multiple of that. Returns target -> (value, bytes below it, bytes up
     to its end)."""
     done: dict = {}
     while brackets:
@@ -56,12 +59,12 @@ def _refine(rows: DataFrame, value: str, brackets: dict, width: int, group: str
         # which open bracket the row lies in, then its digit there
         col = None
         for g, low in by_low:
-            inside = F.shiftright(F.col(value) - F.lit(low), width) == 0
+            inside = F.shiftrightunsigned(value, width) == F.lit(low >> width) if width < 64 else F.lit(True)
             if group:
                 inside = inside & (F.col(group) == F.lit(g))
             bin_ = F.struct(
-                F.lit(g).cast("long").alias("g"), F.lit(low).cast("long").alias("low"),
-                _digit(F.col(value), low, shift).alias("d"),
+                F.lit(g).cast("long").alias("g"), F.lit(_signed(low)).cast("long").alias("low"),
+                F.shiftrightunsigned(value, shift).alias("d"),
             )
             col = F.when(inside, bin_) if col is None else col.when(inside, bin_)
         counts: dict = {}
@@ -71,7 +74,7 @@ def _refine(rows: DataFrame, value: str, brackets: dict, width: int, group: str
             .select("_bin.*", "b", "lo", "hi")
         )
         for r in found.collect():  # at most 2**RADIX rows per open bracket
-            counts.setdefault((r.g, r.low), []).append((r.d, r.b, r.lo, r.hi))
+            counts.setdefault((r.g, r.low & _MASK), []).append((r.d & _MASK, r.b, r.lo & _MASK, r.hi & _MASK))
         nxt = {}
         for t, (g, low, below) in brackets.items():
             for d, b, lo, hi in sorted(counts[g, low]):
@@ -79,7 +82,7 @@ def _refine(rows: DataFrame, value: str, brackets: dict, width: int, group: str
                     if lo == hi:
                         done[t] = (lo, below, below + b)
                     else:
-                        nxt[t] = (g, low + (d << shift), below)
+                        nxt[t] = (g, d << shift, below)
                     break
                 below += b
         brackets, width = nxt, shift
@@ -109,16 +112,18 @@ def splitters(rows: DataFrame, n: int, tolerance: float) -> tuple[list[Splitter]
             cut[t] = (key, start)
     if cut:
         keys = sorted({k for k, _ in cut.values()})
+        inner = rows.filter(F.col("_key").isin(keys)).withColumn("_unsigned", F.col("_tie").bitwiseXOR(F.lit(_LOW)))
         ties = {
-            r[0]: (r[1], r[2])
-            for r in rows.filter(F.col("_key").isin(keys)).groupBy("_key").agg(F.min("_tie"), F.max("_tie")).collect()
+            r[0]: (r[1] - _LOW, r[2] - _LOW) for r in inner.groupBy("_key").agg(F.min("_tie"), F.max("_tie")).collect()
         }
-        width = max((hi - lo).bit_length() for lo, hi in ties.values())
-        inner = rows.filter(F.col("_key").isin(keys))
-        brackets = {t: (key, ties[key][0], start) for t, (key, start) in cut.items()}
-        for t, (tie, start, end) in _refine(inner, "_tie", brackets, width, "_key").items():
-            key = cut[t][0]
-            out[t] = Splitter(key, tie, start) if t - start <= end - t else Splitter(key, tie + 1, end)
+        width = max((hi ^ lo).bit_length() for lo, hi in ties.values())
+        brackets = {t: (key, ties[key][0] >> width << width, start) for t, (key, start) in cut.items()}
+        for t, (tie, start, end) in _refine(inner, "_unsigned", brackets, width, "_key").items():
+            key, tie = cut[t][0], tie + _LOW
+            if t - start <= end - t:
+                out[t] = Splitter(key, tie, start)
+            else:
+                out[t] = Splitter(key, tie + 1, end) if tie < -_LOW - 1 else Splitter(key + 1, None, end)
     return [out[total * k // n] for k in range(1, n)], total
 
 
@@ -153,24 +158,39 @@ def histogram_shards(
 
     # Slots: exact row counts per fine bin of a shard give each bin's first
     # slot, so ranks are needed inside bins only. Keys of many rows get bins
-    # of their own, cut further by tie.
+    # of their own, cut further at quantiles of the tie.
     n_rows = rows.count()
     bits = max(12, (n_rows // 50_000).bit_length())
     heavy = sorted(
-        rows.groupBy("_key").agg(F.count(F.lit(1)).alias("n"), F.min("_tie").alias("lo"), F.max("_tie").alias("hi"))
-        .filter(F.col("n") > max(32, n_rows // (n * 8)))
+        rows.groupBy("_key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max(32, n_rows // (n * 8)))
         .collect()  # at most 8 n keys hold so many rows
     )
-    part = [F.lit(0), F.lit(False), F.lit(0).cast("long")]
+    part = [F.lit(0), F.lit(False), F.lit(0)]
     if heavy:
+        depth = min(10, max(6, (max(r.n for r in heavy) // 50_000).bit_length()))
         keys = F.array(*[F.lit(r["_key"]) for r in heavy])
-        lo = F.create_map(*[F.lit(x) for r in heavy for x in (r["_key"], r.lo)])
-        step = F.create_map(*[F.lit(x) for r in heavy for x in (r["_key"], max(1, (r.hi - r.lo) * 32 // r.n))])
-        key_lo, key_step = F.try_element_at(lo, F.col("_key")), F.try_element_at(step, F.col("_key"))
+        quantiles = (
+            rows.filter(F.array_contains(keys, F.col("_key"))).groupBy("_key")
+            .agg(F.percentile_approx("_tie", [i / 2**depth for i in range(1, 2**depth)]).alias("cuts"))
+            .collect()  # 2**depth - 1 numbers a key
+        )
+        of_key = F.create_map(*[
+            x for r in quantiles
+            for x in (F.lit(r["_key"]), F.split(F.lit(",".join(map(str, sorted(r.cuts)))), ",").cast("array<bigint>"))
+        ])
+
+        def below(cuts: Column) -> Column:
+            """How many of the sorted cuts are not above the tie."""
+            steps = F.array(*[F.lit(2**i) for i in reversed(range(depth))])
+            return F.aggregate(
+                steps, F.lit(0), lambda at, step: F.when(F.element_at(cuts, at + step) <= F.col("_tie"), at + step).otherwise(at)
+            )
+
+        own = F.array(F.try_element_at(of_key, F.col("_key")))
         part = [
             F.size(F.filter(keys, lambda x: x < F.col("_key"))),
             F.array_contains(keys, F.col("_key")),
-            F.coalesce(F.floor((F.col("_tie") - key_lo) / key_step), F.lit(0)),
+            F.when(F.array_contains(keys, F.col("_key")), F.element_at(F.transform(own, below), 1)).otherwise(0),
         ]
     rows = rows.withColumn("_bin", F.struct(F.shiftright("_key", KEY_BITS - bits), *part))
     w = Window.partitionBy("shard").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)

@@ -50,6 +50,37 @@ def test_a_group_of_a_third_of_all_rows_is_cut_only_by_size(spark):
     assert len(out) == 3000 and all(other[r.text] == r.shard for r in out if r.text != "hot")
 
 
+def test_a_hot_group_with_null_and_outlying_ids(spark):
+    """Exact order and even shards whatever one id is; two hot groups, both cut."""
+    ids = [None, -(2**63), 2**63 - 1, 2**62, *range(1, 2000)]
+    rows = [(i, t) for t in ("hot", "warm") for i in ids] + [(i, f"text {i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = sd.histogram_shards(df, sd.text_key(F.col("text")), F.col("doc_id"), F.lit(8), n=7).collect()
+    assert len(out) == len(rows)
+    check(out, 7)
+    size = Counter(r.shard for r in out)
+    assert max(size.values()) - min(size.values()) <= 2
+    for t in ("hot", "warm"):
+        own = sorted((r for r in out if r.text == t), key=lambda r: (r.shard, r.slot))
+        order = [-(2**63) if r.doc_id is None else r.doc_id for r in own]
+        assert order == sorted(order)
+
+
+def test_bins_of_a_hot_group_hold_like_numbers_of_rows(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "hot") for i in [*range(4000), 2**60]], "doc_id long, text string")
+    sizes: list[int] = []
+    made = type(df).withColumn
+
+    def with_column(frame, name, col):
+        if name == "_rn":
+            sizes.extend(r["count"] for r in frame.groupBy("shard", "_bin").count().collect())
+        return made(frame, name, col)
+
+    monkeypatch.setattr(type(df), "withColumn", with_column)
+    check(sd.histogram_shards(df, sd.text_key(F.col("text")), F.col("doc_id"), F.lit(8), n=2).collect(), 2)
+    assert sum(sizes) == 4001 and max(sizes) < 200
+
+
 def test_odd_rows(odd_docs, no_docs):
     def run(df, n):
         return sd.histogram_shards(df, sd.text_key(F.col("text")), F.col("doc_id"), F.octet_length("text"), n).collect()
