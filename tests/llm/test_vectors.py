@@ -51,6 +51,42 @@ def test_links_against_brute_force(spark, grouped, monkeypatch):
     assert {r.vec_id: (r.n_links, r.component_id) for r in out} == brute_links(ids, x, labels, 0.98)
 
 
+def test_windows_go_on_over_partition_borders(spark):
+    """Rows in pairs, one pass and a window of one: half of the pairs lie on a
+    border where every partition holds few rows."""
+    rng = np.random.default_rng(8)
+    c = rng.standard_normal((300, 12))
+    x = np.concatenate([c, c + 1e-9 * rng.standard_normal(c.shape)])
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "70")
+    try:
+        out = vd.embedding_components(df, passes=1, window=1).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert sum(r.n_links == 1 and r.component_id == r.vec_id % 300 for r in out) == 600
+
+
+def test_passes_and_windows_grow_with_the_label(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    m = rng.standard_normal(16)
+    c = 2 * m / np.linalg.norm(m) + rng.standard_normal((3000, 16)) / 4
+    c /= np.linalg.norm(c, axis=1)[:, None]
+    r = rng.standard_normal(c.shape)
+    r -= (r * c).sum(1)[:, None] * c
+    x = np.concatenate([c, 0.9999 * c + math.sqrt(1 - 0.9999**2) * r / np.linalg.norm(r, axis=1)[:, None]])
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+
+    def missed():
+        out = vd.embedding_components(df, threshold=0.99989, passes=1, window=2).collect()
+        return sum(r.component_id == r.vec_id for r in out if r.vec_id >= 3000)
+
+    monkeypatch.setattr(vd, "SMALL", 10_000)
+    fixed = missed()
+    monkeypatch.setattr(vd, "SMALL", 50)
+    assert fixed > 300 and missed() < 0.02 * fixed
+
+
 def test_query_on_small_table(spark):
     e = pd.read_parquet(f"{SF}/embeddings.parquet")
     rows = QUERIES["op6_embedding_dedup"](spark, SF).collect()
