@@ -22,11 +22,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it
     back: later readers see the same rows, and a lost executor costs a
     re-read instead of a recomputation."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    return reread(df, write_shared(df, name))
+
+
+def write_shared(df: DataFrame, name: str, *partitions: str) -> str:
+    """The folder in the shared checkpoint folder that ``df`` is written to."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partitions).parquet(path)
+    return path
+
+
+def reread(df: DataFrame, path: str) -> DataFrame:
+    """The rows of ``df`` as they were written to ``path``."""
     plain = StructType([StructField(f.name, f.dataType) for f in df.schema.fields])
-    return spark.read.schema(plain).parquet(path)
+    return df.sparkSession.read.schema(plain).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ``write_shared`` that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def read_text(spark: SparkSession, path: str) -> str:

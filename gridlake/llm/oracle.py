@@ -77,3 +77,57 @@ SELECT v.vec_id, (SELECT count(*) FROM links WHERE links.a = v.vec_id) AS n_link
        v.vec_id = (SELECT min(b) FROM reach WHERE reach.a = v.vec_id) AS kept
 FROM v
 """
+
+# Matches are marked by two characters that no pattern matches, and the marked
+# text is cut at the first of them.
+_MARKED = """
+  SELECT doc_id, owner, '{kind}' AS kind, parts, chr(57345) AS e FROM (
+    SELECT doc_id, owner, string_split(regexp_replace(t, '({pattern})', chr(57344) || '\1' || chr(57345), 'g'), chr(57344)) AS parts
+    FROM d) WHERE len(parts) > 1
+"""
+_PATTERNS = {
+    "assign": r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""",
+    "access": "AKIA[A-Z0-9]+",
+    "hex": "[0-9a-f]+",
+    "token": "[A-Za-z0-9_-]+",
+}
+
+ORACLE["op13_secrets"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS owner,
+         translate(coalesce(text, ''), chr(57344) || chr(57345), chr(57346) || chr(57346)) AS t FROM documents
+), marked AS (""" + " UNION ALL ".join(_MARKED.format(kind=k, pattern=p) for k, p in _PATTERNS.items()) + r"""
+), u AS (
+  SELECT doc_id, owner, kind, e, unnest(parts) AS part, unnest(range(len(parts))) AS i FROM marked
+), placed AS (
+  SELECT doc_id, owner, kind, i, split_part(part, e, 1) AS m,
+         sum(length(part) - (i > 0)::INT) OVER (PARTITION BY doc_id, kind ORDER BY i) - length(part) + (i > 0)::INT AS s FROM u
+), f AS (
+  SELECT doc_id, owner, kind, s::BIGINT AS s, (s + length(m))::BIGINT AS e,
+         CASE WHEN kind = 'assign' THEN regexp_extract(m, '""" + _PATTERNS["assign"] + r"""', 2) ELSE m END AS v
+  FROM placed WHERE i > 0
+), ok AS (
+  SELECT * FROM f WHERE CASE kind
+    WHEN 'assign' THEN length(v) >= 6 WHEN 'access' THEN length(v) >= 20 WHEN 'hex' THEN length(v) >= 24
+    ELSE length(v) >= 20 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]') END
+), held AS (
+  SELECT v, count(DISTINCT owner) AS owners FROM ok GROUP BY v
+), judged AS (
+  SELECT v, CASE WHEN owners >= 3 THEN 'example'
+    WHEN owners = 1 AND len(list_distinct(string_split(v, ''))) >= 6 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')
+      AND NOT regexp_matches(lower(v), 'changeme|dummy|example|fake|insert|placeholder|redacted|sample|test|xxxx|your')
+    THEN 'live' END AS verdict FROM held
+), spans AS (
+  SELECT doc_id, kind, s, e FROM ok WHERE kind <> 'token'
+  UNION SELECT doc_id, verdict, e - length(v), e FROM ok JOIN judged USING (v) WHERE verdict IS NOT NULL
+), a AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e) FILTER (k <= 3) AS base,
+         string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e) AS spans
+  FROM (SELECT *, list_position(['assign', 'access', 'hex', 'live', 'example'], kind) AS k FROM spans) GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a USING (doc_id)
+"""

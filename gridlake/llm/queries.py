@@ -14,6 +14,7 @@ from gridlake.llm.linededup import dedup_lines
 from gridlake.llm.packing import pack_pieces, token_pieces
 from gridlake.llm.pii import pseudonymize
 from gridlake.llm.quality import held_out, score_quality, train
+from gridlake.llm.secrets import find_secrets, joined, of_kinds
 from gridlake.llm.sharding import histogram_shards, text_key
 from gridlake.llm.simhash import hex_fingerprint, simhash_components
 from gridlake.llm.tokencounts import token_counts
@@ -92,6 +93,13 @@ def op10_nearest(spark: SparkSession, d: str) -> DataFrame:
     return nearest(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op13_secrets(spark: SparkSession, d: str) -> DataFrame:
+    base = ("assign", "access", "hex")
+    found = find_secrets(table(spark, d, "documents"))
+    counts = [F.size(of_kinds("spans", k)).cast("long").alias(f"n_{k}") for k in base]
+    return found.select("doc_id", *counts, F.sha2(joined("spans", *base), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
@@ -103,4 +111,5 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_nearest": op10_nearest,
+    "op13_secrets": op13_secrets,
 }

@@ -1,0 +1,117 @@
+import hashlib
+import re
+
+import pytest
+
+from gridlake.llm import secrets
+from gridlake.llm.queries import QUERIES
+from tests.llm.conftest import LONG, SF
+from tests.parity import compare
+
+PATTERNS = {
+    "assign": r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]+", "token": "[A-Za-z0-9_-]+",
+}
+A, B = "wJal7XUtnFEMI", "0123456789abcdef01234567"
+
+
+def candidates(text):
+    """(kind, start, end, value start) by the plain patterns."""
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text or ""):
+            value = m.group(2) if kind == "assign" else m.group()
+            if kind == "token" and not all(re.search(c, value) for c in ("[0-9]", "[a-z]", "[A-Z]")):
+                continue
+            if len(value) >= {"assign": 6, "access": 20, "hex": 24, "token": 20}[kind]:
+                yield kind, m.start(), m.end(), m.end() - len(value)
+
+
+def brute(rows):
+    """Spans of each (id, owner, text), by the plain definition."""
+    owners: dict = {}
+    for _, owner, text in rows:
+        for _, _, end, start in candidates(text):
+            owners.setdefault(text[start:end], set()).add(owner or "")
+    out = []
+    for _, _, text in rows:
+        spans = set()
+        for kind, start, end, value in candidates(text):
+            if kind != "token":
+                spans.add((start, secrets.KINDS.index(kind), end))
+            n = len(owners[text[value:end]])
+            if n >= 3:
+                spans.add((value, 4, end))
+            elif n == 1 and secrets.looks_live(text[value:end]):
+                spans.add((value, 3, end))
+        out.append([(s, secrets.KINDS[k], e) for s, k, e in sorted(spans)])
+    return out
+
+
+def check(df, rows, **kinds):
+    got = sorted((str(r[0]), [(s.start, s.kind, s.end) for s in r.spans]) for r in secrets.find_secrets(df, **kinds).collect())
+    assert got == sorted((str(i), s) for (i, _, _), s in zip(rows, brute(rows)))
+
+
+CASES = [
+    f"password={A}", f'PassWord" : "{A}" and token={A}', "token: token = abcdefgh", "secret=short", "secret=sixsix",
+    "paſſword=abcdefgh1", "toKen=abcdefgh1", "\U0001f600é api_key='abcdef12'", "APIKEY:abc/+=_.-9",
+    f"AKIA{'A' * 15} AKIA{'A' * 16} xAKIAAKIA{'B7' * 8}", B[:23], B, f"g{B}g {B.upper()} {B}{B}", f"token={B}",
+    "ghp_aB3aB3aB3aB3aB3aB3aB3", "-" * 30 + "aB3", "your_secret=your-example-Key-000111", "token=\ntoken==x=====y", "", None,
+    "password: passwd: secret123: token", f"api_key={B}=={A}",
+]
+
+
+def test_every_case_against_the_plain_definition(spark):
+    for owners in ((0,), (0, 1), (0, 1, 2, 3)):
+        rows = [(i * 10 + o, f"s{o}", t) for i, t in enumerate(CASES) for o in owners]
+        check(spark.createDataFrame(rows, "doc_id long, source string, text string"), rows)
+
+
+def test_owner_frequency_tells_examples_from_live_values(spark):
+    rows = [
+        (1, "a", f"password={A}"), (2, "b", f"key {B}"), (3, "c", f"x {B}"), (4, None, f"token={B}"),
+        (5, "a", "secret=Zq8Zq8Rr5t"), (6, "b", "secret=Zq8Zq8Rr5t"), (7, "a", f"passwd={A}"), (7, "a", f"passwd={A}"),
+    ]
+    found = {r.doc_id: r.spans for r in secrets.find_secrets(
+        spark.createDataFrame(rows, "doc_id long, source string, text string")).collect()}
+    live = [s for s in found[1] if s.kind == "live"]
+    assert [(s.start, s.end, s.owners, s.repositories) for s in live] == [(9, 22, 1, 2)]  # documents 1 and 7
+    assert [(s.kind, s.owners) for s in found[4]] == [("assign", None), ("hex", None), ("example", 3)]
+    assert [s.kind for s in found[5]] == ["assign"]  # two owners: neither
+    loose = secrets.find_secrets(
+        spark.createDataFrame(rows, "doc_id long, source string, text string"), live_owners=2, example_owners=4).collect()
+    assert [s.kind for r in loose if r.doc_id == 5 for s in r.spans] == ["assign", "live"]
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    rows = [(r.doc_id, r.lang, r.text) for r in odd_docs.collect()]
+    check(odd_docs, rows, owner="lang")
+    assert secrets.find_secrets(no_docs, owner="lang").count() == 0
+    text = LONG + f" password={A} " + "ab " * 50_000 + B
+    rows = [(None, None, text), (1, None, text), (1, "x", None), (1, "x", None)]
+    df = spark.createDataFrame(
+        [(*r, "clash", 1, "h") for r in rows],
+        "doc_id long, source string, text string, spans string, row int, hash string",
+    )
+    check(df, rows)
+
+
+def test_many_values_in_a_text_and_one_value_in_many_texts(spark):
+    many = "\n".join(f"token=k{i:07d}Q" for i in range(20_000))
+    rows = [(0, "a", many), *[(i, f"s{i % 4}", f"secret={A}") for i in range(1, 2_000)]]
+    check(spark.createDataFrame(rows, "doc_id long, source string, text string"), rows)
+
+
+@pytest.mark.parametrize("size", ["0.001", "0.01"])
+def test_query_against_sql(spark, size):
+    from gridlake.llm.oracle import ORACLE
+
+    out = compare(spark, f"/root/testdata/sf{size}", "op13_secrets", QUERIES["op13_secrets"], ORACLE["op13_secrets"])
+    assert out["status"] == "match", out
+
+
+def test_digests(spark):
+    for r in QUERIES["op13_secrets"](spark, SF).collect():
+        base = [x for x in r.spans.split(",") if x.split(":")[0] in ("assign", "access", "hex")]
+        assert hashlib.sha256(",".join(base).encode()).hexdigest() == r.base_sha256
+        assert len(base) == r.n_assign + r.n_access + r.n_hex
