@@ -80,7 +80,7 @@ FROM v
 
 # Matches are marked by two characters that no pattern matches, and the marked
 # text is cut at the first of them.
-_MARKED = """
+_MARKED = r"""
   SELECT doc_id, owner, '{kind}' AS kind, parts, chr(57345) AS e FROM (
     SELECT doc_id, owner, string_split(regexp_replace(t, '({pattern})', chr(57344) || '\1' || chr(57345), 'g'), chr(57344)) AS parts
     FROM d) WHERE len(parts) > 1
