@@ -131,3 +131,43 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN a USING (doc_id)
 """
+
+ORACLE["op11_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), w AS MATERIALIZED (
+  SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS MATERIALIZED (
+  SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT r) >= 3
+), c AS (
+  SELECT lang, source, term, count(*) AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), totals AS (
+  SELECT g.lang, g.source, coalesce((SELECT sum(n) FROM c WHERE c.lang = g.lang AND c.source = g.source), 0)
+         + (SELECT count(*) FROM kept WHERE kept.lang = g.lang) AS total FROM g
+), shares AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(n, 0) AS n,
+         1 + (CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 1)) // CAST(total AS HUGEINT) AS p
+  FROM totals JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)
+), whole AS (
+  SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (sum(n) + 1)) // CAST(sum(sum(n)) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang) AS HUGEINT) AS q
+  FROM shares GROUP BY lang, term
+), sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // q AS value
+  FROM shares JOIN whole USING (lang, term) WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
+"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gridlake.llm.annsearch import nearest
 from gridlake.llm.bpe import decode_documents, encode_documents
 from gridlake.llm.common import materialize, table
+from gridlake.llm.divergence import divergence
 from gridlake.llm.linededup import dedup_lines
 from gridlake.llm.packing import pack_pieces, token_pieces
 from gridlake.llm.pii import pseudonymize
@@ -93,6 +94,10 @@ def op10_nearest(spark: SparkSession, d: str) -> DataFrame:
     return nearest(table(spark, d, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op11_divergence(spark: SparkSession, d: str) -> DataFrame:
+    return divergence(table(spark, d, "documents"))
+
+
 def op13_secrets(spark: SparkSession, d: str) -> DataFrame:
     base = ("assign", "access", "hex")
     found = find_secrets(table(spark, d, "documents"))
@@ -111,5 +116,6 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_line_dedup": op9_line_dedup,
     "op10_nearest": op10_nearest,
+    "op11_divergence": op11_divergence,
     "op13_secrets": op13_secrets,
 }
