@@ -78,7 +78,7 @@ def test_bounds_change_nothing(spark, monkeypatch):
     for name, small in [("SLICE", 50), ("HELD_TERMS", 3), ("HELD_SLOTS", 4), ("WAVE_BYTES", 100), ("SHARD_TERMS", 6), ("PAIR_BLOCK", 2)]:
         monkeypatch.setattr(dv, name, small)
     # the tasks' own bounds go with the code that Spark sends
-    import cloudpickle
+    from pyspark import cloudpickle
 
     cloudpickle.register_pickle_by_value(dv)
     try:
