@@ -25,10 +25,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return reread(df, write_shared(df, name))
 
 
-def write_shared(df: DataFrame, name: str, *partitions: str) -> str:
+def write_shared(df: DataFrame, name: str) -> str:
     """The folder in the shared checkpoint folder that ``df`` is written to."""
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partitions).parquet(path)
+    df.write.parquet(path)
     return path
 
 

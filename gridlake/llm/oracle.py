@@ -171,3 +171,35 @@ WITH d AS (
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
 FROM ranked WHERE part = 'pair' OR rank <= 200
 """
+
+# One block of SQL per round: the assignment to the centroids so far, then
+# the centroids after it.
+_ASSIGN = """
+a{n} AS MATERIALIZED (
+  SELECT vec_id, x, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance FROM (
+    SELECT r, vec_id, x, cluster, CAST(list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+    FROM v CROSS JOIN c{n}) GROUP BY r, vec_id, x
+)"""
+_MOVE = """
+m{n} AS (
+  SELECT cluster, list(s ORDER BY i) AS c FROM (
+    SELECT cluster, i, sum(x[i]) AS total, count(*) AS n,
+           CAST((total - ((total % n) + n) % n) // n AS BIGINT) AS s
+    FROM a{n}, range(1, 65) AS t(i) GROUP BY cluster, i) GROUP BY cluster
+), c{m} AS MATERIALIZED (
+  SELECT cluster, coalesce(m{n}.c, c{n}.c) AS c FROM c{n} LEFT JOIN m{n} USING (cluster)
+)"""
+
+ORACLE["op12_clustering"] = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS INTEGER) AS cluster, x AS c
+  FROM v ORDER BY sha256('3:' || vec_id) LIMIT 8
+),""" + ",".join(_ASSIGN.format(n=n) + "," + _MOVE.format(n=n, m=n + 1) for n in range(10)) + "," + _ASSIGN.format(n=10) + """
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(c, lambda i: CAST(i AS VARCHAR)), ',')) AS centroid_sha256
+FROM a10 JOIN c10 USING (cluster)
+"""

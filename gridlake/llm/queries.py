@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridlake.llm.annsearch import nearest
 from gridlake.llm.bpe import decode_documents, encode_documents
+from gridlake.llm.clustering import centroid_digest, cluster_vectors
 from gridlake.llm.common import materialize, table
 from gridlake.llm.divergence import divergence
 from gridlake.llm.linededup import dedup_lines
@@ -98,6 +99,13 @@ def op11_divergence(spark: SparkSession, d: str) -> DataFrame:
     return divergence(table(spark, d, "documents"))
 
 
+def op12_clustering(spark: SparkSession, d: str) -> DataFrame:
+    found = cluster_vectors(table(spark, d, "embeddings"), k=8, rounds=10, dim=64, scale=1024, seed=3)
+    return found.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", centroid_digest("centroid").alias("centroid_sha256")
+    )
+
+
 def op13_secrets(spark: SparkSession, d: str) -> DataFrame:
     base = ("assign", "access", "hex")
     found = find_secrets(table(spark, d, "documents"))
@@ -117,5 +125,6 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_nearest": op10_nearest,
     "op11_divergence": op11_divergence,
+    "op12_clustering": op12_clustering,
     "op13_secrets": op13_secrets,
 }
