@@ -28,11 +28,12 @@ from gridlake.llm.common import materialize
 #: Letters of ASCII and all characters beyond it, in UTF-8 after lower-casing A-Z.
 TERM = re.compile(rb"[a-z\x80-\xff]+")
 #: A text is read in slices of about so many bytes; a task holds so many
-#: different terms, and bytes of them, before it hands them on.
-SLICE, HELD_TERMS, HELD_BYTES = 1 << 20, 200_000, 32 << 20
+#: different terms, and bytes of them, before it hands them on, and so many
+#: words before it counts them.
+SLICE, HELD_TERMS, HELD_BYTES, WAITING = 1 << 19, 300_000, 32 << 20, 100_000
 #: Terms of a shard on average, bytes of hashes that are broadcast at a time,
 #: and counters that a task of the second pass holds.
-SHARD_TERMS, WAVE_BYTES, HELD_SLOTS = 4096, 64 << 20, 4 << 20
+SHARD_TERMS, WAVE_BYTES, HELD_SLOTS = 4096, 64 << 20, 12 << 20
 #: Sources on either side that one task of the pair part compares, on average.
 PAIR_BLOCK = 48
 #: Shares are in billionths.
@@ -187,6 +188,7 @@ def perfect_hashes(kept: DataFrame) -> DataFrame:
     return (
         kept.join(sizes, "lang")
         .withColumn("shard", F.pmod(F.xxhash64("term"), F.col("shards")).cast("int"))
+        .repartition("lang", "shard")  # or the join's rows by language, of which one may have most, would do
         .groupBy("lang", "shard").applyInArrow(_hash_of, _HASHES)
     )
 
@@ -195,72 +197,87 @@ def perfect_hashes(kept: DataFrame) -> DataFrame:
 
 
 class _Recount:
-    """Dense counters per (lang, source) group, shard and slot."""
-
-    def __init__(self, hashes: dict[str, tuple[int, dict[int, PerfectHash]]]):
-        self.hashes = hashes
-        self.slots: dict[tuple[str, str], dict[int, np.ndarray]] = {}
-        self.held = 0
-
-    def add(self, group: tuple[str, str], counter: Counter) -> None:
-        shards, tables = self.hashes[group[0]]
-        terms, n = list(counter), np.fromiter(counter.values(), np.int64, len(counter))
+    """Dense counters of each (lang, source) group, one for each slot of its
+    language's shards in this wave, one shard after the other."""
+
+    def __init__(self, rows: list):
+        self.shards, self.tables, self.starts, self.slots_of = {}, {}, {}, {}
+        for lang, shard, shards, sizes, bits, terms in rows:
+            self.shards[lang] = shards
+            self.tables.setdefault(lang, {})[shard] = PerfectHash.unpacked(sizes, bits, terms)
+        for lang, tables in self.tables.items():
+            ends = np.cumsum([len(t.terms) for t in tables.values()])
+            self.starts[lang] = dict(zip(tables, [0, *ends.tolist()]))
+            self.slots_of[lang] = int(ends[-1])
+        self.known: dict[str, dict[bytes, int]] = {lang: {} for lang in self.tables}
+        self.counters: dict[tuple[str, str], np.ndarray] = {}
+        self.waiting: list[tuple[tuple[str, str], list[bytes]]] = []
+        self.held = self.tokens = self.size = 0
+
+    def take(self, group: tuple[str, str], terms: list[bytes]) -> None:
+        self.waiting.append((group, terms))
+        self.tokens += len(terms)
+
+    def _learn(self, lang: str, terms: list[bytes]) -> None:
+        """The places of terms not met before (the last counter: no kept term)."""
+        place = np.full(len(terms), self.slots_of[lang], np.int64)
         lanes = _lanes(terms)
         # the shard as Spark's xxhash64 deals it
-        own = np.fromiter((xxhash.xxh64_intdigest(t, 42) for t in terms), np.uint64, len(terms)).astype(np.int64) % shards
-        array = pa.array(terms, pa.binary())
-        dense = self.slots.setdefault(group, {})
-        for shard in np.unique(own).tolist():
-            if shard not in tables:  # of another wave
-                continue
-            at = np.nonzero(own == shard)[0]
-            slots = tables[shard].verified(array.take(pa.array(at)), (lanes[0][at], lanes[1][at]))
-            if shard not in dense:
-                dense[shard] = np.zeros(len(tables[shard].terms), np.int64)
-                self.held += len(dense[shard])
-            dense[shard][slots[slots >= 0]] += n[at][slots >= 0]  # a slot's term comes once in a counter
+        hashed = np.fromiter((xxhash.xxh64_intdigest(t, 42) for t in terms), np.uint64, len(terms))
+        shards, array = hashed.astype(np.int64) % self.shards[lang], pa.array(terms, pa.binary())
+        for shard in np.unique(shards).tolist():
+            if shard in self.tables[lang]:  # else of another wave
+                at = np.nonzero(shards == shard)[0]
+                slots = self.tables[lang][shard].verified(array.take(pa.array(at)), (lanes[0][at], lanes[1][at]))
+                place[at[slots >= 0]] = self.starts[lang][shard] + slots[slots >= 0]
+        self.known[lang].update(zip(terms, place.tolist()))
+        self.size += sum(map(len, terms))
+
+    def count(self) -> None:
+        """Count what waits."""
+        if sum(map(len, self.known.values())) > HELD_TERMS or self.size > HELD_BYTES:
+            self.known, self.size = {lang: {} for lang in self.tables}, 0
+        new: dict[str, set[bytes]] = defaultdict(set)
+        for (lang, _), terms in self.waiting:
+            new[lang].update(terms)
+        for lang, terms in new.items():
+            if terms := list(terms.difference(self.known[lang])):
+                self._learn(lang, terms)
+        for group, terms in self.waiting:
+            counter = self.counters.get(group)
+            if counter is None:
+                counter = self.counters[group] = np.zeros(self.slots_of[group[0]] + 1, np.int64)
+                self.held += len(counter)
+            np.add.at(counter, np.fromiter(map(self.known[group[0]].__getitem__, terms), np.int64, len(terms)), 1)
+        self.waiting, self.tokens = [], 0
 
     def drain(self) -> Iterator[pa.RecordBatch]:
-        for (lang, source), dense in self.slots.items():
-            for shard, counts in dense.items():
-                at = np.nonzero(counts)[0]
+        for (lang, source), counter in self.counters.items():
+            for shard, start in self.starts[lang].items():
+                own = counter[start : start + len(self.tables[lang][shard].terms)]
+                at = np.nonzero(own)[0]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(at), pa.string()), pa.array([source] * len(at), pa.string()),
-                     pa.array(np.full(len(at), shard, np.int32)), pa.array(at.astype(np.int32)), pa.array(counts[at])],
+                     pa.array(np.full(len(at), shard, np.int32)), pa.array(at.astype(np.int32)), pa.array(own[at])],
                     names=["lang", "source", "shard", "slot", "n"],
                 )
-        self.slots, self.held = {}, 0
+        self.counters, self.held = {}, 0
 
 
 def _counted(batches: Iterator[pa.RecordBatch], rows: list) -> Iterator[pa.RecordBatch]:
     """(lang, source, shard, slot, n) of the terms that the hashes hold."""
-    hashes: dict[str, tuple[int, dict[int, PerfectHash]]] = {}
-    for lang, shard, shards, sizes, bits, terms in rows:
-        hashes.setdefault(lang, (shards, {}))[1][shard] = PerfectHash.unpacked(sizes, bits, terms)
-    recount = _Recount(hashes)
-    counters: dict[tuple[str, str], Counter] = defaultdict(Counter)
-    held = size = 0
+    recount = _Recount(rows)
     for batch in batches:
         for lang, source, cell in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            if lang not in hashes:
+            if lang not in recount.tables:
                 continue
-            counter = counters[lang, source]
             for part in _slices(cell.as_py()):
-                before = len(counter)
-                counter.update(TERM.findall(part))
-                held += len(counter) - before
-                size += len(part) if len(counter) > before else 0
-                if held > HELD_TERMS or size > HELD_BYTES:
-                    for group, c in counters.items():
-                        if c:
-                            recount.add(group, c)
-                            c.clear()
-                    held = size = 0
+                recount.take((lang, source), TERM.findall(part))
+                if recount.tokens > WAITING:
+                    recount.count()
                     if recount.held > HELD_SLOTS:
                         yield from recount.drain()
-    for group, c in counters.items():
-        if c:
-            recount.add(group, c)
+    recount.count()
     yield from recount.drain()
 
 

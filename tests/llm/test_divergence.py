@@ -75,7 +75,7 @@ def test_bounds_change_nothing(spark, monkeypatch):
     texts = [f"{LONG[:3000]} w{chr(97 + i % 26)}{chr(97 + i % 7)} ä{'ö' * (i % 5)} " * (1 + i % 3) for i in range(120)]
     rows = [("en" if i % 4 else "de", f"s{i % 11}", t) for i, t in enumerate(texts)]
     df, want = spark.createDataFrame(rows, SCHEMA), brute(rows)
-    for name, small in [("SLICE", 50), ("HELD_TERMS", 3), ("HELD_SLOTS", 4), ("WAVE_BYTES", 100), ("SHARD_TERMS", 6), ("PAIR_BLOCK", 2)]:
+    for name, small in [("SLICE", 50), ("HELD_TERMS", 3), ("HELD_SLOTS", 4), ("WAITING", 9), ("WAVE_BYTES", 100), ("SHARD_TERMS", 6), ("PAIR_BLOCK", 2)]:
         monkeypatch.setattr(dv, name, small)
     # the tasks' own bounds go with the code that Spark sends
     from pyspark import cloudpickle
