@@ -33,7 +33,9 @@ TERM = re.compile(rb"[a-z\x80-\xff]+")
 SLICE, HELD_TERMS, HELD_BYTES, WAITING = 1 << 19, 300_000, 32 << 20, 100_000
 #: Terms of a shard on average, bytes of hashes that are broadcast at a time,
 #: and counters that a task of the second pass holds.
-SHARD_TERMS, WAVE_BYTES, HELD_SLOTS = 4096, 64 << 20, 12 << 20
+SHARD_TERMS, WAVE_BYTES, HELD_SLOTS = 4096, 64 << 20, 24 << 20
+#: Words counted before the 32-bit counters are handed on.
+LARGEST = 1 << 30
 #: Sources on either side that one task of the pair part compares, on average.
 PAIR_BLOCK = 48
 #: Shares are in billionths.
@@ -206,13 +208,13 @@ class _Recount:
             self.shards[lang] = shards
             self.tables.setdefault(lang, {})[shard] = PerfectHash.unpacked(sizes, bits, terms)
         for lang, tables in self.tables.items():
-            ends = np.cumsum([len(t.terms) for t in tables.values()])
-            self.starts[lang] = dict(zip(tables, [0, *ends.tolist()]))
-            self.slots_of[lang] = int(ends[-1])
+            ends = np.cumsum([len(t.terms) for t in tables.values()]).tolist()
+            self.starts[lang] = dict(zip(tables, [0, *ends]))
+            self.slots_of[lang] = ends[-1]
         self.known: dict[str, dict[bytes, int]] = {lang: {} for lang in self.tables}
         self.counters: dict[tuple[str, str], np.ndarray] = {}
         self.waiting: list[tuple[tuple[str, str], list[bytes]]] = []
-        self.held = self.tokens = self.size = 0
+        self.held = self.added = self.tokens = self.size = 0
 
     def take(self, group: tuple[str, str], terms: list[bytes]) -> None:
         self.waiting.append((group, terms))
@@ -246,22 +248,25 @@ class _Recount:
         for group, terms in self.waiting:
             counter = self.counters.get(group)
             if counter is None:
-                counter = self.counters[group] = np.zeros(self.slots_of[group[0]] + 1, np.int64)
+                counter = self.counters[group] = np.zeros(self.slots_of[group[0]] + 1, np.int32)
                 self.held += len(counter)
             np.add.at(counter, np.fromiter(map(self.known[group[0]].__getitem__, terms), np.int64, len(terms)), 1)
+        self.added += self.tokens
         self.waiting, self.tokens = [], 0
 
     def drain(self) -> Iterator[pa.RecordBatch]:
         for (lang, source), counter in self.counters.items():
-            for shard, start in self.starts[lang].items():
-                own = counter[start : start + len(self.tables[lang][shard].terms)]
-                at = np.nonzero(own)[0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(at), pa.string()), pa.array([source] * len(at), pa.string()),
-                     pa.array(np.full(len(at), shard, np.int32)), pa.array(at.astype(np.int32)), pa.array(own[at])],
-                    names=["lang", "source", "shard", "slot", "n"],
-                )
-        self.counters, self.held = {}, 0
+            at = np.flatnonzero(counter[:-1])
+            shards, starts = (np.array(list(x)) for x in (self.starts[lang], self.starts[lang].values()))
+            own = np.searchsorted(starts, at, "right") - 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(at), np.int32))),
+                 pa.array([source], pa.string()).take(pa.array(np.zeros(len(at), np.int32))),
+                 pa.array(shards[own].astype(np.int32)), pa.array((at - starts[own]).astype(np.int32)),
+                 pa.array(counter[at].astype(np.int64))],
+                names=["lang", "source", "shard", "slot", "n"],
+            )
+        self.counters, self.held, self.added = {}, 0, 0
 
 
 def _counted(batches: Iterator[pa.RecordBatch], rows: list) -> Iterator[pa.RecordBatch]:
@@ -275,7 +280,7 @@ def _counted(batches: Iterator[pa.RecordBatch], rows: list) -> Iterator[pa.Recor
                 recount.take((lang, source), TERM.findall(part))
                 if recount.tokens > WAITING:
                     recount.count()
-                    if recount.held > HELD_SLOTS:
+                    if recount.held > HELD_SLOTS or recount.added > LARGEST:
                         yield from recount.drain()
     recount.count()
     yield from recount.drain()
