@@ -13,9 +13,12 @@ from gridlake.functions.time import (  # noqa: F401
 )
 from gridlake.functions.scalar import (  # noqa: F401
     cost,
+    exact_count,
     exact_mean,
+    exact_sum,
     is_fault,
     is_good,
+    known,
     null_when,
     season_of,
     tariff_by_index,

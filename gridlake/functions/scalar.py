@@ -41,22 +41,40 @@ def cost(kwh="interval_kwh", rate="unit_rate", scale: int = 6) -> Column:
 SUM_SCALE = 8
 
 
+def known(c) -> Column:
+    """NULL for NaN, which stands for a missing value (as in pandas); other
+    values, infinity too, are kept."""
+    c = _col(c)
+    return F.when(~F.isnan(c), c)
+
+
+def summable(c, scale: int = SUM_SCALE) -> Column:
+    """The value as DECIMAL(28, ``scale``); NULL where it has none: missing,
+    NaN, infinite, or too large (10^20 at 8 places)."""
+    return _col(c).try_cast(DecimalType(28, scale))
+
+
 def exact_sum(c, scale: int = SUM_SCALE, window=None) -> Column:
     """Sum as DECIMAL(38, ``scale``): the same total in any order of adding,
     whatever the partitioning and the volume (values are taken to ``scale``
-    places). NULL when no value is present. ``window`` makes it a window
-    aggregate."""
-    s = F.sum(_col(c).cast(DecimalType(28, scale)))
+    places). Values that are not ``summable`` are left out. NULL when no value
+    is left. ``window`` makes it a window aggregate."""
+    s = F.sum(summable(c, scale))
     return s if window is None else s.over(window)
 
 
+def exact_count(c, scale: int = SUM_SCALE, window=None) -> Column:
+    """The number of values that ``exact_sum`` adds."""
+    n = F.count(summable(c, scale))
+    return n if window is None else n.over(window)
+
+
 def exact_mean(c, scale: int = SUM_SCALE, window=None) -> Column:
-    """Mean as the exact decimal total over the count: the same double on
-    every run and in any engine. Rounding a mean afterwards could land on a
-    tie that engines break differently, so it is not rounded. NULL when no
-    value is present."""
-    n = F.count(_col(c))
-    n = n if window is None else n.over(window)
+    """Mean as the exact decimal total over the number of values in it: the
+    same double on every run and in any engine. Rounding a mean afterwards
+    could land on a tie that engines break differently, so it is not rounded.
+    NULL when no value is present."""
+    n = exact_count(c, scale, window)
     return F.try_divide(exact_sum(c, scale, window).cast("double"), n.cast("double"))
 
 

@@ -1,5 +1,9 @@
 """Gold aggregations (A1, A2) and the cost fact (J3 + P3/P4/P7/P8).
 
+NaN is a missing value: neither summed nor counted. Values that no exact sum
+holds (infinite, or 10^20 and more) are left out of sums, means and counts
+alike; Silver quarantines such readings.
+
 Sums of an all-NULL group are 0.0 (pandas semantics of the published Gold);
 means of an all-NULL group stay NULL; NULL group keys are dropped. Double
 aggregates are rounded (kWh 4 dp, money 6 dp, means 6 dp) so results do not
@@ -12,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.fixed import LOCAL_ZONE
-from gridlake.functions.scalar import cost, exact_mean, exact_sum
+from gridlake.functions.scalar import cost, exact_count, exact_mean, exact_sum, known
 from gridlake.functions.time import date_key
 from gridlake.operators.joins import rate_join
 
@@ -59,7 +63,7 @@ def daily_usage(fact: DataFrame, carry: bool = False) -> DataFrame:
     from exact decimal sums. ``carry`` adds ``voltage_sum`` and ``voltage_n``,
     from which a mean over several days is weighted by readings."""
     keys = ["meter_id", "date_key", "tariff_code"]
-    carried = [exact_sum("voltage").alias("voltage_sum"), F.count("voltage").alias("voltage_n")] if carry else []
+    carried = [exact_sum("voltage").alias("voltage_sum"), exact_count("voltage").alias("voltage_n")] if carry else []
     return (
         fact.filter(_not_null(*keys))
         .groupBy(*keys)
@@ -82,8 +86,8 @@ def daily_weather(weather: DataFrame, ts: str = "weather_ts") -> DataFrame:
         .groupBy("date_key")
         .agg(
             mean("temperature_2m").alias("avg_temp_c"),
-            F.min("temperature_2m").alias("min_temp_c"),
-            F.max("temperature_2m").alias("max_temp_c"),
+            F.min(known("temperature_2m")).alias("min_temp_c"),
+            F.max(known("temperature_2m")).alias("max_temp_c"),
             mean("cloud_cover").alias("avg_cloud_pct"),
             mean("shortwave_radiation").alias("avg_radiation"),
         )

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.functions.scalar import exact_mean, exact_sum, is_fault
@@ -82,18 +82,43 @@ def simulate_tariff(fact: DataFrame, pct_changes: Sequence[str] = ("-0.1", "0.0"
 
 def elasticity(md: DataFrame, weather_daily: DataFrame, meters: DataFrame, group: str = "has_solar") -> DataFrame:
     """Least squares of daily kWh on the day's mean temperature, per
-    ``group`` of the meter dimension: slope, intercept, r2, n."""
-    j = md.join(weather_daily.select("date_key", "avg_temp_c"), "date_key").join(
-        meters.select("meter_id", group), "meter_id"
-    )
-    # Fitted values are rounded to 4 dp: the regression is a ratio of
-    # covariance sums whose last bits depend on the summation order.
-    return j.groupBy(group).agg(
-        F.round(F.regr_slope("kwh", "avg_temp_c"), 4).alias("slope"),
-        F.round(F.regr_intercept("kwh", "avg_temp_c"), 4).alias("intercept"),
-        F.round(F.regr_r2("kwh", "avg_temp_c"), 4).alias("r2"),
-        F.regr_count("kwh", "avg_temp_c").alias("n"),
-    )
+    ``group`` of the meter dimension: slope, intercept, r2, n.
+
+    The temperature is one number a day, so the meter-days are first added up
+    per (group, day): their number, sum and sum of squares. The weather meets
+    only those rows. All sums are exact decimal totals (temperatures to 8
+    places, kWh to 6) of values shifted by the whole part of the group's mean,
+    so nothing cancels in the closed form at the end, and the result has the
+    same bits for any partitioning: no rounding hides the order of adding."""
+    y = F.col("kwh").try_cast("decimal(18,6)")
+    per_day = (
+        md.join(meters.select("meter_id", group), "meter_id").filter(y.isNotNull()).groupBy(group, "date_key")
+        .agg(F.count(F.lit(1)).cast("decimal(12,0)").alias("n"), F.sum(y).alias("y"), F.sum(y * y).alias("yy"))
+    )
+    x = F.col("avg_temp_c").try_cast("decimal(18,8)")
+    days = per_day.join(weather_daily.select("date_key", x.alias("x")), "date_key").filter("x IS NOT NULL")
+    of_group = Window.partitionBy(group)
+
+    def shift(total: Column) -> Column:
+        mean = F.sum(total).over(of_group).cast("double") / F.sum("n").over(of_group).cast("double")
+        return F.floor(mean).cast("decimal(10,0)")
+
+    n, x, y, yy = (F.col(c) for c in ("n", "x", "y", "yy"))
+    shifted = days.withColumn("sx", shift(x * n)).withColumn("sy", shift(y)).select(
+        group, "n", "sx", "sy", (x - F.col("sx")).cast("decimal(14,8)").alias("x"),
+        (y - n * F.col("sy")).cast("decimal(24,6)").alias("y"),
+        (yy - 2 * F.col("sy") * y + n * F.col("sy") * F.col("sy")).cast("decimal(28,12)").alias("yy"),
+    )
+    parts = {"n": n, "x": n * x, "y": y, "xx": n * (x * x).cast("decimal(22,12)"), "xy": x * y, "yy": yy}
+    sums = shifted.groupBy(group).agg(
+        *[F.sum(v.cast("decimal(28,12)")).cast("double").alias(c) for c, v in parts.items()],
+        F.max("sx").cast("double").alias("sx"), F.max("sy").cast("double").alias("sy"),
+    )
+    xx, xy, yy = (F.col(a + b) - F.col(a) * F.col(b) / F.col("n") for a, b in ("xx", "xy", "yy"))
+    slope = F.when(xx > 0, xy / xx)
+    level = F.col("y") / F.col("n") + F.col("sy") - slope * (F.col("x") / F.col("n") + F.col("sx"))
+    r2 = F.when(xx > 0, F.when(yy > 0, xy * xy / (xx * yy)).otherwise(1.0))
+    return sums.select(group, slope.alias("slope"), level.alias("intercept"), r2.alias("r2"), F.col("n").cast("long").alias("n"))
 
 
 def fault_tree(readings: DataFrame, meters: DataFrame, ts: str = "reading_ts") -> DataFrame:

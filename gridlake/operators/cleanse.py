@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.fixed import GOOD, MISSING
-from gridlake.functions.scalar import is_fault, is_good, null_when
+from gridlake.functions.scalar import is_fault, is_good, known, null_when, summable
 
 BAD_TIMESTAMP = "BAD_TIMESTAMP"
 NULL_QUALITY = "NULL_QUALITY"
+OUT_OF_RANGE = "OUT_OF_RANGE"
+
+
+def null_missing(df: DataFrame, *cols: str) -> DataFrame:
+    """NaN, which stands for a missing value, becomes NULL."""
+    return df.withColumns({c: known(c) for c in cols})
 
 
 def null_sentinel(
@@ -20,14 +28,21 @@ def null_sentinel(
 
 
 def with_reason(
-    df: DataFrame, ts: str = "reading_ts", quality: str = "quality", good: str = GOOD
+    df: DataFrame, ts: str = "reading_ts", quality: str = "quality", good: str = GOOD,
+    values: Sequence[str] = ("interval_kwh", "voltage"),
 ) -> DataFrame:
     """Add ``reason``: NULL for a clean row, else why it is quarantined
-    (unparsed instant first, then a missing label, then the label itself)."""
+    (unparsed instant first, then a missing label, then the label itself, then
+    one of ``values`` that no exact sum holds: infinite, or 10^20 and more)."""
+    beyond = F.lit(False)
+    for v in values:
+        if v in df.columns:
+            beyond = beyond | (known(v).isNotNull() & summable(v).isNull())
     reason = (
         F.when(F.col(ts).isNull(), F.lit(BAD_TIMESTAMP))
         .when(F.col(quality).isNull(), F.lit(NULL_QUALITY))
         .when(~is_good(quality, good), F.col(quality))
+        .when(beyond, F.lit(OUT_OF_RANGE))
     )
     return df.withColumn("reason", reason)
 

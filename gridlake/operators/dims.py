@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, IntegerType, StringType, StructField, StructType
 
 from gridlake import schemas
 from gridlake.fixed import LOCATION, SEGMENT, TARIFF_RATES, TARIFFS
 from gridlake.functions.scalar import season_of
 from gridlake.operators.ordering import with_sequence
+from gridlake.session import cut_lineage
 
 
 def _date(x) -> Column:
@@ -81,6 +83,71 @@ def scd2_from_changes(
     return seq.select(sk, key, value, "valid_from", "valid_to", "is_current")
 
 
+_HISTORY = ("valid_from", "valid_to", "is_current")
+
+
+def scd2_apply(
+    history: DataFrame, changes: DataFrame, window_end, key: str = "meter_id", change_date: str = "change_date",
+    value: str = "tariff_code",
+) -> DataFrame:
+    """D2 by increments: a batch of ``changes`` merged into an existing SCD2
+    ``history`` (``key``, ``value``, validity). Only the keys in the batch are
+    rebuilt: an open interval is closed, a late change splits the closed
+    interval it falls into, a change on a date that has a version already
+    keeps the larger value; all other rows pass through, the current ones
+    with their end moved to ``window_end``. The result is that of
+    ``scd2_from_changes`` over all changes so far, however they were split
+    into batches and in whatever order these came (under one
+    ``window_end``)."""
+    batch = changes.select(F.col(key), F.to_date(F.col(change_date)).cast("string").alias("valid_from"), F.col(value))
+    batch = batch.filter(F.to_date("valid_from") <= _date(window_end))
+    touched = batch.select(key).distinct()
+    old = history.select(key, value, *_HISTORY)
+    rest = old.join(touched, key, "left_anti").withColumn(
+        "valid_to", F.when(F.col("is_current"), _date(window_end).cast("string")).otherwise(F.col("valid_to"))
+    )
+    # a version is its key, first day and value: the history of the touched keys is a change log again
+    log = old.join(touched, key, "left_semi").select(key, "valid_from", value).unionByName(batch)
+    rebuilt = scd2_from_changes(log, window_end, key, "valid_from", value, sk=None)
+    return rest.select(key, value, *_HISTORY).unionByName(rebuilt)
+
+
+def merge_scd2(
+    spark: SparkSession, path: str, changes: DataFrame, window_end, key: str = "meter_id",
+    change_date: str = "change_date", value: str = "tariff_code", buckets: int = 64,
+) -> None:
+    """``scd2_apply`` on a table: the history under ``path`` is kept in
+    ``buckets`` directories by a hash of the key, and only those that a key of
+    the batch falls into are read and replaced. The table is made by its first
+    batch; a batch applied twice changes nothing. Rows outside the touched
+    buckets keep their end: ``read_scd2`` moves it to the window's end."""
+    at = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+    held = cut_lineage(changes.withColumn("_bucket", at))
+    touched = [r[0] for r in held.select("_bucket").distinct().collect()]  # at most ``buckets`` numbers
+    if not touched:
+        return
+    kinds = held.schema
+    schema = StructType([kinds[key], kinds[value], *[StructField(c, StringType()) for c in _HISTORY[:2]],
+                         StructField(_HISTORY[2], BooleanType()), StructField("_bucket", IntegerType())])
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    known = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    old = spark.read.schema(schema).parquet(path) if known else spark.createDataFrame([], schema)
+    merged = scd2_apply(old.filter(F.col("_bucket").isin(touched)), held, window_end, key, change_date, value)
+    # written elsewhere first: the buckets that are read are replaced
+    (
+        cut_lineage(merged.withColumn("_bucket", at)).repartition("_bucket").sortWithinPartitions(key, "valid_from")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_bucket").parquet(path)
+    )
+
+
+def read_scd2(spark: SparkSession, path: str, window_end) -> DataFrame:
+    """The history that ``merge_scd2`` keeps, its current rows ending at
+    ``window_end``."""
+    h = spark.read.parquet(path).drop("_bucket")
+    end = F.when(F.col("is_current"), _date(window_end).cast("string")).otherwise(F.col("valid_to"))
+    return h.withColumn("valid_to", end)
+
+
 def dim_meter(fleet: DataFrame, location_id: int = LOCATION[0]) -> DataFrame:
     """D3: meter dimension from a fleet registry with ``has_solar``."""
     return fleet.select(

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.fixed import LOCAL_ZONE
@@ -104,6 +104,91 @@ def resolve_as_of(
     )
 
 
+def resolve_as_of_carry(
+    readings: DataFrame,
+    history: DataFrame,
+    key: str = "meter_id",
+    ts: str = "reading_ts",
+    valid_from: str = "valid_from",
+    valid_to: str = "valid_to",
+    take: Sequence[str] = ("tariff_code",),
+    inclusive_to: bool = True,
+    horizon=None,
+    bucket: str = "month",
+    since=None,
+) -> DataFrame:
+    """J1 without a join: the same result as ``resolve_as_of`` from one
+    ordered stream.
+
+    Readings and history rows are united and put in order per (meter, time
+    bucket); the last history row so far is carried forward to each reading
+    (``last`` that passes over nulls) and counts while its validity lasts. A
+    history row enters every bucket it covers, at the bucket's start, so a
+    bucket opens with the row valid then. One shuffle of the union takes the
+    place of one for each side, and no reading meets more than one history
+    row, whatever number of rows its meter's history has.
+
+    At most one row of a meter may be valid at a time for that. Meters whose
+    history overlaps itself, where the join gives a reading once per valid
+    row, go through the join; there are none in a proper history, and finding
+    them is one window over the history. ``horizon``, ``since`` and ``bucket``
+    as for the join: a bucket is one task's group, a ``day`` keeps that of a
+    hot meter small.
+    """
+    if bucket not in ("month", "day"):
+        raise ValueError("bucket must be 'month' or 'day'")
+    end = F.coalesce(F.to_date(F.col(valid_to)), F.lit(OPEN_END).cast("date"))
+    spans = history.select(
+        F.col(key).alias("_key"), F.to_date(F.col(valid_from)).alias("_from"),
+        (F.date_add(end, 1) if inclusive_to else end).alias("_to"), F.struct(*take).alias("_take"),
+    ).filter(F.col("_key").isNotNull() & (F.col("_from") < F.col("_to")))
+    before = Window.partitionBy("_key").orderBy("_from", "_to").rowsBetween(Window.unboundedPreceding, -1)
+    twice = spans.withColumn("_reach", F.max("_to").over(before)).filter(F.col("_reach") > F.col("_from")).select("_key").distinct()
+    rest = None
+    if not twice.isEmpty():
+        tangled = twice.withColumnRenamed("_key", key)
+        rest = resolve_as_of(
+            readings.join(tangled, key, "left_semi").select(*readings.columns), history, key, ts, valid_from, valid_to,
+            take, inclusive_to, horizon, bucket, since,
+        )
+        readings = readings.join(tangled, key, "left_anti").select(*readings.columns)
+        spans = spans.join(twice, "_key", "left_anti")
+
+    low = _bucket_of(_as_date(since), bucket) if since is not None else None
+    high = _bucket_of(_as_date(horizon), bucket) if horizon is not None else None
+
+    def clip(b):
+        b = F.greatest(b, low) if low is not None else b
+        return F.least(b, high) if high is not None else b
+
+    first = clip(_bucket_of(F.col("_from"), bucket))
+    last_day = F.date_sub("_to", 1)
+    if horizon is None:  # an open end covers no bucket beyond the last reading's
+        latest = readings.agg(F.max(F.to_date(F.col(ts))).alias("d")).first()["d"]
+        last_day = F.least(last_day, F.lit(latest)) if latest else F.col("_from")
+    last = F.greatest(clip(_bucket_of(last_day, bucket)), first)
+    step = F.expr(f"INTERVAL 1 {bucket.upper()}")
+    opened = spans.withColumn("_first", first).withColumn("_bucket", F.explode(F.sequence("_first", last, step)))
+    # in its first bucket a row enters where it begins
+    at = F.when(F.col("_bucket") == F.col("_first"), F.col("_from")).otherwise(F.col("_bucket")).cast("timestamp_ntz")
+    carried = F.struct(F.col("_to").cast("timestamp_ntz").alias("to"), F.col("_take").alias("take")).alias("_open")
+    entries = opened.select(F.col("_key"), F.col("_bucket"), at.alias("_at"), carried, F.lit(None).alias("_row"))
+    rows = readings.select(
+        F.col(key).alias("_key"), clip(_bucket_of(F.to_date(F.col(ts)), bucket)).alias("_bucket"), F.col(ts).alias("_at"),
+        F.lit(None).alias("_open"), F.struct(*readings.columns).alias("_row"),
+    )
+    both = entries.unionByName(rows)
+    # at one instant the history row comes first
+    order = Window.partitionBy("_key", "_bucket").orderBy("_at", F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("_open", F.last("_open", ignorenulls=True).over(order)).filter(F.col("_row").isNotNull())
+    valid = F.col("_at") < F.col("_open.to")
+    out = found.select(
+        *[F.col(f"_row.{c}").alias(c) for c in readings.columns if c not in take],
+        *[F.when(valid, F.col(f"_open.take.{c}")).alias(c) for c in take],
+    )
+    return out if rest is None else out.unionByName(rest)
+
+
 def _as_date(x):
     return F.lit(x).cast("date") if isinstance(x, str) else F.to_date(x)
 
@@ -144,6 +229,43 @@ def join_hourly(
     )
 
 
+def hour_table(
+    weather: DataFrame, ts: str = "weather_ts", cols: Sequence[str] = ("temperature_2m", "relative_humidity_2m"),
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """Weather as one row per UTC day (and ``keys``, a site): ``_hours``, an
+    array of 24 slots, each the array of the hour's rows (one, where the
+    weather is reconciled and keyed by site; none in a gap)."""
+    day, hour = F.to_date(F.col(ts)).alias("_day"), F.hour(F.col(ts)).alias("_hour")
+    slots = weather.filter(F.col(ts).isNotNull()).groupBy(day, hour, *keys).agg(F.collect_list(F.struct(*cols)).alias("_rows"))
+    filled = [F.first(F.when(F.col("_hour") == h, F.col("_rows")), ignorenulls=True).alias(f"_{h}") for h in range(24)]
+    return slots.groupBy("_day", *keys).agg(*filled).select("_day", *keys, F.array(*[f"_{h}" for h in range(24)]).alias("_hours"))
+
+
+def join_hour_table(
+    readings: DataFrame, hours: DataFrame, ts: str = "reading_ts",
+    cols: Sequence[str] = ("temperature_2m", "relative_humidity_2m"), keys: Sequence[tuple[str, str]] = (),
+    few_days: bool = False,
+) -> DataFrame:
+    """J2 by the day: each reading meets its UTC day's row of ``hour_table``
+    and takes its hour's slot by position; the same rows as ``join_hourly``.
+
+    A year is 366 rows per site instead of 8,760, so the table is small where
+    the readings are many. ``few_days`` says that the caller has bounded its
+    rows (the days of a window, times the sites): it is then broadcast, and no
+    reading is moved. Otherwise AQE decides on its measured size."""
+    table = hours.select(
+        F.col("_day").alias("_w_day"), *[F.col(wc).alias(f"_w_k{i}") for i, (_, wc) in enumerate(keys)], "_hours"
+    )
+    cond = F.to_date(F.col(ts)) == F.col("_w_day")
+    for i, (rc, _) in enumerate(keys):
+        cond = cond & (F.col(rc) == F.col(f"_w_k{i}"))
+    met = readings.join(F.broadcast(table) if few_days else table, cond, "left")
+    slot = F.get("_hours", F.hour(F.col(ts)))
+    kept = [c for c in readings.columns if c not in cols]
+    return met.select(*kept, F.explode_outer(slot).alias("_w")).select(*kept, *[F.col(f"_w.{c}").alias(c) for c in cols])
+
+
 def with_location(
     readings: DataFrame, meters: DataFrame, locations: DataFrame, key: str = "meter_id"
 ) -> DataFrame:

@@ -3,16 +3,18 @@ head (L1), column profile (A6)."""
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
-from gridlake.functions.scalar import exact_mean
+from gridlake.functions.scalar import exact_mean, known
 from gridlake.functions.time import epoch_seconds, local_hour
-from gridlake.operators.ordering import with_offset
-from gridlake.session import cut_lineage
+from gridlake.session import ensure_checkpoint_dir
 
 PERCENTILES = (0.25, 0.5, 0.75)
 
@@ -57,138 +59,239 @@ def head_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def top_values(df: DataFrame, col: str, k: int = 10, tracked: int = 10_000) -> DataFrame:
+    """The ``k`` most frequent non-NULL values of a column with their
+    exact counts, most frequent first (ties by value), without counting every
+    value.
+
+    One pass builds a mergeable summary of frequent items that holds at most
+    ``tracked`` values, however many there are; a second pass counts the
+    candidates only. The summary misses no value that occurs more often than
+    twice its error bound, so the answer is proven where the ``k``-th
+    candidate does. Where it does not (a column of nearly equal frequencies)
+    every value is counted.
+    """
+    size = 1 << math.ceil(math.log2(tracked / 0.75))
+    summary = F.call_function("approx_top_k", F.col(col), F.lit(tracked), F.lit(tracked))
+    row = df.agg(F.count(col).alias("n"), summary.alias("top")).first()
+    error = 3.5 / size * row["n"]
+    found = row["top"] or []
+    least = found[k - 1]["count"] - 2 * error if len(found) >= k else 0
+    candidates = [x["item"] for x in found if x["count"] >= least and x["item"] is not None]
+    exact = df.filter(F.col(col).isin(candidates)).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    order = [F.col("count").desc(), F.col(col).asc()]
+    best = exact.orderBy(*order).limit(k)
+    counts = [r["count"] for r in best.collect()]
+    if len(counts) < k or counts[-1] <= 2 * error:
+        return value_frequencies(df, col).limit(k)
+    rows = df.sparkSession.createDataFrame(best.collect(), best.schema)
+    return rows.orderBy(*order)
+
+
+#: Ranks of the summaries that bracket a percentile, on either side of it, and
+#: values strictly inside a bracket from which it is read off exactly.
+SLACK, INSIDE = 0.01, 10_000
+_STEPS = [i / 256 for i in range(257)]
+
+
+@dataclass
+class _Rank:
+    """The two neighbouring ranks of one percentile of a column, and the
+    values between which they are known to lie."""
+
+    column: int
+    p: float
+    n: int
+    lo: float
+    hi: float
+    below: int = 0
+
+    def __post_init__(self):
+        at = self.p * (self.n - 1)
+        self.first, self.last, self.share = math.floor(at), math.ceil(at), at - math.floor(at)
+
+    def inside(self) -> Column:
+        d = F.col(f"c{self.column}")
+        return (d >= F.lit(self.lo)) & (d <= F.lit(self.hi))
+
+    def read_off(self, counts: list[tuple[float, int]]) -> float:
+        before, values = self.below, {}
+        for v, n in sorted(counts):
+            for rank in (self.first, self.last):
+                if before <= rank < before + n:
+                    values[rank] = v
+            before += n
+        a, b = values[self.first], values[self.last]
+        return a if a == b else a + self.share * (b - a)
+
+
+def _narrowed(table: DataFrame, ranks: list[_Rank], extra: list[Column]) -> tuple[list[_Rank], dict]:
+    """Narrow the brackets until each holds its ranks and few values strictly
+    inside; one scan of the columns each time. ``extra`` aggregates ride along
+    with the first."""
+    done, first = [], {}
+    while ranks or extra:
+        aggs = list(extra)
+        for i, r in enumerate(ranks):
+            d = F.col(f"c{r.column}")
+            aggs += [
+                F.count(F.when(d < F.lit(r.lo), 1)).alias(f"below{i}"), F.count(F.when(r.inside(), 1)).alias(f"inside{i}"),
+                F.count(F.when((d > F.lit(r.lo)) & (d < F.lit(r.hi)), 1)).alias(f"strictly{i}"),
+                F.kll_sketch_agg_double(F.when(r.inside(), d)).alias(f"sketch{i}"),
+            ]
+        steps = F.array(*[F.lit(s) for s in _STEPS])
+        counted = table.agg(*aggs)
+        names = [c for c in counted.columns if not c.startswith("sketch")]
+        row = counted.select(*names, *[
+            F.when(F.col(f"inside{i}") > 0, F.kll_sketch_get_quantile_double(f"sketch{i}", steps)).alias(f"steps{i}")
+            for i in range(len(ranks))
+        ]).first()
+        first = first or row.asDict()
+        extra, again = [], []
+        for i, r in enumerate(ranks):
+            r.below = row[f"below{i}"]
+            lost_low, lost_high = r.first < r.below, r.last >= r.below + row[f"inside{i}"]
+            if lost_low or lost_high:  # beside the bracket: the summary was off
+                r.lo, r.hi = (-math.inf if lost_low else r.lo), (math.inf if lost_high else r.hi)
+                again.append(r)
+            elif row[f"strictly{i}"] <= INSIDE:
+                done.append(r)
+            else:
+                values, share = row[f"steps{i}"], (r.first - r.below) / row[f"inside{i}"]
+                at = share * 256
+                # a bracket that did not shrink is halved by value
+                lo, hi = values[max(0, math.floor(at) - 8)], values[min(256, math.ceil(at) + 8)]
+                lo, hi = (lo if at > 8 else r.lo), (hi if at < 248 else r.hi)
+                if (lo, hi) == (r.lo, r.hi):
+                    middle = r.lo / 2 + r.hi / 2
+                    lo, hi = (r.lo, middle) if share < 0.5 else (middle, r.hi)
+                r.lo, r.hi = lo, hi
+                again.append(r)
+        ranks = again
+    return done, first
+
+
 def profile(
     df: DataFrame,
     cols: Sequence[str] | None = None,
     percentiles=PERCENTILES,
+    unique: bool = True,
+    stored: bool = False,
 ) -> DataFrame:
     """One row per column: count, unique, top and freq (string columns),
     mean, sample std, min, exact percentiles (linear interpolation) and max
     (numeric columns). Doubles are rounded to 6 dp, except the mean, which is
     an exact decimal total (6 places) over the count. Timestamp and date
     columns are described as pandas describes datetimes (count, mean, min,
-    quartiles, max; no std), on UTC epoch seconds.
+    quartiles, max; no std), on UTC epoch seconds. NaN is missing.
 
-    Percentiles are exact without gathering a column into one task: values
-    are counted per distinct value (partial aggregation), ranked with a
-    distributed running count (``with_offset``), and the rows holding the
-    target ranks are picked by a band join against a table of
-    columns x percentiles (bounded, broadcast).
+    The columns are scanned three times, from a copy in the shared folder
+    unless ``df`` is a ``stored`` table. The first scan takes counts, totals
+    and a quantile sketch of each numeric column, which brackets every
+    percentile; the second counts exactly what lies below and inside each
+    bracket, and the deviations from the mean; the third counts the different
+    values of each column, which gives ``unique``, ``top`` and ``freq``, and
+    reads the percentiles off the few values inside the brackets. A bracket
+    with too many values, or without its rank, costs one more scan. Columns
+    stay columns, and no sort of all values takes place. ``unique=False``
+    leaves out the count of different values (NULL), and takes the most
+    frequent value from a summary (``top_values``).
     """
+    spark = df.sparkSession
     cols = list(dict.fromkeys(cols or df.columns))  # each column once, in order
     types = {c: df.schema[c].dataType for c in cols}
     temporal = {c for c, t in types.items() if isinstance(t, (TimestampNTZType, TimestampType, DateType))}
-    numeric = {c for c, t in types.items() if isinstance(t, NumericType)} | temporal
+    numeric = [c for c, t in types.items() if isinstance(t, NumericType) or c in temporal]
 
-    def as_number(c):
+    def plain(c):
         if c in temporal:
             return epoch_seconds(F.col(c), types[c])
-        return F.col(c).cast("double")
-
-    parts = [
-        F.struct(
-            F.lit(c).alias("column"),
-            (F.lit(None).cast("string") if c in numeric else F.col(c).cast("string")).alias("s"),
-            (as_number(c) if c in numeric else F.lit(None).cast("double")).alias("d"),
-        )
-        for c in cols
-    ]
-    long = df.select(F.inline(F.array(*parts)))
-    present = F.col("s").isNotNull() | F.col("d").isNotNull()
-    # One shuffle: counts per (column, distinct value), partially aggregated
-    # map-side, checkpointed into the shared folder (one eager job). Every
-    # consumer below reads those files, whose size is the number of distinct
-    # values, so the input is scanned and de-duplicated once.
-    counts = cut_lineage(
-        long.filter(present).groupBy("column", "s", "d").agg(F.count(F.lit(1)).alias("cnt"))
-    )
-    weighted = F.col("d") * F.col("cnt")
-    # the same total in any order; beyond 10**12 a value has no room for 6 places
-    total = F.sum(F.col("d").try_cast("decimal(18,6)") * F.col("cnt").cast("decimal(19,0)")).cast("double")
-    total = F.when(F.max(F.abs("d")) < 1e12, total).otherwise(F.sum(weighted))
-    mean = F.try_divide(total, F.sum("cnt").cast("double"))
-    first = counts.groupBy("column").agg(
-        F.sum("cnt").alias("count"),
-        mean.alias("mean"),
-        (F.sum(weighted) / F.sum(F.when(F.col("d").isNotNull(), F.col("cnt")))).alias("_mu"),
-        F.round(F.min("d"), 6).alias("min"),
-        F.round(F.max("d"), 6).alias("max"),
-        F.count(F.lit(1)).alias("unique"),
-        F.min_by("s", F.struct((-F.col("cnt")).alias("n"), F.col("s"))).alias("top"),
-        F.max(F.when(F.col("s").isNotNull(), F.col("cnt"))).alias("freq"),
-    )
-    # Second pass over the counts for a numerically stable sample variance
-    # (sum of squared deviations from the mean, not E[x^2] - E[x]^2).
-    spread = (
-        counts.filter(F.col("d").isNotNull() & ~F.col("column").isin(*temporal) if temporal else F.col("d").isNotNull())
-        .join(F.broadcast(first.select("column", "_mu")), "column")
-        .groupBy("column")
-        .agg(
-            F.round(
-                F.sqrt(
-                    F.try_divide(
-                        F.sum(F.col("cnt") * (F.col("d") - F.col("_mu")) ** 2),
-                        (F.sum("cnt") - 1).cast("double"),
-                    )
-                ),
-                6,
-            ).alias("std")
-        )
-    )
-    moments = first.drop("_mu").join(spread, "column", "left")
-    ranked = with_offset(
-        counts.filter(F.col("d").isNotNull()).select("column", "d", "cnt"),
-        order=["d"],
-        groups=["column"],
-        weight="cnt",
-        out="before",
-    )
-    targets = moments.filter(F.col("count") > 0).select(
-        F.col("column").alias("t_column"),
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(p).alias("p"),
-                        F.lit(which).alias("which"),
-                        (F.floor if which == "lo" else F.ceil)(
-                            F.lit(p) * (F.col("count") - 1)
-                        ).alias("pos"),
-                        (F.lit(p) * (F.col("count") - 1)
-                         - F.floor(F.lit(p) * (F.col("count") - 1))).alias("frac"),
-                    )
-                    for p in percentiles
-                    for which in ("lo", "hi")
-                ]
-            )
-        ),
-    )
-    hit = ranked.join(
-        F.broadcast(targets),
-        (F.col("column") == F.col("t_column"))
-        & (F.col("before") <= F.col("pos"))
-        & (F.col("pos") < F.col("before") + F.col("cnt")),
-    )
-    per_p = hit.groupBy("column", "p").agg(
-        F.max(F.when(F.col("which") == "lo", F.col("d"))).alias("v_lo"),
-        F.max(F.when(F.col("which") == "hi", F.col("d"))).alias("v_hi"),
-        F.max("frac").alias("frac"),
-    )
-    value = F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))
-    pcts = per_p.groupBy("column").agg(
+        return known(F.col(c).cast("double")) if c in numeric else F.col(c).cast("string")
+
+    table = df.select(*[plain(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    if not stored:
+        table = written_columns(table)
+    ranks_of = [x for p in percentiles for x in (max(0.0, p - SLACK), min(1.0, p + SLACK))]
+    at = F.array(*[F.lit(x) for x in ranks_of])
+
+    first_aggs, second = [], []
+    for i, c in enumerate(cols):
+        d = F.col(f"c{i}")
+        first_aggs.append(F.count(d).alias(f"n{i}"))
+        if c in numeric:
+            first_aggs += [
+                F.min(d).alias(f"min{i}"), F.max(d).alias(f"max{i}"), F.sum(d).alias(f"plain{i}"),
+                F.sum(d.try_cast("decimal(18,6)")).cast("double").alias(f"total{i}"), F.max(F.abs(d)).alias(f"abs{i}"),
+                F.kll_sketch_agg_double(d).alias(f"sketch{i}"),
+            ]
+    scanned = table.agg(*first_aggs)
+    row = scanned.select(
+        *[c for c in scanned.columns if not c.startswith("sketch")],
         *[
-            F.round(F.max(F.when(F.col("p") == p, value)), 6).alias(f"p{int(round(p * 100))}")
-            for p in percentiles
+            F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"sketch{i}", at)).alias(f"at{i}")
+            for i, c in enumerate(cols) if c in numeric
+        ],
+    ).first()
+
+    ranks, means = [], {}
+    for i, c in enumerate(cols):
+        n = row[f"n{i}"]
+        if c not in numeric or not n:
+            continue
+        # the same total in any order; beyond 10**12 a value has no room for 6 places
+        total = row[f"total{i}"] if row[f"abs{i}"] < 1e12 else row[f"plain{i}"]
+        means[i] = total / n
+        if c not in temporal:
+            second.append(F.sum((F.col(f"c{i}") - F.lit(row[f"plain{i}"] / n)) ** 2).alias(f"square{i}"))
+        ranks += [
+            _Rank(i, p, n, row[f"at{i}"][2 * j], row[f"at{i}"][2 * j + 1]) for j, p in enumerate(percentiles)
         ]
+    ranks, moments = _narrowed(table, ranks, second)
+
+    values, tops, kinds = {}, {}, {}
+    for i, c in enumerate(cols):
+        own = [r for r in ranks if r.column == i]
+        d = table.select(F.col(f"c{i}").alias("v")).filter("v IS NOT NULL")
+        if c in numeric:
+            hit = F.lit(False)
+            for r in own:
+                hit = hit | ((F.col("v") >= F.lit(r.lo)) & (F.col("v") <= F.lit(r.hi)))
+            counts = (d if unique else d.filter(hit)).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+            found = counts.agg(
+                F.count(F.lit(1)).alias("kinds"), F.collect_list(F.when(hit, F.struct("v", "n"))).alias("hits")
+            ).first()
+            hits = [(x["v"], x["n"]) for x in found["hits"]]
+            for r in own:
+                values[i, r.p] = r.read_off([(v, n) for v, n in hits if r.lo <= v <= r.hi])
+        elif unique:
+            counts = d.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+            found = counts.agg(
+                F.count(F.lit(1)).alias("kinds"), F.min_by("v", F.struct((-F.col("n")).alias("n"), "v")).alias("top"),
+                F.max("n").alias("freq"),
+            ).first()
+            tops[i] = (found["top"], found["freq"])
+        else:
+            found, best = {"kinds": None}, top_values(d, "v", 1).first()
+            tops[i] = (best["v"], best["count"]) if best else (None, None)
+        kinds[i] = found["kinds"] if unique else None
+
+    out, names = [], [f"p{int(round(p * 100))}" for p in percentiles]
+    for i, c in enumerate(cols):
+        n, square = row[f"n{i}"], moments.get(f"square{i}")
+        std = math.sqrt(square / (n - 1)) if square is not None and n > 1 else None
+        low, high = (row[f"min{i}"], row[f"max{i}"]) if c in numeric else (None, None)
+        out.append((c, n, kinds[i], *tops.get(i, (None, None)), means.get(i), std, low, *[values.get((i, p)) for p in percentiles], high))
+    schema = (
+        "column string, count long, unique long, top string, freq long, mean double, std double, min double, "
+        + ", ".join(f"{p} double" for p in names) + ", max double"
     )
-    # one row per requested column, also for a column with no value at all
-    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in cols])).alias("column"))
-    out = names.join(moments, "column", "left").join(pcts, "column", "left")
-    zero = F.lit(0).cast("long")
-    return out.select(
-        "column",
-        F.coalesce(F.col("count"), zero).alias("count"),
-        F.coalesce(F.col("unique"), zero).alias("unique"),
-        "top", "freq", "mean", "std", "min",
-        *[f"p{int(round(p * 100))}" for p in percentiles], "max",
+    return spark.createDataFrame(out, schema).select(
+        "column", "count", "unique", "top", "freq", "mean", *[F.round(c, 6).alias(c) for c in ("std", "min", *names, "max")]
     )
+
+
+def written_columns(df: DataFrame) -> DataFrame:
+    """A copy of ``df`` in the shared checkpoint folder."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/columns-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from gridlake.operators.dedupe import dedupe_latest
 from gridlake.operators.dims import dim_tariff_rate, scd2_from_changes
 from gridlake.plans import driver_tables as dt
-from gridlake.plans.pipeline import build_gold, build_silver, reconcile_weather
+from gridlake.plans.pipeline import build_gold, build_silver
 
 
 def lineitem_dedupe(spark: SparkSession, d: str) -> DataFrame:
@@ -29,7 +29,7 @@ def lineitem_history(spark: SparkSession, d: str, end=None) -> DataFrame:
 
 
 def lineitem_daily_cost(spark: SparkSession, d: str) -> DataFrame:
-    weather = reconcile_weather(dt.weather_history(spark, d), dt.weather_forecast(spark, d))
+    """Gold keeps no weather column, so its Silver is built without."""
     end = lineitem_end(spark, d)
-    silver = build_silver(dt.lineitem_readings(spark, d), lineitem_history(spark, d, end), weather, horizon=end)
+    silver = build_silver(dt.lineitem_readings(spark, d), lineitem_history(spark, d, end), None, horizon=end)
     return build_gold(silver.enriched, dim_tariff_rate(spark)).daily

@@ -94,10 +94,10 @@ FACT = """fact AS (
 
 DAILY = """daily AS (
   SELECT meter_id, date_key, tariff_code,
-         round(CAST(coalesce(sum(CAST(interval_kwh AS DECIMAL(28,8))), 0) AS DOUBLE), 4) AS kwh,
-         round(CAST(coalesce(sum(CAST(cost AS DECIMAL(28,8))), 0) AS DOUBLE), 6) AS cost,
-         CAST(sum(CAST(voltage AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(voltage), 0) AS avg_voltage,
-         sum(CAST(voltage AS DECIMAL(28,8))) AS voltage_sum, count(voltage) AS voltage_n
+         round(CAST(coalesce(sum(TRY_CAST(interval_kwh AS DECIMAL(28,8))), 0) AS DOUBLE), 4) AS kwh,
+         round(CAST(coalesce(sum(TRY_CAST(cost AS DECIMAL(28,8))), 0) AS DOUBLE), 6) AS cost,
+         CAST(sum(TRY_CAST(voltage AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(TRY_CAST(voltage AS DECIMAL(28,8))), 0) AS avg_voltage,
+         sum(TRY_CAST(voltage AS DECIMAL(28,8))) AS voltage_sum, count(TRY_CAST(voltage AS DECIMAL(28,8))) AS voltage_n
   FROM fact
   WHERE meter_id IS NOT NULL AND date_key IS NOT NULL AND tariff_code IS NOT NULL
   GROUP BY meter_id, date_key, tariff_code)"""
@@ -132,11 +132,11 @@ METERS = """meters AS (
 
 WEATHER_DAILY = """weather_daily AS (
   SELECT strftime(weather_ts, '%Y-%m-%d') AS date_key,
-         CAST(sum(CAST(temperature_2m AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(temperature_2m), 0) AS avg_temp_c,
-         min(temperature_2m) AS min_temp_c,
-         max(temperature_2m) AS max_temp_c,
-         CAST(sum(CAST(cloud_cover AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(cloud_cover), 0) AS avg_cloud_pct,
-         CAST(sum(CAST(shortwave_radiation AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(shortwave_radiation), 0) AS avg_radiation
+         CAST(sum(TRY_CAST(temperature_2m AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(TRY_CAST(temperature_2m AS DECIMAL(28,8))), 0) AS avg_temp_c,
+         min(temperature_2m) FILTER (NOT isnan(temperature_2m)) AS min_temp_c,
+         max(temperature_2m) FILTER (NOT isnan(temperature_2m)) AS max_temp_c,
+         CAST(sum(TRY_CAST(cloud_cover AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(TRY_CAST(cloud_cover AS DECIMAL(28,8))), 0) AS avg_cloud_pct,
+         CAST(sum(TRY_CAST(shortwave_radiation AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(TRY_CAST(shortwave_radiation AS DECIMAL(28,8))), 0) AS avg_radiation
   FROM weather GROUP BY 1)"""
 
 METER_DAY = """meter_day AS (
@@ -219,7 +219,7 @@ ORACLE.update({
     "load_curve": with_ctes(
         [READINGS, LATEST],
         """SELECT CAST(extract(hour FROM reading_ts) AS INTEGER) AS hour,
-                  CAST(sum(CAST(interval_kwh AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(interval_kwh), 0) AS avg_interval_kwh
+                  CAST(sum(TRY_CAST(interval_kwh AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(TRY_CAST(interval_kwh AS DECIMAL(28,8))), 0) AS avg_interval_kwh
            FROM latest WHERE reading_ts IS NOT NULL GROUP BY 1""",
     ),
     "table_counts": with_ctes(
@@ -234,7 +234,7 @@ ORACLE.update({
         """SELECT 'interval_kwh' AS "column", count(interval_kwh) AS count,
                   count(DISTINCT interval_kwh) AS unique, CAST(NULL AS VARCHAR) AS top,
                   CAST(NULL AS BIGINT) AS freq,
-                  CAST(sum(CAST(interval_kwh AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(interval_kwh), 0) AS mean,
+                  CAST(sum(TRY_CAST(interval_kwh AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(TRY_CAST(interval_kwh AS DECIMAL(28,8))), 0) AS mean,
                   round(stddev_samp(interval_kwh), 6) AS std,
                   round(min(interval_kwh), 6) AS min,
                   round(quantile_cont(interval_kwh, 0.25), 6) AS p25,
@@ -244,7 +244,7 @@ ORACLE.update({
            FROM nulled
            UNION ALL
            SELECT 'voltage', count(voltage), count(DISTINCT voltage), NULL, NULL,
-                  CAST(sum(CAST(voltage AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(voltage), 0), round(stddev_samp(voltage), 6),
+                  CAST(sum(TRY_CAST(voltage AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(TRY_CAST(voltage AS DECIMAL(28,8))), 0), round(stddev_samp(voltage), 6),
                   round(min(voltage), 6),
                   round(quantile_cont(voltage, 0.25), 6), round(quantile_cont(voltage, 0.5), 6),
                   round(quantile_cont(voltage, 0.75), 6), round(max(voltage), 6)
@@ -309,14 +309,30 @@ ORACLE.update({
     ),
     "temp_elasticity": with_ctes(
         [*ANALYTICS, WEATHER_DAILY, CUSTOMERS, METERS],
-        """SELECT m.has_solar,
-                  round(regr_slope(md.kwh, w.avg_temp_c), 4) AS slope,
-                  round(regr_intercept(md.kwh, w.avg_temp_c), 4) AS intercept,
-                  round(regr_r2(md.kwh, w.avg_temp_c), 4) AS r2,
-                  CAST(regr_count(md.kwh, w.avg_temp_c) AS BIGINT) AS n
-           FROM meter_day md JOIN weather_daily w ON md.date_key = w.date_key
-           JOIN meters m ON md.meter_id = m.meter_id
-           GROUP BY m.has_solar""",
+        """, per_day AS (
+             SELECT m.has_solar, md.date_key, CAST(count(*) AS DECIMAL(12,0)) AS n, sum(TRY_CAST(kwh AS DECIMAL(18,6))) AS y,
+                    sum(TRY_CAST(kwh AS DECIMAL(19,6)) * TRY_CAST(kwh AS DECIMAL(19,6))) AS yy
+             FROM meter_day md JOIN meters m ON md.meter_id = m.meter_id GROUP BY 1, 2
+           ), days AS (
+             SELECT p.has_solar, n, y, yy, TRY_CAST(w.avg_temp_c AS DECIMAL(18,8)) AS x,
+                    CAST(floor(CAST(sum(x * n) OVER g AS DOUBLE) / CAST(sum(n) OVER g AS DOUBLE)) AS DECIMAL(6,0)) AS sx,
+                    CAST(floor(CAST(sum(y) OVER g AS DOUBLE) / CAST(sum(n) OVER g AS DOUBLE)) AS DECIMAL(6,0)) AS sy
+             FROM per_day p JOIN weather_daily w ON p.date_key = w.date_key WINDOW g AS (PARTITION BY p.has_solar)
+           ), shifted AS (
+             SELECT has_solar, CAST(n AS DECIMAL(8,0)) AS n, sx, sy, CAST(x - sx AS DECIMAL(12,8)) AS x,
+                    CAST(y - n * sy AS DECIMAL(18,6)) AS y,
+                    CAST(CAST(yy AS DECIMAL(26,12)) - CAST(2 * sy * CAST(y AS DECIMAL(24,6)) AS DECIMAL(26,6)) + CAST(n * sy * sy AS DECIMAL(26,0)) AS DECIMAL(28,12)) AS yy
+             FROM days WHERE x IS NOT NULL
+           ), sums AS (
+             SELECT has_solar, CAST(sum(n) AS DOUBLE) AS n, CAST(sum(n * CAST(x AS DECIMAL(19,8))) AS DOUBLE) AS x, CAST(sum(y) AS DOUBLE) AS y,
+                    CAST(sum(n * CAST(CAST(x AS DECIMAL(19,8)) * CAST(x AS DECIMAL(19,8)) AS DECIMAL(20,12))) AS DOUBLE) AS xx, CAST(sum(CAST(CAST(x AS DECIMAL(19,8)) * CAST(y AS DECIMAL(19,6)) AS DECIMAL(28,12))) AS DOUBLE) AS xy,
+                    CAST(sum(yy) AS DOUBLE) AS yy, CAST(max(sx) AS DOUBLE) AS sx, CAST(max(sy) AS DOUBLE) AS sy
+             FROM shifted GROUP BY has_solar
+           ), moments AS (
+             SELECT *, xx - x * x / n AS sxx, xy - x * y / n AS sxy, yy - y * y / n AS syy FROM sums
+           )
+           SELECT has_solar, sxy / sxx AS slope, y / n + sy - sxy / sxx * (x / n + sx) AS intercept,
+                  sxy * sxy / (sxx * syy) AS r2, CAST(n AS BIGINT) AS n FROM moments""",
     ),
     "fault_tree": with_ctes(
         [READINGS, LATEST, CUSTOMERS, METERS],
@@ -336,7 +352,7 @@ ORACLE.update({
                   CASE WHEN n < 2 THEN false WHEN s = 0 THEN kwh <> m
                        ELSE abs((kwh - m) / s) > 3.0 END AS is_anomaly
            FROM (SELECT *,
-                   CAST(sum(CAST(kwh AS DECIMAL(28,8))) OVER w AS DOUBLE) / NULLIF(count(kwh) OVER w, 0) AS m,
+                   CAST(sum(TRY_CAST(kwh AS DECIMAL(28,8))) OVER w AS DOUBLE) / NULLIF(count(kwh) OVER w, 0) AS m,
                    stddev_samp(kwh) OVER w AS s, count(kwh) OVER w AS n
                  FROM meter_day
                  WINDOW w AS (PARTITION BY meter_id ORDER BY CAST(date_key AS DATE)
@@ -351,7 +367,7 @@ ORACLE.update({
                         round(coalesce(sum(interval_kwh), 0), 4) AS total_kwh,
                         min(reading_ts) AS first_reading, max(reading_ts) AS last_reading
                  FROM nulled GROUP BY meter_id) r
-           LEFT JOIN (SELECT meter_id, CAST(sum(CAST(kwh AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(kwh), 0) AS avg_daily_kwh, round(min(kwh), 4) AS min_daily_kwh,
+           LEFT JOIN (SELECT meter_id, CAST(sum(TRY_CAST(kwh AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(count(kwh), 0) AS avg_daily_kwh, round(min(kwh), 4) AS min_daily_kwh,
                              round(max(kwh), 4) AS max_daily_kwh, count(*) AS days
                       FROM meter_day GROUP BY meter_id) d ON r.meter_id = d.meter_id""",
     ),
@@ -436,3 +452,6 @@ ORACLE.update({
     ),
     "pipeline_run": with_ctes(GOLD_CHAIN, DAILY_ROWS),
 })
+
+ORACLE["readings_with_tariff_carry"] = ORACLE["readings_with_tariff"]
+ORACLE["stream_latest_by_state"] = ORACLE["stream_ingest_latest"]

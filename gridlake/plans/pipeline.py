@@ -17,9 +17,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 from gridlake.fixed import LOCAL_ZONE
 from gridlake.functions.time import date_key, month_key, to_utc_ntz, trunc_hour
 from gridlake.operators.aggregates import cost_fact, daily_usage, daily_weather
-from gridlake.operators.cleanse import null_sentinel, split_quarantine, trim_window
+from gridlake.operators.cleanse import null_missing, null_sentinel, split_quarantine, trim_window
 from gridlake.operators.dedupe import dedupe_latest, prioritised_union
-from gridlake.operators.joins import join_hourly, resolve_as_of, with_location
+from gridlake.operators.joins import hour_table, join_hour_table, resolve_as_of, resolve_as_of_carry, with_location
 from gridlake.session import apply_recommended
 from gridlake.sources.readers import read_table
 from gridlake.sources.sinks import write_table
@@ -56,7 +56,8 @@ def build_silver(
     horizon=None,
     window=None,
     locations: tuple[DataFrame, DataFrame] | None = None,
-    broadcast_weather: bool = False,
+    few_weather_days: bool = False,
+    as_of: str = "join",
 ) -> Silver:
     """Silver readings with ``tariff_code``, ``temperature_2m``,
     ``relative_humidity_2m`` and ``hour_ts``.
@@ -74,31 +75,35 @@ def build_silver(
     location-aware (each reading matches its own site's hour) instead of the
     published hour-only join, which fans out with several sites.
     ``weather=None`` leaves the weather out: Gold keeps no weather column, so
-    its plans need not move the readings to meet it. ``broadcast_weather`` is
-    for a weather table whose size the caller has checked.
+    its plans need not move the readings to meet it. Weather is met by the
+    day (``join_hour_table``); ``few_weather_days`` says that the caller has
+    bounded its days times sites. ``as_of``: ``join``, or ``carry`` for the
+    as-of match by union and carry.
     """
+    if as_of not in ("join", "carry"):
+        raise ValueError("as_of must be 'join' or 'carry'")
     typed = type_instant(readings, "reading_ts")
     if window is not None:
         start, end = window
         typed = trim_window(typed, start, end, keep_unparsed=True)
         horizon = end if horizon is None else horizon
     latest = dedupe_latest(typed, ("meter_id", "reading_ts"), order_col)
-    nulled = null_sentinel(latest)
+    nulled = null_missing(null_sentinel(latest), "interval_kwh", "voltage")
     if quarantine:
         good, bad = split_quarantine(nulled)
     else:
         good, bad = nulled, None
     since = window[0] if window is not None else None
-    tariffed = resolve_as_of(good, tariff_history, horizon=horizon, since=since)
+    resolve = resolve_as_of if as_of == "join" else resolve_as_of_carry
+    tariffed = resolve(good, tariff_history, horizon=horizon, since=since)
     if weather is None:
         return Silver(tariffed.withColumn("hour_ts", trunc_hour(F.col("reading_ts"))), bad)
     if locations is not None:
         tariffed = with_location(tariffed, *locations)
         weather_keys = [("latitude", "latitude"), ("longitude", "longitude")]
     hourly = tariffed.withColumn("hour_ts", trunc_hour(F.col("reading_ts")))
-    enriched = join_hourly(
-        hourly, F.broadcast(weather) if broadcast_weather else weather, keys=weather_keys, hour_col="hour_ts"
-    )
+    hours = hour_table(weather, keys=[w for _, w in weather_keys])
+    enriched = join_hour_table(hourly, hours, keys=weather_keys, few_days=few_weather_days)
     if locations is not None:
         enriched = enriched.drop("latitude", "longitude")
     return Silver(enriched, bad)
@@ -195,7 +200,7 @@ def run_pipeline(
     weather = read_table(spark, paths.weather, fmt, schema=reconciled.schema)
     s = build_silver(
         readings, tariff_history, weather, quarantine=quarantine, horizon=horizon, locations=locations, window=window,
-        broadcast_weather=counted.get["rows"] <= WEATHER_BROADCAST_ROWS,
+        few_weather_days=counted.get["rows"] <= WEATHER_BROADCAST_ROWS,
     )
     part_cols = {
         "month": ("reading_month", month_key(F.col("reading_ts"))),

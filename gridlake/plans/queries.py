@@ -28,7 +28,7 @@ from gridlake.operators.dims import (
     dim_tariff,
     dim_tariff_rate,
 )
-from gridlake.operators.joins import resolve_as_of
+from gridlake.operators.joins import resolve_as_of, resolve_as_of_carry
 from gridlake.plans import driver_tables as dt
 from gridlake.plans.pipeline import build_gold, build_silver, reconcile_weather, run_pipeline, type_instant
 from gridlake.session import ensure_checkpoint_dir
@@ -43,6 +43,7 @@ from gridlake.sources.sinks import (
     write_table,
 )
 from gridlake.streaming.ingest import append_bronze, publish, read_events, upsert_latest
+from gridlake.streaming.latest import bronze_events, read_latest, upsert_by_state
 
 # -- building blocks ---------------------------------------------------------
 
@@ -64,6 +65,7 @@ def silver(spark: SparkSession, d: str, quarantine: bool = True, bounds=None, wi
     return build_silver(
         dt.readings(spark, d), dt.tariff_history(spark, d, with_key=False, bounds=bounds),
         weather(spark, d) if with_weather else None, quarantine=quarantine, window=bounds,
+        few_weather_days=True,  # one site: a row per day of the window
     )
 
 
@@ -123,6 +125,14 @@ def q_readings_with_tariff(spark, d):
     return resolve_as_of(good, hist, horizon=bounds[1], since=bounds[0])
 
 
+def q_readings_with_tariff_carry(spark, d):
+    """J1 by union and carry: the same rows as the join's."""
+    good, _ = split_quarantine(nulled(spark, d))
+    bounds = dt.window_bounds(spark, d)
+    hist = dt.tariff_history(spark, d, with_key=False, bounds=bounds)
+    return resolve_as_of_carry(good, hist, horizon=bounds[1], since=bounds[0])
+
+
 def q_readings_with_weather(spark, d):
     return silver(spark, d).enriched
 
@@ -463,6 +473,27 @@ def q_stream_ingest_latest(spark, d):
     )
 
 
+def q_stream_latest_by_state(spark, d):
+    """T2 + T3 by state: the same feed as ``stream_ingest_latest``, appended to
+    Bronze by one stream and taken from there by a second, which keeps the
+    newest copy per key in its state and logs changes; returns the newest rows
+    of the log."""
+    root = _scratch(spark, "stream-state")
+    slot = to_utc_ntz(F.col("reading_ts"))
+    src = dt.readings_text(spark, d).withColumnRenamed("_ingested_at", "seq").withColumn(
+        "drop", F.concat_ws("-", F.year(slot), F.lpad(F.weekofyear(slot).cast("string"), 2, "0"))
+    )
+    publish(src, f"{root}/src", drop_col="drop", order=["seq"])
+    events = read_events(spark, f"{root}/src", src.schema, bytes_per_trigger=TRIGGER_BYTES)
+    append_bronze(events.drop("drop"), f"{root}/bronze", f"{root}/_bronze").awaitTermination()
+    bronze = bronze_events(spark, f"{root}/bronze", TRIGGER_BYTES)
+    upsert_by_state(bronze, f"{root}/silver", f"{root}/_silver").awaitTermination()
+    return read_latest(spark, f"{root}/silver").select(
+        "meter_id", "customer_id", "reading_ts", "interval_kwh", "voltage", "quality",
+        F.col("seq").alias("_ingested_at"),
+    )
+
+
 def q_stream_bronze_append(spark, d):
     """The wire-format feed (ISO text instants) replayed as JSON files
     and appended to Bronze by a file stream (raw rows, plus ingest time and
@@ -488,6 +519,7 @@ QUERIES = {
     "quarantine_split": q_quarantine_split,
     "weather_reconciled": q_weather_reconciled,
     "readings_with_tariff": q_readings_with_tariff,
+    "readings_with_tariff_carry": q_readings_with_tariff_carry,
     "readings_with_weather": q_readings_with_weather,
     "window_trim": q_window_trim,
     "cost_fact": q_cost_fact,
@@ -528,6 +560,7 @@ QUERIES = {
     "csv_roundtrip": q_csv_roundtrip,
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "stream_ingest_latest": q_stream_ingest_latest,
+    "stream_latest_by_state": q_stream_latest_by_state,
     "stream_bronze_append": q_stream_bronze_append,
     "jsonl_roundtrip": q_jsonl_roundtrip,
     "bronze_load_counts": q_bronze_load_counts,
