@@ -12,6 +12,7 @@ sources and from its language, follow from the counts in integer arithmetic.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -20,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.llm.common import materialize
@@ -33,7 +34,7 @@ TERM = re.compile(rb"[a-z\x80-\xff]+")
 SLICE, HELD_TERMS, HELD_BYTES, WAITING = 1 << 19, 300_000, 32 << 20, 100_000
 #: Terms of a shard on average, bytes of hashes that are broadcast at a time,
 #: and counters that a task of the second pass holds.
-SHARD_TERMS, WAVE_BYTES, HELD_SLOTS = 4096, 64 << 20, 24 << 20
+SHARD_TERMS, WAVE_BYTES, HELD_SLOTS = 4096, 64 << 20, 20 << 20
 #: Words counted before the 32-bit counters are handed on.
 LARGEST = 1 << 30
 #: Sources on either side that one task of the pair part compares, on average.
@@ -153,34 +154,31 @@ class PerfectHash:
         same = pc.equal(self.terms.take(pa.array(np.maximum(slots, 0))), terms).to_numpy(zero_copy_only=False)
         return np.where(same, slots, -1)
 
-    def packed(self) -> dict:
-        """As columns of one row."""
-        return {
-            "v": len(self.terms), "sizes": [len(b) for b in self.bits],
-            "bits": [np.packbits(b).tobytes() for b in self.bits], "terms": self.terms.to_pylist(),
-        }
-
     @classmethod
-    def unpacked(cls, sizes: list[int], bits: list[bytes], terms: list[bytes]) -> PerfectHash:
-        return cls(
-            [np.unpackbits(np.frombuffer(b, np.uint8), count=n).astype(bool) for n, b in zip(sizes, bits)],
-            pa.array(terms, pa.binary()),
-        )
+    def of(cls, state) -> PerfectHash:
+        found = cls.__new__(cls)
+        found.__setstate__(state)
+        return found
 
+    def __getstate__(self):
+        return [(len(b), np.packbits(b)) for b in self.bits], self.terms
 
-_HASH = pa.schema([
-    ("lang", pa.string()), ("shard", pa.int32()), ("v", pa.int64()), ("sizes", pa.list_(pa.int32())),
-    ("bits", pa.list_(pa.binary())), ("terms", pa.list_(pa.binary())), ("shards", pa.int32()), ("bytes", pa.int64()),
-])
-_HASHES = "lang string, shard int, v long, sizes array<int>, bits array<binary>, terms array<binary>, shards int, bytes long"
+    def __setstate__(self, state):
+        bits, terms = state
+        self.__init__([np.unpackbits(b, count=n).astype(bool) for n, b in bits], terms)
+
+
+_HASHES = "lang string, shard int, v long, hash binary, terms array<binary>, shards int, bytes long"
 
 
 def _hash_of(group: pa.Table) -> pa.Table:
-    terms = group["term"].to_pylist()
-    row = PerfectHash.build(terms).packed()
-    size = sum(map(len, terms)) + 16 * len(terms)
-    row |= {"lang": group["lang"][0].as_py(), "shard": group["shard"][0].as_py(), "shards": group["shards"][0].as_py(), "bytes": size}
-    return pa.Table.from_pylist([row], schema=_HASH)
+    found = PerfectHash.build(group["term"].to_pylist())
+    packed = pickle.dumps(found.__getstate__())
+    return pa.table({
+        "lang": group["lang"].slice(0, 1), "shard": group["shard"].slice(0, 1), "v": pa.array([len(found.terms)], pa.int64()),
+        "hash": pa.array([packed], pa.binary()), "terms": pa.array([found.terms.to_pylist()], pa.list_(pa.binary())),
+        "shards": group["shards"].slice(0, 1), "bytes": pa.array([len(packed)], pa.int64()),
+    })
 
 
 def perfect_hashes(kept: DataFrame) -> DataFrame:
@@ -202,14 +200,11 @@ class _Recount:
     """Dense counters of each (lang, source) group, one for each slot of its
     language's shards in this wave, one shard after the other."""
 
-    def __init__(self, rows: list):
-        self.shards, self.tables, self.starts, self.slots_of = {}, {}, {}, {}
-        for lang, shard, shards, sizes, bits, terms in rows:
-            self.shards[lang] = shards
-            self.tables.setdefault(lang, {})[shard] = PerfectHash.unpacked(sizes, bits, terms)
-        for lang, tables in self.tables.items():
-            ends = np.cumsum([len(t.terms) for t in tables.values()]).tolist()
-            self.starts[lang] = dict(zip(tables, [0, *ends]))
+    def __init__(self, tables: dict[str, tuple[int, dict[int, PerfectHash]]]):
+        self.tables, self.starts, self.slots_of = tables, {}, {}
+        for lang, (_, shards) in tables.items():
+            ends = np.cumsum([len(t.terms) for t in shards.values()]).tolist()
+            self.starts[lang] = dict(zip(shards, [0, *ends]))
             self.slots_of[lang] = ends[-1]
         self.known: dict[str, dict[bytes, int]] = {lang: {} for lang in self.tables}
         self.counters: dict[tuple[str, str], np.ndarray] = {}
@@ -226,11 +221,12 @@ class _Recount:
         lanes = _lanes(terms)
         # the shard as Spark's xxhash64 deals it
         hashed = np.fromiter((xxhash.xxh64_intdigest(t, 42) for t in terms), np.uint64, len(terms))
-        shards, array = hashed.astype(np.int64) % self.shards[lang], pa.array(terms, pa.binary())
+        n, tables = self.tables[lang]
+        shards, array = hashed.astype(np.int64) % n, pa.array(terms, pa.binary())
         for shard in np.unique(shards).tolist():
-            if shard in self.tables[lang]:  # else of another wave
+            if shard in tables:  # else of another wave
                 at = np.nonzero(shards == shard)[0]
-                slots = self.tables[lang][shard].verified(array.take(pa.array(at)), (lanes[0][at], lanes[1][at]))
+                slots = tables[shard].verified(array.take(pa.array(at)), (lanes[0][at], lanes[1][at]))
                 place[at[slots >= 0]] = self.starts[lang][shard] + slots[slots >= 0]
         self.known[lang].update(zip(terms, place.tolist()))
         self.size += sum(map(len, terms))
@@ -255,26 +251,40 @@ class _Recount:
         self.waiting, self.tokens = [], 0
 
     def drain(self) -> Iterator[pa.RecordBatch]:
+        rows = []
         for (lang, source), counter in self.counters.items():
             at = np.flatnonzero(counter[:-1])
-            shards, starts = (np.array(list(x)) for x in (self.starts[lang], self.starts[lang].values()))
-            own = np.searchsorted(starts, at, "right") - 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang], pa.string()).take(pa.array(np.zeros(len(at), np.int32))),
-                 pa.array([source], pa.string()).take(pa.array(np.zeros(len(at), np.int32))),
-                 pa.array(shards[own].astype(np.int32)), pa.array((at - starts[own]).astype(np.int32)),
-                 pa.array(counter[at].astype(np.int64))],
-                names=["lang", "source", "shard", "slot", "n"],
-            )
+            starts = self.starts[lang]
+            cuts = np.searchsorted(at, [*starts.values(), self.slots_of[lang]])
+            for (shard, start), a, b in zip(starts.items(), cuts, cuts[1:]):
+                if a < b:
+                    rows.append((lang, shard, source, *_blobs(at[a:b] - start, counter[at[a:b]])))
         self.counters, self.held, self.added = {}, 0, 0
+        yield _batch(rows)
+
+
+def _blobs(slots: np.ndarray, n: np.ndarray) -> tuple[bytes, bytes]:
+    return slots.astype("<i4").tobytes(), n.astype("<i8").tobytes()
+
 
+def _batch(rows: list) -> pa.RecordBatch:
+    columns = list(zip(*rows)) if rows else [()] * 5
+    kinds = [pa.string(), pa.int32(), pa.string(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["lang", "shard", "source", "slots", "n"])
 
-def _counted(batches: Iterator[pa.RecordBatch], rows: list) -> Iterator[pa.RecordBatch]:
-    """(lang, source, shard, slot, n) of the terms that the hashes hold."""
-    recount = _Recount(rows)
+
+def _dense(slots: bytes, n: bytes, v: int) -> np.ndarray:
+    out = np.zeros(v, np.int64)
+    out[np.frombuffer(slots, "<i4")] = np.frombuffer(n, "<i8")
+    return out
+
+
+def _counted(batches: Iterator[pa.RecordBatch], tables: dict) -> Iterator[pa.RecordBatch]:
+    """(lang, shard, source, slots, n) of the terms that the hashes hold."""
+    recount = _Recount(tables)
     for batch in batches:
         for lang, source, cell in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-            if lang not in recount.tables:
+            if lang not in tables:
                 continue
             for part in _slices(cell.as_py()):
                 recount.take((lang, source), TERM.findall(part))
@@ -286,6 +296,37 @@ def _counted(batches: Iterator[pa.RecordBatch], rows: list) -> Iterator[pa.Recor
     yield from recount.drain()
 
 
+def _added(batches: Iterator[pa.RecordBatch], by_source: bool) -> Iterator[pa.RecordBatch]:
+    """Sums of rows sorted by (lang, shard, source), or by (lang, shard), one
+    group's counters at a time."""
+    key, total = None, np.zeros(0, np.int64)
+
+    def out() -> Iterator[pa.RecordBatch]:
+        at = np.flatnonzero(total)
+        if key is not None:
+            yield _batch([(*key, *_blobs(at, total[at]))])
+
+    for batch in batches:
+        for lang, shard, source, slots, n in zip(*(c.to_pylist() for c in batch.columns)):
+            own = (lang, shard, source if by_source else None)
+            if own != key:
+                yield from out()
+                key, total = own, np.zeros(0, np.int64)
+            at = np.frombuffer(slots, "<i4")  # ascending
+            if len(at) and at[-1] >= len(total):
+                total = np.concatenate([total, np.zeros(int(at[-1]) + 1 - len(total), np.int64)])
+            total[at] += np.frombuffer(n, "<i8")
+    yield from out()
+
+
+def _sums(rows: DataFrame, *keys: str) -> DataFrame:
+    by_source = "source" in keys
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda b: _added(b, by_source), _COUNTS)
+
+
+_COUNTS = "lang string, shard int, source string, slots binary, n binary"
+
+
 def _waves(hashes: DataFrame) -> list[list[tuple[str, int]]]:
     """Shards in lots of at most WAVE_BYTES (or one shard). One short row per
     shard comes to the driver."""
@@ -300,105 +341,110 @@ def _waves(hashes: DataFrame) -> list[list[tuple[str, int]]]:
 
 
 def recount(texts: DataFrame, hashes: DataFrame) -> DataFrame:
-    """(lang, source, shard, slot, n): occurrences of each kept term in each
-    group of the documents (lang, source, text: binary); none without."""
-    spark, out = texts.sparkSession, None
+    """(lang, shard, source, slots, n): for each group of the documents (lang,
+    source, text: binary) and shard, the slots of the kept terms that occur, as
+    32-bit integers in ascending order, and their occurrences as 64-bit ones."""
+    spark = texts.sparkSession
+    out = spark.createDataFrame([], _COUNTS)
     for wave in _waves(hashes):
         first, last = wave[0], wave[-1]
         of_wave = hashes.filter(
             ((F.col("lang") > first[0]) | ((F.col("lang") == first[0]) & (F.col("shard") >= first[1])))
             & ((F.col("lang") < last[0]) | ((F.col("lang") == last[0]) & (F.col("shard") <= last[1])))
         )
-        rows = [tuple(r) for r in of_wave.select("lang", "shard", "shards", "sizes", "bits", "terms").collect()]
-        sent = spark.sparkContext.broadcast(rows)
-        part = texts.mapInArrow(
-            lambda b, sent=sent: _counted(b, sent.value), "lang string, source string, shard int, slot int, n long"
-        )
-        out = part if out is None else out.union(part)
-    if out is None:
-        return spark.createDataFrame([], "lang string, source string, shard int, slot int, n long")
-    return out.groupBy("lang", "source", "shard", "slot").agg(F.sum("n").alias("n"))
+        tables: dict[str, tuple[int, dict[int, PerfectHash]]] = {}
+        for r in of_wave.select("lang", "shard", "shards", "hash").collect():
+            tables.setdefault(r.lang, (r.shards, {}))[1][r.shard] = PerfectHash.of(pickle.loads(r.hash))
+        sent = spark.sparkContext.broadcast(tables)
+        out = out.union(texts.mapInArrow(lambda b, sent=sent: _counted(b, sent.value), _COUNTS))
+    return _sums(out, "lang", "shard", "source")
 
 
 # -- divergence --------------------------------------------------------------
 
 
-def _share(n: Column, total: Column) -> Column:
-    """1 + floor(SCALE * (n + 1) / total)."""
-    return F.call_function("div", (n + 1).cast("decimal(28,0)") * F.lit(SCALE).cast("decimal(10,0)"), total.cast("decimal(28,0)")) + 1
-
-
-def _distance(p: Column, q: Column) -> Column:
-    return F.call_function("div", (p - q) * (p - q), q)
-
-
 def _shares(counts: np.ndarray, total: int) -> np.ndarray:
-    """``_share`` of an array, in steps that fit 64 bits."""
+    """1 + floor(SCALE * (count + 1) / total), in steps that fit 64 bits."""
     a, b = 31_250, SCALE // 31_250
     whole, rest = np.divmod((counts + 1) * a, total)
     return whole * b + rest * b // total + 1
 
 
-def _pair_values(group: pa.Table) -> pa.Table:
-    """Divergence, over one shard's terms, of each source of one block from
-    each of the other block, and the other way. Rows with slot -1 name the
-    sources, with their totals; the others have their counts."""
-    slot, n, block = (group[c].to_numpy() for c in ("slot", "n", "block"))
-    total, v = (pc.fill_null(group[c], 0).to_numpy() for c in ("total", "v"))
-    coded = group["source"].combine_chunks().dictionary_encode()
-    code, names = coded.indices.to_numpy(), np.array(coded.dictionary.to_pylist(), object)
-    i, j, lang = group["i"][0].as_py(), group["j"][0].as_py(), group["lang"][0].as_py()
-    heads, body = np.nonzero(slot == -1)[0], np.nonzero(slot >= 0)[0]
-    place = np.empty(len(names), np.int64)
-    place[code[heads]] = np.arange(len(heads))
-    counts = np.zeros((len(heads), int(v[heads[0]])), np.int64)
-    counts[place[code[body]], slot[body]] = n[body]
-    source = names[code[heads]]
-    p = np.stack([_shares(c, int(total[h])) for c, h in zip(counts, heads)])
-    mine, other = np.nonzero(block[heads] == i)[0], np.nonzero(block[heads] == j)[0]
-    out: dict[str, list] = {"source": [], "item": [], "value": []}
-
-    def add(a: np.ndarray, b: np.ndarray) -> None:
-        for x in a.tolist():
-            y = b[b != x]
-            d = p[x] - p[y]
-            out["source"] += [source[x]] * len(y)
-            out["item"] += source[y].tolist()
-            out["value"] += (d * d // p[y]).sum(axis=1).tolist()
-
-    add(mine, other)
-    if i != j:
-        add(other, mine)
-    return pa.table({
-        "lang": pa.array([lang] * len(out["value"]), pa.string()), "source": pa.array(out["source"], pa.string()),
-        "item": pa.array(out["item"], pa.string()), "value": pa.array(out["value"], pa.int64()),
-    })
-
-
-def _pairs(counts: DataFrame, groups: DataFrame, hashes: DataFrame) -> DataFrame:
-    """(lang, source, item, value) of all ordered pairs of a language's
-    sources. A task has one shard's terms and two blocks of sources."""
+def _distances(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    d = p - q
+    return d * d // q
+
+
+def _audited(group: pa.Table, top: int) -> pa.Table:
+    """Over one shard's terms: the divergence of each source of block i from
+    each of block j, and the other way; and where i is j, the terms of each
+    source that lead by their divergence from the language. Rows with a
+    source have its counts and totals, the row without has the shard's terms
+    and the language's counts."""
+    rows = group.drop_columns(["terms"]).to_pylist()
+    lang, i, j = rows[0]["lang"], rows[0]["i"], rows[0]["j"]
+    sources = [r for r in rows if r["source"] is not None]
+    v = sources[0]["v"] if sources else 0  # no source's hash fell into the block
+    counts = [_dense(r["slots"] or b"", r["n"] or b"", v) for r in sources]
+    p = np.array([_shares(c, r["total"]) for c, r in zip(counts, sources)])
+    names = np.array([r["source"] for r in sources], object)
+    block = np.array([r["block"] for r in sources])
+    mine, other = np.nonzero(block == i)[0], np.nonzero(block == j)[0]
+    out: dict[str, list] = {"part": [], "source": [], "item": [], "value": []}
+
+    def add(part: str, source: str, items: list, values: np.ndarray) -> None:
+        out["part"] += [part] * len(items)
+        out["source"] += [source] * len(items)
+        out["item"] += items
+        out["value"] += values.tolist()
+
+    for ours, theirs in [(mine, other)] if i == j else [(mine, other), (other, mine)]:
+        for x in ours.tolist():
+            y = theirs[theirs != x]
+            add("pair", names[x], names[y].tolist(), _distances(p[x], p[y]).sum(axis=1))
+    at = [k for k, r in enumerate(rows) if r["source"] is None]
+    if i == j and at and v:
+        terms = group["terms"][at[0]].as_py()
+        order = np.empty(v, np.int64)
+        order[sorted(range(v), key=terms.__getitem__)] = np.arange(v)
+        q = _shares(_dense(rows[at[0]]["slots"], rows[at[0]]["n"], v), sources[0]["lang_total"])
+        for x in mine.tolist():
+            own = np.nonzero((counts[x] > 0) & (p[x] > q))[0]
+            far = _distances(p[x][own], q[own])
+            best = np.lexsort((order[own], -far))[:top]
+            add("term", names[x], [terms[k].decode() for k in own[best]], far[best])
+    kinds = {"part": pa.string(), "source": pa.string(), "item": pa.string(), "value": pa.int64()}
+    return pa.table({"lang": pa.array([lang] * len(out["part"]), pa.string())} | {c: pa.array(out[c], k) for c, k in kinds.items()})
+
+
+def _audit(counts: DataFrame, groups: DataFrame, hashes: DataFrame, top: int) -> DataFrame:
+    """(lang, part, source, item, value): summed divergences of all ordered
+    pairs of a language's sources, and for each source the ``top`` terms of
+    each shard. A task has one shard's terms and two blocks of sources."""
     blocks = groups.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / PAIR_BLOCK).cast("int").alias("blocks"))
     cut = groups.join(blocks, "lang").withColumn("block", F.pmod(F.xxhash64("source"), F.col("blocks")).cast("int"))
-    cut = materialize(cut.select("lang", "source", "total", "blocks", "block"), "audit-blocks")
-    shards = hashes.select("lang", "shard", "v")
-    heads = cut.join(shards, "lang", "left").select(  # a language without terms has one shard without
-        "lang", "source", "blocks", "block", F.coalesce("shard", F.lit(0)).alias("shard"), F.lit(-1).alias("slot"),
-        F.lit(0).cast("long").alias("n"), "total", F.coalesce("v", F.lit(0)).alias("v"),
+    heads = cut.join(hashes.select("lang", "shard", "v"), "lang", "left").select(
+        "lang", "source", "blocks", "block", "total", "lang_total",
+        F.coalesce("shard", F.lit(0)).alias("shard"), F.coalesce("v", F.lit(0)).alias("v"),  # no terms: one shard without
     )
-    none = F.lit(None).cast("long")
-    body = counts.join(cut.select("lang", "source", "blocks", "block"), ["lang", "source"]).select(
-        "lang", "source", "blocks", "block", "shard", "slot", "n", none.alias("total"), none.alias("v")
+    none = F.lit(None)
+    sources = heads.join(counts, ["lang", "source", "shard"], "left").withColumn(
+        "_o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    ).select(
+        "lang", "shard", F.least("block", "_o").alias("i"), F.greatest("block", "_o").alias("j"), "block", "source", "total",
+        "lang_total", "v", "slots", "n", none.cast("array<binary>").alias("terms"),
     )
-    rows = heads.union(body).withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = rows.select(
-        "lang", "shard", F.least("block", "_o").alias("i"), F.greatest("block", "_o").alias("j"), "block", "source",
-        "slot", "n", "total", "v",
+    long = none.cast("long")
+    wholes = _sums(counts, "lang", "shard").select("lang", "shard", "slots", "n").join(
+        hashes.select("lang", "shard", "terms"), ["lang", "shard"]
+    ).join(blocks, "lang").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "lang", "shard", "i", F.col("i").alias("j"), F.col("i").alias("block"), none.cast("string").alias("source"),
+        long.alias("total"), long.alias("lang_total"), long.alias("v"), "slots", "n", "terms",
     )
-    values = met.groupBy("lang", "shard", "i", "j").applyInArrow(
-        _pair_values, "lang string, source string, item string, value long"
+    found = sources.union(wholes).groupBy("lang", "shard", "i", "j").applyInArrow(
+        lambda t: _audited(t, top), "lang string, part string, source string, item string, value long"
     )
-    return values.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+    return found.groupBy("lang", "part", "source", "item").agg(F.sum("value").alias("value"))  # a term is in one shard
 
 
 def divergence(
@@ -435,30 +481,28 @@ def divergence(
     hashes = materialize(perfect_hashes(kept), "audit-hashes")
     counts = materialize(recount(texts, hashes), "audit-counts")
 
+    # a group's occurrences, added up from its shards' counters
+    used = counts.mapInArrow(_occurrences, "lang string, source string, n long").groupBy("lang", "source").agg(F.sum("n").alias("n"))
     kinds = hashes.groupBy("lang").agg(F.sum("v").alias("v"))
-    used = counts.groupBy("lang", "source").agg(F.sum("n").alias("n"))
-    groups = texts.select("lang", "source").distinct().join(used, ["lang", "source"], "left").join(kinds, "lang", "left")
-    v = F.coalesce("v", F.lit(0))
-    groups = materialize(
-        groups.select("lang", "source", F.coalesce("n", F.lit(0)).alias("n"), v.alias("v"))
-        .withColumn("total", F.greatest(F.col("n") + F.col("v"), F.lit(1))), "audit-groups",
+    groups = texts.select("lang", "source").distinct().join(used, ["lang", "source"], "left").join(kinds, "lang", "left").select(
+        "lang", "source", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("v", F.lit(0)).alias("v")
     )
-    pairs = _pairs(counts, groups.select("lang", "source", "total"), hashes)
-
-    of_lang = groups.groupBy("lang").agg((F.sum("n") + F.max("v")).alias("lang_total"))
-    at = ["lang", "shard", "slot"]
-    terms = hashes.select("lang", "shard", F.posexplode("terms").alias("slot", "item"))
-    summed = counts.groupBy(*at).agg(F.sum("n").alias("lang_n"))
-    p, q = _share(F.col("n"), F.col("total")), _share(F.col("lang_n"), F.col("lang_total"))
-    own = (
-        counts.join(summed, at).join(terms, at).join(groups.select("lang", "source", "total"), ["lang", "source"])
-        .join(of_lang, "lang").select("lang", "source", F.col("item").cast("string").alias("item"), p.alias("p"), q.alias("q"))
-        .filter("p > q").select("lang", "source", "item", _distance(F.col("p"), F.col("q")).alias("value"))
+    whole = groups.groupBy("lang").agg((F.sum("n") + F.max("v")).alias("lang_total"))
+    groups = materialize(
+        groups.join(whole, "lang").select("lang", "source", F.greatest(F.col("n") + F.col("v"), F.lit(1)).alias("total"), "lang_total"),
+        "audit-groups",
     )
+    found = materialize(_audit(counts, groups, hashes, top), "audit-values")
     order = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
-    ranked = F.row_number().over(order)
     columns = ["lang", "source", "part", "item", "value", "rank"]
-    return (
-        pairs.withColumn("part", F.lit("pair")).withColumn("rank", ranked).select(*columns)
-        .union(own.withColumn("part", F.lit("term")).withColumn("rank", ranked).filter(F.col("rank") <= top).select(*columns))
-    )
+
+    def of(part: str) -> DataFrame:
+        return found.filter(F.col("part") == part).withColumn("rank", F.row_number().over(order)).select(*columns)
+
+    return of("pair").union(of("term").filter(F.col("rank") <= top))
+
+
+def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n = [int(np.frombuffer(x.as_py(), "<i8").sum()) for x in batch.column("n")]
+        yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("source"), pa.array(n, pa.int64())], names=["lang", "source", "n"])
