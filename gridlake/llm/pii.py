@@ -31,7 +31,7 @@ FORMATS = {
              r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\w)|(?<![\w+.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])",
     "ssn": r"(?<![\w-])(?!000|666|9)\d{3}-(?!00)\d{2}-(?!0000)\d{4}(?![\w-])",
     # a whole run of digit groups: the cards in it are found by _scanned
-    "card": r"(?<![\w.-])(?=\d(?:[ -]?\d){12})\d++(?!\w)(?:[ -]\d++(?!\w)){0,400}+",
+    "card": r"(?<![\w.-])(?=\d(?:[ -]?\d){12})\d++(?!\w)(?:[ -]\d++(?!\w))*+",
     "ip": rf"(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d)",
     "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w/-]|\.\d)",
 }
@@ -237,15 +237,18 @@ _PSEUDONYMS = {
 }
 
 
-def _joined(left: Column, right: Column) -> Column:
-    """Two rows of pieces as one: the last of ``left`` goes on with the first
-    of ``right``."""
-    seam = F.concat(F.element_at(left, -1), F.element_at(right, 1))
-    return F.concat(F.slice(left, F.lit(1), F.size(left) - 1), F.array(seam), F.slice(right, F.lit(2), F.size(right)))
+def _piece(text: Column, value: bool) -> Column:
+    """A part of a text: plain, or a pseudonym."""
+    return F.struct(text.alias("text"), F.lit(value).alias("value"))
 
 
 def _either(old: Column, new: Column) -> Column:
-    return F.when(old == new, F.array(old)).otherwise(F.array(F.lit(""), new, F.lit("")))
+    return F.when(old == new, F.array(_piece(old, False))).otherwise(F.array(_piece(new, True)))
+
+
+#: Groups of characters that ``_scanned`` handles at a time. What it has found
+#: is appended once per block, so a run of any length costs about linear time.
+BLOCK = 128
 
 
 def _scanned(m: Column, replaced) -> Column:
@@ -268,21 +271,34 @@ def _scanned(m: Column, replaced) -> Column:
             found = F.get(F.filter(F.transform(ends, candidate), lambda c: c["old"] != c["new"]), F.lit(0))
 
             def taken(c: Column) -> Column:
-                value = F.struct(c["next"].alias("next"), _joined(state["out"], F.array(sign, c["new"], F.lit(""))).alias("out"))
-                plain = F.struct((i + 1).alias("next"), _joined(state["out"], F.array(group)).alias("out"))
-                return F.when(c.isNotNull(), value).otherwise(plain)
+                value = F.array(_piece(sign, False), _piece(c["new"], True))
+                return F.struct(
+                    F.coalesce(c["next"], i + 1).alias("next"),
+                    F.concat(state["out"], F.when(c.isNotNull(), value).otherwise(F.array(_piece(group, False)))).alias("out"),
+                )
 
             return F.when(i < state["next"], state).otherwise(_let(found, taken))
 
-        start = F.struct(F.lit(1).alias("next"), F.array(F.lit("")).alias("out"))
-        return F.aggregate(F.sequence(F.lit(1), F.size(groups)), start, step, lambda state: state["out"])
+        def block(state: Column, first: Column) -> Column:
+            own = F.sequence(first, F.least(first + BLOCK - 1, F.size(groups)))
+            start = F.struct(state["next"].alias("next"), F.array().cast(_PIECES).alias("out"))
+            return _let(
+                F.aggregate(own, start, step),
+                lambda s: F.struct(s["next"].alias("next"), F.concat(state["out"], F.array(s["out"])).alias("out")),
+            )
+
+        start = F.struct(F.lit(1).alias("next"), F.array().cast(f"array<{_PIECES}>").alias("out"))
+        firsts = F.sequence(F.lit(1), F.size(groups), F.lit(BLOCK))
+        return F.flatten(F.aggregate(firsts, start, block, lambda state: state["out"]))
 
     return _let(groups, scan)
 
 
+_PIECES = "array<struct<text:string,value:boolean>>"
+
+
 def _pieces(m: Column, key: str) -> Column:
-    """A match as plain text and pseudonyms by turns (plain text first and
-    last, perhaps empty)."""
+    """The pieces of a match."""
     def card(c: Column) -> Column:
         return F.when(F.length(_bare(c)).between(13, 19), _card(c, key)).otherwise(c)
 
@@ -296,16 +312,28 @@ def _pieces(m: Column, key: str) -> Column:
         if name not in ("email", "iban"):
             new = _scanned(m, card) if name == "card" else _let(_PSEUDONYMS[name](m, key), lambda new: _either(m, new))
             out = out.when(m.rlike(f"^(?:{pattern})$"), new)
-    return out.otherwise(F.array(m))
+    return out.otherwise(F.array(_piece(m, False)))
 
 
 def _cut(text: Column, key: str, pattern: str) -> Column:
-    """A text as plain text and pseudonyms by turns."""
+    """The pieces of a text."""
     found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: _pieces(m, key))
     # the text between the matches, one part more than there are matches
     parts = F.split(text, pattern, -1)
-    both = F.zip_with(parts, found, lambda p, f: F.struct(p.alias("p"), F.coalesce(f, F.array(F.lit(""))).alias("f")))
-    return F.aggregate(both, F.array(F.lit("")), lambda out, x: _joined(out, _joined(F.array(x["p"]), x["f"])))
+    none = F.array().cast(_PIECES)
+    return F.flatten(F.zip_with(parts, found, lambda p, f: F.concat(F.array(_piece(p, False)), F.coalesce(f, none))))
+
+
+def _turns(pieces: Column, mark: Column) -> Column:
+    """Plain text and pseudonyms by turns (plain text first and last, perhaps
+    empty): neighbouring plain pieces become one, in one pass over all.
+    ``mark`` is a text that stands in no piece."""
+    def run(pieces: Column) -> Column:
+        plain = F.split(F.array_join(F.transform(pieces, lambda p: F.when(p["value"], mark).otherwise(p["text"])), ""), mark, -1)
+        values = F.transform(F.filter(pieces, lambda p: p["value"]), lambda p: p["text"])
+        return F.flatten(F.zip_with(plain, values, lambda p, v: F.when(v.isNull(), F.array(p)).otherwise(F.array(p, v))))
+
+    return _let(pieces, run)
 
 
 def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
@@ -321,15 +349,19 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     is replaced.
     """
     rows = docs.drop("n_pseudonyms")
-    # texts without a sign of any value are spared the patterns
-    rows = rows.withColumn("_pieces", F.when(F.col(text).rlike(SIGN), _cut(F.col(text), key, PATTERNS[0])))
+    # a text of its own hash is not in the text; texts without a sign of any
+    # value are spared the patterns
+    signed = F.col(text).rlike(SIGN)
+    rows = rows.withColumn("_mark", F.when(signed, F.sha2(F.concat(F.lit(f"{key}|mark|"), F.col(text)), 256)))
+    rows = rows.withColumn("_pieces", F.when(signed, _turns(_cut(F.col(text), key, PATTERNS[0]), F.col("_mark"))))
     grouped = F.col(text).rlike(f"(?:{FORMATS['card']})|(?:{FORMATS['iban']})")
     for pattern in PATTERNS[1:]:
         again = F.flatten(F.transform(
-            F.col("_pieces"), lambda x, i: F.when(i % 2 == 0, _cut(x, key, pattern)).otherwise(F.array(x))
+            F.col("_pieces"), lambda x, i: F.when(i % 2 == 0, _cut(x, key, pattern)).otherwise(F.array(_piece(x, True)))
         ))
-        rows = rows.withColumn("_pieces", F.when(F.col("_pieces").isNotNull() & grouped, again).otherwise(F.col("_pieces")))
+        turns = _turns(again, F.col("_mark"))
+        rows = rows.withColumn("_pieces", F.when(F.col("_pieces").isNotNull() & grouped, turns).otherwise(F.col("_pieces")))
     changed = F.floor(F.size("_pieces") / 2).cast("int")
     return rows.withColumn("n_pseudonyms", F.when(F.col("_pieces").isNull(), 0).otherwise(changed)).withColumn(
         text, F.when(F.col("_pieces").isNull(), F.col(text)).otherwise(F.array_join("_pieces", ""))
-    ).drop("_pieces")
+    ).drop("_pieces", "_mark")

@@ -1,4 +1,10 @@
+import datetime
+import random
+import re
+import time
+
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from gridlake.llm import pii
@@ -109,3 +115,125 @@ def test_query_is_native_and_leaves_clean_texts(spark, docs_pd):
     assert len(rows) == len(old) and any(r.n_pseudonyms for r in rows)
     for r in rows:
         assert (r.text == old[r.doc_id]) == (r.n_pseudonyms == 0)
+
+
+# -- a plain version: the same formats and searches, run over lists ------------
+
+
+def valid(name, m):
+    bare = re.sub("[^A-Za-z0-9]", "", m)
+    if name == "card":
+        return 13 <= len(bare) <= 19 and luhn(bare)
+    if name == "iban":
+        return bool(re.match("[A-Z]{2}[0-9]{2}", m)) and 12 <= len(bare) <= 35 and iban(m)
+    if name == "date":
+        for fmt, y in (("%Y-%m-%d", m[:4]), ("%d.%m.%Y", m[-4:]), ("%m/%d/%Y", m[-4:])):
+            try:
+                datetime.datetime.strptime(m, fmt)
+                return 1700 <= int(y) < 2100
+            except ValueError:
+                pass
+        return False
+    return True
+
+
+def groups_of(m, name):
+    """Values among the whole groups of a match: from each group on, the longest."""
+    groups, out, i = regex.split("(?=[ -])", m, flags=regex.V1), [], 0
+    while i < len(groups):
+        sign = groups[i][:1] if i else ""
+        for j in range(min(i + 19, len(groups)), i, -1):
+            text = "".join(groups[i:j])[len(sign):]
+            if valid(name, text):
+                out += [(sign, False), (text, True)]
+                i = j
+                break
+        else:
+            out.append((groups[i], False))
+            i += 1
+    return out
+
+
+def plain(text):
+    """The pieces of a text: (part, is a value)."""
+    pieces = [(text, False)]
+    for pattern in pii.PATTERNS:
+        if pattern is not pii.PATTERNS[0] and not any(regex.search(pii.FORMATS[f], text) for f in ("card", "iban")):
+            break
+        out = []
+        for part, done in pieces:
+            if done:
+                out.append((part, True))
+                continue
+            at = 0
+            for m in regex.finditer(pattern, part, regex.ASCII):
+                out.append((part[at : m.start()], False))
+                at = m.end()
+                name = next((f for f in ("email", "iban", *pii.FORMATS) if regex.fullmatch(pii.FORMATS[f], m.group(), regex.ASCII)), None)
+                if name in ("card", "iban"):
+                    out += groups_of(m.group(), name)
+                else:
+                    out.append((m.group(), name is not None and valid(name, m.group())))
+            out.append((part[at:], False))
+        pieces = []
+        for part, done in out:  # neighbouring plain pieces are one
+            if pieces and not done and not pieces[-1][1]:
+                pieces[-1] = (pieces[-1][0] + part, False)
+            else:
+                pieces.append((part, done))
+    return pieces
+
+
+def against_plain(spark, texts):
+    pieces = [plain(t) for t in texts]
+    values = sorted({v for p in pieces for v, is_value in p if is_value})
+    new = dict(zip(values, (t for t, _ in replaced(spark, values))))
+    # a value whose pseudonym is itself does not count as one
+    want = [("".join(new[v] if x else v for v, x in p), sum(x and new[v] != v for v, x in p)) for p in pieces]
+    assert replaced(spark, texts) == want
+    return len(values)
+
+
+def test_random_texts_against_the_plain_version(spark):
+    rng = random.Random(7)
+    parts = [*VALID, *LEFT, "4111", "1111", "12", "7", "ab", "DE89", "3704", "0044", "x", "é", "\n", ",", ".", "(", "0", "2024-01-01"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " ", "-", " ", "  "]) for _ in range(rng.randint(1, 14))) for _ in range(400)]
+    assert against_plain(spark, texts) > 100
+
+
+def test_real_texts_against_the_plain_version(spark, docs_pd):
+    assert against_plain(spark, [t or "" for t in docs_pd.text]) > 10
+
+
+@pytest.mark.parametrize("sep", [" ", "-"])
+def test_a_card_behind_any_number_of_groups_is_found(spark, sep):
+    """Groups of digits that make no card by themselves, whatever their number."""
+    texts = [sep.join(["10"] * n + ["4111", "1111", "1111", "1111"]) for n in (0, 19, 127, 128, 398, 399, 400, 401, 402, 1000)]
+    against_plain(spark, texts)
+    for text, n in replaced(spark, texts):
+        assert n >= 1 and not text.endswith(sep.join(["4111", "1111", "1111", "1111"]))
+
+
+def test_cost_is_linear_in_the_values_of_a_text(spark):
+    def seconds(n):
+        text = "".join(f"user{i}@mail{i % 10}.example.com, 4111 1111 1111 1111; " for i in range(n // 2))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        start = time.monotonic()
+        assert pii.pseudonymize(df, "k").first().n_pseudonyms == n
+        return time.monotonic() - start
+
+    seconds(100)
+    few, many = seconds(2_000), seconds(20_000)
+    assert many < 20 * few + 5, (few, many)
+
+
+def test_cost_is_linear_in_the_groups_of_a_run(spark):
+    def seconds(n):
+        df = spark.createDataFrame([(1, " ".join(["1234567"] * n))], "doc_id long, text string")
+        start = time.monotonic()
+        pii.pseudonymize(df, "k").first()
+        return time.monotonic() - start
+
+    seconds(100)
+    few, many = seconds(1_000), seconds(6_000)
+    assert many < 12 * few + 5, (few, many)
