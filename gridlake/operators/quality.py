@@ -88,87 +88,82 @@ def top_values(df: DataFrame, col: str, k: int = 10, tracked: int = 10_000) -> D
     return rows.orderBy(*order)
 
 
-#: Ranks of the summaries that bracket a percentile, on either side of it, and
-#: values strictly inside a bracket from which it is read off exactly.
+#: Ranks on either side of a percentile that bracket it at first, and values
+#: strictly inside a bracket from which the rank is read off exactly.
 SLACK, INSIDE = 0.01, 10_000
 _STEPS = [i / 256 for i in range(257)]
 
 
-@dataclass
 class _Rank:
-    """The two neighbouring ranks of one percentile of a column, and the
-    values between which they are known to lie."""
-
-    column: int
-    p: float
-    n: int
-    lo: float
-    hi: float
-    below: int = 0
+    """The value of one rank of a column, from 0, and what is known of it:
+    it lies in [lo, hi]. ``trial`` is the bracket that the next scan counts."""
+
+    def __init__(self, column: int, rank: int, lo: float, hi: float, trial: tuple[float, float]):
+        self.column, self.rank, self.lo, self.hi, self.trial = column, rank, lo, hi, trial
+        self.value: float | None = None
+        self.base: int | None = None  # values up to lo, once few lie strictly inside
+
+    def counts(self, name: str) -> list[Column]:
+        d, (a, b) = F.col(f"c{self.column}"), self.trial
+        tests = {"a": d < a, "b": d <= a, "c": d < b, "d": d <= b}
+        return [F.count(F.when(t, 1)).alias(f"{name}{k}") for k, t in tests.items()] + [
+            F.kll_sketch_agg_double(F.when((d > a) & (d < b), d)).alias(f"{name}sketch")
+        ]
 
-    def __post_init__(self):
-        at = self.p * (self.n - 1)
-        self.first, self.last, self.share = math.floor(at), math.ceil(at), at - math.floor(at)
+    def learn(self, below_a: int, to_a: int, below_b: int, to_b: int, steps: list[float] | None) -> bool:
+        """Whether the rank is found, or in reach; else the next trial is set.
+        Each scan that fails leaves fewer values strictly inside."""
+        a, b = self.trial
+        if below_a <= self.rank < to_a:
+            self.value = a
+        elif below_b <= self.rank < to_b:
+            self.value = b
+        elif self.rank < below_a:
+            self.hi = a
+            self.trial = (self.lo, a)
+        elif self.rank >= to_b:
+            self.lo = b
+            self.trial = (b, self.hi)
+        else:
+            self.lo, self.hi = a, b
+            inside = below_b - to_a
+            if inside <= INSIDE:
+                self.base = to_a
+            else:
+                at = (self.rank - to_a) / inside * 256
+                self.trial = (steps[max(0, math.floor(at) - 8)], steps[min(256, math.ceil(at) + 8)])
+        return self.value is not None or self.base is not None
 
     def inside(self) -> Column:
-        d = F.col(f"c{self.column}")
-        return (d >= F.lit(self.lo)) & (d <= F.lit(self.hi))
+        return (F.col("v") > self.lo) & (F.col("v") < self.hi)
 
     def read_off(self, counts: list[tuple[float, int]]) -> float:
-        before, values = self.below, {}
-        for v, n in sorted(counts):
-            for rank in (self.first, self.last):
-                if before <= rank < before + n:
-                    values[rank] = v
-            before += n
-        a, b = values[self.first], values[self.last]
-        return a if a == b else a + self.share * (b - a)
-
-
-def _narrowed(table: DataFrame, ranks: list[_Rank], extra: list[Column]) -> tuple[list[_Rank], dict]:
-    """Narrow the brackets until each holds its ranks and few values strictly
+        if self.value is None:
+            before = self.base
+            for v, n in sorted(x for x in counts if self.lo < x[0] < self.hi):
+                before += n
+                if self.rank < before:
+                    return v
+        return self.value
+
+
+def _narrow(table: DataFrame, ranks: list[_Rank], extra: list[Column]) -> dict:
+    """Narrow the brackets until each has its rank among few values strictly
     inside; one scan of the columns each time. ``extra`` aggregates ride along
     with the first."""
-    done, first = [], {}
+    first = {}
     while ranks or extra:
-        aggs = list(extra)
-        for i, r in enumerate(ranks):
-            d = F.col(f"c{r.column}")
-            aggs += [
-                F.count(F.when(d < F.lit(r.lo), 1)).alias(f"below{i}"), F.count(F.when(r.inside(), 1)).alias(f"inside{i}"),
-                F.count(F.when((d > F.lit(r.lo)) & (d < F.lit(r.hi)), 1)).alias(f"strictly{i}"),
-                F.kll_sketch_agg_double(F.when(r.inside(), d)).alias(f"sketch{i}"),
-            ]
+        counted = table.agg(*extra, *[c for i, r in enumerate(ranks) for c in r.counts(f"r{i}")])
         steps = F.array(*[F.lit(s) for s in _STEPS])
-        counted = table.agg(*aggs)
-        names = [c for c in counted.columns if not c.startswith("sketch")]
-        row = counted.select(*names, *[
-            F.when(F.col(f"inside{i}") > 0, F.kll_sketch_get_quantile_double(f"sketch{i}", steps)).alias(f"steps{i}")
+        row = counted.select(*[c for c in counted.columns if not c.endswith("sketch")], *[
+            F.when(F.col(f"r{i}c") > F.col(f"r{i}b"), F.kll_sketch_get_quantile_double(f"r{i}sketch", steps)).alias(f"r{i}steps")
             for i in range(len(ranks))
         ]).first()
-        first = first or row.asDict()
-        extra, again = [], []
-        for i, r in enumerate(ranks):
-            r.below = row[f"below{i}"]
-            lost_low, lost_high = r.first < r.below, r.last >= r.below + row[f"inside{i}"]
-            if lost_low or lost_high:  # beside the bracket: the summary was off
-                r.lo, r.hi = (-math.inf if lost_low else r.lo), (math.inf if lost_high else r.hi)
-                again.append(r)
-            elif row[f"strictly{i}"] <= INSIDE:
-                done.append(r)
-            else:
-                values, share = row[f"steps{i}"], (r.first - r.below) / row[f"inside{i}"]
-                at = share * 256
-                # a bracket that did not shrink is halved by value
-                lo, hi = values[max(0, math.floor(at) - 8)], values[min(256, math.ceil(at) + 8)]
-                lo, hi = (lo if at > 8 else r.lo), (hi if at < 248 else r.hi)
-                if (lo, hi) == (r.lo, r.hi):
-                    middle = r.lo / 2 + r.hi / 2
-                    lo, hi = (r.lo, middle) if share < 0.5 else (middle, r.hi)
-                r.lo, r.hi = lo, hi
-                again.append(r)
-        ranks = again
-    return done, first
+        first, extra = first or row.asDict(), []
+        ranks = [
+            r for i, r in enumerate(ranks) if not r.learn(*[row[f"r{i}{k}"] for k in "abcd"], row[f"r{i}steps"])
+        ]
+    return first
 
 
 def profile(
@@ -211,8 +206,8 @@ def profile(
     table = df.select(*[plain(c).alias(f"c{i}") for i, c in enumerate(cols)])
     if not stored:
         table = written_columns(table)
-    ranks_of = [x for p in percentiles for x in (max(0.0, p - SLACK), min(1.0, p + SLACK))]
-    at = F.array(*[F.lit(x) for x in ranks_of])
+    around = [x for p in percentiles for x in (max(0.0, p - SLACK), min(1.0, p + SLACK))]
+    brackets = F.array(*[F.lit(x) for x in around])
 
     first_aggs, second = [], []
     for i, c in enumerate(cols):
@@ -228,12 +223,12 @@ def profile(
     row = scanned.select(
         *[c for c in scanned.columns if not c.startswith("sketch")],
         *[
-            F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"sketch{i}", at)).alias(f"at{i}")
+            F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"sketch{i}", brackets)).alias(f"at{i}")
             for i, c in enumerate(cols) if c in numeric
         ],
     ).first()
 
-    ranks, means = [], {}
+    ranks, means = {}, {}
     for i, c in enumerate(cols):
         n = row[f"n{i}"]
         if c not in numeric or not n:
@@ -243,26 +238,31 @@ def profile(
         means[i] = total / n
         if c not in temporal:
             second.append(F.sum((F.col(f"c{i}") - F.lit(row[f"plain{i}"] / n)) ** 2).alias(f"square{i}"))
-        ranks += [
-            _Rank(i, p, n, row[f"at{i}"][2 * j], row[f"at{i}"][2 * j + 1]) for j, p in enumerate(percentiles)
-        ]
-    ranks, moments = _narrowed(table, ranks, second)
+        for j, p in enumerate(percentiles):
+            at = p * (n - 1)
+            for rank in {math.floor(at), math.ceil(at)}:
+                trial = tuple(row[f"at{i}"][2 * j : 2 * j + 2])
+                ranks.setdefault((i, rank), _Rank(i, rank, row[f"min{i}"], row[f"max{i}"], trial))
+    moments = _narrow(table, list(ranks.values()), second)
 
     values, tops, kinds = {}, {}, {}
     for i, c in enumerate(cols):
-        own = [r for r in ranks if r.column == i]
+        own = [r for r in ranks.values() if r.column == i]
         d = table.select(F.col(f"c{i}").alias("v")).filter("v IS NOT NULL")
         if c in numeric:
             hit = F.lit(False)
             for r in own:
-                hit = hit | ((F.col("v") >= F.lit(r.lo)) & (F.col("v") <= F.lit(r.hi)))
+                hit = hit | r.inside() if r.value is None else hit
             counts = (d if unique else d.filter(hit)).groupBy("v").agg(F.count(F.lit(1)).alias("n"))
             found = counts.agg(
                 F.count(F.lit(1)).alias("kinds"), F.collect_list(F.when(hit, F.struct("v", "n"))).alias("hits")
             ).first()
             hits = [(x["v"], x["n"]) for x in found["hits"]]
-            for r in own:
-                values[i, r.p] = r.read_off([(v, n) for v, n in hits if r.lo <= v <= r.hi])
+            found_at = {r.rank: r.read_off(hits) for r in own}
+            for p in percentiles if own else ():
+                at = p * (row[f"n{i}"] - 1)
+                low, high = found_at[math.floor(at)], found_at[math.ceil(at)]
+                values[i, p] = low if low == high else low + (at - math.floor(at)) * (high - low)
         elif unique:
             counts = d.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
             found = counts.agg(
