@@ -27,8 +27,11 @@ from gridlake.operators.dims import (
     dim_meter,
     dim_tariff,
     dim_tariff_rate,
+    merge_scd2,
+    read_scd2,
 )
 from gridlake.operators.joins import resolve_as_of, resolve_as_of_carry
+from gridlake.operators.ordering import with_sequence
 from gridlake.plans import driver_tables as dt
 from gridlake.plans.pipeline import build_gold, build_silver, reconcile_weather, run_pipeline, type_instant
 from gridlake.session import ensure_checkpoint_dir
@@ -178,6 +181,19 @@ def q_scd2_history(spark, d):
     return dt.tariff_history(spark, d)
 
 
+def q_scd2_incremental(spark, d):
+    """D2 by increments: the change log merged in three batches that do not
+    follow the calendar (late changes split closed intervals); the same rows
+    as ``scd2_history``."""
+    bounds = dt.window_bounds(spark, d)
+    root = f"{_scratch(spark, 'scd2')}/history"
+    changes = dt.tariff_changes(spark, d)
+    for i in range(3):
+        merge_scd2(spark, root, changes.filter(F.pmod(F.dayofmonth("change_date") + 1, F.lit(3)) == i), bounds[1])
+    history = with_sequence(read_scd2(spark, root, bounds[1]), ["meter_id", "valid_from"], out="meter_tariff_sk")
+    return history.select("meter_tariff_sk", "meter_id", "tariff_code", "valid_from", "valid_to", "is_current")
+
+
 def q_calendar_dim(spark, d):
     first, last = dt.window_bounds(spark, d)
     return dim_date(spark, first, last)
@@ -204,6 +220,11 @@ def q_value_frequencies(spark, d):
     return qa.value_frequencies(dt.readings(spark, d), "quality")
 
 
+def q_top_meters(spark, d):
+    """A3/L2: the ten meters with most readings, by heavy hitters."""
+    return qa.top_values(dt.readings(spark, d), "meter_id", 10)
+
+
 def q_load_curve(spark, d):
     return qa.load_curve(latest(spark, d))
 
@@ -526,11 +547,13 @@ QUERIES = {
     "daily_cost": q_daily_cost,
     "weather_daily": q_weather_daily,
     "scd2_history": q_scd2_history,
+    "scd2_incremental": q_scd2_incremental,
     "calendar_dim": q_calendar_dim,
     "meter_dim": q_meter_dim,
     "customer_dim": q_customer_dim,
     "coverage": q_coverage,
     "value_frequencies": q_value_frequencies,
+    "top_meters": q_top_meters,
     "load_curve": q_load_curve,
     "table_counts": q_table_counts,
     "head_rows": q_head_rows,
