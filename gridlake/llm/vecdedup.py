@@ -43,10 +43,37 @@ def _planes(p: int, dim: int) -> np.ndarray:
 
 
 def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Cosines of all rows of ``a`` with all rows of ``b``."""
+    """Cosines of all rows of ``a`` with all rows of ``b``, but for rounding."""
     return (a @ b.T) / np.linalg.norm(a, axis=1)[:, None] / np.linalg.norm(b, axis=1)
 
 
+#: Cosines so near to the threshold are computed again by ``_settled``, as the
+#: last bits of a fast product depend on how it is blocked.
+DOUBT = 1e-9
+
+
+def _settled(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The cosine of each row of ``a`` with the same row of ``b``: one order
+    of adding, and the same for a pair either way round."""
+    dot, aa, bb = (np.cumsum(x * y, axis=1)[:, -1] for x, y in ((a, b), (a, a), (b, b)))
+    return np.maximum(dot / np.sqrt(aa) / np.sqrt(bb), dot / np.sqrt(bb) / np.sqrt(aa))
+
+
+def _linked(cosines: np.ndarray, x: np.ndarray, y: np.ndarray, rows: tuple[np.ndarray, ...], threshold: float) -> np.ndarray:
+    """``cosines`` >= ``threshold``, those in doubt settled; ``rows`` gives the
+    places in ``x`` and ``y`` of the entries of ``cosines`` in doubt."""
+    out = cosines >= threshold
+    doubt = np.nonzero(np.abs(cosines - threshold) < DOUBT)
+    if len(doubt[0]):
+        out[doubt] = _settled(x[rows[0][doubt]], y[rows[1][doubt]]) >= threshold
+    return out
+
+
+def _all_linked(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    rows = np.indices((len(a), len(b)))
+    return _linked(_cosines(a, b), a, b, (rows[0], rows[1]), threshold)
+
+
 def _keyed(batches: Iterator[pa.RecordBatch], passes: int, small: int) -> Iterator[pa.RecordBatch]:
     """(pass, key) rows of each vector (columns id, label, dim, vec, m: vectors
     of the label)."""
@@ -76,10 +103,11 @@ def _edges(rows: pa.Table, window: int, small: int, threshold: float) -> pa.Tabl
     for g in np.unique(change):
         at = np.nonzero(change == g)[0]
         x = matrix(rows["vec"].slice(at[0], len(at)), int(group["dim"].iloc[at[0]]))
-        x = x / np.linalg.norm(x, axis=1)[:, None]
+        norms, place = np.linalg.norm(x, axis=1), np.arange(len(x))
         reach = window * (1 + _doublings(int(sizes[at[0]]), small))
         for k in range(1, min(reach, len(x) - 1) + 1):
-            near = np.nonzero(np.einsum("ij,ij->i", x[:-k], x[k:]) >= threshold)[0]
+            cosines = np.einsum("ij,ij->i", x[:-k], x[k:]) / norms[:-k] / norms[k:]
+            near = np.nonzero(_linked(cosines, x, x, (place[:-k], place[k:]), threshold))[0]
             sets.union(at[near], at[near + k])
     joined = np.nonzero(sets.root != np.arange(len(ids)))[0]
     return pa.table({"a": pa.array(ids[joined]), "b": pa.array(ids[sets.root[joined]])})
@@ -129,11 +157,11 @@ def _counts(group: pa.Table, threshold: float) -> pa.Table:
     a, b = np.nonzero(own)[0], np.nonzero(~own)[0]
     out = np.zeros(len(ids), np.int64)
     if not len(b):  # one block with itself
-        near = _cosines(x, x) >= threshold
+        near = _all_linked(x, x, threshold)
         np.fill_diagonal(near, False)
         out = near @ n
     else:
-        near = _cosines(x[a], x[b]) >= threshold
+        near = _all_linked(x[a], x[b], threshold)
         out[a], out[b] = near @ n[b], near.T @ n[a]
     return pa.table({"id": ids, "links": out})
 

@@ -51,6 +51,22 @@ def test_links_against_brute_force(spark, grouped, monkeypatch):
     assert {r.vec_id: (r.n_links, r.component_id) for r in out} == brute_links(ids, x, labels, 0.98)
 
 
+def test_a_cosine_at_the_threshold_is_one_decision(spark):
+    """Edges and counts agree on pairs at, just over and just under it."""
+    rng = np.random.default_rng(2)
+    x = [[-3, 6, -1, -2], [-3, 6, -2, -1], [6, -3, -1, -2], [6, -3, -2, -1], [0.3, -0.6, 0.1, 0.2], [7, 1, 0, 0], [7, -1, 0, 0]]
+    for _ in range(60):  # pairs of cosine 0.98 but for rounding
+        a = rng.standard_normal(4)
+        b = rng.standard_normal(4)
+        b -= a * (a @ b) / (a @ a)
+        x += [a.tolist(), (0.98 * a / np.linalg.norm(a) + math.sqrt(1 - 0.98**2) * b / np.linalg.norm(b)).tolist()]
+    rows = [(i, list(map(float, v)), i // 2, "c", 0) for i, v in enumerate(x)]
+    out = {r.vec_id: (r.n_links, r.component_id) for r in vd.embedding_components(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i in range(0, len(x) - len(x) % 2, 2):
+        (n, c), (m, d) = out[i], out[i + 1]
+        assert (n, m, c, d) in ((1, 1, i, i), (0, 0, i, i + 1)), i
+
+
 def test_windows_go_on_over_partition_borders(spark):
     """Rows in pairs, one pass and a window of one: half of the pairs lie on a
     border where every partition holds few rows."""
