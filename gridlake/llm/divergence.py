@@ -16,6 +16,7 @@ import pickle
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -235,18 +236,21 @@ class _Recount:
         """Count what waits."""
         if sum(map(len, self.known.values())) > HELD_TERMS or self.size > HELD_BYTES:
             self.known, self.size = {lang: {} for lang in self.tables}, 0
-        new: dict[str, set[bytes]] = defaultdict(set)
-        for (lang, _), terms in self.waiting:
-            new[lang].update(terms)
-        for lang, terms in new.items():
-            if terms := list(terms.difference(self.known[lang])):
-                self._learn(lang, terms)
-        for group, terms in self.waiting:
-            counter = self.counters.get(group)
-            if counter is None:
-                counter = self.counters[group] = np.zeros(self.slots_of[group[0]] + 1, np.int32)
-                self.held += len(counter)
-            np.add.at(counter, np.fromiter(map(self.known[group[0]].__getitem__, terms), np.int64, len(terms)), 1)
+        for lang in {group[0] for group, _ in self.waiting}:
+            own = [(group, terms) for group, terms in self.waiting if group[0] == lang]
+            terms = [t for _, part in own for t in part]
+            places = np.fromiter(map(self.known[lang].get, terms, repeat(-1)), np.int64, len(terms))
+            if len(missing := np.flatnonzero(places < 0)):
+                self._learn(lang, list({terms[i] for i in missing}))
+                places[missing] = [self.known[lang][terms[i]] for i in missing]
+            at = 0
+            for group, part in own:
+                counter = self.counters.get(group)
+                if counter is None:
+                    counter = self.counters[group] = np.zeros(self.slots_of[lang] + 1, np.int32)
+                    self.held += len(counter)
+                np.add.at(counter, places[at : at + len(part)], 1)
+                at += len(part)
         self.added += self.tokens
         self.waiting, self.tokens = [], 0
 
