@@ -2,7 +2,9 @@
 /root/testdata/sf0.1) on ``local[$BENCH_CPUS]`` and print one JSON line.
 
 Each query is timed to full materialisation with a ``noop`` write (every
-row produced, nothing collected to the driver), once, in a fixed order. The
+row produced, nothing collected to the driver) three times, in a fixed order;
+the median counts. ``calibration`` times a fixed job of Spark's own at the
+start and at the end, to tell the machine's share of a difference. The
 JVM is warmed first by running the flagship query on the smallest driver
 tables (a different data set), so class loading and JIT compilation are not
 billed to whichever query happens to run first.
@@ -12,6 +14,7 @@ from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -35,6 +38,16 @@ HEADLINE = [
 ]
 
 
+#: Times each query runs.
+RUNS = 3
+
+
+def calibrate(spark) -> float:
+    t0 = time.perf_counter()
+    spark.range(20_000_000).selectExpr("sum(hash(id) % 1000)", "count(distinct id % 100000)").collect()
+    return round(time.perf_counter() - t0, 3)
+
+
 def main() -> None:
     from gridlake.plans import bench_plans
     from gridlake.plans.queries import QUERIES
@@ -49,6 +62,7 @@ def main() -> None:
     else:
         spark.range(1000).selectExpr("sum(id)").collect()
 
+    calibration = [calibrate(spark)]
     times: dict[str, float] = {}
     extra = {
         "lineitem_daily_cost": bench_plans.lineitem_daily_cost,
@@ -56,14 +70,18 @@ def main() -> None:
     }
     for name in HEADLINE + list(extra):
         q = QUERIES.get(name) or extra[name]
-        t0 = time.perf_counter()
-        q(spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        runs = []
+        for _ in range(RUNS):
+            t0 = time.perf_counter()
+            q(spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - t0)
+        times[name] = round(statistics.median(runs), 3)
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(
         json.dumps(
-            {"metric": "total_query_seconds", "value": total, "unit": "sec", "queries": times, "sf": sf}
+            {"metric": "total_query_seconds", "value": total, "unit": "sec", "queries": times, "sf": sf,
+             "calibration": [*calibration, calibrate(spark)]}
         )
     )
     spark.stop()

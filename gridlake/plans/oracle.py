@@ -373,8 +373,8 @@ ORACLE.update({
     ),
     "star_usage": with_ctes(
         [*GOLD_CHAIN, CUSTOMERS, BOUNDS, CALENDAR, TARIFF_NAMES, STAR],
-        """SELECT r_name, tariff_name, is_weekend, round(sum(kwh), 4) AS kwh,
-                  round(sum(cost), 6) AS cost, count(DISTINCT meter_id) AS meters
+        """SELECT r_name, tariff_name, is_weekend, round(CAST(sum(CAST(kwh AS DECIMAL(28,8))) AS DOUBLE), 4) AS kwh,
+                  round(CAST(sum(CAST(cost AS DECIMAL(28,8))) AS DOUBLE), 6) AS cost, count(DISTINCT meter_id) AS meters
            FROM star GROUP BY 1, 2, 3""",
     ),
     "usage_by_dim": with_ctes(

@@ -58,6 +58,7 @@ def build_silver(
     locations: tuple[DataFrame, DataFrame] | None = None,
     few_weather_days: bool = False,
     as_of: str = "join",
+    deduped: bool = False,
 ) -> Silver:
     """Silver readings with ``tariff_code``, ``temperature_2m``,
     ``relative_humidity_2m`` and ``hour_ts``.
@@ -78,7 +79,8 @@ def build_silver(
     its plans need not move the readings to meet it. Weather is met by the
     day (``join_hour_table``); ``few_weather_days`` says that the caller has
     bounded its days times sites. ``as_of``: ``join``, or ``carry`` for the
-    as-of match by union and carry.
+    as-of match by union and carry. ``deduped``: the readings hold the newest
+    copy of each instant already (``streaming.latest.read_latest``).
     """
     if as_of not in ("join", "carry"):
         raise ValueError("as_of must be 'join' or 'carry'")
@@ -87,7 +89,7 @@ def build_silver(
         start, end = window
         typed = trim_window(typed, start, end, keep_unparsed=True)
         horizon = end if horizon is None else horizon
-    latest = dedupe_latest(typed, ("meter_id", "reading_ts"), order_col)
+    latest = typed if deduped else dedupe_latest(typed, ("meter_id", "reading_ts"), order_col)
     nulled = null_missing(null_sentinel(latest), "interval_kwh", "voltage")
     if quarantine:
         good, bad = split_quarantine(nulled)
@@ -165,6 +167,7 @@ def run_pipeline(
     silver_partitioning: str = "month",
     locations: tuple[DataFrame, DataFrame] | None = None,
     window=None,
+    dimensions: dict[str, DataFrame] | None = None,
 ) -> PipelineOutputs:
     """E1 + E2 with their sinks. The reconciled weather is written first
     (``weather_silver``); Silver joins it as written, by broadcast when its
@@ -183,7 +186,8 @@ def run_pipeline(
     per meter, a small-file storm for a large fleet). The fact is partitioned
     by ``reading_month`` and sorted by meter. ``window=(start, end)`` trims
     readings to the analysis window and bounds the as-of join's time buckets
-    (see ``build_silver``)."""
+    (see ``build_silver``). ``dimensions`` (name to table) are written beside
+    the facts, one folder each."""
     spark = readings.sparkSession
     apply_recommended(spark)
     paths = PipelineOutputs(
@@ -194,6 +198,8 @@ def run_pipeline(
         weather_daily=f"{out_dir}/weather_daily_gold",
         fmt=fmt,
     )
+    for name, table in (dimensions or {}).items():
+        write_table(table, f"{out_dir}/{name}", fmt)
     counted = Observation("weather_silver")
     reconciled = reconcile_weather(weather_history, weather_forecast)
     write_table(reconciled.observe(counted, F.count(F.lit(1)).alias("rows")), paths.weather, fmt)

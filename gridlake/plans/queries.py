@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from gridlake import schemas
 from gridlake.fixed import LOCAL_ZONE
-from gridlake.functions.time import date_key, iso_minute, to_utc_ntz
+from gridlake.functions.scalar import exact_sum
+from gridlake.functions.time import date_key, iso_minute, to_utc_ntz, trunc_hour
 from gridlake.operators import analytics as an
 from gridlake.operators import quality as qa
 from gridlake.operators.aggregates import daily_usage, daily_weather
@@ -34,7 +35,7 @@ from gridlake.operators.joins import resolve_as_of, resolve_as_of_carry
 from gridlake.operators.ordering import with_sequence
 from gridlake.plans import driver_tables as dt
 from gridlake.plans.pipeline import build_gold, build_silver, reconcile_weather, run_pipeline, type_instant
-from gridlake.session import ensure_checkpoint_dir
+from gridlake.session import cut_lineage, ensure_checkpoint_dir
 from gridlake.sources.readers import payload_rows, read_csv, read_jsonl, read_table
 from gridlake.sources.sinks import (
     LoadSpec,
@@ -281,32 +282,40 @@ def q_usage_anomalies(spark, d):
 
 
 def q_meter_profile(spark, d):
-    return an.meter_profile(nulled(spark, d), meter_day(spark, d))
+    """Both halves, all readings and the billed days, from one Silver, which
+    is written once: one scan of the readings and one dedupe."""
+    first, last = dt.window_bounds(spark, d)
+    base = cut_lineage(trim_window(nulled(spark, d), first, last, keep_unparsed=True))
+    good, _ = split_quarantine(base)
+    hist = dt.tariff_history(spark, d, with_key=False, bounds=(first, last))
+    tariffed = resolve_as_of(good, hist, horizon=last, since=first).withColumn("hour_ts", trunc_hour("reading_ts"))
+    return an.meter_profile(base, an.meter_day(build_gold(tariffed, dim_tariff_rate(spark)).daily))
 
 
 def star(spark: SparkSession, d: str) -> DataFrame:
     """Daily usage joined to the conformed dimensions."""
     first, last = bounds = dt.window_bounds(spark, d)
     daily = daily_usage(gold(spark, d, bounds).fact, carry=True)
-    cust = dt.customers(spark, d).select("customer_id", "meter_id", "c_nationkey", "c_mktsegment")
-    nation = dt.table(spark, d, "nation")
-    region = dt.table(spark, d, "region")
+    # the fleet's dimensions as one side, joined before they meet the usage
+    place = (
+        dt.customers(spark, d).select("customer_id", "meter_id", "c_nationkey", "c_mktsegment")
+        .join(dt.table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(dt.table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    )
     cal = dim_date(spark, first, last).select(
         F.col("date").alias("date_key"), "is_weekend", "season", "day_of_week"
     )
+    # a literal table, and a row per day of the window: both bounded
     return (
-        daily.join(cust, "meter_id")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .join(dim_tariff(spark).select("tariff_code", "tariff_name"), "tariff_code")
-        .join(cal, "date_key")
+        daily.join(F.broadcast(dim_tariff(spark).select("tariff_code", "tariff_name")), "tariff_code")
+        .join(F.broadcast(cal), "date_key").join(place, "meter_id")
     )
 
 
 def q_star_usage(spark, d):
     return star(spark, d).groupBy("r_name", "tariff_name", "is_weekend").agg(
-        F.round(F.sum("kwh"), 4).alias("kwh"),
-        F.round(F.sum("cost"), 6).alias("cost"),
+        F.round(exact_sum("kwh").cast("double"), 4).alias("kwh"),
+        F.round(exact_sum("cost").cast("double"), 6).alias("cost"),
         F.count_distinct("meter_id").alias("meters"),
     )
 

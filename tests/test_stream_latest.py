@@ -144,3 +144,24 @@ def test_days_of_one_batch_are_read_without_a_shuffle(feed):
     feed.drop([_rec("A", T.format(h), 1.0) for h in range(3)]).run()
     plan = read_latest(feed.spark, feed.path("silver"))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_silver_from_the_log_is_that_of_the_batch_build(feed):
+    """Quarantine, tariff and sentinel over the stream's newest rows."""
+    from gridlake.plans.pipeline import build_silver
+
+    spark = feed.spark
+    bad = _rec("A", T.format(3), 9.0) | {"quality": "MISSING"}
+    feed.drop([_rec(m, T.format(h), 1.0 + h) for m in "AB" for h in range(4)] + [_rec("A", "no time", 2.0)]).run()
+    feed.drop([bad, _rec("B", T.format(1), 7.5)]).run()
+    history = spark.createDataFrame([("A", "green", "2025-01-01", None), ("B", "standard", "2025-07-02", None)],
+                                    "meter_id string, tariff_code string, valid_from string, valid_to string")
+    drops = [f"_source_{c}" for c in ("time", "at", "seq")] + ["_source", "_ingested_at"]
+    streamed = build_silver(read_latest(spark, feed.path("silver")).drop("reading_date"), history, None, deduped=True)
+    batch = build_silver(spark.read.parquet(feed.path("bronze")), history, None)
+
+    def seen(df):
+        return sorted(str(tuple(r)) for r in df.select(*sorted(set(df.columns) - set(drops))).collect())
+
+    assert seen(streamed.enriched) == seen(batch.enriched) and streamed.enriched.count() == 7
+    assert seen(streamed.quarantine) == seen(batch.quarantine) and streamed.quarantine.count() == 2
