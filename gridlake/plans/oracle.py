@@ -455,7 +455,7 @@ ORACLE.update({
 
 ORACLE["readings_with_tariff_carry"] = ORACLE["readings_with_tariff"]
 ORACLE["stream_latest_by_state"] = ORACLE["stream_ingest_latest"]
-ORACLE["scd2_incremental"] = ORACLE["scd2_history"]
+ORACLE["scd2_incremental"] = with_ctes([CHANGES, HIST], "SELECT * EXCLUDE (meter_tariff_sk) FROM hist")
 ORACLE["top_meters"] = with_ctes(
     [READINGS],
     """SELECT meter_id, count(*) AS count FROM readings WHERE meter_id IS NOT NULL

@@ -32,7 +32,6 @@ from gridlake.operators.dims import (
     read_scd2,
 )
 from gridlake.operators.joins import resolve_as_of, resolve_as_of_carry
-from gridlake.operators.ordering import with_sequence
 from gridlake.plans import driver_tables as dt
 from gridlake.plans.pipeline import build_gold, build_silver, reconcile_weather, run_pipeline, type_instant
 from gridlake.session import cut_lineage, ensure_checkpoint_dir
@@ -185,14 +184,13 @@ def q_scd2_history(spark, d):
 def q_scd2_incremental(spark, d):
     """D2 by increments: the change log merged in three batches that do not
     follow the calendar (late changes split closed intervals); the same rows
-    as ``scd2_history``."""
+    as ``scd2_history``, without its running number."""
     bounds = dt.window_bounds(spark, d)
     root = f"{_scratch(spark, 'scd2')}/history"
     changes = dt.tariff_changes(spark, d)
     for i in range(3):
         merge_scd2(spark, root, changes.filter(F.pmod(F.dayofmonth("change_date") + 1, F.lit(3)) == i), bounds[1])
-    history = with_sequence(read_scd2(spark, root, bounds[1]), ["meter_id", "valid_from"], out="meter_tariff_sk")
-    return history.select("meter_tariff_sk", "meter_id", "tariff_code", "valid_from", "valid_to", "is_current")
+    return read_scd2(spark, root, bounds[1]).select("meter_id", "tariff_code", "valid_from", "valid_to", "is_current")
 
 
 def q_calendar_dim(spark, d):
