@@ -97,7 +97,8 @@ def elasticity(md: DataFrame, weather_daily: DataFrame, meters: DataFrame, group
     )
     x = F.col("avg_temp_c").try_cast("decimal(18,8)")
     days = per_day.join(weather_daily.select("date_key", x.alias("x")), "date_key").filter("x IS NOT NULL")
-    of_group = Window.partitionBy(group)
+    # a group's days are one task's rows: as many as the calendar has
+    of_group = Window.partitionBy(group).orderBy("date_key").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     def shift(total: Column) -> Column:
         mean = F.sum(total).over(of_group).cast("double") / F.sum("n").over(of_group).cast("double")
