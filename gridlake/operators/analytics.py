@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.functions.scalar import exact_mean, exact_sum, is_fault
-from gridlake.functions.time import day_number, month_key
+from gridlake.functions.time import date_key, day_number, month_key
+from gridlake.operators.distinct import distinct_state, rollup_state
 
 
 #: Decimal places a metric is reported with (others: 6).
@@ -122,19 +123,24 @@ def elasticity(md: DataFrame, weather_daily: DataFrame, meters: DataFrame, group
     return sums.select(group, slope.alias("slope"), level.alias("intercept"), r2.alias("r2"), F.col("n").cast("long").alias("n"))
 
 
-def fault_tree(readings: DataFrame, meters: DataFrame, ts: str = "reading_ts") -> DataFrame:
+def fault_tree(readings: DataFrame, meters: DataFrame, ts: str = "reading_ts", with_meters: bool = False) -> DataFrame:
     """Fault counts by label x meter model x month with every subtotal
     (ROLLUP), ``grouping_id`` telling the level. Faults are non-GOOD labels,
     NULL included (reported as the label 'NULL'). Faults are counted per
-    (meter, label, month) before they meet the meter dimension."""
+    (meter, label, month) before they meet the meter dimension.
+    ``with_meters`` adds the distinct ``meters`` of each node (``meter_id`` is
+    then a whole number), united from the leaves' bitmaps."""
     counted = (
         readings.filter(is_fault("quality"))
         .groupBy("meter_id", F.coalesce(F.col("quality"), F.lit("NULL")).alias("quality"), month_key(F.col(ts)).alias("month"))
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     f = counted.join(meters.select("meter_id", "meter_model"), "meter_id", "left").select(
-        "quality", F.coalesce(F.col("meter_model"), F.lit("UNKNOWN")).alias("meter_model"), "month", "_n"
+        "quality", F.coalesce(F.col("meter_model"), F.lit("UNKNOWN")).alias("meter_model"), "month", "_n", "meter_id"
     )
+    if with_meters:
+        dims = ["quality", "meter_model", "month"]
+        return rollup_state(distinct_state(f, dims, "meter_id", {"faults": F.sum("_n")}), dims, "meters", ["faults"])
     return f.rollup("quality", "meter_model", "month").agg(
         F.sum("_n").alias("faults"), F.grouping_id().cast("int").alias("level")
     )
@@ -226,3 +232,28 @@ def usage_by(
     if bad:
         raise ValueError(f"dimension(s) not allowed: {bad}")
     return df.groupBy(*dims).agg(METRICS[metric]().alias(metric))
+
+
+def usage_tree(df: DataFrame, dims: Sequence[str], allowed_dims: Sequence[str] = DIMENSIONS) -> DataFrame:
+    """B11 at every subtotal of ROLLUP(``dims``): ``kwh``, ``cost``,
+    ``meter_days``, distinct ``meters`` and ``level`` (the grouping id). The
+    daily usage is read once, into leaves; levels are united from those."""
+    bad = [d for d in dims if d not in allowed_dims]
+    if bad:
+        raise ValueError(f"dimension(s) not allowed: {bad}")
+    sums = {"_kwh": exact_sum("kwh"), "_cost": exact_sum("cost"), "meter_days": F.count(F.lit(1))}
+    tree = rollup_state(distinct_state(df, dims, "meter_id", sums), dims, "meters", list(sums))
+    return tree.select(
+        *dims, "level",
+        *[F.round(F.col(f"_{c}").cast("double"), SCALES[c]).alias(c) for c in ("kwh", "cost")], "meter_days", "meters",
+    )
+
+
+def daily_meters(readings: DataFrame, ts: str = "reading_ts", key: str = "meter_id") -> DataFrame:
+    """The state of the meters that report each day (``month``, ``date_key``),
+    with their ``readings``: a day's rows are final once the day is loaded,
+    and any longer span is united from them (``rollup_state``)."""
+    dated = readings.filter(F.col(ts).isNotNull()).select(
+        key, month_key(F.col(ts)).alias("month"), date_key(F.col(ts)).alias("date_key")
+    )
+    return distinct_state(dated, ["month", "date_key"], key, {"readings": F.count(F.lit(1))})

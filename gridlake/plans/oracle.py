@@ -461,3 +461,33 @@ ORACLE["top_meters"] = with_ctes(
     """SELECT meter_id, count(*) AS count FROM readings WHERE meter_id IS NOT NULL
        GROUP BY meter_id ORDER BY count DESC, meter_id LIMIT 10""",
 )
+ORACLE["fault_tree_meters"] = ORACLE["fault_tree"].replace(
+    "count(*) AS faults,", "count(*) AS faults, count(DISTINCT meter_id) AS meters,"
+).replace("SELECT coalesce(l.quality", "SELECT l.meter_id, coalesce(l.quality")
+ORACLE["usage_tree"] = with_ctes(
+    [*GOLD_CHAIN, CUSTOMERS, BOUNDS, CALENDAR, TARIFF_NAMES, STAR],
+    """SELECT r_name, n_name, season, CAST(GROUPING(r_name, n_name, season) AS INTEGER) AS level,
+              round(CAST(sum(CAST(kwh AS DECIMAL(28,8))) AS DOUBLE), 4) AS kwh,
+              round(CAST(sum(CAST(cost AS DECIMAL(28,8))) AS DOUBLE), 6) AS cost,
+              count(*) AS meter_days, count(DISTINCT meter_id) AS meters
+       FROM star GROUP BY ROLLUP (r_name, n_name, season)""",
+)
+ORACLE["active_meters"] = with_ctes(
+    [READINGS, LATEST],
+    """SELECT month, date_key, count(DISTINCT meter_id) AS meters, count(*) AS readings,
+              CAST(GROUPING(month, date_key) AS INTEGER) AS level
+       FROM (SELECT meter_id, strftime(reading_ts, '%Y-%m') AS month, strftime(reading_ts, '%Y-%m-%d') AS date_key
+             FROM latest WHERE reading_ts IS NOT NULL)
+       GROUP BY ROLLUP (month, date_key)""",
+)
+ORACLE["daily_cost_bronze"] = with_ctes(
+    [*GOLD_CHAIN, BOUNDS],
+    f"""{DAILY_ROWS}, bounds
+        WHERE CAST(date_key AS DATE) BETWEEN first_day + 1 AND last_day - 1""".replace(
+        "* EXCLUDE (voltage_sum, voltage_n)", "daily.* EXCLUDE (voltage_sum, voltage_n)"
+    ),
+)
+ORACLE["weekend_cost"] = with_ctes(GOLD_CHAIN, f"{DAILY_ROWS} WHERE isodow(CAST(date_key AS DATE)) >= 6")
+ORACLE["bucketed_daily_cost"] = ORACLE["daily_cost"]
+ORACLE["bucketed_rolling7"] = ORACLE["usage_rolling7"]
+ORACLE["bucketed_profile"] = ORACLE["meter_profile"]

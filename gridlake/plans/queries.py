@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridlake import schemas
 from gridlake.fixed import LOCAL_ZONE
@@ -31,10 +32,13 @@ from gridlake.operators.dims import (
     merge_scd2,
     read_scd2,
 )
+from gridlake.operators.distinct import rollup_state
 from gridlake.operators.joins import resolve_as_of, resolve_as_of_carry
 from gridlake.plans import driver_tables as dt
 from gridlake.plans.pipeline import build_gold, build_silver, reconcile_weather, run_pipeline, type_instant
 from gridlake.session import cut_lineage, ensure_checkpoint_dir
+from gridlake.sources.bronze import land_by_day, read_days
+from gridlake.sources.bucketed import Buckets, place, write_bucketed
 from gridlake.sources.readers import payload_rows, read_csv, read_jsonl, read_table
 from gridlake.sources.sinks import (
     LoadSpec,
@@ -275,6 +279,26 @@ def q_fault_tree(spark, d):
     return an.fault_tree(latest(spark, d), meters(spark, d))
 
 
+def q_fault_tree_meters(spark, d):
+    """B6 with the distinct meters of every node."""
+    return an.fault_tree(latest(spark, d), meters(spark, d), with_meters=True)
+
+
+def q_usage_tree(spark, d):
+    """B11 at every subtotal of region, nation and season, distinct meters too."""
+    return an.usage_tree(star(spark, d), ["r_name", "n_name", "season"])
+
+
+def q_active_meters(spark, d):
+    """Reporting meters per day, month and in all: the daily state is written
+    as a nightly load would leave it, and the spans are united from it."""
+    path = _scratch(spark, "active")
+    state = an.daily_meters(latest(spark, d))
+    write_table(state, path, partition_by=["month"], sort_within=["date_key"])
+    kept = read_table(spark, path, schema=state.schema)
+    return rollup_state(kept, ["month", "date_key"], "meters", ["readings"])
+
+
 def q_usage_anomalies(spark, d):
     return an.anomalies(meter_day(spark, d), 7, 3.0)
 
@@ -352,6 +376,78 @@ def q_weather_two_sites(spark, d):
     ).enriched
 
 
+# -- Bronze by day, tables in buckets ---------------------------------------------------
+
+
+def text_bronze(spark: SparkSession, d: str) -> tuple[str, StructType]:
+    """The wire-format feed landed by reading day: its folder and schema."""
+    feed = dt.readings_text(spark, d)
+    path = _scratch(spark, "bronze-days")
+    land_by_day(feed, path)
+    return path, feed.schema
+
+
+def q_daily_cost_bronze(spark, d):
+    """B1: the batch build of the window but its first and last day, from
+    text Bronze; the other days' folders are not read."""
+    bounds = dt.window_bounds(spark, d)
+    path, schema = text_bronze(spark, d)
+    window = F.date_add(bounds[0], 1), F.date_sub(bounds[1], 1)
+    feed = read_days(spark, path, schema, *window)
+    hist = dt.tariff_history(spark, d, with_key=False, bounds=bounds)
+    s = build_silver(feed, hist, None, window=window)
+    return build_gold(s.enriched, dim_tariff_rate(spark)).daily
+
+
+def q_weekend_cost(spark, d):
+    """B1 by the calendar: only the weekends' folders of text Bronze are read."""
+    bounds = dt.window_bounds(spark, d)
+    path, schema = text_bronze(spark, d)
+    weekends = dim_date(spark, *bounds).filter("day_of_week >= 6").select("date")
+    feed = read_days(spark, path, schema, days=weekends)
+    hist = dt.tariff_history(spark, d, with_key=False, bounds=bounds)
+    s = build_silver(feed, hist, None, window=bounds)
+    return build_gold(s.enriched, dim_tariff_rate(spark)).daily
+
+
+def bucketed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """K2: de-duplicated readings (the sentinel nulled, faults kept) and the
+    tariff history as tables bucketed by meter. The readings move once: the
+    dedupe runs where their bucket is written."""
+    run = uuid.uuid4().hex
+    by_meter = Buckets(int(spark.conf.get("spark.sql.shuffle.partitions")), sort=("meter_id", "reading_ts"))
+    feed = place(type_instant(dt.readings(spark, d), "reading_ts"), by_meter)
+    silver_rows = write_bucketed(
+        null_sentinel(dedupe_latest(feed)), f"silver_{run}", f"{_scratch(spark, 'silver-buckets')}", by_meter, placed=True
+    )
+    hist = write_bucketed(
+        dt.tariff_history(spark, d, with_key=False), f"history_{run}", f"{_scratch(spark, 'history-buckets')}",
+        Buckets(by_meter.count, sort=("meter_id", "valid_from")),
+    )
+    return silver_rows, hist
+
+
+def bucketed_daily(spark: SparkSession, readings: DataFrame, hist: DataFrame) -> DataFrame:
+    """Daily usage from bucketed tables: joined by meter alone, as they are
+    laid out, so neither the join nor the sums by meter and day move a row."""
+    good, _ = split_quarantine(readings)
+    tariffed = resolve_as_of(good, hist).withColumn("hour_ts", trunc_hour("reading_ts"))
+    return build_gold(tariffed, dim_tariff_rate(spark)).daily
+
+
+def q_bucketed_daily_cost(spark, d):
+    return bucketed_daily(spark, *bucketed(spark, d))
+
+
+def q_bucketed_rolling7(spark, d):
+    return an.rolling_days(an.meter_day(bucketed_daily(spark, *bucketed(spark, d))), 7)
+
+
+def q_bucketed_profile(spark, d):
+    readings, hist = bucketed(spark, d)
+    return an.meter_profile(readings, an.meter_day(bucketed_daily(spark, readings, hist)))
+
+
 # -- I/O and streaming ---------------------------------------------------------------------
 
 
@@ -572,6 +668,9 @@ QUERIES = {
     "tariff_what_if": q_tariff_what_if,
     "temp_elasticity": q_temp_elasticity,
     "fault_tree": q_fault_tree,
+    "fault_tree_meters": q_fault_tree_meters,
+    "usage_tree": q_usage_tree,
+    "active_meters": q_active_meters,
     "usage_anomalies": q_usage_anomalies,
     "meter_profile": q_meter_profile,
     "star_usage": q_star_usage,
@@ -589,6 +688,11 @@ QUERIES = {
     "weather_payload_rows": q_weather_payload_rows,
     "csv_roundtrip": q_csv_roundtrip,
     "partitioned_roundtrip": q_partitioned_roundtrip,
+    "daily_cost_bronze": q_daily_cost_bronze,
+    "weekend_cost": q_weekend_cost,
+    "bucketed_daily_cost": q_bucketed_daily_cost,
+    "bucketed_rolling7": q_bucketed_rolling7,
+    "bucketed_profile": q_bucketed_profile,
     "stream_ingest_latest": q_stream_ingest_latest,
     "stream_latest_by_state": q_stream_latest_by_state,
     "stream_bronze_append": q_stream_bronze_append,

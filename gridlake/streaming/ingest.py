@@ -34,6 +34,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from gridlake.functions.time import to_utc_ntz
 from gridlake.operators.dedupe import keep_first
+from gridlake.sources.bronze import DAY, with_day
 from gridlake.sources.sinks import to_event_payload
 
 
@@ -103,11 +104,16 @@ def stamp(events: DataFrame) -> DataFrame:
     return events.withColumn("_ingested_at", F.current_timestamp())
 
 
-def append_bronze(stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
-    """T2 sink: append raw rows unchanged (plus ingest time) to Bronze."""
+def append_bronze(
+    stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", by_day: bool = False
+) -> StreamingQuery:
+    """T2 sink: append raw rows unchanged (plus ingest time) to Bronze;
+    ``by_day`` puts them in one folder per reading day (``sources.bronze``)."""
+    w = (with_day(stream) if by_day else stream).writeStream.format(fmt)
+    if by_day:
+        w = w.partitionBy(DAY)
     return (
-        stream.writeStream.format(fmt)
-        .option("checkpointLocation", checkpoint)
+        w.option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
         .start(path)

@@ -1,0 +1,121 @@
+"""Distinct counts that merge: bitmaps and sketches up a rollup and over batches."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridlake.operators.analytics import daily_meters, fault_tree, usage_tree
+from gridlake.operators.distinct import count_state, dense_ids, distinct_state, merge_state, rollup_state
+
+ROW = "a string, b string, id long, v int"
+
+
+def _data(n=4000, seed=3):
+    rng = random.Random(seed)
+    ids = [None, 0, -1, -5, -32768, -32769, 1, 5, 32768, 32769, 65536, *range(100, 400)]
+    # a third of the rows has one id, and one leaf holds another third
+    return [
+        (rng.choice(["x", "y", None]), "hot" if rng.random() < 0.33 else rng.choice("pqr"),
+         7 if rng.random() < 0.33 else rng.choice(ids), i)
+        for i in range(n)
+    ]
+
+
+def _brute(data):
+    """(a, b, level) to (distinct ids, rows) for every subtotal."""
+    seen: dict = {}
+    for a, b, i, _ in data:
+        for key in ((a, b, 0), (a, None, 1), (None, None, 3)):
+            ids, n = seen.setdefault(key, (set(), [0]))
+            n[0] += 1
+            if i is not None:
+                ids.add(i)
+    return {k: (len(ids), n[0]) for k, (ids, n) in seen.items()}
+
+
+def test_rollup_of_bitmaps_equals_brute_force(spark):
+    data = _data()
+    state = distinct_state(spark.createDataFrame(data, ROW).repartition(7), ["a", "b"], "id", {"rows": F.count(F.lit(1))})
+    got = {(r.a, r.b, r.level): (r.n, r.rows) for r in rollup_state(state, ["a", "b"], "n", ["rows"]).collect()}
+    assert got == _brute(data)
+
+
+@pytest.mark.parametrize("parts", [1, 2, 5])
+def test_states_of_batches_unite_to_that_of_the_whole(spark, parts):
+    data = _data()
+    whole = spark.createDataFrame(data, ROW)
+    sums = {"rows": F.count(F.lit(1))}
+    batches = [distinct_state(whole.filter(F.col("v") % parts == i), ["a", "b"], "id", sums) for i in range(parts)]
+    united = batches[0]
+    for other in batches[1:]:
+        united = merge_state(united.unionByName(other), ["a", "b"], ["rows"])
+    got = {(r.a, r.b): (r.n, r.rows) for r in count_state(united, ["a", "b"], "n", ["rows"]).collect()}
+    assert got == {k[:2]: v for k, v in _brute(data).items() if k[2] == 0}
+
+
+def test_sketches_are_near_and_take_any_id(spark):
+    rows = spark.range(40_000).select(
+        (F.col("id") % 3).cast("string").alias("a"), F.xxhash64(F.col("id") % 9000).alias("id")
+    )
+    tree = rollup_state(distinct_state(rows, ["a"], "id", kind="hll"), ["a"], "n", kind="hll").collect()
+    for r in tree:
+        exact = 3000 if r.level == 0 else 9000
+        assert abs(r.n - exact) < 0.08 * exact
+    with pytest.raises(ValueError):
+        distinct_state(rows, ["a"], "id", kind="other")
+
+
+def test_text_keys_are_numbered(spark):
+    keys = spark.createDataFrame([("m3",), ("m1",), (None,), ("m3",), ("m2",)], "meter_id string")
+    assert [(r.meter_id, r.no) for r in dense_ids(keys, "meter_id", "no").orderBy("no").collect()] == [("m1", 1), ("m2", 2), ("m3", 3)]
+
+
+def test_empty_and_all_null(spark):
+    none = spark.createDataFrame([], ROW)
+    assert rollup_state(distinct_state(none, ["a"], "id"), ["a"], "n").collect() == []
+    null = spark.createDataFrame([("x", "p", None, 1)], ROW)
+    assert {(r.a, r.level): r.n for r in rollup_state(distinct_state(null, ["a"], "id"), ["a"], "n").collect()} == {("x", 0): 0, (None, 1): 0}
+
+
+def test_only_states_are_expanded(spark):
+    state = distinct_state(spark.createDataFrame(_data(), ROW), ["a", "b"], "id")
+    plan = rollup_state(state, ["a", "b"], "n")._jdf.queryExecution().executedPlan().toString()
+    # read from the top: the levels' expand stands above the leaves' aggregate, and there is one
+    assert plan.count("Expand") == 1
+    assert plan.index("Expand") < plan.index("bitmap_construct_agg(") and "distinct" not in plan.lower()
+
+
+def test_fault_tree_with_meters(spark):
+    import datetime as dt
+
+    t = dt.datetime(2025, 1, 31, 23)
+    readings = spark.createDataFrame(
+        [(1, t, "MISSING"), (1, t, "MISSING"), (2, t, None), (2, t, "GOOD"), (9, dt.datetime(2025, 2, 1), "MISSING"), (None, t, "MISSING"), (1, None, None)],
+        "meter_id long, reading_ts timestamp_ntz, quality string",
+    )
+    meters = spark.createDataFrame([(1, "S"), (2, "B")], "meter_id long, meter_model string")
+    plain = {(r.quality, r.meter_model, r.month, r.level): r.faults for r in fault_tree(readings, meters).collect()}
+    tree = {(r.quality, r.meter_model, r.month, r.level): r for r in fault_tree(readings, meters, with_meters=True).collect()}
+    assert {k: r.faults for k, r in tree.items()} == plain
+    assert tree[None, None, None, 7].meters == 3
+    assert tree["MISSING", None, None, 3].meters == 2  # 1 and 9; the null meter is none
+    assert tree["MISSING", "UNKNOWN", None, 1].meters == 1
+
+
+def test_usage_tree_refuses_other_dimensions(spark):
+    with pytest.raises(ValueError):
+        usage_tree(spark.createDataFrame([], "meter_id long"), ["secret"])
+
+
+def test_daily_meters_unite_to_months(spark):
+    readings = spark.sql(
+        "SELECT id % 50 AS meter_id, timestamp_ntz'2025-01-01 00:00:00' + make_dt_interval(id % 59) AS reading_ts FROM range(2000)"
+    )
+    tree = rollup_state(daily_meters(readings), ["month", "date_key"], "meters", ["readings"]).collect()
+    want = {
+        (r[0], r[1]): (r[2], r[3]) for r in readings.selectExpr(
+            "substring(cast(reading_ts as string), 1, 7) m", "cast(cast(reading_ts as date) as string) d", "meter_id"
+        ).rollup("m", "d").agg(F.count_distinct("meter_id"), F.count(F.lit(1))).collect()
+    }
+    assert {(r.month, r.date_key): (r.meters, r.readings) for r in tree} == want
