@@ -12,10 +12,12 @@ How many buckets a query must probe depends on the number of vectors and on
 how they lie. It is measured: for some queries the nearest vectors are found
 exactly, and the probes are as many as it takes to meet the wanted share.
 
-Buckets of any size are split by a hash of the id into groups of bounded
-size, and the probing queries are sent to each group. Identical vectors are
-one candidate that carries its ``k + 1`` smallest ids: more of them can't be
-among the ``k`` nearest.
+Buckets of any size are split into blocks: the vectors by a hash into groups
+of bounded size, the queries that probe it into parts of bounded size, and
+each group meets each part in a task's group of its own. Identical vectors
+are one candidate that carries its ``k + 1`` smallest ids: more of them can't
+be among the ``k`` nearest. Identical queries are asked once, for as many
+vectors as leave ``k`` to each after its own is taken out.
 """
 
 from __future__ import annotations
@@ -156,10 +158,10 @@ def _hashed(batches: Iterator[pa.RecordBatch], axes: dict[int, tuple[int, int]],
                     )
 
 
-def _rerank(rows: pa.Table, k: int) -> pa.Table:
-    """The ``k`` nearest ids of each query (rows with an id) among the other
-    rows of one group."""
-    asks = pa.compute.is_valid(rows["id"])
+def _rerank(rows: pa.Table, keep: int) -> pa.Table:
+    """The ``keep`` nearest ids of each query (rows with ``ask``) among the
+    other rows of one block."""
+    asks = pa.compute.is_valid(rows["ask"])
     index, queries = rows.filter(pa.compute.invert(asks)), rows.filter(asks)
     out: list[list] = [[], [], []]
     if len(index) and len(queries):
@@ -167,25 +169,25 @@ def _rerank(rows: pa.Table, k: int) -> pa.Table:
         x, q = matrix(index["vec"], dim), matrix(queries["vec"], dim)
         ids = index["ids"].to_pylist()
         low = np.array([i[0] for i in ids])
-        for query, v in zip(queries["id"].to_pylist(), q):
+        for query, v in zip(queries["ask"].to_pylist(), q):
             d = np.sqrt(((x - v) ** 2).sum(axis=1))
-            best = np.lexsort((low, d))[: k + 1]
-            found = sorted((d[j], i) for j in best.tolist() for i in ids[j] if i != query)[:k]
+            best = np.lexsort((low, d))[:keep]
+            found = sorted((d[j], i) for j in best.tolist() for i in ids[j])[:keep]
             out[0] += [query] * len(found)
             out[1] += [i for _, i in found]
             out[2] += [float(s) for s, _ in found]
-    return pa.table({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
+    return pa.table({"ask": pa.array(out[0], pa.binary()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
 
 
 def _measured(
-    classes: DataFrame, asked: DataFrame, axes: dict[int, tuple[int, int]], k: int, tables: int, least: int, recall: float
+    classes: DataFrame, asks: DataFrame, axes: dict[int, tuple[int, int]], k: int, tables: int, least: int, recall: float
 ) -> dict[int, int]:
-    """Probes per dimension, measured on about SAMPLE queries of each."""
-    every = {r.dim: r.n for r in asked.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
+    """Probes per dimension, measured on about SAMPLE different queries of each."""
+    every = {r.dim: r.n for r in asks.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not every:
         return {}
     step = F.create_map(*[F.lit(x).cast("long") for dim, n in every.items() for x in (dim, -(-n // SAMPLE))])
-    rows = asked.filter(F.pmod(F.xxhash64("id"), step[F.col("dim").cast("long")]) == 0).select("dim", "vec").collect()
+    rows = asks.filter(F.pmod(F.xxhash64("ask"), step[F.col("dim").cast("long")]) == 0).select("dim", "vec").collect()
     sample = {
         dim: np.stack([np.frombuffer(r.vec, "<f8") for r in rows if r.dim == dim]) for dim in {r.dim for r in rows}
     }
@@ -216,8 +218,9 @@ def nearest(
 
     Rows whose id or vector is null, and vectors that are zero or hold null or
     non-finite components, take no part; vectors of different lengths are not
-    compared. Repeated rows count once. An empty table gives an empty result;
-    other columns are not read.
+    compared. Repeated rows count once; where an id has several vectors, each
+    is a candidate and, if marked, a query of that id. An empty table gives an
+    empty result; other columns are not read.
     """
     valid = materialize(valid_vectors(df, vec_id, embedding), "ann-vectors")
     # the k + 1 smallest ids of identical vectors (limited before the shuffle)
@@ -230,45 +233,65 @@ def nearest(
     sizes = {r.dim: r.n for r in classes.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()}
     axes = {dim: axes_for(n, dim) for dim, n in sizes.items()}
 
-    asked = valid.withColumnRenamed("id", vec_id).filter(is_query).withColumnRenamed(vec_id, "id")
-    asked = materialize(asked.select("dim", "vec", "id").dropDuplicates(["id", "vec"]), "ann-queries")
+    marked = valid.withColumnRenamed("id", vec_id).filter(is_query).withColumnRenamed(vec_id, "id")
+    asked = materialize(marked.select("dim", "id", F.col("digest").alias("ask"), "vec").dropDuplicates(["id", "ask"]), "ann-queries")
+    asks = materialize(asked.groupBy("dim", "ask").agg(F.first("vec").alias("vec")).select("dim", "vec", "ask"), "ann-asks")
+    # a query's own id is among the candidates once for each vector it has
+    own = asked.groupBy("id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    keep = k + own
     index = materialize(
         classes.select("dim", "vec", "ids").mapInArrow(
             lambda b: _hashed(b, axes, tables, dict.fromkeys(axes, 1)), "t int, bucket long, dim int, vec binary, ids array<long>"
         ),
         "ann-index",
     )
-    counts = dict.fromkeys(axes, count) | _measured(classes, asked, axes, k, tables, count, recall)
+    counts = dict.fromkeys(axes, count) | _measured(classes, asks, axes, k, tables, count, recall)
     keys = ["dim", "t", "bucket"]
-    groups = materialize(
-        index.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("groups")), "ann-buckets"
-    )
+
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        """How many blocks of at most about GROUP rows each bucket takes."""
+        return rows.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias(name))
+
+    groups = materialize(blocks(index, "groups"), "ann-buckets")
 
     def search(probing: DataFrame) -> DataFrame:
         """Best ids of each probe: ``probing`` has queries with t and bucket."""
-        split = index.join(groups, keys).select(
-            *keys, F.pmod(F.xxhash64("vec"), F.col("groups")).cast("int").alias("g"), "vec", "ids",
-            F.lit(None).cast("long").alias("id"),
+        cut = materialize(groups.join(blocks(probing, "parts"), keys), "ann-blocks")
+
+        def every(n: str) -> Column:
+            return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+        def one(of: str, n: str) -> Column:
+            return F.pmod(F.xxhash64(of), F.col(n)).cast("int")
+
+        split = index.join(cut, keys).select(
+            *keys, one("vec", "groups").alias("g"), every("parts").alias("p"), "vec", "ids", F.lit(None).cast("binary").alias("ask")
         )
-        parts = groups.select(*keys, F.sequence(F.lit(0), F.col("groups") - 1).alias("parts"))
-        sent = probing.join(parts, keys).select(
-            *keys, F.explode("parts").alias("g"), "vec",
-            F.lit(None).cast("array<long>").alias("ids"), "id",
+        sent = probing.join(cut, keys).select(
+            *keys, every("groups").alias("g"), one("ask", "parts").alias("p"), "vec", F.lit(None).cast("array<long>").alias("ids"), "ask"
         )
-        return split.union(sent).groupBy(*keys, "g").applyInArrow(
-            lambda rows: _rerank(rows, k), "query_id long, vec_id long, score double"
+        return split.union(sent).groupBy(*keys, "g", "p").applyInArrow(
+            lambda rows: _rerank(rows, keep), "ask binary, vec_id long, score double"
         )
 
-    def ranked(found: DataFrame) -> DataFrame:
-        first = Window.partitionBy("query_id").orderBy("score", "vec_id")
-        return found.distinct().withColumn("rank", F.row_number().over(first).cast("int")).filter(F.col("rank") <= k)
+    def first(found: DataFrame, of: str, n: int) -> DataFrame:
+        nearest_first = Window.partitionBy(of).orderBy("score", "vec_id")
+        return found.distinct().withColumn("rank", F.row_number().over(nearest_first).cast("int")).filter(F.col("rank") <= n)
 
-    probing = asked.mapInArrow(lambda b: _hashed(b, axes, tables, counts), "t int, bucket long, dim int, vec binary, id long")
-    best = materialize(ranked(search(probing)), "ann-best")
-    # queries whose probes held fewer than k candidates look into every bucket of one table
-    many = best.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
-    few = materialize(asked.join(many, asked["id"] == many["query_id"], "left_anti"), "ann-few")
+    probing = asks.mapInArrow(lambda b: _hashed(b, axes, tables, counts), "t int, bucket long, dim int, vec binary, ask binary")
+    best = materialize(first(search(probing), "ask", keep), "ann-best")
+    # queries whose probes held too few candidates are compared, in blocks, with
+    # all rows: every bucket of one table
+    many = best.groupBy("ask").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= keep).select("ask")
+    few = materialize(asks.join(many, "ask", "left_anti").select("dim", "vec", "ask"), "ann-few")
     if not few.isEmpty():
         everywhere = few.join(index.filter("t = 0").select(*keys).distinct(), "dim")
-        best = ranked(best.drop("rank").union(search(everywhere)))
-    return best.select("query_id", "rank", "vec_id", "score")
+        best = first(best.drop("rank").union(search(everywhere)), "ask", keep)
+    # at most ``keep`` rows per different query, given to all that ask it
+    answers = best.groupBy("ask").agg(F.sort_array(F.collect_list(F.struct("score", "vec_id"))).alias("found"))
+    others = F.filter("found", lambda x: x["vec_id"] != F.col("query_id"))
+    told = (
+        asked.select(F.col("id").alias("query_id"), "ask").join(answers, "ask")
+        .select("query_id", F.explode(F.slice(others, 1, k)).alias("_x")).select("query_id", "_x.vec_id", "_x.score")
+    )
+    return first(told, "query_id", k).select("query_id", "rank", "vec_id", "score")

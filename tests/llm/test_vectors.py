@@ -2,6 +2,8 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,6 +179,49 @@ def test_recall_with_many_buckets(spark, monkeypatch, spread):
     assert recall_of(out, x, range(0, 6000, 40)) >= 0.92
 
 
+def brute_nearest(rows, queries, k):
+    """(query_id, rank) to (vec_id, score), over rows (id, vector)."""
+    out = {}
+    for q in queries:
+        own = [v for i, v in rows if i == q]
+        found = {(math.sqrt(sum((a - b) ** 2 for a, b in zip(v, w))), i) for v in own for i, w in rows if i != q}
+        for rank, (d, i) in enumerate(sorted(found)[:k], 1):
+            out[q, rank] = i, d
+    return out
+
+
+def test_hot_queries_meet_in_bounded_blocks(spark, monkeypatch, tmp_path):
+    """A third of all vectors, and of all queries, are equal, and one id has
+    several vectors: each different query is asked once, and no block holds
+    more than a few times its aim."""
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((900, 4)).round(1) + 0.05
+    x[::3] = x[0]
+    rows = list(enumerate(x.tolist())) + [(60, x[5].tolist()), (60, x[7].tolist()), (61, x[5].tolist())]
+    monkeypatch.setattr(ann, "GROUP", 40)
+    inner, log = ann._rerank, str(tmp_path / "blocks")
+
+    def watched(block, keep):
+        n = pa.compute.sum(pa.compute.is_valid(block["ask"])).as_py()
+        with open(log, "a") as f:
+            f.write(f"{len(block) - n} {n}\n")
+        return inner(block, keep)
+
+    monkeypatch.setattr(ann, "_rerank", watched)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    out = ann.nearest(df, F.col("vec_id") % 20 == 0, k=10, tables=2, recall=1.0).collect()
+    with open(log) as f:
+        sizes = [tuple(map(int, line.split())) for line in f]
+    assert max(v for v, _ in sizes) <= 3 * 40 and max(q for _, q in sizes) <= 3 * 40
+    want = brute_nearest(rows, range(0, 900, 20), 10)
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in out}
+    assert set(got) == set(want)
+    hot = [q for q in range(0, 900, 60) if q != 60]
+    for q in hot:  # equal vectors, ties to the smaller id, the own id left out
+        assert [got[q, r] for r in range(1, 11)] == [want[q, r] for r in range(1, 11)]
+    assert sum(abs(got[key][1] - want[key][1]) < 1e-12 for key in want) >= 0.9 * len(want)
+
+
 def test_buckets_are_the_nearest_signed_axes():
     x = np.random.default_rng(2).standard_normal((50, 10))
     y = ann.rotate(x, [3, 0])
