@@ -42,15 +42,15 @@ def read_days(
     folder, which the quarantine wants, unless it is False.
 
     ``days``: a one-column table of dates (or ISO text), such as a filtered
-    calendar. It is broadcast, having a row per day of a calendar, and its
-    days prune the folders when the query runs; undated rows are in none."""
+    calendar. Its different days, which a calendar bounds, are broadcast and
+    prune the folders when the query runs; undated rows are in none."""
     wide = StructType([*[f for f in schema.fields if f.name != DAY], StructField(DAY, StringType())])
     rows = spark.read.format(fmt).schema(wide).load(path)
     if days is not None:
         # the bounds go to the calendar's side: with a literal filter of its own
         # the scan gets no dynamic one
         wanted = days.select(F.col(days.columns[0]).cast("string").alias("_day"))
-        wanted = wanted.filter(_between("_day", start, end))
+        wanted = wanted.filter(_between("_day", start, end)).distinct()
         return rows.join(F.broadcast(wanted), F.col(DAY) == F.col("_day"), "left_semi").drop(DAY)
     # as text "unparsed" lies behind every date
     dated = _between(DAY, start, end) & (F.col(DAY) != UNPARSED)
