@@ -15,12 +15,11 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,27 +30,48 @@ from gridlake.llm.common import materialize, read_text, widened
 LIMIT = 2048
 #: Triples tried per smallest length, and rounds of coordinate descent.
 TRIPLES, ROUNDS = 6, 60
-#: Entries of each of a worker's two tables of encoded words; a table starts
-#: anew when full.
-CACHE = 350_000
+#: Entries of a worker's table of encoded words.
+CACHE = 500_000
 ROWS = 256
 _RANK_BITS = 42
 
 
-# The word split of the public lower-case vocabulary (fixed value).
-SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
+# The word split of the public lower-case vocabulary (fixed value), with the
+# letters and numbers below U+0100.
+_L, _N = "a-zA-Zªµº\xc0-\xd6\xd8-\xf6\xf8-\xff", "0-9²³¹¼½¾"
+SPLIT = re.compile(rf"[{_L}]+|'(?:s|t|re|ve|m|ll|d)|[{_N}]|[^\s{_L}{_N}]+").findall
 
 # -- tokens -------------------------------------------------------------------
 
 
+class _Table(dict):
+    """Values by text, made on first look-up: at most ``size`` in two
+    generations. A full younger generation replaces the older one, from which
+    texts come back when they are looked up again, so frequent ones stay."""
+
+    def __init__(self, make: Callable[[str], bytes], size: int):
+        super().__init__()
+        self.make, self.half = make, size // 2
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, text: str) -> bytes:
+        found = self.older.get(text)
+        if found is None:
+            found = self.make(text)
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[text] = found
+        return found
+
+
 class WordTokenizer:
-    """The tokenizers library behind a table of blank-free runs.
+    """The tokenizers library behind a table of words.
 
-    Where normalizing and splitting act on each run of non-blanks alone (the
-    characters below U+0100 without controls), runs are looked up. New ones
-    are cut into the words that the tokenizer's own split makes of them, and
-    new words go to the library's BPE alone, past its normalizer. Any other
-    text goes to the library whole."""
+    Texts of the characters below U+0100 without controls, which normalizing
+    only lower-cases, are cut into words as the tokenizer's own split does.
+    Words are looked up; new ones go to the library's BPE alone, past its
+    normalizer. Any other text goes to the library whole."""
 
     plain = re.compile("[^\t\n\x0b\x0c\r -~\xa1-\xac\xae-\xff]").search
 
@@ -64,8 +84,7 @@ class WordTokenizer:
         self.library.no_padding()
         self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.runs: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = _Table(self._word, CACHE)
         self.packed = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
         self.letters = {b: c for c, b in byte_alphabet().items()}
 
@@ -82,23 +101,11 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text (little-endian unsigned 32-bit)."""
-        parts: list = []
+        look, out = self.words.__getitem__, []
         for t in texts:
             whole = self.plain(t) or any(s in t for s in self.special)
-            parts.append(t if whole else t.lower().split())
-        need = {r for p in parts if isinstance(p, list) for r in p}
-        if len(self.runs) + len(need) > CACHE:
-            self.runs.clear()
-        new = [r for r in need if r not in self.runs]
-        cut = [[r] if r.isalpha() else SPLIT(r) for r in new]
-        need = {w for c in cut for w in c}
-        if len(self.words) + len(need) > CACHE:
-            self.words.clear()
-        self.words.update((w, self._word(w)) for w in need if w not in self.words)
-        word = self.words.__getitem__
-        self.runs.update((r, b"".join(map(word, c))) for r, c in zip(new, cut))
-        look = self.runs.__getitem__
-        return [b"".join(map(look, p)) if isinstance(p, list) else self._whole([p])[0] for p in parts]
+            out.append(self._whole([t])[0] if whole else b"".join(map(look, SPLIT(t.lower()))))
+        return out
 
 
 _WORKER: list = []

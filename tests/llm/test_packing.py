@@ -42,6 +42,24 @@ def test_ids_as_the_library(library):
     assert own.encode(texts) == want
 
 
+def test_full_tables_keep_frequent_words(library, monkeypatch):
+    """New words fill the bounded tables many times over; a word of every text
+    is encoded by the library once, and all ids stay right."""
+    monkeypatch.setattr(pk, "CACHE", 200)
+    with open(PATH, encoding="utf-8") as f:
+        own = pk.WordTokenizer(f.read())
+    made, word = [], own._word
+    tables = [t for t in vars(own).values() if isinstance(t, pk._Table)]
+    for t in tables:
+        monkeypatch.setattr(t, "make", lambda w: made.append(w) or word(w))
+    letters = "abcdefghij"
+    texts = ["usual, " + " ".join("".join(letters[int(c)] for c in str(k)) for k in range(i * 50, i * 50 + 50)) for i in range(40)]
+    for t in texts:
+        assert own.encode([t]) == [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()]
+        assert tables and all(len(t) + len(t.older) <= 200 for t in tables)
+    assert made.count("usual") == 1 and made.count(",") == 1 and len(made) == 2002
+
+
 def best_fit_bins(counts, limit):
     """Sequences that best fit decreasing needs."""
     room: list[int] = []
